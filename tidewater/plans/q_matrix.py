@@ -1,5 +1,47 @@
-"""Registered queries."""
+"""Queries of the matrix operators (M1-M5)."""
 
 from __future__ import annotations
 
-from .registry import register  # noqa: F401
+from pyspark.sql import functions as F
+
+from .. import views
+from ..operators import matrix as mx
+from .registry import register
+
+PCA_COLS = ["price", "accommodates", "bathrooms", "bedrooms", "square_feet"]
+
+
+@register("M1_svd_left_vectors")
+def q_m1(spark, d):
+    U, S, Vt = mx.svd(views.vectors(spark, d), "embedding", k=10, id_col="vec_id")
+    return U
+
+
+@register("M2_reconstruct")
+def q_m2(spark, d):
+    U, S, Vt = mx.svd(views.vectors(spark, d), "embedding", k=10, id_col="vec_id")
+    return mx.reconstruct(U, S, Vt).select("vec_id", "approx")
+
+
+@register("M3_low_rank_sse")
+def q_m3(spark, d):
+    rec, sse, ratio, dropped = mx.low_rank(views.vectors(spark, d), "embedding", 8, "vec_id")
+    return sse.withColumn("ratio", F.lit(ratio)).withColumn("dropped_sigma2", F.lit(dropped))
+
+
+@register("M4_pca_variance")
+def q_m4(spark, d):
+    m = mx.pca(views.listings(spark, d), PCA_COLS, 2, center=True, scale=True, id_col="listing_id")
+    return m["variance"]
+
+
+@register("M4_pca_uncentred_scores")
+def q_m4b(spark, d):
+    m = mx.pca(views.listings(spark, d), PCA_COLS, 2, center=False, id_col="listing_id")
+    return m["scores"]
+
+
+@register("M5_similar_rows")
+def q_m5(spark, d):
+    m = mx.pca(views.listings(spark, d), PCA_COLS, 2, center=False, id_col="listing_id")
+    return mx.similar_rows(m, [60.0, 4, 2, 2, 600], 5, "listing_id")
