@@ -396,7 +396,9 @@ def dense_index_within(df: DataFrame, group: str, order: Sequence[str],
             yield pdf
 
     local = with_pid.sortWithinPartitions(group, *order).mapInPandas(local_index, schema)
-    counts = with_pid.groupBy(group, "__pid").agg(F.count(F.lit(1)).alias("__cnt"))
+    # counts from ``local`` itself: both join sides share one upstream
+    # exchange, so they see the same rows in the same partitions
+    counts = local.groupBy(group, "__pid").agg(F.count(F.lit(1)).alias("__cnt"))
     w = Window.partitionBy(group).orderBy("__pid").rowsBetween(Window.unboundedPreceding, -1)
     offsets = counts.withColumn("__off", F.coalesce(F.sum("__cnt").over(w), F.lit(0)))
     return (local.join(offsets.select(group, "__pid", "__off"), [group, "__pid"])

@@ -40,6 +40,7 @@ def stage_raw_files(spark, d, root: str, files_by: str = "day"):
         F.to_json(F.struct(F.unix_timestamp("timestamp").alias("timestamp"), "id", "antenna_id",
                            "bytes", "app")).alias("value"))
     raw.write.mode("overwrite").partitionBy(files_by).text(root)
+    st.order_files_by_name(spark, root)
     return root
 
 
