@@ -96,7 +96,10 @@ def ngrams(tokens: Column | str, n: int) -> Column:
 
 
 def ngram_counts(df: DataFrame, tokens: str, n: int, k: int | None = None) -> DataFrame:
-    grams = df.select(F.explode(ngrams(tokens, n)).alias("ngram"))
+    """Most frequent n-grams (``NGram`` transformer, then one aggregate)."""
+    from pyspark.ml.feature import NGram
+    g = NGram(n=n, inputCol=tokens, outputCol="__g").transform(df.select(tokens))
+    grams = g.select(F.explode("__g").alias("ngram"))
     counts = grams.groupBy("ngram").agg(F.count(F.lit(1)).alias("count"))
     return counts.orderBy(F.col("count").desc(), "ngram").limit(k) if k else counts
 
@@ -110,25 +113,35 @@ def vocabulary_size(df: DataFrame, tokens: str, name: str = "vocabulary") -> Dat
 def ngram_terms(df: DataFrame, text_col: str, ns: Sequence[int] = (2, 3),
                 min_len: int = 2, out: str = "terms") -> DataFrame:
     """Whitespace tokens of at least ``min_len`` characters (sklearn's
-    default token rule drops 1-letter tokens), then n-grams of each size."""
-    tok = F.filter(F.split(F.col(text_col), " "), lambda t: F.length(t) >= min_len)
-    grams = [ngrams(tok, n) for n in ns]
-    return df.withColumn(out, F.concat(*grams) if len(grams) > 1 else grams[0])
+    default token rule drops 1-letter tokens), then n-grams of each size by
+    Spark's ``NGram`` transformer (JVM, linear in the text length)."""
+    from pyspark.ml.feature import NGram
+    tok = df.withColumn("__tok", F.filter(F.split(F.col(text_col), " "),
+                                          lambda t: F.length(t) >= min_len))
+    names = []
+    for n in ns:
+        name = f"__g{n}"
+        tok = NGram(n=n, inputCol="__tok", outputCol=name).transform(tok)
+        names.append(name)
+    return tok.withColumn(out, F.concat(*[F.col(c) for c in names])).drop("__tok", *names)
 
 
 def document_frequency(df: DataFrame, terms: str, min_df: int = 3, max_df: float = 0.95,
-                       smooth_sklearn: bool = False) -> DataFrame:
+                       smooth_sklearn: bool = False, doc_id: str = "doc_id") -> DataFrame:
     """Per term: documents containing it, total count, idf; filtered by
     ``min_df`` documents and ``max_df`` share. idf = ln((n+1)/(df+1)),
-    +1 with ``smooth_sklearn`` (sklearn's smoothed idf)."""
+    +1 with ``smooth_sklearn`` (sklearn's smoothed idf).
+
+    One pass over the terms: (doc, term) counts (combined map-side), then
+    per term the number of documents and the sum of counts. ``n`` is the
+    row count of ``df`` (a scalar subquery that reads no text).
+    """
     n = df.agg(F.count(F.lit(1))).scalar()
-    per_doc = df.select(F.explode(F.array_distinct(terms)).alias("term"))
-    dfreq = per_doc.groupBy("term").agg(F.count(F.lit(1)).alias("df"))
-    tf = df.select(F.explode(terms).alias("term")).groupBy("term").agg(
-        F.count(F.lit(1)).alias("total"))
-    out = (dfreq.join(tf, "term")
-                .filter((F.col("df") >= min_df) & (F.col("df") <= F.lit(max_df) * n))
-                .withColumn("idf", F.log((n + 1) / (F.col("df") + 1)) + (1.0 if smooth_sklearn else 0.0)))
+    per_doc = (df.select(doc_id, F.explode(terms).alias("term"))
+                 .groupBy("term", doc_id).agg(F.count(F.lit(1)).alias("c")))
+    out = (per_doc.groupBy("term").agg(F.count(F.lit(1)).alias("df"), F.sum("c").alias("total"))
+                  .filter((F.col("df") >= min_df) & (F.col("df") <= F.lit(max_df) * n))
+                  .withColumn("idf", F.log((n + 1) / (F.col("df") + 1)) + (1.0 if smooth_sklearn else 0.0)))
     return out
 
 

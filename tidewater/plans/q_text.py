@@ -14,7 +14,7 @@ from .registry import register
 
 
 def docs(spark, d):
-    return views.table(spark, d, "documents").select("doc_id", "text")
+    return views.documents(spark, d).select("doc_id", "text")
 
 
 def _one(name, fn, sqlfn):

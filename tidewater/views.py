@@ -20,6 +20,19 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
+def spread(df: DataFrame) -> DataFrame:
+    """CPU-heavy text work on an input read in fewer splits than there are
+    cores (a few large row groups) gets one round-robin shuffle to use every
+    core; an input that already has enough splits (any large table) is
+    left as it is."""
+    par = df.sparkSession.sparkContext.defaultParallelism
+    return df.repartition(2 * par) if df.rdd.getNumPartitions() < par else df
+
+
+def documents(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return spread(table(spark, sf_dir, "documents"))
+
+
 # ---------------------------------------------------------------- telemetry
 # events -> (timestamp, id, antenna_id, bytes, app)
 _JSON_K = {
@@ -142,7 +155,7 @@ def houses(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def pages(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return table(spark, sf_dir, "pages").select("page_id", "url", "html")
+    return spread(table(spark, sf_dir, "pages").select("page_id", "url", "html"))
 
 
 # ------------------------------------------------------------ oracle prefix
