@@ -66,3 +66,10 @@ def test_round_half_up(spark):
     df = spark.createDataFrame([(2.675, -2.5)], "x double, y double")
     r = df.select(sc.round2(F.col("x")).alias("x"), F.round("y", 0).alias("y")).first()
     assert r.x == 2.68 and r.y == -3.0
+
+
+def test_column_classes(spark):
+    df = frame(spark)
+    assert fr.numeric_columns(df) == ["id", "price", "bedrooms"]
+    assert fr.categorical_columns(df) == ["city", "amen", "feat", "cat"]
+    assert fr.columns_with_prefix(df, "c") == ["city", "cat"]

@@ -368,3 +368,9 @@ def q_u3(spark, d):
                     tx.token_set(tx.clean_text(rest)).alias("b"))
     return t.select("doc_id", F.array_sort(fr.token_union("a", "b")).alias("token_union"),
                     F.array_sort(fr.token_intersection("a", "b")).alias("token_intersection"))
+
+
+@register("P9_split_xy")
+def q_p9(spark, d):
+    df = L(spark, d).select("listing_id", "price", "accommodates", "bathrooms", "bedrooms")
+    return fr.split_xy(df, "price", ["accommodates", "bathrooms", "bedrooms"])
