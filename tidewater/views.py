@@ -25,8 +25,12 @@ def spread(df: DataFrame) -> DataFrame:
     cores (a few large row groups) gets one round-robin shuffle to use every
     core; an input that already has enough splits (any large table) is
     left as it is."""
-    par = df.sparkSession.sparkContext.defaultParallelism
-    return df.repartition(2 * par) if df.rdd.getNumPartitions() < par else df
+    try:
+        par = df.sparkSession.sparkContext.defaultParallelism
+        parts = df.rdd.getNumPartitions()
+    except Exception:  # e.g. a Spark Connect session: leave the input as it is
+        return df
+    return df.repartition(2 * par) if parts < par else df
 
 
 def documents(spark: SparkSession, sf_dir: str) -> DataFrame:
