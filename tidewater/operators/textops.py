@@ -132,16 +132,17 @@ def document_frequency(df: DataFrame, terms: str, min_df: int = 3, max_df: float
     ``min_df`` documents and ``max_df`` share. idf = ln((n+1)/(df+1)),
     +1 with ``smooth_sklearn`` (sklearn's smoothed idf).
 
-    One pass over the terms: (doc, term) counts (combined map-side), then
-    per term the number of documents and the sum of counts. ``n`` is the
-    row count of ``df`` (a scalar subquery that reads no text).
+    One pass over the terms: (term, doc) counts, then per term the number
+    of documents and the sum of counts. ``n`` is the row count of ``df``
+    (a scalar subquery that reads no text).
     """
     n = df.agg(F.count(F.lit(1))).scalar()
     per_doc = (df.select(doc_id, F.explode(terms).alias("term"))
                  .groupBy("term", doc_id).agg(F.count(F.lit(1)).alias("c")))
     out = (per_doc.groupBy("term").agg(F.count(F.lit(1)).alias("df"), F.sum("c").alias("total"))
                   .filter((F.col("df") >= min_df) & (F.col("df") <= F.lit(max_df) * n))
-                  .withColumn("idf", F.log((n + 1) / (F.col("df") + 1)) + (1.0 if smooth_sklearn else 0.0)))
+                  .withColumn("idf", F.log((n + 1) / (F.col("df") + 1))
+                              + (1.0 if smooth_sklearn else 0.0)))
     return out
 
 
