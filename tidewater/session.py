@@ -22,6 +22,9 @@ DEFAULTS = {
     "spark.sql.adaptive.advisoryPartitionSizeInBytes": "64m",
     "spark.sql.files.maxPartitionBytes": "128m",
     "spark.sql.execution.arrow.pyspark.enabled": "true",
+    # streaming state (one row per open window and key) off the JVM heap
+    "spark.sql.streaming.stateStore.providerClass":
+        "org.apache.spark.sql.execution.streaming.state.RocksDBStateStoreProvider",
     "spark.ui.enabled": "false",
     "spark.ui.showConsoleProgress": "false",
 }
