@@ -137,7 +137,10 @@ def document_frequency(df: DataFrame, terms: str, min_df: int = 3, max_df: float
     (a scalar subquery that reads no text).
     """
     n = df.agg(F.count(F.lit(1))).scalar()
-    per_doc = (df.select(doc_id, F.explode(terms).alias("term"))
+    # documents are hash-partitioned by id before the explode: the (term,
+    # doc) aggregate is then satisfied in place and only its result (one
+    # row per distinct term and document) is shuffled by term
+    per_doc = (df.repartition(doc_id).select(doc_id, F.explode(terms).alias("term"))
                  .groupBy("term", doc_id).agg(F.count(F.lit(1)).alias("c")))
     out = (per_doc.groupBy("term").agg(F.count(F.lit(1)).alias("df"), F.sum("c").alias("total"))
                   .filter((F.col("df") >= min_df) & (F.col("df") <= F.lit(max_df) * n))
@@ -178,7 +181,10 @@ def dictionary(df: DataFrame, tokens: str) -> DataFrame:
 
 def doc2bow(df: DataFrame, doc_id: str, tokens: str, vocab: DataFrame | None = None
             ) -> DataFrame:
-    """Long-form bag of words ``(doc_id, term[, id], count)``."""
-    bow = (df.select(doc_id, F.explode(tokens).alias("term")).filter(F.col("term") != "")
+    """Long-form bag of words ``(doc_id, term[, id], count)``. Documents are
+    hash-partitioned by id first (moving text, not exploded tokens), so the
+    per-document counts need no shuffle of tokens."""
+    bow = (df.repartition(doc_id).select(doc_id, F.explode(tokens).alias("term"))
+             .filter(F.col("term") != "")
              .groupBy(doc_id, "term").agg(F.count(F.lit(1)).alias("count")))
     return bow.join(vocab, "term") if vocab is not None else bow
