@@ -20,14 +20,14 @@ def r6(*cols):
 
 
 @register("S4_years_until", sql="""
-    SELECT listing_id, 2020 - year(try_strptime(host_since, '%Y-%m-%d')) AS years FROM listings""")
+    SELECT listing_id, CAST(2020 - year(try_strptime(host_since, '%Y-%m-%d')) AS INTEGER) AS years FROM listings""")
 def q_s4(spark, d):
     return L(spark, d).select("listing_id", sc.years_until("host_since", 2020).alias("years"))
 
 
 @register("S5_list_size", sql="""
-    SELECT listing_id, coalesce(len(string_split(amenities, ',')), 0) AS n_amenities,
-           coalesce(len(string_split(features, ',')), 1) AS n_features FROM listings""")
+    SELECT listing_id, CAST(coalesce(len(string_split(amenities, ',')), 0) AS INTEGER) AS n_amenities,
+           CAST(coalesce(len(string_split(features, ',')), 1) AS INTEGER) AS n_features FROM listings""")
 def q_s5(spark, d):
     return L(spark, d).select("listing_id", sc.list_size("amenities", 0).alias("n_amenities"),
                               sc.list_size("features", 1).alias("n_features"))
@@ -179,8 +179,8 @@ def q_fe6(spark, d):
 FE7_SQL = """
     WITH a AS (SELECT listing_id, price, room_type, property_type, accommodates,
                       CAST(bathrooms AS DOUBLE) AS bathrooms, CAST(bedrooms AS DOUBLE) AS bedrooms,
-                      coalesce(len(string_split(amenities, ',')), 0) AS amenities,
-                      coalesce(len(string_split(features, ',')), 1) AS features,
+                      CAST(coalesce(len(string_split(amenities, ',')), 0) AS INTEGER) AS amenities,
+                      CAST(coalesce(len(string_split(features, ',')), 1) AS INTEGER) AS features,
                       host_since, response_time, reviews_per_month,
                       CAST(bedrooms * bathrooms AS DOUBLE) AS bed_bath
                FROM listings WHERE price < 200 AND city = 'EUROPE'),
@@ -198,7 +198,7 @@ FE7_SQL = """
           FROM b, mo, me),
     d AS (SELECT listing_id, price, room_type, property_type, accommodates, bathrooms, bedrooms,
                  amenities, features, response_time, ln(reviews_per_month) AS reviews_per_month,
-                 ln(bed_bath) AS bed_bath, 2020 - year(CAST(host_since AS DATE)) AS year
+                 ln(bed_bath) AS bed_bath, CAST(2020 - year(CAST(host_since AS DATE)) AS INTEGER) AS year
           FROM c WHERE bed_bath > 0 AND reviews_per_month > 0),
     e1 AS (SELECT room_type AS k, avg(price) AS v FROM d GROUP BY 1),
     e2 AS (SELECT property_type AS k, avg(price) AS v FROM d GROUP BY 1),

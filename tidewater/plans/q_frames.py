@@ -46,7 +46,7 @@ def q_p3(spark, d):
 
 
 @register("P6_derive", sql="""
-    SELECT listing_id, round(square_feet * 0.092903, 6) AS square_meters,
+    SELECT listing_id, round(square_feet * CAST(0.092903 AS DOUBLE), 6) AS square_meters,
            bedrooms * bathrooms AS bed_bath FROM listings""")
 def q_p6(spark, d):
     df = fr.derive(L(spark, d))

@@ -246,9 +246,9 @@ def q_a23(spark, d):
                FROM reviews),
     cm AS (SELECT label, prediction, count(*) AS c FROM p GROUP BY 1, 2),
     cls AS (SELECT label AS cls FROM cm UNION SELECT prediction FROM cm)
-    SELECT cls, coalesce((SELECT sum(c) FROM cm WHERE label = cls), 0) AS support,
-           coalesce((SELECT sum(c) FROM cm WHERE prediction = cls), 0) AS predicted,
-           coalesce((SELECT sum(c) FROM cm WHERE label = cls AND prediction = cls), 0) AS tp,
+    SELECT cls, CAST(coalesce((SELECT sum(c) FROM cm WHERE label = cls), 0) AS BIGINT) AS support,
+           CAST(coalesce((SELECT sum(c) FROM cm WHERE prediction = cls), 0) AS BIGINT) AS predicted,
+           CAST(coalesce((SELECT sum(c) FROM cm WHERE label = cls AND prediction = cls), 0) AS BIGINT) AS tp,
            round((SELECT avg(CASE WHEN label = prediction THEN 1.0 ELSE 0.0 END) FROM p), 6) AS accuracy
     FROM cls""")
 def q_a24(spark, d):

@@ -43,8 +43,8 @@ def q_s16b(spark, d):
 
 
 @register("S17_tokenize", sql=f"""
-    SELECT doc_id, len(string_split(c, ' ')) AS n_tokens,
-           len(list_distinct(string_split(c, ' '))) AS n_distinct,
+    SELECT doc_id, CAST(len(string_split(c, ' ')) AS INTEGER) AS n_tokens,
+           CAST(len(list_distinct(string_split(c, ' '))) AS INTEGER) AS n_distinct,
            list_sort(list_distinct(string_split(c, ' '))) AS token_set
     FROM (SELECT doc_id, {sq.clean_text('text')} AS c FROM documents)""")
 def q_s17(spark, d):
