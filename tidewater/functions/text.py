@@ -63,10 +63,12 @@ def to_lower(col: ColumnOrName) -> Column:
 
 # S10
 def strip_marks(col: ColumnOrName) -> Column:
-    """Drop apostrophes, other non-word characters -> space, trim."""
-    c = F.regexp_replace(_c(col), "'", "")
+    """Drop apostrophes, other non-word characters -> space, trim. Every
+    whitespace character is a non-word character, so after the replacement
+    only spaces are left and a plain ``trim`` equals Python's ``strip()``."""
+    c = F.replace(_c(col), F.lit("'"), F.lit(""))
     c = F.regexp_replace(c, NON_WORD, " ")
-    return _nz(strip_ws(c))
+    return _nz(F.trim(c))
 
 
 def strip_ws(c: Column) -> Column:
@@ -120,7 +122,8 @@ def clean_text(col: ColumnOrName, links: bool = False) -> Column:
     c = strip_accents(c)
     c = strip_non_ascii(c)
     c = digits_to_space(c)
-    return squeeze_spaces(c)
+    # only spaces can be left as whitespace here: plain trim, no regex
+    return _nz(F.trim(F.regexp_replace(c, " +", " ")))
 
 
 # S17
