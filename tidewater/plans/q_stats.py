@@ -175,3 +175,13 @@ def q_t13(spark, d):
     coef, _ = st.ols(L(spark, d), "price", OLS_X)
     rows = [(r["term"], r["estimate"]) for r in coef.collect()]
     return st.what_if(df, rows, "bedrooms", 1.0)
+
+
+@register("T11_sample_quantiles", sql=" UNION ALL ".join(
+    f"SELECT CAST({p!r} AS DOUBLE) AS p, round(quantile_cont(price, {p!r}), 6) AS sample FROM listings"
+    for p in [(i - 0.5) / 20 for i in range(1, 21)]))
+def q_t11b(spark, d):
+    from ..operators.ranks import quantiles
+    probs = [(i - 0.5) / 20 for i in range(1, 21)]
+    q = quantiles(L(spark, d), "price", probs)
+    return q.select("p", F.round("q", 6).alias("sample"))

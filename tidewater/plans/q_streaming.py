@@ -97,3 +97,25 @@ def q_st4(spark, d):
     hourly = tm.total_bytes(t.filter(F.col("timestamp") < F.lit(CUTOFF).cast("timestamp")), "app")
     recent = st.windowed_total(t, "app", "5 minutes", "30 seconds")
     return st.speed_plus_batch(hourly, recent)
+
+
+@register("ST2_late_rows_dropped")
+def q_st2(spark, d):
+    """The first day's payloads are delivered a second time after every
+    other day: by then the watermark is far past them, so the replayed
+    rows are dropped and the committed windows equal the on-time run
+    (compare with ``ST1_windowed_total_streamed``)."""
+    base = shared_dir(spark, "tidewater-late", uuid.uuid4().hex[:12])
+    src = stage_raw_files(spark, d, os.path.join(base, "in"))
+    staged = spark.read.text(src)  # value + the day partition column
+    first = staged.agg(F.min("day")).scalar()
+    (staged.filter(F.col("day") == first).select("value")
+           .write.mode("overwrite").text(os.path.join(src, "day=99999999")))
+    st.order_files_by_name(spark, src)
+    raw = spark.readStream.schema("value string").option("maxFilesPerTrigger", 4).text(src)
+    metric = st.windowed_total(st.parsed_stream(raw), "app", "5 minutes", "30 seconds")
+    out = os.path.join(base, "out")
+    q = st.stream_to_sink(metric, st.idempotent_parquet_batch_writer(out),
+                          os.path.join(base, "ckpt"), trigger={"availableNow": True})
+    q.awaitTermination()
+    return spark.read.parquet(out).select(*tm.METRIC_COLS)
