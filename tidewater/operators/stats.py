@@ -85,11 +85,14 @@ def anova_oneway(df: DataFrame, key: str, col: str) -> DataFrame:
 
 
 # --------------------------------------------------------------------- T4
-def tukey_pairs(df: DataFrame, key: str, col: str) -> DataFrame:
+def tukey_pairs(df: DataFrame, key: str, col: str, max_groups: int = 2000) -> DataFrame:
     """Tukey-Kramer: for each pair of groups the mean difference, the q
     statistic and the adjusted p-value. The per-group moments (one row per
     group) are the only input on the driver; pairs are formed there."""
-    g = [r.asDict() for r in group_moments(df, key, col).orderBy(key).collect()]
+    g = [r.asDict() for r in group_moments(df, key, col).orderBy(key)
+         .limit(max_groups + 1).collect()]
+    if len(g) > max_groups:
+        raise ValueError(f"more than {max_groups} groups: pairwise comparisons are not meaningful")
     k = len(g)
     n = sum(x["n"] for x in g)
     ssw = sum((x["var"] or 0.0) * (x["n"] - 1) for x in g)
