@@ -74,3 +74,24 @@ def test_pages_text_strips_script_style(spark):
             '<body><p>Hola&amp;adios</p>\n<p>que  tal</p></body></html>')
     df = spark.createDataFrame([(html,)], "html string")
     assert df.select(sim.pages_text("html")).first()[0] == "Hola&adios que tal"
+
+
+def test_ranks_across_small_arrow_batches(spark):
+    """Running sums must carry across Arrow batches inside one partition."""
+    spark.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", "7")
+    try:
+        rnd = random.Random(5)
+        rows = [(float(rnd.randint(0, 40)), rnd.choice(["a", "b", "c"])) for _ in range(900)]
+        df = spark.createDataFrame(rows, "x double, g string").repartition(3)
+        r = ranks.value_ranks(df, "x", by=["g"], partitions=2).collect()
+        for row in r:
+            sub = [x for x, g in rows if g == row.g]
+            assert row.below == sum(1 for x in sub if x < row.value)
+            assert row.cnt == sum(1 for x in sub if x == row.value)
+            assert row.n == len(sub)
+        got = {r.p: r.q for r in ranks.quantiles(df, "x", [0.3, 0.9]).collect()}
+        allx = [x for x, _ in rows]
+        assert got[0.3] == pytest.approx(float(np.quantile(allx, 0.3)))
+        assert got[0.9] == pytest.approx(float(np.quantile(allx, 0.9)))
+    finally:
+        spark.conf.unset("spark.sql.execution.arrow.maxRecordsPerBatch")

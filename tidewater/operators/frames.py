@@ -389,7 +389,7 @@ def dense_index_within(df: DataFrame, group: str, order: Sequence[str],
                 continue
             g = pdf[group]
             local = g.groupby(g, dropna=False).cumcount()
-            base = g.map(lambda v: seen.get(v, 0)).astype("int64")
+            base = g.map(seen).fillna(0).astype("int64")  # dict lookup, no Python per row
             pdf["__local"] = (local + base).astype("int64")
             for v, cnt in g.value_counts(dropna=False).items():
                 seen[v] = seen.get(v, 0) + int(cnt)

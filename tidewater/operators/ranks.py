@@ -34,22 +34,32 @@ def value_ranks(df: DataFrame, col: str, by: Sequence[str] = (),
     schema = T.StructType(key_fields + [T.StructField("__run", T.LongType())])
 
     def running(it):
-        carry: dict = {}
+        """Rows arrive sorted by (by..., value): a group starts where any key
+        column changes, so the running sums are vectorised (no per-row
+        Python); the last group of a batch carries into the next batch."""
+        import pandas as pd
+        prev_key, carry = None, 0
         for pdf in it:
             if pdf.empty:
                 yield pdf.assign(__run=pdf["cnt"].astype("int64"))
                 continue
+            cnt = pdf["cnt"].astype("int64")
             if by:
-                keys = pdf[by].astype(str).agg("\x1f".join, axis=1)
-                cs = pdf.groupby(keys, sort=False)["cnt"].cumsum() - pdf["cnt"]
-                base = keys.map(lambda k: carry.get(k, 0)).astype("int64")
-                pdf["__run"] = (cs + base).astype("int64")
-                for k, s in pdf.groupby(keys, sort=False)["cnt"].sum().items():
-                    carry[k] = carry.get(k, 0) + int(s)
+                keys = pdf[by].astype(str)
+                change = (keys != keys.shift()).any(axis=1)
+                first_same = prev_key is not None and tuple(keys.iloc[0]) == prev_key
+                change.iloc[0] = not first_same
+                gid = change.cumsum()
             else:
-                base = carry.get("", 0)
-                pdf["__run"] = (pdf["cnt"].cumsum() - pdf["cnt"] + base).astype("int64")
-                carry[""] = base + int(pdf["cnt"].sum())
+                first_same = prev_key is not None
+                gid = pd.Series(1, index=pdf.index)
+            run = cnt.groupby(gid).cumsum() - cnt
+            if first_same:
+                run = run + (gid == gid.iloc[0]).astype("int64") * carry
+            pdf["__run"] = run.astype("int64")
+            last = gid == gid.iloc[-1]
+            carry = (carry if (first_same and gid.iloc[-1] == gid.iloc[0]) else 0) + int(cnt[last].sum())
+            prev_key = tuple(keys.iloc[-1]) if by else ()
             yield pdf
 
     local = ranged.mapInPandas(running, schema)
