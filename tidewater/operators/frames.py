@@ -141,9 +141,9 @@ def complete_cases(df: DataFrame) -> DataFrame:
 
 
 def drop_blank(df: DataFrame, col: str) -> DataFrame:
-    """drop '' (nulls drop too: ``'' != NaN`` is true in pandas, but a
-    blank test on a null is unknown in SQL; callers wanting them keep with
-    ``keep_null=True`` semantics use ``drop_value_keep_null``)."""
+    """remove rows whose value is ''. Null rows go too, as with R's
+    ``filter(x != '')``; ``drop_value_keep_null(df, col, '')`` keeps them
+    (pandas' ``df[df.x != '']``)."""
     return df.filter(F.col(col) != F.lit(""))
 
 
@@ -246,8 +246,7 @@ def lookup(df: DataFrame, map_df: DataFrame, key: str, value: str,
     out = out or value
     joined = df.join(map_df.select(key, F.col(value).alias("__v")), key, "left")
     fill = default if isinstance(default, Column) else F.lit(default)
-    return joined.withColumn(out, F.coalesce(F.col("__v"), fill)).drop("__v") \
-        if out != "__v" else joined
+    return joined.withColumn(out, F.coalesce(F.col("__v"), fill)).drop("__v")
 
 
 def weighted_total(keys: DataFrame, cost: DataFrame, qty: DataFrame, key: str = "item",

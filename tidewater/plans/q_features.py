@@ -41,9 +41,6 @@ def q_s6(spark, d):
     return out.select("listing_id", *r6("reviews_per_month"))
 
 
-_PC = """CASE WHEN regexp_full_match(fx, '28[0-9]{{3}}') THEN fx END"""
-
-
 def _postcode_sql(fixes):
     digits = "regexp_replace(split_part(zipcode, chr(10), 1), '[^0-9]', '', 'g')"
     case = " ".join(f"WHEN '{a}' THEN '{b}'" for a, b in fixes.items())
