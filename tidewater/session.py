@@ -8,6 +8,7 @@ partition coalescing, skew-join splitting) and the Spark UI off.
 from __future__ import annotations
 
 import os
+import re
 import tempfile
 
 from pyspark.sql import SparkSession
@@ -58,8 +59,8 @@ def ensure_checkpoint_dir(spark: SparkSession) -> str:
     """Return the shared checkpoint folder, setting one only when unset.
 
     On a cluster ``spark.checkpoint.dir`` names a shared folder and is used
-    as is. Only when nothing is configured (local tests) a scratch folder is
-    created.
+    as is; without it a cluster session raises. Only a ``local`` master,
+    where driver and executors are one process, gets a scratch folder.
     """
     sc = spark.sparkContext
     current = sc.getCheckpointDir()
@@ -68,6 +69,9 @@ def ensure_checkpoint_dir(spark: SparkSession) -> str:
     conf_dir = spark.conf.get("spark.checkpoint.dir", None) or sc.getConf().get(
         "spark.checkpoint.dir", None)
     if not conf_dir:
+        if not re.fullmatch(r"local(\[[^]]*\])?", sc.master):
+            raise RuntimeError("set spark.checkpoint.dir to a folder that the driver and all "
+                               "executors share")
         conf_dir = tempfile.mkdtemp(prefix="tidewater-ckpt-")
     sc.setCheckpointDir(conf_dir)
     return sc.getCheckpointDir()
