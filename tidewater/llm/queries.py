@@ -12,19 +12,33 @@ from collections.abc import Callable
 
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
-from . import sentence_pieces
-from .common import table
+from . import language_id, sentence_pieces
+from .common import crc_mod, table
 
 #: Vocabulary file of the piece-based operators; every worker has the package.
 PIECES = public_tokenizers.path("piece_bpe_32k.model")
 
 
+def language_model(docs: DataFrame) -> language_id.LanguageModel:
+    """Fitted on the rows outside the held-out third."""
+    return language_id.fit(docs.where(crc_mod(F.col("doc_id"), 3) != 1), PIECES)
+
+
+def op3_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents")
+    found = language_id.identify(docs, language_model(docs))
+    held_out = F.coalesce(crc_mod(F.col("doc_id"), 3) == 1, F.lit(False))
+    return found.select("doc_id", held_out.alias("held_out"), "lang_pred", "score")
+
+
 def op9_sentence_pieces(spark: SparkSession, sf_dir: str) -> DataFrame:
     return sentence_pieces.encode_texts(table(spark, sf_dir, "documents"), PIECES, with_ids=False)
 
 
 def load_all() -> dict[str, tuple[Callable, str | None]]:
     return {
+        "op3_language_id": (op3_language_id, None),
         "op9_sentence_pieces": (op9_sentence_pieces, None),
     }
