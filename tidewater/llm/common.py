@@ -51,3 +51,21 @@ def hash_share(key: Column, share: Column) -> Column:
     The choice depends on the key alone, so a re-run task repeats it.
     """
     return (F.pmod(F.xxhash64(key), F.lit(1 << 30)) / F.lit(float(1 << 30))) < share
+
+
+def labelled_sample(docs: DataFrame, labels: DataFrame, label: str, eligible: Column,
+                    max_rows: int, tag: str) -> DataFrame:
+    """About ``max_rows`` labelled documents (``doc_id``, ``text``, ``label``), as a table.
+
+    ``eligible`` is a condition on ``doc_id``. Rows with a null id or label
+    are left out; labels that repeat an id count once (the largest label),
+    texts that repeat an id stay. The ids are chosen by hash, and only those
+    ids and labels are broadcast: their number is bounded by ``max_rows``
+    (in expectation), whatever the size of the corpus.
+    """
+    known = labels.select("doc_id", F.col(label).cast("int").alias("label")).where(
+        F.col("doc_id").isNotNull() & F.col("label").isNotNull() & eligible)
+    known = known.groupBy("doc_id").agg(F.max("label").alias("label"))
+    n = known.count()
+    chosen = known.where(hash_share(F.col("doc_id"), F.lit(min(1.0, max_rows / max(1, n)))))
+    return written(docs.select("doc_id", "text").join(F.broadcast(chosen), "doc_id"), tag)
