@@ -14,7 +14,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import language_id, sentence_pieces, toxicity
+from . import language_id, quality_trees, sentence_pieces, toxicity
 from .common import crc_mod, table
 
 #: Vocabulary file of the piece-based operators; every worker has the package.
@@ -33,6 +33,14 @@ def op3_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
     return found.select("doc_id", held_out.alias("held_out"), "lang_pred", "score")
 
 
+def op6_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents")
+    held_out = crc_mod(F.col("doc_id"), 5) == 0
+    trees = quality_trees.fit(docs, table(spark, sf_dir, "labels"), ~held_out)
+    return quality_trees.score(docs, trees).select(
+        "doc_id", F.coalesce(held_out, F.lit(False)).alias("held_out"), "score", "predicted")
+
+
 def op8_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = table(spark, sf_dir, "documents")
     held_out = crc_mod(F.col("doc_id"), 3) == 1
@@ -49,6 +57,7 @@ def op9_sentence_pieces(spark: SparkSession, sf_dir: str) -> DataFrame:
 def load_all() -> dict[str, tuple[Callable, str | None]]:
     return {
         "op3_language_id": (op3_language_id, None),
+        "op6_quality": (op6_quality, None),
         "op8_toxicity": (op8_toxicity, None),
         "op9_sentence_pieces": (op9_sentence_pieces, None),
     }
