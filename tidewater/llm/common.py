@@ -45,6 +45,15 @@ def lower_ascii(text: Column) -> Column:
     return F.translate(text, "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz")
 
 
+def let(value: Column, use) -> Column:
+    """``use(value)`` with the value computed once.
+
+    A column expression named inside a lambda is computed for every element;
+    a lambda variable is not.
+    """
+    return F.get(F.transform(F.array(value), use), F.lit(0))
+
+
 def hash_share(key: Column, share: Column) -> Column:
     """True for the rows whose key hash falls in the first ``share`` of its range.
 

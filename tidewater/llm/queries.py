@@ -14,7 +14,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import language_id, quality_trees, sentence_pieces, toxicity
+from . import language_id, quality_rules, quality_trees, sentence_pieces, toxicity
 from .common import crc_mod, table
 
 #: Vocabulary file of the piece-based operators; every worker has the package.
@@ -33,6 +33,12 @@ def op3_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
     return found.select("doc_id", held_out.alias("held_out"), "lang_pred", "score")
 
 
+def op4_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return quality_rules.judge(table(spark, sf_dir, "documents")).select(
+        "doc_id", "n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words",
+        "base_failed", "kept")
+
+
 def op6_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = table(spark, sf_dir, "documents")
     held_out = crc_mod(F.col("doc_id"), 5) == 0
@@ -57,6 +63,7 @@ def op9_sentence_pieces(spark: SparkSession, sf_dir: str) -> DataFrame:
 def load_all() -> dict[str, tuple[Callable, str | None]]:
     return {
         "op3_language_id": (op3_language_id, None),
+        "op4_quality_rules": (op4_quality_rules, quality_rules.ORACLE_SQL),
         "op6_quality": (op6_quality, None),
         "op8_toxicity": (op8_toxicity, None),
         "op9_sentence_pieces": (op9_sentence_pieces, None),
