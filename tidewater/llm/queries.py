@@ -14,13 +14,29 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import language_id, quality_rules, quality_trees, sentence_pieces, toxicity
+from . import (
+    decontaminate,
+    language_id,
+    quality_rules,
+    quality_trees,
+    sentence_pieces,
+    toxicity,
+)
 from .common import crc_mod, table
 
 #: Vocabulary file of the piece-based operators; every worker has the package.
 PIECES = public_tokenizers.path("piece_bpe_32k.model")
 
 
+def op2_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = decontaminate.contamination(table(spark, sf_dir, "documents"),
+                                        table(spark, sf_dir, "benchmark"))
+    return found.select(
+        "doc_id", "n_words", "n_hit", F.size("item_ids").cast("long").alias("n_items"),
+        F.sha2(F.array_join("item_ids", ",").cast("binary"), 256).alias("items_sha256"),
+        (F.col("n_hit") > 0).alias("contaminated"))
+
+
 def language_model(docs: DataFrame) -> language_id.LanguageModel:
     """Fitted on the rows outside the held-out third."""
     return language_id.fit(docs.where(crc_mod(F.col("doc_id"), 3) != 1), PIECES)
@@ -62,6 +78,7 @@ def op9_sentence_pieces(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def load_all() -> dict[str, tuple[Callable, str | None]]:
     return {
+        "op2_decontamination": (op2_decontamination, decontaminate.ORACLE_SQL),
         "op3_language_id": (op3_language_id, None),
         "op4_quality_rules": (op4_quality_rules, quality_rules.ORACLE_SQL),
         "op6_quality": (op6_quality, None),
