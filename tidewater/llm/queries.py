@@ -17,6 +17,7 @@ from pyspark.sql import functions as F
 from . import (
     decontaminate,
     language_id,
+    near_dups,
     quality_rules,
     quality_trees,
     sentence_pieces,
@@ -55,6 +56,10 @@ def op4_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
         "base_failed", "kept")
 
 
+def op5_minhash(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return near_dups.groups(table(spark, sf_dir, "documents"))
+
+
 def op6_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = table(spark, sf_dir, "documents")
     held_out = crc_mod(F.col("doc_id"), 5) == 0
@@ -81,6 +86,7 @@ def load_all() -> dict[str, tuple[Callable, str | None]]:
         "op2_decontamination": (op2_decontamination, decontaminate.ORACLE_SQL),
         "op3_language_id": (op3_language_id, None),
         "op4_quality_rules": (op4_quality_rules, quality_rules.ORACLE_SQL),
+        "op5_minhash": (op5_minhash, None),
         "op6_quality": (op6_quality, None),
         "op8_toxicity": (op8_toxicity, None),
         "op9_sentence_pieces": (op9_sentence_pieces, None),
