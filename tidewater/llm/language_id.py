@@ -318,4 +318,4 @@ def identify(docs: DataFrame, model: LanguageModel, *, text: str = "text",
                                                         pa.array(score, pa.float64())],
                 names=[*keep, "lang_pred", "score"])
 
-    return docs.select(*keep, text).mapInArrow(batches, schema)
+    return docs.select(*keep, F.col(text).alias("_text")).mapInArrow(batches, schema)

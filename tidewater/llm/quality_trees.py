@@ -16,6 +16,7 @@ import numpy as np
 import pandas as pd
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame
+from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from .common import bounded_batches, labelled_sample
@@ -180,4 +181,4 @@ def score(docs: DataFrame, trees: Trees, *, threshold: float = 0.3, text: str =
                 + [pa.array(p, pa.float64()), pa.array((p >= threshold).astype(np.int32))],
                 names=[*keep, "score", "predicted"])
 
-    return docs.select(*keep, text).mapInArrow(batches, schema)
+    return docs.select(*keep, F.col(text).alias("_text")).mapInArrow(batches, schema)

@@ -17,6 +17,7 @@ from pyspark.sql import functions as F
 from . import (
     decontaminate,
     language_id,
+    line_chunks,
     near_dups,
     quality_rules,
     quality_trees,
@@ -78,7 +79,14 @@ def op8_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def op9_sentence_pieces(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return sentence_pieces.encode_texts(table(spark, sf_dir, "documents"), PIECES, with_ids=False)
+    return sentence_pieces.encode_texts(table(spark, sf_dir, "documents"), PIECES, with_ids=False,
+                                        with_text=False)
+
+
+def op10_line_chunks(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return line_chunks.dedup_lines(table(spark, sf_dir, "documents")).select(
+        "doc_id", "n_lines", "n_removed_lines", "n_removed_chunks",
+        F.sha2(F.col("text").cast("binary"), 256).alias("text_sha256"))
 
 
 def load_all() -> dict[str, tuple[Callable, str | None]]:
@@ -90,4 +98,5 @@ def load_all() -> dict[str, tuple[Callable, str | None]]:
         "op6_quality": (op6_quality, None),
         "op8_toxicity": (op8_toxicity, None),
         "op9_sentence_pieces": (op9_sentence_pieces, None),
+        "op10_line_chunks": (op10_line_chunks, line_chunks.ORACLE_SQL),
     }

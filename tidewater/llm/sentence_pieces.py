@@ -25,6 +25,7 @@ from operator import add
 
 import pyarrow as pa
 from pyspark.sql import DataFrame
+from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from .common import bounded_batches
@@ -210,14 +211,14 @@ def library(model_file: str):
 
 def encode_texts(docs: DataFrame, model_file: str, *, text: str = "text",
                  keep: tuple[str, ...] = ("doc_id",), with_ids: bool = True,
-                 check_with_library: bool = False) -> DataFrame:
+                 with_text: bool = True, check_with_library: bool = False) -> DataFrame:
     """Encode whole texts, decode the ids again, and describe both.
 
     ``model_file`` must be readable under the same path on every worker (an
     installed package or a distributed file). Columns returned: ``keep``,
     then ``ids`` (array of int, end id last; left out with
     ``with_ids=False``), ``n_tokens``, ``ids_sha256`` (of the decimal ids
-    joined by one space), ``decoded`` (left out with ``with_ids=False``) and
+    joined by one space), ``decoded`` (left out with ``with_text=False``) and
     ``decoded_sha256``. With ``check_with_library`` every Arrow batch is also
     encoded by the sentencepiece library and a difference raises.
 
@@ -227,12 +228,12 @@ def encode_texts(docs: DataFrame, model_file: str, *, text: str = "text",
     task: one Arrow batch plus REMEMBERED fragments.
     """
     bounded_batches(docs.sparkSession)
-    kept = docs.select(*keep, text)
+    kept = docs.select(*keep, F.col(text).alias("_text"))
     fields = [docs.schema[c] for c in keep]
     if with_ids:
         fields.append(T.StructField("ids", T.ArrayType(T.IntegerType())))
     fields += [T.StructField("n_tokens", T.LongType()), T.StructField("ids_sha256", T.StringType())]
-    if with_ids:
+    if with_text:
         fields.append(T.StructField("decoded", T.StringType()))
     fields.append(T.StructField("decoded_sha256", T.StringType()))
     n_keep = len(keep)
@@ -259,7 +260,7 @@ def encode_texts(docs: DataFrame, model_file: str, *, text: str = "text",
             cols.append(pa.array([hashlib.sha256(" ".join(map(text_of, i)).encode()).hexdigest()
                                   for i in ids]))
             names += ["n_tokens", "ids_sha256"]
-            if with_ids:
+            if with_text:
                 cols.append(pa.array(decoded, pa.string()))
                 names.append("decoded")
             cols.append(pa.array([hashlib.sha256(d.encode()).hexdigest() for d in decoded]))

@@ -299,4 +299,4 @@ def score(docs: DataFrame, model: ToxicityModel, *, threshold: float = 0.7, text
                    pa.array(seen, arrow)],
                 names=[*keep, "score", "predicted", "evidence"])
 
-    return docs.select(*keep, text).mapInArrow(batches, schema)
+    return docs.select(*keep, F.col(text).alias("_text")).mapInArrow(batches, schema)
