@@ -117,7 +117,7 @@ def signatures(docs: DataFrame, *, text: str = "text", bands: int = BANDS, rows:
     Texts without a word have no fingerprint and no keys.
     """
     bounded_batches(docs.sparkSession)
-    schema = T.StructType([docs.schema["doc_id"]] + T._parse_datatype_string(
+    schema = T.StructType([docs.schema["doc_id"]] + T.StructType.fromDDL(
         "fp binary, n_shingles long, keys array<long>").fields)
 
     def batches(it):
@@ -171,7 +171,7 @@ def verified(pairs: DataFrame, docs: DataFrame, *, text: str = "text", size: int
     both = pairs.join(texts.withColumnsRenamed({"doc_id": "a", "t": "ta"}), "a").join(
         texts.withColumnsRenamed({"doc_id": "b", "t": "tb"}), "b")
     schema = T.StructType([T.StructField(c, pairs.schema[c].dataType) for c in ("a", "b")]
-                          + T._parse_datatype_string(
+                          + T.StructType.fromDDL(
                               "inter long, uni long, linked boolean").fields)
 
     def batches(it):

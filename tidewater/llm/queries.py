@@ -8,12 +8,14 @@ brute-force version, a round trip or held-out labels.
 
 from __future__ import annotations
 
+import uuid
 from collections.abc import Callable
 
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from ..session import ensure_checkpoint_dir
 from . import (
     decontaminate,
     language_id,
@@ -23,6 +25,7 @@ from . import (
     quality_trees,
     sentence_pieces,
     toxicity,
+    warc,
 )
 from .common import crc_mod, table
 
@@ -69,6 +72,16 @@ def op6_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
         "doc_id", F.coalesce(held_out, F.lit(False)).alias("held_out"), "score", "predicted")
 
 
+def op7_warc(spark: SparkSession, sf_dir: str) -> DataFrame:
+    pages = table(spark, sf_dir, "pages")
+    path = f"{ensure_checkpoint_dir(spark).rstrip('/')}/archives-{uuid.uuid4().hex}"
+    warc.write_archives(pages, path)
+    kind = pages.schema["page_id"].dataType
+    return warc.read_pages(spark, path, with_payload=False).select(
+        F.col("page_id").cast(kind).alias("page_id"), "payload_bytes", "payload_digest",
+        "record_type", F.col("refers_to").cast(kind).alias("refers_to"))
+
+
 def op8_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = table(spark, sf_dir, "documents")
     held_out = crc_mod(F.col("doc_id"), 3) == 1
@@ -96,6 +109,7 @@ def load_all() -> dict[str, tuple[Callable, str | None]]:
         "op4_quality_rules": (op4_quality_rules, quality_rules.ORACLE_SQL),
         "op5_minhash": (op5_minhash, None),
         "op6_quality": (op6_quality, None),
+        "op7_warc": (op7_warc, warc.ORACLE_SQL),
         "op8_toxicity": (op8_toxicity, None),
         "op9_sentence_pieces": (op9_sentence_pieces, None),
         "op10_line_chunks": (op10_line_chunks, line_chunks.ORACLE_SQL),

@@ -244,7 +244,7 @@ def fit(docs: DataFrame, labels: DataFrame, eligible: Column, *, label: str = "t
                                 "n": [[k for _, k in c] for c in found]})
 
     examples = sample.mapInPandas(
-        vectors, T.StructType([docs.schema["doc_id"]] + T._parse_datatype_string(
+        vectors, T.StructType([docs.schema["doc_id"]] + T.StructType.fromDDL(
             "label int, terms array<long>, n array<long>").fields)).orderBy(
         "doc_id", "label").toPandas()
     shared.unpersist()
