@@ -19,6 +19,7 @@ from ..session import ensure_checkpoint_dir
 from . import (
     decontaminate,
     language_id,
+    licences,
     line_chunks,
     near_dups,
     quality_rules,
@@ -33,6 +34,18 @@ from .common import crc_mod, table
 PIECES = public_tokenizers.path("piece_bpe_32k.model")
 
 
+def op1_licences(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents")
+    found = licences.scan(docs, licences.fit(docs)).withColumn(
+        "sure", F.filter("findings", lambda x: x["confirmed"]))
+    return found.select(
+        "doc_id", "n_paragraphs", F.size("sure").cast("long").alias("n_licence_paragraphs"),
+        (F.size("findings") - F.size("sure")).cast("long").alias("n_unconfirmed"),
+        F.array_join(F.array_sort(F.array_distinct("sure.family")), ",").alias("families"),
+        F.array_max("sure.probability").alias("probability"),
+        F.array_max("sure.similarity").alias("similarity"))
+
+
 def op2_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
     found = decontaminate.contamination(table(spark, sf_dir, "documents"),
                                         table(spark, sf_dir, "benchmark"))
@@ -104,6 +117,7 @@ def op10_line_chunks(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def load_all() -> dict[str, tuple[Callable, str | None]]:
     return {
+        "op1_licences": (op1_licences, None),
         "op2_decontamination": (op2_decontamination, decontaminate.ORACLE_SQL),
         "op3_language_id": (op3_language_id, None),
         "op4_quality_rules": (op4_quality_rules, quality_rules.ORACLE_SQL),
