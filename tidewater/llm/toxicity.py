@@ -53,60 +53,86 @@ def chi_square(has_1, has_0, n_1, n_0):
     return n * (has_1 * miss_0 - has_0 * miss_1) ** 2 / below
 
 
+def expand(starts: np.ndarray, ends: np.ndarray) -> np.ndarray:
+    """All positions of the ranges, one range after the other."""
+    sizes = ends - starts
+    before = np.cumsum(sizes) - sizes
+    return np.repeat(starts - before, sizes) + np.arange(sizes.sum())
+
+
 class BlockMaxIndex:
     """Sparse unit vectors in blocks, with postings and block maxima per term.
 
-    ``vectors``: (term ids, weights) per example. Examples are stored in
-    order of their heaviest term, so that a block holds similar vectors and
-    its bounds are tight; results name examples by their given position.
+    ``vectors``: (rising term ids, weights) per example. Examples are stored
+    in order of their heaviest term, so that a block holds similar vectors
+    and its bounds are tight; results name examples by their given position.
+    A segment is a term's postings in one block. A term has a range of
+    segments, a segment a block, its largest weight and a range of postings,
+    a posting a row and a weight.
     """
 
     def __init__(self, vectors):
         heaviest = [int(t[np.argmax(w)]) if len(t) else -1 for t, w in vectors]
         self.order = np.array(sorted(range(len(vectors)), key=lambda k: (heaviest[k], k)), np.int64)
         self.n_blocks = -(-len(vectors) // BLOCK)
-        postings = {}
-        for row, k in enumerate(self.order):
-            for t, w in zip(*vectors[k]):
-                postings.setdefault(int(t), []).append((row, float(w)))
-        self.terms = {}
-        for t, found in postings.items():
-            rows = np.array([r for r, _ in found], np.int64)
-            weights = np.array([w for _, w in found])
-            blocks, first = np.unique(rows // BLOCK, return_index=True)
-            self.terms[t] = (blocks, np.maximum.reduceat(weights, first),
-                             np.append(first, len(rows)), rows % BLOCK, weights)
-
-    def search(self, query, k: int, leave_out: int = -1):
+        sorted_vectors = [vectors[k] for k in self.order]
+        rows = np.repeat(np.arange(len(vectors)), [len(t) for t, _ in sorted_vectors])
+        terms = np.concatenate([t for t, _ in sorted_vectors] or [np.empty(0, np.int64)])
+        weights = np.concatenate([w for _, w in sorted_vectors] or [np.empty(0)])
+        by_term = np.argsort(terms, kind="stable")  # rows rise within a term
+        terms, self.rows, self.weights = terms[by_term], rows[by_term], weights[by_term]
+        block = self.rows // BLOCK
+        first = np.flatnonzero(np.r_[True, (terms[1:] != terms[:-1]) | (block[1:] != block[:-1])]) \
+            if len(terms) else np.empty(0, np.int64)
+        self.cut = np.append(first, len(terms))
+        self.block = block[first]
+        self.largest = np.maximum.reduceat(self.weights, first) if len(first) else self.weights
+        n_terms = int(terms.max()) + 1 if len(terms) else 0
+        self.term_cut = np.searchsorted(terms[first], np.arange(n_terms + 1))
+
+    def search(self, terms: np.ndarray, weights: np.ndarray, k: int, leave_out: int = -1):
         """Positions and cosines of the k nearest with a positive cosine.
 
-        Falling cosine, then rising position among equals.
+        Falling cosine, then rising position among equals. The blocks of the
+        largest bounds give a k-th best cosine; then only blocks whose bound
+        reaches it are scored.
         """
-        parts = [(w, self.terms[t]) for t, w in query if t in self.terms]
-        if not parts or k < 1:
-            return np.empty(0, np.int64), np.empty(0)
-        bound = np.zeros(self.n_blocks)
-        for w, (blocks, largest, *_) in parts:
-            bound[blocks] += w * largest
-        best_rows, best = np.empty(0, np.int64), np.empty(0)
-        for block in np.argsort(-bound, kind="stable"):
-            if bound[block] <= 0 or (len(best) == k and bound[block] < best[-1] - 1e-9):
-                break
-            score = np.zeros(BLOCK)
-            for w, (blocks, _, cuts, rows, weights) in parts:
-                at = np.searchsorted(blocks, block)
-                if at < len(blocks) and blocks[at] == block:
-                    a, b = cuts[at], cuts[at + 1]
-                    score[rows[a:b]] += w * weights[a:b]
+        none = np.empty(0, np.int64), np.empty(0)
+        there = terms < len(self.term_cut) - 1
+        terms, weights = terms[there], weights[there]
+        starts, ends = self.term_cut[terms], self.term_cut[terms + 1]
+        segments = expand(starts, ends)
+        if k < 1 or not len(segments):
+            return none
+        by_segment = np.repeat(weights, ends - starts)
+        bound = np.bincount(self.block[segments], by_segment * self.largest[segments],
+                            self.n_blocks)
+        opened = min(self.n_blocks, 1 + k // BLOCK)
+        top = np.argpartition(-bound, opened - 1)[:opened]
+
+        def scored(blocks):
+            of = np.zeros(self.n_blocks, bool)
+            of[blocks] = True
+            chosen = of[self.block[segments]]
+            a, b = self.cut[segments[chosen]], self.cut[segments[chosen] + 1]
+            postings = expand(a, b)
+            score = np.bincount(self.rows[postings], np.repeat(by_segment[chosen], b - a)
+                                * self.weights[postings], self.n_blocks * BLOCK)
             hit = np.flatnonzero(score > 0)
-            at = self.order[block * BLOCK + hit]
-            value = np.round(score[hit], 9)  # equal vectors tie, whatever the order of adding
+            at = self.order[hit]
             keep = at != leave_out
-            best_rows = np.concatenate([best_rows, at[keep]])
-            best = np.concatenate([best, value[keep]])
-            top = np.lexsort((best_rows, -best))[:k]
-            best_rows, best = best_rows[top], best[top]
-        return best_rows, best
+            return at[keep], np.round(score[hit][keep], 9)  # equal vectors tie
+
+        at, cosine = scored(top)
+        least = np.sort(cosine)[-k] if len(cosine) >= k else 0.0
+        more = bound >= least - 1e-8
+        more[top] = False
+        more &= bound > 0
+        if more.any():
+            others, values = scored(np.flatnonzero(more))
+            at, cosine = np.concatenate([at, others]), np.concatenate([cosine, values])
+        best = np.lexsort((at, -cosine))[:k]
+        return at[best], cosine[best]
 
 
 def isotonic(x, y):
@@ -160,8 +186,7 @@ class ToxicityModel:
         return float((weight * self.labels[rows]).sum() / weight.sum())
 
     def neighbours_of(self, counts, leave_out: int = -1):
-        t, w = self.vector(counts)
-        return self.index.search(list(zip(t.tolist(), w.tolist())), self.neighbours, leave_out)
+        return self.index.search(*self.vector(counts), self.neighbours, leave_out)
 
     def calibrate(self) -> None:
         """Fit the curve to the votes that each example gets from the others."""
