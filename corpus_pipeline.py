@@ -21,17 +21,23 @@ MIN_LANGUAGE_SCORE = 0.5
 
 def identify_language(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents whose language is clear; texts without a letter go."""
-    found = language_id.identify(docs, language_model(docs), keep=tuple(docs.columns))
+    hidden, names = filters.masked(docs)
+    found = language_id.identify(hidden, language_model(docs), text=names["text"],
+                                 keep=tuple(hidden.columns))
     return found.where((F.col("lang_pred") != language_id.UNDETERMINED)
-                       & (F.col("score") >= MIN_LANGUAGE_SCORE)).select(*docs.columns)
+                       & (F.col("score") >= MIN_LANGUAGE_SCORE)).select(
+        *[F.col(names[c]).alias(c) for c in docs.columns])
 
 
 def dedup_lines(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Texts without repeated chunks of lines; documents left without a word go."""
-    shorter = line_chunks.dedup_lines(docs)
+    hidden, names = filters.masked(docs, "doc_id", "text")
+    shorter = line_chunks.dedup_lines(hidden)
     kept = shorter.where((F.col("n_removed_lines") == 0) | F.col("text").rlike(r"\S"))
-    return kept.withColumn("n_chars", F.when(F.col("n_removed_lines") == 0, F.col("n_chars"))
-                           .otherwise(F.char_length("text"))).select(*docs.columns)
+    n_chars = F.when(F.col("n_removed_lines") == 0, F.col(names["n_chars"])).otherwise(
+        F.char_length("text"))
+    return kept.withColumn(names["n_chars"], n_chars.cast(docs.schema["n_chars"].dataType)).select(
+        *[F.col(names.get(c, c)).alias(c) for c in docs.columns])
 
 
 def dedup_documents(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:

@@ -11,6 +11,15 @@ from .common import written
 BROADCAST_IDS = 1_000_000
 
 
+def masked(docs: DataFrame, *apart: str) -> tuple[DataFrame, dict[str, str]]:
+    """``docs`` with neutral names for all columns but ``apart``, and these names by column.
+
+    An operator that adds columns then meets none of its own names.
+    """
+    names = {c: f"_column_{k}" for k, c in enumerate(docs.columns) if c not in apart}
+    return docs.withColumnsRenamed(names), names
+
+
 def drop_ids(docs: DataFrame, ids: DataFrame, tag: str) -> DataFrame:
     """``docs`` without the documents named in ``ids`` (one column, ``doc_id``).
 

@@ -181,7 +181,13 @@ def public_pieces(model_file: str) -> list[str]:
 
 def words_of(text: str | None) -> list[str]:
     """Letter runs in lower case, each after a space mark."""
-    return [SPACE + w for w in WORD.findall((text or "").lower())]
+    words = []
+    for w in WORD.findall((text or "").lower()):
+        if w.isalpha():
+            words.append(SPACE + w)
+        else:  # fractions, Roman numerals and the like are no letters
+            words += [SPACE + x for x in "".join(c if c.isalpha() else " " for c in w).split()]
+    return words
 
 
 @dataclass

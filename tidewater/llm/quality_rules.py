@@ -91,11 +91,11 @@ def base_failed() -> Column:
 
 
 def shares() -> dict[str, Column]:
-    n = F.col("n_words").cast("double")
-    return {"symbols_per_word": F.col("n_symbols") / n,
-            "dup_line_share": F.col("n_dup_lines") / F.col("n_lines"),
-            "repeat_share": F.col("n_repeat_words") / n,
-            "word_length": F.col("word_chars") / n}
+    """The MEASURES; null for texts without a word."""
+    return {"symbols_per_word": F.try_divide("n_symbols", "n_words"),
+            "dup_line_share": F.try_divide("n_dup_lines", "n_lines"),
+            "repeat_share": F.try_divide("n_repeat_words", "n_words"),
+            "word_length": F.try_divide("word_chars", "n_words")}
 
 
 def thresholds(judged: DataFrame, *, min_docs: int = MIN_DOCS, fence: float = FENCE) -> DataFrame:

@@ -41,8 +41,10 @@ def cuts(data: bytes, size: int, apart: bytes | None = None) -> list[bytes]:
     """Pieces of at most ``size`` bytes that end between UTF-8 characters.
 
     With ``apart`` pieces also end inside every occurrence of it, so that it
-    is in no piece.
+    is in no piece. No piece but the last ends like a version line without
+    its line end, which the end of a record would complete.
     """
+    name = VERSION.rstrip().encode()
     stops = [m.start() + len(apart) - 1 for m in re.finditer(re.escape(apart), data)] \
         if apart else []
     pieces, at = [], 0
@@ -52,6 +54,8 @@ def cuts(data: bytes, size: int, apart: bytes | None = None) -> list[bytes]:
         end = min(at + size, stop)
         while end < len(data) and end > at + 1 and data[end] & 0xC0 == 0x80:
             end -= 1
+        if end < len(data) and end - at > 1 and data.endswith(name, 0, end):
+            end -= 1
         pieces.append(data[at:end])
         at = end
         if at == stop and at < len(data):
