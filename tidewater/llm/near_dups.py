@@ -8,9 +8,11 @@ candidates, and a link is confirmed on the full shingle sets of the texts.
 
 Only the groups that links connect are wanted, so candidates are not
 expanded into all pairs. Texts of equal words are one class, seen through
-its smallest id. In every bucket the members are first compared with the
-bucket's smallest id, and the links found give components; only members of
-one bucket that are still in different components are compared further.
+its smallest id. In every bucket the members are first compared with one of
+them, the pivot: the one that shares most buckets with others, as the
+original of many near copies does. The links found give components; buckets
+that still hold several get a second pivot, and in the end members of one
+bucket that are in different components are compared with one another.
 """
 
 from __future__ import annotations
@@ -260,58 +262,81 @@ def groups(docs: DataFrame, *, text: str = "text", bands: int = BANDS, rows: int
 
 def _linked(docs: DataFrame, classes: DataFrame, text: str, size: int, percent: int) -> DataFrame:
     """Components of the class representatives that have links."""
-    fits = (100 * F.least("n", "pn") >= percent * F.greatest("n", "pn"))
     members = classes.select("rep", "n", F.explode("keys").alias("key"))
-    pivots = members.groupBy("key").agg(
-        F.min(F.struct("rep", "n")).alias("p"), F.count(F.lit(1)).alias("size")).where(
-        F.col("size") > 1).select("key", F.col("p.rep").alias("pivot"), F.col("p.n").alias("pn"),
-                                  "size")
-    buckets = written(members.join(pivots, "key"), "near-buckets")
-    to_pivot = buckets.where(F.col("rep") != F.col("pivot")).where(fits).groupBy(
-        F.col("rep").alias("a"), F.col("pivot").alias("b")).agg(F.lit(1).alias("one")).drop("one")
-    to_pivot = written(to_pivot, "near-pivot-pairs")
-
-    # each member with its smallest pivot first
-    nearest = to_pivot.groupBy("a").agg(F.min("b").alias("b"))
-    done = written(verified(nearest, docs, text=text, size=size, percent=percent), "near-verified")
-    comps = written(components(done.where("linked")), "near-components")
-
-    def apart(pairs: DataFrame, done: DataFrame, comps: DataFrame) -> DataFrame:
-        """Pairs not compared yet whose ends are in different components."""
-        left = pairs.join(done.select("a", "b"), ["a", "b"], "left_anti")
-        for c in ("a", "b"):
-            left = left.join(comps.select(F.col("id").alias(c), F.col("comp").alias("c" + c)), c,
-                             "left")
-        return left.where(F.coalesce("ca", "a") != F.coalesce("cb", "b")).select("a", "b")
-
-    def more(pairs: DataFrame, done: DataFrame, comps: DataFrame):
-        rest = written(apart(pairs, done, comps), "near-rest")
-        if rest.isEmpty():
-            return done, comps
-        new = written(verified(rest, docs, text=text, size=size, percent=percent),
+    sizes = members.groupBy("key").agg(F.count(F.lit(1)).alias("size")).where("size > 1")
+    shared = written(members.join(sizes, "key"), "near-shared")
+    # a text that others were derived from meets more texts than these meet one another
+    weights = shared.groupBy("rep").agg(F.sum("size").alias("weight"))
+    shared = written(shared.join(weights, "rep"), "near-buckets")
+    comps = done = None
+
+    def placed() -> DataFrame:
+        return shared.join(comps.withColumnRenamed("id", "rep"), "rep", "left").withColumn(
+            "comp", F.coalesce("comp", "rep"))
+
+    def mixed(rows: DataFrame) -> DataFrame:
+        """Rows of the buckets that hold more than one component."""
+        several = rows.groupBy("key").agg(F.min("comp").alias("lo"), F.max("comp").alias("hi"))
+        return rows.join(several.where("lo != hi").select("key"), "key", "left_semi")
+
+    def pivots(rows: DataFrame) -> DataFrame:
+        return rows.groupBy("key").agg(F.max(F.struct("weight", "rep", "n")).alias("p")).select(
+            "key", F.col("p.rep").alias("pivot"), F.col("p.n").alias("pn"),
+            F.col("p.weight").alias("pw"))
+
+    def with_pivot(rows: DataFrame, chosen: DataFrame) -> DataFrame:
+        return rows.join(chosen, "key").where((F.col("rep") != F.col("pivot")) & (
+            100 * F.least("n", "pn") >= percent * F.greatest("n", "pn"))).select(
+            F.col("rep").alias("a"), F.col("pivot").alias("b"), "pw").groupBy("a", "b").agg(
+            F.max("pw").alias("pw"))
+
+    def compare(pairs: DataFrame) -> None:
+        """Verify pairs that were not compared yet and lie in different components."""
+        nonlocal comps, done
+        if done is not None:
+            for x, y in (("a", "b"), ("b", "a")):
+                pairs = pairs.join(done.select(F.col(x).alias("a"), F.col(y).alias("b")),
+                                   ["a", "b"], "left_anti")
+            for c in ("a", "b"):
+                pairs = pairs.join(comps.select(F.col("id").alias(c), F.col("comp").alias("c" + c)),
+                                   c, "left")
+            pairs = pairs.where(F.coalesce("ca", "a") != F.coalesce("cb", "b")).select("a", "b")
+        pairs = written(pairs, "near-pairs")
+        if done is not None and pairs.isEmpty():
+            return
+        new = written(verified(pairs, docs, text=text, size=size, percent=percent),
                       "near-verified")
-        both = done.unionByName(new)
-        if not new.where("linked").isEmpty():
-            comps = written(components(comps.select(F.col("id").alias("a"), F.col("comp").alias("b"))
-                                       .union(new.where("linked").select("a", "b"))),
-                            "near-components")
-        return both, comps
-
-    done, comps = more(to_pivot, done, comps)
-
-    # members of one bucket, neither its pivot, that are still in different components
-    placed = buckets.where((F.col("size") > 2) & (F.col("rep") != F.col("pivot"))).join(
-        comps.withColumnRenamed("id", "rep"), "rep", "left").withColumn(
-        "comp", F.coalesce("comp", "rep"))
-    mixed = placed.groupBy("key").agg(F.min("comp").alias("lo"), F.max("comp").alias("hi")).where(
-        "lo != hi").select("key")
-    open_rows = written(placed.join(mixed, "key", "left_semi").select(
-        "key", "rep", "n", "comp", "pivot"), "near-open")
-    one = open_rows.select("key", "pivot", F.col("rep").alias("a"), "n", F.col("comp").alias("ca"))
-    two = open_rows.select("key", F.col("rep").alias("b"), F.col("n").alias("pn"),
-                           F.col("comp").alias("cb"))
-    met = one.join(two, "key").where((F.col("a") > F.col("b")) & (F.col("ca") != F.col("cb"))
-                                     & fits)
+        edges = new.where("linked").select("a", "b")
+        if done is not None:
+            edges = edges.union(comps.select("id", "comp"))
+        done = new if done is None else done.unionByName(new)
+        comps = written(components(edges), "near-components")
+
+    first = written(pivots(shared), "near-pivots")
+    to_first = written(with_pivot(shared, first), "near-pivot-pairs")
+    # each member with its heaviest pivot, then with its other pivots
+    compare(to_first.groupBy("a").agg(F.max_by("b", F.struct("pw", "b")).alias("b")))
+    compare(to_first.select("a", "b"))
+    # buckets that are still mixed: members with the heaviest one outside the pivot's component
+    at = comps.select(F.col("id").alias("pivot"), F.col("comp").alias("pc"))
+    rows = mixed(placed())
+    outside = rows.join(first.select("key", "pivot"), "key").join(at, "pivot", "left").where(
+        F.col("comp") != F.coalesce("pc", "pivot"))
+    second = written(pivots(outside), "near-second-pivots")
+    compare(with_pivot(rows, second).select("a", "b"))
+
+    # what is left: members of one bucket in different components, neither of them a pivot
+    rest = mixed(placed()).join(
+        first.select("key", "pivot").unionByName(second.select("key", "pivot"))
+        .withColumnRenamed("pivot", "rep"), ["key", "rep"], "left_anti")
+    rest = written(rest.join(first.select("key", "pivot"), "key").select(
+        "key", "pivot", "rep", "n", "comp"), "near-open")
+    one = rest.select("key", "pivot", F.col("rep").alias("a"), "n", F.col("comp").alias("ca"))
+    two = rest.select("key", F.col("rep").alias("b"), F.col("n").alias("pn"),
+                      F.col("comp").alias("cb"))
+    met = one.join(two, "key").where(
+        (F.col("a") > F.col("b")) & (F.col("ca") != F.col("cb"))
+        & (100 * F.least("n", "pn") >= percent * F.greatest("n", "pn")))
     # the distance 1 - inter / uni is a metric: known distances to the pivot bound a pair's
     known = done.select((1 - F.col("inter") / F.col("uni")).alias("d"), "a", "b")
     for c in ("a", "b"):
@@ -319,5 +344,5 @@ def _linked(docs: DataFrame, classes: DataFrame, text: str, size: int, percent:
                                     F.col("d").alias("d" + c)), [c, "pivot"], "left")
     bound = F.lit(1 - percent / 100 + 1e-9)
     met = met.where(F.coalesce(F.abs(F.col("da") - F.col("db")) <= bound, F.lit(True)))
-    _, comps = more(met.select("a", "b").distinct(), done, comps)
+    compare(met.select("a", "b").distinct())
     return comps
