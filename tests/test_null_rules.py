@@ -75,12 +75,12 @@ def test_column_classes(spark):
     assert fr.columns_with_prefix(df, "c") == ["city", "cat"]
 
 
-def test_one_hot_wide_column_falls_back_to_vectors(spark):
+def test_one_hot_vectors_are_the_callers_choice(spark):
     train = spark.createDataFrame([(str(i),) for i in range(30)], "c string")
     test = spark.createDataFrame([("3",), ("zz",)], "c string")
-    tr, te = fe.one_hot(train, test, ["c"], max_levels=10)
+    tr, te = fe.one_hot(train, test, ["c"], vectors=["c"])
     assert te.columns == ["c_vec"]
     vecs = [r.c_vec for r in te.collect()]
     assert all(v.size == 31 for v in vecs)  # 30 levels + 1 slot for unseen
-    narrow_tr, narrow_te = fe.one_hot(train, test, ["c"], max_levels=100)
+    narrow_tr, narrow_te = fe.one_hot(train, test, ["c"])
     assert len(narrow_te.columns) == 30

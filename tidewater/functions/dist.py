@@ -2,8 +2,8 @@
 
 Spark computes the statistics; these turn the handful of resulting
 scalars into p-values and quantiles. Standard numerical methods:
-regularised incomplete gamma (series / continued fraction) and beta
-(Lentz continued fraction), Acklam's inverse normal refined by Newton, and
+regularised incomplete gamma and beta (power series and continued fractions
+evaluated bottom-up), Acklam's inverse normal refined by Newton, and
 Gauss-Legendre quadrature for the studentised range.
 """
 
@@ -13,7 +13,6 @@ import math
 
 import numpy as np
 
-_EPS = 1e-15
 _FPMIN = 1e-300
 
 
@@ -59,94 +58,80 @@ def norm_ppf(p: float) -> float:
     return x
 
 
-def gammainc_lower(a: float, x: float) -> float:
-    """Regularised lower incomplete gamma P(a, x)."""
-    if x <= 0:
-        return 0.0
-    gln = math.lgamma(a)
-    if x < a + 1:
-        ap, s, term = a, 1.0 / a, 1.0 / a
-        for _ in range(10000):
-            ap += 1
-            term *= x / ap
-            s += term
-            if abs(term) < abs(s) * _EPS:
-                break
-        return s * math.exp(-x + a * math.log(x) - gln)
-    return 1.0 - _gamma_cf(a, x, gln)
-
-
-def _gamma_cf(a, x, gln):
-    b = x + 1 - a
-    c = 1 / _FPMIN
-    d = 1 / b
-    h = d
-    for i in range(1, 10000):
-        an = -i * (i - a)
-        b += 2
-        d = an * d + b
-        d = _FPMIN if abs(d) < _FPMIN else d
-        c = b + an / c
-        c = _FPMIN if abs(c) < _FPMIN else c
-        d = 1 / d
-        de = d * c
-        h *= de
-        if abs(de - 1) < _EPS:
-            break
-    return math.exp(-x + a * math.log(x) - gln) * h
+def _converged(value_at_depth) -> float:
+    """Evaluate a continued fraction from the bottom up, twice as deep each
+    time until two results agree."""
+    depth, last = 16, math.nan
+    while depth <= 1 << 20:
+        value = value_at_depth(depth)
+        if abs(value - last) <= 1e-14 * abs(value):
+            return value
+        depth, last = 2 * depth, value
+    return last
 
 
-def chi2_sf(x: float, k: float) -> float:
+def gamma_upper(a: float, x: float) -> float:
+    """Regularised upper incomplete gamma Q(a, x), small values included.
+
+    Up to a + 1 as 1 - P with the power series P = e^-x x^a sum x^n /
+    Gamma(a + n + 1); beyond, e^-x x^a / Gamma(a) over the fraction
+    x + 1 - a - 1 (1 - a) / (x + 3 - a - 2 (2 - a) / (x + 5 - a - ...)).
+    """
     if x <= 0:
         return 1.0
-    return max(0.0, 1.0 - gammainc_lower(k / 2.0, x / 2.0))
-
-
-def _beta_cf(a, b, x):
-    qab, qap, qam = a + b, a + 1, a - 1
-    c, d = 1.0, 1 - qab * x / qap
-    d = _FPMIN if abs(d) < _FPMIN else d
-    d = 1 / d
-    h = d
-    for m in range(1, 10000):
-        m2 = 2 * m
-        aa = m * (b - m) * x / ((qam + m2) * (a + m2))
-        d = 1 + aa * d
-        d = _FPMIN if abs(d) < _FPMIN else d
-        c = 1 + aa / c
-        c = _FPMIN if abs(c) < _FPMIN else c
-        d = 1 / d
-        h *= d * c
-        aa = -(a + m) * (qab + m) * x / ((a + m2) * (qap + m2))
-        d = 1 + aa * d
-        d = _FPMIN if abs(d) < _FPMIN else d
-        c = 1 + aa / c
-        c = _FPMIN if abs(c) < _FPMIN else c
-        d = 1 / d
-        de = d * c
-        h *= de
-        if abs(de - 1) < _EPS:
-            break
-    return h
+    scale = a * math.log(x) - x
+    if x <= a + 1:
+        term = total = math.exp(scale - math.lgamma(a + 1))
+        n = 0
+        while term > total * 1e-17:
+            n += 1
+            term *= x / (a + n)
+            total += term
+        return max(0.0, 1.0 - total)
+
+    def fraction(depth):
+        value = x + 2 * depth + 1 - a
+        for i in range(depth, 0, -1):
+            value = x + 2 * i - 1 - a + i * (a - i) / value
+        return value
+
+    return math.exp(scale - math.lgamma(a)) / _converged(fraction)
+
+
+def chi2_sf(x: float, k: float) -> float:
+    return gamma_upper(k / 2.0, x / 2.0)
 
 
 def betainc(a: float, b: float, x: float) -> float:
-    """Regularised incomplete beta I_x(a, b)."""
+    """Regularised incomplete beta I_x(a, b).
+
+    x^a (1 - x)^b / (a B(a, b)) over the fraction 1 + d1 / (1 + d2 / ...)
+    with d(2m) = m (b - m) x / ((a + 2m - 1) (a + 2m)) and
+    d(2m + 1) = -(a + m) (a + b + m) x / ((a + 2m) (a + 2m + 1)), below the
+    mean; beyond it by symmetry.
+    """
     if x <= 0:
         return 0.0
     if x >= 1:
         return 1.0
-    bt = math.exp(math.lgamma(a + b) - math.lgamma(a) - math.lgamma(b)
-                  + a * math.log(x) + b * math.log(1 - x))
-    if x < (a + 1) / (a + b + 2):
-        return bt * _beta_cf(a, b, x) / a
-    return 1 - bt * _beta_cf(b, a, 1 - x) / b
+    if x > (a + 1) / (a + b + 2):
+        return 1.0 - betainc(b, a, 1.0 - x)
 
+    def coefficient(i):
+        m, odd = divmod(i, 2)
+        if odd:
+            return -(a + m) * (a + b + m) * x / ((a + 2 * m) * (a + 2 * m + 1))
+        return m * (b - m) * x / ((a + 2 * m - 1) * (a + 2 * m))
 
-def t_cdf(t: float, df: float) -> float:
-    x = df / (df + t * t)
-    tail = 0.5 * betainc(df / 2.0, 0.5, x)
-    return 1 - tail if t > 0 else tail
+    def fraction(depth):
+        value = 1.0
+        for i in range(depth, 0, -1):
+            value = 1.0 + coefficient(i) / value
+        return value
+
+    log_front = (math.lgamma(a + b) - math.lgamma(a) - math.lgamma(b)
+                 + a * math.log(x) + b * math.log1p(-x))
+    return math.exp(log_front) / (a * _converged(fraction))
 
 
 def t_sf2(t: float, df: float) -> float:
@@ -154,34 +139,44 @@ def t_sf2(t: float, df: float) -> float:
     return betainc(df / 2.0, 0.5, df / (df + t * t))
 
 
+def t_cdf(t: float, df: float) -> float:
+    tail = 0.5 * t_sf2(t, df)
+    return 1 - tail if t > 0 else tail
+
+
 def t_ppf(p: float, df: float) -> float:
-    lo, hi = -1e3, 1e3
-    for _ in range(200):
+    """Quantile by bisection, inside a bracket that grows until it holds it."""
+    if p < 0.5:
+        return -t_ppf(1 - p, df)
+    lo, hi = 0.0, 1.0
+    while t_sf2(hi, df) / 2 > 1 - p:
+        lo, hi = hi, 2 * hi
+        if math.isinf(hi):
+            return hi
+    while hi - lo > 1e-13 * hi:
         mid = (lo + hi) / 2
-        if t_cdf(mid, df) < p:
-            lo = mid
-        else:
-            hi = mid
+        if mid in (lo, hi):
+            break
+        lo, hi = (mid, hi) if t_sf2(mid, df) / 2 > 1 - p else (lo, mid)
     return (lo + hi) / 2
 
 
 def f_sf(f: float, d1: float, d2: float) -> float:
+    """Upper tail, from the tail itself so that small values survive."""
     if f <= 0:
         return 1.0
-    return 1 - betainc(d1 / 2.0, d2 / 2.0, d1 * f / (d1 * f + d2))
+    return betainc(d2 / 2.0, d1 / 2.0, d2 / (d1 * f + d2))
 
 
 _GL_X, _GL_W = np.polynomial.legendre.leggauss(48)
 
 
+_erfc = np.frompyfunc(math.erfc, 1, 1)
+
+
 def _phi_vec(x: np.ndarray) -> np.ndarray:
-    """Vectorised normal CDF (Abramowitz-Stegun 7.1.26 erf, |error| < 1.5e-7)."""
-    z = np.abs(x) / math.sqrt(2.0)
-    t = 1.0 / (1.0 + 0.3275911 * z)
-    y = 1.0 - (((((1.061405429 * t - 1.453152027) * t) + 1.421413741) * t - 0.284496736) * t
-               + 0.254829592) * t * np.exp(-z * z)
-    erf = np.sign(x) * y
-    return 0.5 * (1.0 + erf)
+    """Normal CDF by element, to machine precision."""
+    return 0.5 * _erfc(-np.asarray(x) / math.sqrt(2.0)).astype(float)
 
 
 def _nodes(a, b):
@@ -211,11 +206,11 @@ def ptukey(q: float, k: int, df: float) -> float:
     s = sqrt(chi2_df / df) (Gauss-Legendre on both levels)."""
     if q <= 0:
         return 0.0
-    if df > 5000:
-        return float(_range_cdf_inf_vec(np.array([q]), k)[0])
-    hi = 1 + 12 / math.sqrt(df)
+    # the density of s stands around 1 with a deviation of 1 / sqrt(2 df)
+    reach = 10 / math.sqrt(2 * df)
     ss, wts = [], []
-    for a, b in zip(np.linspace(1e-9, hi, 13)[:-1], np.linspace(1e-9, hi, 13)[1:]):
+    marks = np.linspace(max(1e-9, 1 - reach), 1 + reach, 5)
+    for a, b in zip(marks[:-1], marks[1:]):
         x, wt = _nodes(a, b)
         ss.append(x)
         wts.append(wt)

@@ -166,14 +166,18 @@ def corr_matrix(df: DataFrame, cols: Sequence[str], absolute: bool = True) -> Da
 def histogram(df: DataFrame, col: str, bins: int, lo: float | None = None,
               hi: float | None = None, density: bool = False) -> DataFrame:
     """Equal-width bins over [lo, hi] (default: the column's range), last
-    bin closed. -> bin, left, right, count[, density]."""
+    bin closed; empty bins count 0. -> bin, left, right, count[, density]."""
     src = df.filter(F.col(col).isNotNull())
     lo_c = F.lit(float(lo)) if lo is not None else src.agg(F.min(col).cast("double")).scalar()
     hi_c = F.lit(float(hi)) if hi is not None else src.agg(F.max(col).cast("double")).scalar()
     src = src.filter((F.col(col) >= lo_c) & (F.col(col) <= hi_c))
     width = (hi_c - lo_c) / bins
     b = F.least(F.floor((F.col(col) - lo_c) / width), F.lit(bins - 1)).cast("int")
-    out = (src.groupBy(b.alias("bin")).agg(F.count(F.lit(1)).alias("count"))
+    # one empty row per bin, so that bins without values are there too
+    every = df.sparkSession.range(bins).select(F.col("id").cast("int").alias("bin"),
+                                               F.lit(0).alias("one"))
+    out = (src.select(b.alias("bin"), F.lit(1).alias("one")).unionByName(every)
+              .groupBy("bin").agg(F.sum("one").alias("count"))
               .withColumn("left", lo_c + F.col("bin") * width)
               .withColumn("right", lo_c + (F.col("bin") + 1) * width))
     if density:

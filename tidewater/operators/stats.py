@@ -12,6 +12,7 @@ import math
 from collections.abc import Sequence
 
 import numpy as np
+import pandas as pd
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -42,12 +43,12 @@ def kruskal_statistic(df: DataFrame, key: str, col: str) -> DataFrame:
     per = src.groupBy(key, col).agg(F.count(F.lit(1)).alias("c"))
     sums = (per.join(ranks, col).groupBy(key)
                .agg(F.sum(F.col("c") * F.col("avg_rank")).alias("r"), F.sum("c").alias("ng")))
-    n = src.agg(F.count(F.lit(1))).scalar()
     ties = ranks.agg(F.sum(F.pow("cnt", 3) - F.col("cnt"))).scalar()
-    h_raw = F.sum(F.pow("r", 2) / F.col("ng")) * 12.0 / (n * (n + 1)) - 3 * (n + 1)
-    corr = 1 - ties / (F.pow(n, 3) - n)
-    return sums.agg((h_raw / corr).alias("h"), F.count(F.lit(1)).alias("k"),
-                    F.sum("ng").alias("n"))
+    total = sums.agg(F.sum(F.pow("r", 2) / F.col("ng")).alias("s"), F.count(F.lit(1)).alias("k"),
+                     F.sum("ng").alias("n"))
+    n = F.col("n")
+    h_raw = F.col("s") * 12.0 / (n * (n + 1)) - 3 * (n + 1)
+    return total.select((h_raw / (1 - ties / (F.pow(n, 3) - n))).alias("h"), "k", "n")
 
 
 def kruskal_wallis(df: DataFrame, key: str, col: str) -> DataFrame:
@@ -85,30 +86,36 @@ def anova_oneway(df: DataFrame, key: str, col: str) -> DataFrame:
 
 
 # --------------------------------------------------------------------- T4
-def tukey_pairs(df: DataFrame, key: str, col: str, max_groups: int = 2000) -> DataFrame:
+def tukey_pairs(df: DataFrame, key: str, col: str) -> DataFrame:
     """Tukey-Kramer: for each pair of groups the mean difference, the q
-    statistic and the adjusted p-value. The per-group moments (one row per
-    group) are the only input on the driver; pairs are formed there."""
-    g = [r.asDict() for r in group_moments(df, key, col).orderBy(key)
-         .limit(max_groups + 1).collect()]
-    if len(g) > max_groups:
-        raise ValueError(f"more than {max_groups} groups: pairwise comparisons are not meaningful")
-    k = len(g)
-    n = sum(x["n"] for x in g)
-    ssw = sum((x["var"] or 0.0) * (x["n"] - 1) for x in g)
-    dfw = n - k
-    mse = ssw / dfw
-    rows = []
-    for i in range(k):
-        for j in range(i + 1, k):
-            a, b = g[i], g[j]
-            diff = b["mean"] - a["mean"]
-            se = math.sqrt(mse / 2 * (1 / a["n"] + 1 / b["n"]))
-            q = abs(diff) / se
-            p = 1 - dist.ptukey(q, k, dfw)
-            rows.append((a[key], b[key], float(diff), float(q), float(max(p, 0.0))))
-    return df.sparkSession.createDataFrame(
-        rows, f"group_a string, group_b string, diff double, q double, p_adj double")
+    statistic and the adjusted p-value (to about 1e-12).
+
+    The result has a row per pair of groups by definition. Each group meets
+    the later ones of the list of all groups' moments, a scalar, and the
+    p-values are computed in Arrow batches of pairs.
+    """
+    g = group_moments(df, key, col).select(
+        F.col(key).cast("string").alias("g"), "n", "mean",
+        F.coalesce("var", F.lit(0.0)).alias("var"))
+    total = g.agg(F.struct(
+        F.count(F.lit(1)).alias("k"), (F.sum("n") - F.count(F.lit(1))).alias("dfw"),
+        F.sum(F.col("var") * (F.col("n") - 1)).alias("ssw"),
+        F.sort_array(F.collect_list(F.struct("g", "n", "mean"))).alias("all"))).scalar()
+    pairs = g.select("g", "n", "mean", total.alias("t")).select(
+        "*", F.explode("t.all").alias("o")).where(F.col("o.g") > F.col("g"))
+    mse = F.col("t.ssw") / F.col("t.dfw")
+    q = F.abs(F.col("o.mean") - F.col("mean")) / F.sqrt(
+        mse / 2 * (1 / F.col("n") + 1 / F.col("o.n")))
+
+    @F.pandas_udf("double")
+    def p_adjusted(q: pd.Series, k: pd.Series, dfw: pd.Series) -> pd.Series:
+        return pd.Series([max(0.0, 1.0 - dist.ptukey(*x)) for x in zip(q, k, dfw)], dtype=float)
+
+    return pairs.select(
+        F.col("g").alias("group_a"), F.col("o.g").alias("group_b"),
+        (F.col("o.mean") - F.col("mean")).alias("diff"), q.alias("q"), "t.k",
+        "t.dfw").select(
+        "group_a", "group_b", "diff", "q", p_adjusted("q", "k", "dfw").alias("p_adj"))
 
 
 # --------------------------------------------------------------------- T5
@@ -154,16 +161,54 @@ def gram(df: DataFrame, xs: Sequence[str], y: str, intercept: bool = True):
     return G, b, float(r["yy"] or 0.0), int(r["n"]), names, float(r["sy"] or 0.0)
 
 
-def _ols_from_gram(G, b, yy, n, sy):
-    beta = np.linalg.solve(G, b)
-    rss = float(yy - 2 * beta @ b + beta @ G @ beta)
-    p = len(beta)
-    dof = n - p
-    sigma2 = rss / dof if dof > 0 else float("nan")
-    cov = sigma2 * np.linalg.inv(G)
-    se = np.sqrt(np.clip(np.diag(cov), 0, None))
-    tss = yy - sy * sy / n
-    return beta, se, rss, dof, tss
+def centred(df: DataFrame, xs: Sequence[str], y: str, intercept: bool = True):
+    """Sums of products about the means, over complete rows.
+
+    One aggregate for the means, a second one for the products of centred
+    columns: sums of large raw squares would swallow the spread. Without an
+    intercept nothing is centred. -> (S, b, yy, n, means of x, mean of y).
+    """
+    xs = list(xs)
+    src = df.select(*xs, y).na.drop().select(*[
+        F.col(c).cast("double").alias(f"x{i}") for i, c in enumerate([*xs, y])])
+    d = len(xs)
+    cols = [F.col(f"x{i}") for i in range(d + 1)]
+    if intercept:
+        mean = src.agg(F.struct(*[F.avg(c).alias(f"m{i}") for i, c in enumerate(cols)])).scalar()
+        cols = [c - mean[f"m{i}"] for i, c in enumerate(cols)]
+    else:
+        mean = F.struct(*[F.lit(0.0).alias(f"m{i}") for i in range(d + 1)])
+    r = src.agg(F.count(F.lit(1)).alias("n"), *[
+        F.sum(cols[i] * cols[j]).alias(f"s{i}_{j}") for i in range(d + 1) for j in range(i, d + 1)],
+        *[F.first(mean[f"m{i}"]).alias(f"m{i}") for i in range(d + 1)]).first().asDict()
+    full = np.zeros((d + 1, d + 1))
+    for i in range(d + 1):
+        for j in range(i, d + 1):
+            full[i, j] = full[j, i] = r[f"s{i}_{j}"] or 0.0
+    means = np.array([r[f"m{i}"] or 0.0 for i in range(d + 1)])
+    return full[:d, :d], full[:d, d], float(full[d, d]), int(r["n"]), means[:d], float(means[d])
+
+
+#: A column whose spread the columns before it explain up to this share is collinear.
+COLLINEAR = 1e-10
+
+
+def independent(S: np.ndarray) -> list[int]:
+    """Columns that are no combination of earlier ones (R drops the others too)."""
+    kept: list[int] = []
+    for j in range(len(S)):
+        rest = S[j, j]
+        if kept and rest > 0:
+            rest -= S[j, kept] @ np.linalg.solve(S[np.ix_(kept, kept)], S[kept, j])
+        if rest > COLLINEAR * S[j, j]:
+            kept.append(j)
+    return kept
+
+
+def solved(S, b, yy, kept):
+    """Slopes of the kept columns and the residual sum of squares."""
+    beta = np.linalg.solve(S[np.ix_(kept, kept)], b[kept]) if kept else np.zeros(0)
+    return beta, max(0.0, float(yy - beta @ b[kept]))
 
 
 # --------------------------------------------------------------------- T6, T10
@@ -172,30 +217,49 @@ def ols(df: DataFrame, y: str, xs: Sequence[str], level: float = 0.95,
     """Linear model summary (R ``lm`` + ``confint``): coefficient table
     (estimate, std error, t, p, interval) and model table (n, p, RSS,
     sigma, R squared, adjusted R squared, AIC). Rows with nulls are
-    dropped, as R does."""
-    G, b, yy, n, names, sy = gram(df, xs, y, intercept)
-    beta, se, rss, dof, tss = _ols_from_gram(G, b, yy, n, sy)
-    tq = dist.t_ppf(0.5 + level / 2, dof)
+    dropped, and terms collinear with earlier ones get nulls, as in R;
+    without an intercept R squared is about zero."""
+    S, b, yy, n, x_mean, y_mean = centred(df, xs, y, intercept)
+    kept = independent(S)
+    beta, rss = solved(S, b, yy, kept)
+    k = len(kept) + (1 if intercept else 0)
+    dof = n - k
+    sigma2 = rss / dof if dof > 0 else math.nan
+    inverse = np.linalg.inv(S[np.ix_(kept, kept)]) if kept else np.zeros((0, 0))
+    found = {j: (float(e), math.sqrt(sigma2 * v) if sigma2 >= 0 else math.nan)
+             for j, e, v in zip(kept, beta, np.diag(inverse))}
+    estimates = [(x, *found.get(j, (None, None))) for j, x in enumerate(xs)]
+    if intercept:
+        at = x_mean[kept]
+        spread = sigma2 * (1 / n + at @ inverse @ at) if n else math.nan
+        estimates.insert(0, ("(Intercept)", float(y_mean - beta @ at),
+                             math.sqrt(spread) if spread >= 0 else math.nan))
+    tq = dist.t_ppf(0.5 + level / 2, dof) if dof > 0 else math.nan
     rows = []
-    for name, est, s in zip(names, beta, se):
-        t = est / s if s > 0 else float("nan")
-        p = dist.t_sf2(t, dof) if s > 0 else float("nan")
-        rows.append((name, float(est), float(s), float(t), float(p), float(est - tq * s),
-                     float(est + tq * s)))
+    for name, est, se in estimates:
+        if est is None:  # collinear with the terms before it
+            rows.append((name, None, None, None, None, None, None))
+            continue
+        t = est / se if se > 0 else math.nan
+        p = dist.t_sf2(t, dof) if se > 0 else math.nan
+        rows.append((name, est, se, t, p, est - tq * se, est + tq * se))
     spark = df.sparkSession
     coef = spark.createDataFrame(rows, "term string, estimate double, std_error double, "
                                        "t_value double, p_value double, lo double, hi double")
-    r2 = 1 - rss / tss if tss > 0 else float("nan")
-    k = len(beta)
-    adj = 1 - (1 - r2) * (n - (1 if intercept else 0)) / dof if dof > 0 else float("nan")
-    aic = n * math.log(rss / n) + 2 * k
+    r2 = 1 - rss / yy if yy > 0 else math.nan
+    adj = 1 - (1 - r2) * (n - (1 if intercept else 0)) / dof if dof > 0 else math.nan
     model = spark.createDataFrame(
-        [(n, k, float(rss), float(math.sqrt(rss / dof)) if dof > 0 else None, float(r2),
-          float(adj), float(aic))],
+        [(n, k, rss, math.sqrt(sigma2) if dof > 0 else None, float(r2), float(adj),
+          _aic(rss, n, k))],
         "n long, p int, rss double, sigma double, r2 double, adj_r2 double, aic double")
     return coef, model
 
 
+def _aic(rss: float, n: int, k: int) -> float:
+    """n ln(RSS / n) + 2 k; minus infinity for a perfect fit."""
+    return n * math.log(rss / n) + 2 * k if rss > 0 else -math.inf
+
+
 def conf_int(coef: DataFrame) -> DataFrame:
     """The interval columns of the coefficient table."""
     return coef.select("term", "lo", "hi")
@@ -208,6 +272,8 @@ def predict_expr(coef_rows: Sequence[tuple[str, float]],
     override = override or {}
     expr = F.lit(0.0)
     for term, est in coef_rows:
+        if est is None:  # a collinear term
+            continue
         x = override.get(term, F.col(term))
         expr = expr + (F.lit(est) if term == "(Intercept)" else x * F.lit(est))
     return expr
@@ -215,11 +281,15 @@ def predict_expr(coef_rows: Sequence[tuple[str, float]],
 
 # --------------------------------------------------------------------- T7
 def least_squares_weights(df: DataFrame, xs: Sequence[str], y: str) -> DataFrame:
-    """(X'X)^-1 X'y with a column of ones, from the Gram matrix."""
-    G, b, yy, n, names, sy = gram(df, xs, y, True)
-    w = np.linalg.solve(G, b)
-    return df.sparkSession.createDataFrame([(nm, float(v)) for nm, v in zip(names, w)],
-                                           "term string, weight double")
+    """Least-squares weights with a column of ones, from sums about the
+    means; a collinear column weighs null."""
+    S, b, yy, n, x_mean, y_mean = centred(df, xs, y)
+    kept = independent(S)
+    beta, _ = solved(S, b, yy, kept)
+    slope = dict(zip(kept, map(float, beta)))
+    rows = [("(Intercept)", float(y_mean - beta @ x_mean[kept]))]
+    rows += [(x, slope.get(j)) for j, x in enumerate(xs)]
+    return df.sparkSession.createDataFrame(rows, "term string, weight double")
 
 
 # --------------------------------------------------------------------- T8
@@ -257,27 +327,24 @@ def gradient_descent(df: DataFrame, xs: Sequence[str], y: str, w0: Sequence[floa
 # --------------------------------------------------------------------- T9
 def step_aic(df: DataFrame, y: str, xs: Sequence[str]) -> DataFrame:
     """Backward selection by AIC = n ln(RSS/n) + 2p, every candidate model
-    solved from sub-blocks of one Gram matrix (one Spark pass)."""
-    G, b, yy, n, names, sy = gram(df, xs, y, True)
-    def aic(idx):
-        Gi = G[np.ix_(idx, idx)]
-        bi = b[idx]
-        beta = np.linalg.solve(Gi, bi)
-        rss = yy - 2 * beta @ bi + beta @ Gi @ beta
-        return n * math.log(rss / n) + 2 * len(idx)
-    keep = list(range(len(names)))
-    cur = aic(keep)
-    steps = [(0, "<none>", float(cur), ",".join(names[i] for i in keep[1:]))]
-    step = 0
-    while len(keep) > 1:
-        cands = [(aic([k for k in keep if k != j]), j) for j in keep[1:]]
-        best, j = min(cands)
-        if best >= cur:
+    solved from sub-blocks of one matrix of centred products; collinear
+    terms are left out from the start."""
+    S, b, yy, n, _, _ = centred(df, xs, y)
+
+    def aic(terms):
+        return _aic(solved(S, b, yy, terms)[1], n, len(terms) + 1)
+
+    def named(terms):
+        return ",".join(xs[j] for j in terms)
+
+    keep = independent(S)
+    steps = [(0, "<none>", aic(keep), named(keep))]
+    while keep:
+        best, gone = min((aic([k for k in keep if k != j]), j) for j in keep)
+        if best >= steps[-1][2]:
             break
-        step += 1
-        keep.remove(j)
-        cur = best
-        steps.append((step, names[j], float(cur), ",".join(names[i] for i in keep[1:])))
+        keep.remove(gone)
+        steps.append((len(steps), xs[gone], best, named(keep)))
     return df.sparkSession.createDataFrame(steps, "step int, dropped string, aic double, terms string")
 
 

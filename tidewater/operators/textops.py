@@ -26,9 +26,9 @@ def remove_stopwords(tokens: Column | str, language: str = "english",
                      words: Sequence[str] | None = None) -> Column:
     """Drop listed words and keep order and duplicates (``array_except``
     would deduplicate)."""
-    stop = F.array(*[F.lit(w) for w in (words if words is not None else stopwords(language))])
+    stop = list(words if words is not None else stopwords(language))
     tok = F.col(tokens) if isinstance(tokens, str) else tokens
-    return F.filter(tok, lambda t: ~F.array_contains(stop, t))
+    return F.filter(tok, lambda t: ~t.isin(stop))  # a hash set, not a scan of the list
 
 
 # S19
@@ -127,23 +127,25 @@ def ngram_terms(df: DataFrame, text_col: str, ns: Sequence[int] = (2, 3),
 
 
 def document_frequency(df: DataFrame, terms: str, min_df: int = 3, max_df: float = 0.95,
-                       smooth_sklearn: bool = False, doc_id: str = "doc_id") -> DataFrame:
+                       smooth_sklearn: bool = False) -> DataFrame:
     """Per term: documents containing it, total count, idf; filtered by
     ``min_df`` documents and ``max_df`` share. idf = ln((n+1)/(df+1)),
     +1 with ``smooth_sklearn`` (sklearn's smoothed idf).
 
-    One pass over the terms: (term, doc) counts, then per term the number
-    of documents and the sum of counts. ``n`` is the row count of ``df``
-    (a scalar subquery that reads no text).
+    A row is a document. It contributes its distinct terms to ``df`` and
+    all its terms to ``total`` in one aggregate by term, combined before
+    the only exchange; no text and no documents are shuffled. ``n`` is the
+    row count of ``df`` (a scalar subquery that reads no text).
     """
     n = df.agg(F.count(F.lit(1))).scalar()
-    # documents are hash-partitioned by id before the explode: the (term,
-    # doc) aggregate is then satisfied in place and only its result (one
-    # row per distinct term and document) is shuffled by term
-    per_doc = (df.repartition(doc_id).select(doc_id, F.explode(terms).alias("term"))
-                 .groupBy("term", doc_id).agg(F.count(F.lit(1)).alias("c")))
-    out = (per_doc.groupBy("term").agg(F.count(F.lit(1)).alias("df"), F.sum("c").alias("total"))
-                  .filter((F.col("df") >= min_df) & (F.col("df") <= F.lit(max_df) * n))
+    # exploded in two steps that keep nulls: an inner explode would make
+    # Spark evaluate the whole text chain once more in a filter above the scan
+    sides = F.array(F.struct(F.lit(1).alias("d"), F.array_distinct(terms).alias("ts")),
+                    F.struct(F.lit(0).alias("d"), F.col(terms).alias("ts")))
+    each = (df.select(F.inline_outer(sides)).select("d", F.explode_outer("ts").alias("term"))
+              .where(F.col("term").isNotNull()))
+    out = (each.groupBy("term").agg(F.sum("d").alias("df"), F.sum(1 - F.col("d")).alias("total"))
+               .filter((F.col("df") >= min_df) & (F.col("df") <= F.lit(max_df) * n))
                   .withColumn("idf", F.log((n + 1) / (F.col("df") + 1))
                               + (1.0 if smooth_sklearn else 0.0)))
     return out
@@ -152,14 +154,18 @@ def document_frequency(df: DataFrame, terms: str, min_df: int = 3, max_df: float
 def fit_tfidf(train: DataFrame, terms: str, vocab_size: int = 3000, min_df: int = 3,
               max_df: float = 0.95):
     """CountVectorizer (top ``vocab_size`` terms by corpus count after the
-    df limits) -> IDF -> L2 normaliser, fitted on train only."""
-    from pyspark.ml import Pipeline
-    from pyspark.ml.feature import IDF, CountVectorizer, Normalizer
+    df limits), weights 1 + ln((n + 1) / (df + 1)), L2 normaliser, fitted on
+    train only."""
+    from pyspark.ml import PipelineModel
+    from pyspark.ml.feature import IDF, CountVectorizer, ElementwiseProduct, Normalizer
+    from pyspark.ml.linalg import Vectors
     cv = CountVectorizer(inputCol=terms, outputCol="__tf", vocabSize=vocab_size,
-                         minDF=float(min_df), maxDF=float(max_df))
-    idf = IDF(inputCol="__tf", outputCol="__tfidf")
+                         minDF=float(min_df), maxDF=float(max_df)).fit(train)
+    idf = IDF(inputCol="__tf", outputCol="__idf").fit(cv.transform(train)).idf.toArray()
+    weight = ElementwiseProduct(inputCol="__tf", outputCol="__tfidf",
+                                scalingVec=Vectors.dense(idf + 1.0))
     norm = Normalizer(inputCol="__tfidf", outputCol="features", p=2.0)
-    return Pipeline(stages=[cv, idf, norm]).fit(train)
+    return PipelineModel(stages=[cv, weight, norm])
 
 
 def tfidf_ngrams(train: DataFrame, test: DataFrame, text_col: str, **kw):
@@ -181,10 +187,19 @@ def dictionary(df: DataFrame, tokens: str) -> DataFrame:
 
 def doc2bow(df: DataFrame, doc_id: str, tokens: str, vocab: DataFrame | None = None
             ) -> DataFrame:
-    """Long-form bag of words ``(doc_id, term[, id], count)``. Documents are
-    hash-partitioned by id first (moving text, not exploded tokens), so the
-    per-document counts need no shuffle of tokens."""
-    bow = (df.repartition(doc_id).select(doc_id, F.explode(tokens).alias("term"))
-             .filter(F.col("term") != "")
-             .groupBy(doc_id, "term").agg(F.count(F.lit(1)).alias("count")))
+    """Long-form bag of words ``(doc_id, term[, id], count)``; a row is a
+    document. Tokens are counted inside the row, so nothing is shuffled
+    unless ``vocab`` is joined."""
+    def counted(ts):
+        # in order, equal tokens stand together: counts are the steps between their starts
+        starts = F.filter(F.sequence(F.lit(0), F.size(ts)), lambda i: (i == F.size(ts)) | (
+            i == 0) | (F.get(ts, i) != F.get(ts, i - 1)))
+        return F.get(F.transform(F.array(starts), lambda at: F.transform(
+            F.slice(at, 1, F.size(at) - 1), lambda i, k: F.struct(
+                F.get(ts, i).alias("term"),
+                (F.get(at, k + 1) - i).cast("long").alias("count")))), F.lit(0))
+
+    ordered = F.sort_array(F.filter(F.col(tokens), lambda t: t != ""))
+    pairs = F.get(F.transform(F.array(ordered), counted), F.lit(0))
+    bow = df.select(doc_id, F.inline_outer(pairs)).where(F.col("term").isNotNull())
     return bow.join(vocab, "term") if vocab is not None else bow

@@ -54,7 +54,8 @@ def _listing_schema():
 def q_src4(spark, d):
     path = _scratch(spark, "csv")
     sk.write_csv(views.listings(spark, d), path, sep=";", null_value="\\N")
-    return rd.read_csv(spark, path, sep=";", schema=_listing_schema(), null_value="\\N")
+    return rd.read_csv(spark, path, sep=";", schema=_listing_schema(), null_value="\\N",
+                       multi_line=True)  # quoted fields hold newlines
 
 
 @register("SRC5_read_keyed_values", sql="""

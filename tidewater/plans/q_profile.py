@@ -150,11 +150,13 @@ def q_a15(spark, d):
 @register("A16_histogram", sql="""
     WITH e AS (SELECT min(price) AS lo, max(price) AS hi, count(price) AS n FROM listings),
     b AS (SELECT CAST(least(floor((price - lo) / ((hi - lo) / 10)), 9) AS INTEGER) AS bin
-          FROM listings, e WHERE price IS NOT NULL)
-    SELECT bin, count(*) AS count, round(lo + bin * (hi - lo) / 10, 6) AS "left",
+          FROM listings, e WHERE price IS NOT NULL),
+    c AS (SELECT CAST(r.range AS INTEGER) AS bin, count(b.bin) AS count
+          FROM range(10) r LEFT JOIN b ON b.bin = r.range GROUP BY 1)
+    SELECT bin, count, round(lo + bin * (hi - lo) / 10, 6) AS "left",
            round(lo + (bin + 1) * (hi - lo) / 10, 6) AS "right",
-           round(count(*) / (n * (hi - lo) / 10), 6) AS density
-    FROM b, e GROUP BY bin, lo, hi, n""")
+           round(count / (n * (hi - lo) / 10), 6) AS density
+    FROM c, e""")
 def q_a16(spark, d):
     h = pf.histogram(L(spark, d), "price", 10, density=True)
     return h.select("bin", "count", *r6("left", "right", "density"))

@@ -59,16 +59,17 @@ def read_jdbc(spark: SparkSession, url: str, table: str, props: dict | None = No
 
 # SRC4
 def read_csv(spark: SparkSession, path: str, sep: str = ";", schema: T.StructType | str | None = None,
-             header: bool = True, null_value: str | None = None) -> DataFrame:
-    """Headed CSV; ``multiLine`` because quoted fields hold newlines. An
-    empty field is null (pandas' NaN) unless ``null_value`` names the
-    null marker."""
-    r = spark.read.option("header", header).option("sep", sep).option("multiLine", True) \
-        .option("escape", '"')
+             header: bool = True, null_value: str | None = None, multi_line: bool = False,
+             infer_schema: bool = False) -> DataFrame:
+    """Headed CSV. An empty field is null (pandas' NaN) unless
+    ``null_value`` names the null marker. ``multi_line``, for quoted fields
+    that hold newlines, gives every file to one task; ``infer_schema``
+    reads the files twice. Without schema and inference columns are text."""
+    r = spark.read.option("header", header).option("sep", sep).option("escape", '"') \
+        .option("multiLine", multi_line).option("inferSchema", infer_schema and schema is None)
     if null_value is not None:
         r = r.option("nullValue", null_value)
-    r = r.schema(schema) if schema is not None else r.option("inferSchema", True)
-    return r.csv(path)
+    return (r.schema(schema) if schema is not None else r).csv(path)
 
 
 # SRC5

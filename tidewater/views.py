@@ -21,16 +21,13 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
 
 
 def spread(df: DataFrame) -> DataFrame:
-    """CPU-heavy text work on an input read in fewer splits than there are
-    cores (a few large row groups) gets one round-robin shuffle to use every
-    core; an input that already has enough splits (any large table) is
-    left as it is."""
-    try:
-        par = df.sparkSession.sparkContext.defaultParallelism
-        parts = df.rdd.getNumPartitions()
-    except Exception:  # e.g. a Spark Connect session: leave the input as it is
-        return df
-    return df.repartition(2 * par) if parts < par else df
+    """Deal text out to as many tasks as ``tidewater.text.partitions`` says.
+
+    Unset, as on a cluster, the input keeps the splits of its files. A
+    session sets it for tables of one row group, which no reader can split.
+    """
+    n = df.sparkSession.conf.get("tidewater.text.partitions", None)
+    return df.repartition(int(n)) if n else df
 
 
 def documents(spark: SparkSession, sf_dir: str) -> DataFrame:
