@@ -108,3 +108,14 @@ def test_components(spark, edges):
     want = {x: p for x, p in parent.items() if any(x in e and e[0] != e[1] for e in edges)}
     got = {r.id: r.comp for r in near_dups.components(df).collect()}
     assert got == want
+
+
+def test_far_copies_without_their_original(make_docs):
+    # copies of a text that is not there: some pairs reach the share, most come close
+    rows = variants(sentence(21, 90), 60, 600, 5)
+    rows += [(700 + k, t + f" tail{k % 4}") for k, (_, t) in enumerate(variants(
+        sentence(21, 90), 30, 0, 6))]
+    assert result(near_dups.groups(make_docs(rows))) == brute(rows)
+    from unittest import mock
+    with mock.patch.object(near_dups, "RARE", 2):
+        assert result(near_dups.groups(make_docs(rows))) == brute(rows)

@@ -12,7 +12,8 @@ its smallest id. In every bucket the members are first compared with one of
 them, the pivot: the one that shares most buckets with others, as the
 original of many near copies does. The links found give components; buckets
 that still hold several get a second pivot, and in the end members of one
-bucket that are in different components are compared with one another.
+bucket that are in different components are compared with one another,
+unless bounds on what they can share rule a link out.
 """
 
 from __future__ import annotations
@@ -39,6 +40,8 @@ PERCENT = 80
 CHUNK = 200_000
 #: Word hashes a worker remembers.
 REMEMBERED = 300_000
+#: A shingle is rare among the texts left over if so many of them have it at most.
+RARE = 20
 #: Id sets up to so many rows are broadcast to filter the texts; larger ones are joined.
 BROADCAST_IDS = 1_000_000
 
@@ -159,17 +162,40 @@ def signatures(docs: DataFrame, *, text: str = "text", bands: int = BANDS, rows:
     return docs.select("doc_id", text).mapInArrow(batches, schema)
 
 
+def texts_of(docs: DataFrame, ids: DataFrame, text: str) -> DataFrame:
+    """``doc_id, t`` of the documents named in ``ids``, as a table."""
+    ids = written(ids, "near-ids")
+    few = F.broadcast(ids) if ids.count() <= BROADCAST_IDS else ids
+    return written(docs.select("doc_id", F.col(text).alias("t")).join(few, "doc_id"),
+                   "near-texts")
+
+
+def shingle_rows(texts: DataFrame, size: int = WORDS) -> DataFrame:
+    """``doc_id, h``: one row per distinct shingle (64-bit hash) of each text."""
+    schema = T.StructType([texts.schema["doc_id"], T.StructField("h", T.LongType())])
+
+    def batches(it):
+        signer = Signer(1, 1, size)
+        for b in it:
+            for k, t in enumerate(b.column(1).to_pylist()):
+                if words := words_of(t):
+                    h = signer.shingles(words).view(np.int64)
+                    yield pa.RecordBatch.from_arrays(
+                        [b.column(0).take(pa.array(np.full(len(h), k))), pa.array(h)],
+                        names=["doc_id", "h"])
+
+    return texts.select("doc_id", "t").mapInArrow(batches, schema)
+
+
 def verified(pairs: DataFrame, docs: DataFrame, *, text: str = "text", size: int = WORDS,
              percent: int = PERCENT) -> DataFrame:
     """The pairs (``a, b``) with their shingle counts' ``inter`` and ``uni`` and ``linked``.
 
     Sets are built from the whole texts. Only texts of ids in ``pairs`` are moved.
     """
-    ids = written(pairs.select(F.explode(F.array("a", "b")).alias("doc_id")).distinct(),
-                  "near-ids")
-    few = F.broadcast(ids) if ids.count() <= BROADCAST_IDS else ids
-    texts = written(docs.select("doc_id", F.col(text).alias("t")).join(few, "doc_id"),
-                    "near-texts")
+    ids = pairs.select(F.col("a").alias("doc_id")).distinct().union(
+        pairs.select(F.col("b").alias("doc_id")).distinct()).distinct()
+    texts = texts_of(docs, ids, text)
     both = pairs.join(texts.withColumnsRenamed({"doc_id": "a", "t": "ta"}), "a").join(
         texts.withColumnsRenamed({"doc_id": "b", "t": "tb"}), "b")
     schema = T.StructType([T.StructField(c, pairs.schema[c].dataType) for c in ("a", "b")]
@@ -326,23 +352,63 @@ def _linked(docs: DataFrame, classes: DataFrame, text: str, size: int, percent:
     compare(with_pivot(rows, second).select("a", "b"))
 
     # what is left: members of one bucket in different components, neither of them a pivot
+    known = done.select(F.col("a").alias("rep"), F.col("b").alias("pivot"),
+                        (1 - F.col("inter") / F.col("uni")).alias("d"))
     rest = mixed(placed()).join(
         first.select("key", "pivot").unionByName(second.select("key", "pivot"))
         .withColumnRenamed("pivot", "rep"), ["key", "rep"], "left_anti")
-    rest = written(rest.join(first.select("key", "pivot"), "key").select(
-        "key", "pivot", "rep", "n", "comp"), "near-open")
-    one = rest.select("key", "pivot", F.col("rep").alias("a"), "n", F.col("comp").alias("ca"))
-    two = rest.select("key", F.col("rep").alias("b"), F.col("n").alias("pn"),
-                      F.col("comp").alias("cb"))
-    met = one.join(two, "key").where(
-        (F.col("a") > F.col("b")) & (F.col("ca") != F.col("cb"))
-        & (100 * F.least("n", "pn") >= percent * F.greatest("n", "pn")))
-    # the distance 1 - inter / uni is a metric: known distances to the pivot bound a pair's
-    known = done.select((1 - F.col("inter") / F.col("uni")).alias("d"), "a", "b")
-    for c in ("a", "b"):
-        met = met.join(known.select(F.col("a").alias(c), F.col("b").alias("pivot"),
-                                    F.col("d").alias("d" + c)), [c, "pivot"], "left")
-    bound = F.lit(1 - percent / 100 + 1e-9)
-    met = met.where(F.coalesce(F.abs(F.col("da") - F.col("db")) <= bound, F.lit(True)))
-    compare(met.select("a", "b").distinct())
+    rest = written(rest.join(first.select("key", "pivot"), "key").join(
+        known, ["rep", "pivot"], "left").select("key", "rep", "n", "comp", "d"), "near-open")
+    if rest.isEmpty():
+        return comps
+    for pairs in _left_over(rest, classes, docs, text, size, percent):
+        compare(pairs)
     return comps
+
+
+def _left_over(rest: DataFrame, classes: DataFrame, docs: DataFrame, text: str, size: int,
+               percent: int) -> list[DataFrame]:
+    """Pairs (``a, b``) of ``rest`` that may be linked, by bounds that no link breaks.
+
+    Shingles that few of these texts have are joined on themselves: they
+    give the pairs that share any, and how many. All other pairs can only
+    share common shingles, so the smaller number of these bounds what they
+    share. A pair of one bucket is met in its first common bucket only.
+    """
+    texts = texts_of(docs, rest.select(F.col("rep").alias("doc_id")).distinct(), text)
+    rows = written(shingle_rows(texts, size).distinct(), "near-shingles")
+    often = rows.groupBy("h").agg(F.count(F.lit(1)).alias("f")).where("f > 1")
+    met = written(rows.join(often, "h"), "near-met-shingles")
+    common = met.where(F.col("f") > RARE).groupBy("doc_id").agg(F.count(F.lit(1)).alias("c"))
+    facts = rest.groupBy("rep").agg(F.first("n").alias("n"), F.first("comp").alias("comp")).join(
+        common.withColumnRenamed("doc_id", "rep"), "rep", "left").join(
+        classes.select("rep", "keys"), "rep").select(
+        "rep", "n", "comp", F.coalesce("c", F.lit(0)).alias("c"), "keys")
+    facts = written(facts, "near-facts")
+
+    def named(df, x, *names):
+        return df.withColumnsRenamed({c: c + x for c in ("rep", *names)})
+
+    def possible(inter):
+        return 100 * inter >= percent * (F.col("n_a") + F.col("n_b") - inter)
+
+    rare = met.where(F.col("f") <= RARE).select("h", F.col("doc_id").alias("rep"))
+    sharing = named(rare, "_a").join(named(rare, "_b"), "h").where(
+        F.col("rep_a") > F.col("rep_b")).groupBy("rep_a", "rep_b").agg(
+        F.count(F.lit(1)).alias("t"))
+    by_rare = sharing.join(named(facts.drop("keys"), "_a", "n", "comp", "c"), "rep_a").join(
+        named(facts.drop("keys"), "_b", "n", "comp", "c"), "rep_b").where(
+        (F.col("comp_a") != F.col("comp_b"))
+        & possible(F.col("t") + F.least("c_a", "c_b")))
+
+    # texts whose common shingles alone could reach the share
+    able = rest.select("key", "rep", "d").join(facts, "rep").where(
+        100 * F.col("c") >= percent * F.col("n"))
+    names = ("n", "comp", "c", "keys", "d")
+    far = F.abs(F.col("d_a") - F.col("d_b")) > 1 - percent / 100 + 1e-9  # distances are a metric
+    by_bucket = named(able, "_a", *names).join(named(able, "_b", *names), "key").where(
+        (F.col("rep_a") > F.col("rep_b")) & (F.col("comp_a") != F.col("comp_b"))
+        & possible(F.least("c_a", "c_b")) & ~F.coalesce(far, F.lit(False))
+        & (F.array_min(F.array_intersect("keys_a", "keys_b")) == F.col("key")))
+    return [x.select(F.col("rep_a").alias("a"), F.col("rep_b").alias("b"))
+            for x in (by_rare, by_bucket)]
