@@ -61,6 +61,12 @@ def test_against_brute_force(make_docs, edge_rows):
                                                      "n_removed_chunks"]
 
 
+def test_same_through_shuffled_joins(make_docs, monkeypatch):
+    monkeypatch.setattr(L, "BROADCAST_ROWS", -1)
+    rows = [(k, block(300 + k, k) + "\n" + block(5, 20) if k else block(5, 20)) for k in range(6)]
+    assert result(L.dedup_lines(make_docs(rows))) == brute(rows)
+
+
 def test_shared_passage_is_cut_alike_wherever_it_stands(make_docs):
     passage = block(5, 40)
     rows = [(k, block(300 + k, k) + "\n" + passage if k else passage) for k in range(1, 12)]

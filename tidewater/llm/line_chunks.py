@@ -21,6 +21,9 @@ SPAN, FACTOR, MODULUS = 2, 31, 2147483647
 DIVISOR = 3
 #: Chunks of fewer lines, or fewer words, stay.
 MIN_LINES, MIN_WORDS = 2, 8
+#: Repeated chunks and removed spans up to so many (some 100 bytes each) are broadcast, so that
+#: no text is shuffled; more of them are joined by shuffles.
+BROADCAST_ROWS = 500_000
 
 
 def line_hash(line: Column) -> Column:
@@ -73,8 +76,9 @@ def repeated(docs: DataFrame, text: str = "text") -> DataFrame:
     copies = written(places.groupBy("h").agg(F.min(order).alias("first"),
                                              F.count(F.lit(1)).alias("copies")).where("copies > 1"),
                      "line-copies")
+    few = F.broadcast(copies) if copies.count() <= BROADCAST_ROWS else copies
     again = chunks(docs, text).withColumn(
-        "h", F.unhex(F.sha2(F.col("body").cast("binary"), 256))).join(copies, "h")
+        "h", F.unhex(F.sha2(F.col("body").cast("binary"), 256))).join(few, "h")
     again = written(again.select("h", "doc_id", "th", "at", "n", "body",
                                  order.eqNullSafe(F.col("first")).alias("is_first")),
                     "line-repeats")
@@ -97,6 +101,9 @@ def dedup_lines(docs: DataFrame, *, text: str = "text") -> DataFrame:
         F.sort_array(F.collect_list(F.struct("at", "n"))).alias("_gone")).select(
         F.col("doc_id").alias("_gone_id"), F.col("th").alias("_gone_th"), "_gone")
     gone = written(gone, "line-removals")
+    n_gone = gone.agg(F.coalesce(F.sum(F.size("_gone")), F.lit(0))).first()[0]
+    if n_gone <= BROADCAST_ROWS:
+        gone = F.broadcast(gone)
     joined = docs.join(gone, F.col("doc_id").eqNullSafe(F.col("_gone_id"))
                        & F.xxhash64(text).eqNullSafe(F.col("_gone_th")), "left")
     # lines between the removed spans, in order
