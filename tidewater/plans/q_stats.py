@@ -128,9 +128,24 @@ def q_t7(spark, d):
     return w.select("term", F.round("weight", 4).alias("weight"))
 
 
-@register("T7_least_squares_two_features")
+def two_slopes(table: str, x: str, z: str, y: str) -> str:
+    """SQL of one row (b0, b1, b2): least squares on two columns, from covariances."""
+    return f"""
+    SELECT my - b1 * mx - b2 * mz AS b0, b1, b2 FROM (
+      SELECT *, (p * b - q * c) / (a * b - c * c) AS b1, (q * a - p * c) / (a * b - c * c) AS b2
+      FROM (SELECT var_pop({x}) AS a, var_pop({z}) AS b, covar_pop({x}, {z}) AS c,
+                   covar_pop({x}, {y}) AS p, covar_pop({z}, {y}) AS q,
+                   avg({x}) AS mx, avg({z}) AS mz, avg({y}) AS my
+            FROM {table} WHERE {x} IS NOT NULL AND {z} IS NOT NULL AND {y} IS NOT NULL))"""
+
+
+@register("T7_least_squares_two_features", sql=f"""
+    WITH w AS ({two_slopes("houses", "x1", "x2", "y")})
+    SELECT '(Intercept)' AS term, round(b0, 4) AS weight FROM w
+    UNION ALL SELECT 'x1', round(b1, 4) FROM w UNION ALL SELECT 'x2', round(b2, 4) FROM w""")
 def q_t7b(spark, d):
-    return st.least_squares_weights(views.houses(spark, d), ["x1", "x2"], "y")
+    w = st.least_squares_weights(views.houses(spark, d), ["x1", "x2"], "y")
+    return w.select("term", F.round("weight", 4).alias("weight"))
 
 
 @register("T8_gradient_descent")
@@ -162,11 +177,17 @@ def _size_model(spark, d):
     return df, [(r["term"], r["estimate"]) for r in coef.collect()]
 
 
-@register("T12_predict_and_fill")
+@register("T12_predict_and_fill", sql=f"""
+    WITH w AS ({two_slopes("listings", "accommodates", "bedrooms", "square_feet")})
+    SELECT listing_id, square_feet, accommodates, bedrooms,
+           round(coalesce(square_feet, b0 + b1 * accommodates + b2 * bedrooms), 4)
+             AS square_feet_filled
+    FROM listings, w""")
 def q_t12(spark, d):
     df, rows = _size_model(spark, d)
-    return st.predict_and_fill(df.select("listing_id", "square_feet", "accommodates", "bedrooms"),
-                               "square_feet", rows, out="square_feet_filled")
+    filled = st.predict_and_fill(df.select("listing_id", "square_feet", "accommodates", "bedrooms"),
+                                 "square_feet", rows, out="square_feet_filled")
+    return filled.withColumn("square_feet_filled", F.round("square_feet_filled", 4))
 
 
 @register("T13_what_if")

@@ -16,6 +16,17 @@ from .registry import register
 CUTOFF = "2024-01-15 00:00:00"
 
 
+def closed_windows(key: str) -> str:
+    """SQL of the windows that a watermark of 30 seconds behind the last event has passed."""
+    return f"""
+    SELECT to_timestamp(floor(epoch("timestamp") / 300) * 300)::TIMESTAMP AS "timestamp",
+           {key} AS id, CAST(sum(bytes) AS BIGINT) AS value, '{key}_total_bytes' AS type
+    FROM telemetry
+    WHERE to_timestamp(floor(epoch("timestamp") / 300) * 300 + 300)::TIMESTAMP
+          <= (SELECT max("timestamp") FROM telemetry) - INTERVAL 30 SECOND
+    GROUP BY 1, 2"""
+
+
 @register("ST1_windowed_total_batch_form", sql="""
     SELECT to_timestamp(floor(epoch("timestamp") / 300) * 300)::TIMESTAMP AS "timestamp", app AS id,
            CAST(sum(bytes) AS BIGINT) AS value, 'app_total_bytes' AS type
@@ -44,7 +55,7 @@ def stage_raw_files(spark, d, root: str, files_by: str = "day"):
     return root
 
 
-@register("ST1_windowed_total_streamed")
+@register("ST1_windowed_total_streamed", sql=closed_windows("app"))
 def q_st1_stream(spark, d):
     """File stream of the payloads (availableNow) -> windows by app ->
     idempotent batch folders; the committed output is read back. Only
@@ -60,7 +71,10 @@ def q_st1_stream(spark, d):
     return spark.read.parquet(out).select(*tm.METRIC_COLS)
 
 
-@register("ST3_lambda_stream")
+@register("ST3_lambda_stream", sql=" UNION ALL ".join(
+    f"SELECT '{k}_total_bytes' AS type, count(*) AS rows FROM ({closed_windows(k)})"
+    for k in ("antenna_id", "id", "app"))
+    + " UNION ALL SELECT 'lake', count(*) FROM telemetry WHERE \"timestamp\" IS NOT NULL")
 def q_st3(spark, d):
     """Four queries from one parsed source; returns the row counts each
     sink committed (the lake is read back as a table)."""
@@ -99,7 +113,7 @@ def q_st4(spark, d):
     return st.speed_plus_batch(hourly, recent)
 
 
-@register("ST2_late_rows_dropped")
+@register("ST2_late_rows_dropped", sql=closed_windows("app"))
 def q_st2(spark, d):
     """The first day's payloads are delivered a second time after every
     other day: by then the watermark is far past them, so the replayed
