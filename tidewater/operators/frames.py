@@ -15,6 +15,8 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from ..session import measured
+
 NUMERIC_TYPES = (T.ByteType, T.ShortType, T.IntegerType, T.LongType, T.FloatType,
                  T.DoubleType, T.DecimalType)
 
@@ -156,13 +158,13 @@ def drop_rare(df: DataFrame, col: str, min_count: int) -> DataFrame:
     """F8: delete rows whose category has fewer than ``min_count`` rows.
 
     Counts come from a partial+final aggregate (a hot category costs one
-    row per map task), then a left-semi join keeps the frequent ones; the
-    kept-category table is small and AQE broadcasts it when it is.
+    row per map task), then a left-semi join with the counted table of
+    frequent categories keeps their rows.
     Null categories are kept out, as pandas ``value_counts`` does.
     """
     keep = (df.groupBy(col).count().filter(F.col("count") >= min_count)
               .select(col).filter(F.col(col).isNotNull()))
-    return df.join(keep, col, "left_semi")
+    return df.join(measured(keep), col, "left_semi")
 
 
 def null_fractions(df: DataFrame, cols: Sequence[str] | None = None) -> DataFrame:
@@ -237,7 +239,7 @@ def merge_on(left: DataFrame, right: DataFrame, key: str | Sequence[str]) -> Dat
 def drop_all_null_groups(df: DataFrame, key: str, col: str) -> DataFrame:
     """Remove groups whose ``col`` is null in every row."""
     empty = df.groupBy(key).agg(F.count(col).alias("__nn")).filter("__nn = 0").select(key)
-    return df.join(empty, key, "left_anti")
+    return df.join(measured(empty), key, "left_anti")
 
 
 def lookup(df: DataFrame, map_df: DataFrame, key: str, value: str,

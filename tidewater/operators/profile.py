@@ -15,6 +15,7 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from ..session import measured
 from .ranks import quantiles
 
 
@@ -197,6 +198,7 @@ def box_stats(df: DataFrame, col: str, by: str) -> DataFrame:
             .withColumn("fence_hi", F.col("q3") + 1.5 * F.col("iqr")))
     x = F.col(col)
     inside = (x >= F.col("fence_lo")) & (x <= F.col("fence_hi"))
+    qw = measured(qw)
     agg = src.join(qw.select(by, "fence_lo", "fence_hi"), by).groupBy(by).agg(
         F.min(F.when(inside, x)).alias("whisker_lo"), F.max(F.when(inside, x)).alias("whisker_hi"),
         F.count_if(~inside).alias("outliers"), F.count(F.lit(1)).alias("n"))

@@ -10,8 +10,10 @@ from __future__ import annotations
 import os
 import re
 import tempfile
+import uuid
 
-from pyspark.sql import SparkSession
+from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
 DEFAULTS = {
     "spark.sql.session.timeZone": "UTC",
@@ -77,6 +79,25 @@ def ensure_checkpoint_dir(spark: SparkSession) -> str:
     return sc.getCheckpointDir()
 
 
+#: Group tables up to so many rows are broadcast.
+SMALL_ROWS = 100_000
+
+
+def measured(groups: DataFrame) -> DataFrame:
+    """A table of groups that is joined back to its facts, written once and counted.
+
+    Spark takes an aggregate to be as large as its input and would shuffle
+    all facts by the group key before it knows better. Up to SMALL_ROWS rows
+    the written table is broadcast; beyond, its size is known to the planner,
+    which then chooses (and splits hot keys of) the join itself.
+    """
+    spark = groups.sparkSession
+    path = shared_dir(spark, f"groups-{uuid.uuid4().hex}")
+    groups.write.parquet(path)
+    table = spark.read.schema(groups.schema).parquet(path)
+    return F.broadcast(table) if table.count() <= SMALL_ROWS else table
+
+
 def shared_dir(spark: SparkSession, *parts: str) -> str:
     """A path under the shared checkpoint folder (for written tables and
     streaming checkpoints that must survive executor loss)."""
