@@ -14,6 +14,7 @@ def _c(x: ColumnOrName) -> Column:
 
 
 # S1 -------------------------------------------------------------------------
+# The wire format of telemetry messages.
 TELEMETRY_SCHEMA = StructType([
     StructField("timestamp", LongType(), False),
     StructField("id", StringType(), False),

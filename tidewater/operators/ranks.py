@@ -1,11 +1,11 @@
-"""Global order statistics without a single-partition window.
+"""Global order statistics without bringing the values into one partition.
 
 ``value_ranks`` turns a (possibly grouped) column into its distinct values
 with counts and the number of rows strictly below each value. Duplicates
 collapse first (partial aggregation), the distinct values are
 range-partitioned and sorted, each partition computes its running sum, and
 a table of per-partition totals (one row per partition and group) gives the
-offsets. Exact quantiles, average ranks (Kruskal-Wallis) and QQ points are
+offsets (the only rows that meet in one task). Exact quantiles, average ranks (Kruskal-Wallis) and QQ points are
 built on it; nothing is collected and no task sees more than its range.
 """
 

@@ -148,10 +148,13 @@ def q_t7b(spark, d):
     return w.select("term", F.round("weight", 4).alias("weight"))
 
 
+# Start weights of the worked example.
+START_WEIGHTS = [0.69646919, 0.28613933]
+
+
 @register("T8_gradient_descent")
 def q_t8(spark, d):
-    return st.gradient_descent(views.houses(spark, d), ["x1"], "y", [0.69646919, 0.28613933],
-                               2000, 0.01)
+    return st.gradient_descent(views.houses(spark, d), ["x1"], "y", START_WEIGHTS, 2000, 0.01)
 
 
 @register("T9_step_aic")

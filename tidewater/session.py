@@ -79,6 +79,14 @@ def ensure_checkpoint_dir(spark: SparkSession) -> str:
     return sc.getCheckpointDir()
 
 
+def written(df: DataFrame, tag: str) -> DataFrame:
+    """``df`` as a Parquet table under the shared folder: computed once for
+    several readers, and kept when executors are lost."""
+    path = shared_dir(df.sparkSession, f"{tag}-{uuid.uuid4().hex}")
+    df.write.parquet(path)
+    return df.sparkSession.read.schema(df.schema).parquet(path)
+
+
 #: Group tables up to so many rows are broadcast.
 SMALL_ROWS = 100_000
 
@@ -91,10 +99,7 @@ def measured(groups: DataFrame) -> DataFrame:
     the written table is broadcast; beyond, its size is known to the planner,
     which then chooses (and splits hot keys of) the join itself.
     """
-    spark = groups.sparkSession
-    path = shared_dir(spark, f"groups-{uuid.uuid4().hex}")
-    groups.write.parquet(path)
-    table = spark.read.schema(groups.schema).parquet(path)
+    table = written(groups, "groups")
     return F.broadcast(table) if table.count() <= SMALL_ROWS else table
 
 
