@@ -7,7 +7,7 @@ from test_near_dups import brute as near
 
 from tidewater.llm import sentence_pieces
 from tidewater.llm.common import written
-from tidewater.llm.queries import PIECES
+from tidewater.llm.queries import PIECES, op5_minhash
 
 
 def test_stages_on_the_small_table(spark):
@@ -49,3 +49,27 @@ def test_run_on_edge_rows(spark, make_docs, edge_rows, tmp_path):
     assert {i for i, _ in clean} - {105} <= set(got)
     assert not {1, 2, 3, 8, 7, 105, 200, 201} & set(got)
     assert got.count(6) == 1 and got.count(None) == 1
+
+
+def test_near_dedup_compares_five_words(spark, make_docs, tmp_path):
+    words = [f"w{k}" for k in range(100)]
+    far, close = list(words), list(words)
+    for k in (20, 50, 80):  # 93 of 105 pairs of words, 81 of 111 runs of five
+        far[k] = f"new{k}"
+    close[50] = "other"  # 91 of 101 runs of five
+    rows = [(1, " ".join(words)), (2, " ".join(far)), (3, " ".join(close))]
+
+    def runs(text, n):
+        w = text.split()
+        return {tuple(w[k:k + n]) for k in range(len(w) - n + 1)}
+
+    def kept(n):
+        linked = {i for i, t in rows for j, u in rows if j < i
+                  and len(runs(t, n) & runs(u, n)) >= .8 * len(runs(t, n) | runs(u, n))}
+        return {i for i, _ in rows} - linked
+
+    assert (kept(2), kept(5)) == ({1}, {1, 2})
+    docs = make_docs(rows)
+    assert {r.doc_id for r in C.dedup_documents(spark, docs, SMALL).collect()} == kept(5)
+    docs.write.parquet(str(tmp_path / "documents.parquet"))
+    assert {r.doc_id for r in op5_minhash(spark, str(tmp_path)).collect() if r.kept} == kept(2)

@@ -33,7 +33,8 @@ from .common import bounded_batches, written
 PLACES, SEED = 1 << 20, 20
 #: 40 bands of 6: of pairs with similarity 0.8 all but 6 in a million share a band.
 BANDS, ROWS = 40, 6
-WORDS = 2
+#: Words of a shingle, unless a query's contract names another number.
+WORDS = 5
 #: Percent of the union that the intersection must reach.
 PERCENT = 80
 #: Shingles handled at once by the numpy passes of a task.

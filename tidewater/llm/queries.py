@@ -74,7 +74,8 @@ def op4_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def op5_minhash(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return near_dups.groups(table(spark, sf_dir, "documents"))
+    # two words are this query's contract
+    return near_dups.groups(table(spark, sf_dir, "documents"), size=2)
 
 
 def op6_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
