@@ -1,5 +1,6 @@
 """Invariants of splits, samples and models."""
 
+import inspect
 import os
 import tempfile
 
@@ -67,3 +68,21 @@ def test_low_rank_sse_equals_dropped_sigma2(spark):
     v = views.vectors(spark, SF_SMALL)
     rec, sse, ratio, dropped = mx.low_rank(v, "embedding", 5, "vec_id")
     assert abs(sse.first()["sse"] - dropped) / dropped < 1e-6
+
+
+def test_depth_query_runs_the_whole_grid(spark, monkeypatch):
+    from tidewater.plans import q_models as q
+    bound = inspect.signature(md.tune_depth)
+    seen = {}
+
+    def record(*args, **kwargs):
+        call = bound.bind(*args, **kwargs)
+        call.apply_defaults()
+        seen.update(call.arguments)
+        return None, None
+
+    monkeypatch.setattr(q.md, "tune_depth", record)
+    monkeypatch.setattr(q, "listing_split", lambda spark, d: (None, None))
+    q.q_l2(spark, SF_SMALL)
+    assert list(seen["depths"]) == list(range(1, 15))
+    assert (seen["folds"], seen["num_trees"]) == (10, 200)
