@@ -3,9 +3,13 @@
 import pytest
 from pyspark.sql import functions as F
 
+from conftest import SF_SMALL
+from tidewater import views
 from tidewater.functions import text as tx
 from tidewater.functions.stemmer import stem
+from tidewater.operators import frames as fr
 from tidewater.operators import textops as to
+from tidewater.plans import q_text
 
 
 def test_clean_text_chain(spark):
@@ -49,3 +53,15 @@ def test_dictionary_dense_ids(spark):
     df = spark.createDataFrame([(["b", "a", "c", "a"],), (["d", "b"],)], "t array<string>")
     got = sorted((r.term, r.id) for r in to.dictionary(df, "t").collect())
     assert got == [("a", 0), ("b", 1), ("c", 2), ("d", 3)]
+
+
+def test_text_chain_queries_take_unlabelled_documents(spark):
+    texts = views.documents(spark, SF_SMALL).where(tx.clean_text("text") != "").select("doc_id")
+    want = {r.doc_id for r in texts.collect()}
+    labelled = {r.doc_id for r in views.table(spark, SF_SMALL, "labels").collect()}
+    assert want - labelled
+    for query in (q_text.q_s20, q_text.q_s20b):
+        assert {r.doc_id for r in query(spark, SF_SMALL).select("doc_id").collect()} == want
+    test = fr.train_test_split(texts, 0.2, 42, "doc_id")[1]
+    assert {r.doc_id for r in q_text.q_fe8b(spark, SF_SMALL).select("doc_id").collect()} == {
+        r.doc_id for r in test.collect()}

@@ -75,15 +75,13 @@ def q_s19(spark, d):
 
 @register("S20_text_transformations")
 def q_s20(spark, d):
-    r = views.reviews(spark, d)
-    return to.text_transformations(r, "review_text").select("doc_id", "text_clean",
-                                                            "standardized_text")
+    return to.text_transformations(docs(spark, d), "text").select(
+        "doc_id", "text_clean", "standardized_text")
 
 
 @register("S20_text_transformations_keep_stopwords")
 def q_s20b(spark, d):
-    r = views.reviews(spark, d)
-    return to.text_transformations(r, "review_text", stop=False).select(
+    return to.text_transformations(docs(spark, d), "text", stop=False).select(
         "doc_id", "standardized_text")
 
 
@@ -159,7 +157,7 @@ def q_fe8(spark, d):
 @register("FE8_tfidf_vectors")
 def q_fe8b(spark, d):
     from ..operators.frames import train_test_split
-    r = to.text_transformations(views.reviews(spark, d), "review_text")
+    r = to.text_transformations(docs(spark, d), "text")
     train, test = train_test_split(r, 0.2, 42, "doc_id")
     _, tr, te = to.tfidf_ngrams(train, test, "standardized_text")
     return te.select("doc_id", "features")
