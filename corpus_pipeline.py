@@ -41,16 +41,23 @@ def dedup_lines(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 
 def dedup_documents(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """The document with the smallest id of every group of near duplicates."""
-    judged = near_dups.groups(docs).groupBy("doc_id").agg(F.max("kept").alias("kept"))
-    kept = filters.drop_ids(docs, judged.where(~F.col("kept")).select("doc_id"), "near-dropped")
-    return filters.one_row_per_id(kept, "near-twice")
+    """The document with the smallest id of every group of near duplicates.
+
+    Texts that share an id are judged apart. Rows with a null id stay, as
+    they are linked with nothing.
+    """
+    key = F.when(F.col("doc_id").isNotNull(),
+                 F.struct("doc_id", filters.text_hash().alias("th")))
+    judged = near_dups.groups(docs.select(key.alias("doc_id"), "text"))
+    gone = judged.where(~F.col("kept")).select("doc_id.doc_id", "doc_id.th")
+    return filters.one_row_per_text(filters.drop_texts(docs, gone, "near-dropped"), "near-twice")
 
 
 def decontaminate_documents(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents in which no window of a benchmark item occurs."""
     found = decontaminate.contamination(docs, table(spark, sf_dir, "benchmark"))
-    return filters.drop_ids(docs, found.where("n_hit > 0").select("doc_id"), "leaks-dropped")
+    return filters.drop_texts(docs, found.where("n_hit > 0").select("doc_id", "th"),
+                              "leaks-dropped")
 
 
 def encode(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:

@@ -73,3 +73,19 @@ def test_near_dedup_compares_five_words(spark, make_docs, tmp_path):
     assert {r.doc_id for r in C.dedup_documents(spark, docs, SMALL).collect()} == kept(5)
     docs.write.parquet(str(tmp_path / "documents.parquet"))
     assert {r.doc_id for r in op5_minhash(spark, str(tmp_path)).collect() if r.kept} == kept(2)
+
+
+def test_stages_judge_texts_not_ids(spark, make_docs, tmp_path):
+    leak, other, near = sentence(31, 60), sentence(32, 60), sentence(33, 60)
+    spark.createDataFrame([(1, leak)], "item_id long, text string").write.parquet(
+        str(tmp_path / "benchmark.parquet"))
+    docs = make_docs([(None, leak), (None, other), (5, leak), (5, other), (None, None)])
+    got = C.decontaminate_documents(spark, docs, str(tmp_path)).collect()
+    assert sorted((str(r.doc_id), str(r.text)) for r in got) == sorted(
+        [("None", other), ("5", other), ("None", "None")])
+    docs = make_docs([(1, near), (2, near + " tail"), (2, other), (2, other), (3, leak),
+                      (3, sentence(34, 60)), (None, near), (None, near), (4, None), (4, "")])
+    got = C.dedup_documents(spark, docs, SMALL).collect()
+    assert sorted((str(r.doc_id), str(r.text)) for r in got) == sorted(
+        [("1", near), ("2", other), ("3", leak), ("3", sentence(34, 60)), ("None", near),
+         ("None", near), ("4", "None"), ("4", "")])

@@ -59,7 +59,7 @@ def contamination(docs: DataFrame, items: DataFrame, *, window: int = WINDOW,
                   shingle: int = SHINGLE) -> DataFrame:
     """Where windows of ``items`` (``item_id, text``) occur in ``docs`` (``doc_id, text``).
 
-    One row per row of ``docs``: ``doc_id``, ``n_words``, ``n_hit`` (words
+    One row per row of ``docs``: ``doc_id``, ``th`` (text hash), ``n_words``, ``n_hit`` (words
     inside any occurrence of a window), ``spans`` (start and end of every
     occurrence, in words, sorted), ``item_ids`` (items with occurring
     windows, as strings, sorted). A window is ``window`` consecutive words of
@@ -110,7 +110,7 @@ def contamination(docs: DataFrame, items: DataFrame, *, window: int = WINDOW,
             (a["n"] + F.greatest(F.lit(0), s["end"] - F.greatest(a["reach"], s["start"]))).alias("n"),
             F.greatest(a["reach"], s["end"]).alias("reach")))
     return joined.select(
-        "doc_id", "n_words", F.coalesce(reach["n"], F.lit(0).cast("long")).alias("n_hit"),
+        "doc_id", "th", "n_words", F.coalesce(reach["n"], F.lit(0).cast("long")).alias("n_hit"),
         F.coalesce("spans", F.array().cast("array<struct<start:int,end:int>>")).alias("spans"),
         F.coalesce("item_ids", F.array().cast("array<string>")).alias("item_ids"))
 

@@ -2,12 +2,12 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from .common import written
 
-#: Id sets up to so many rows are broadcast against the texts; larger ones are joined.
+#: Sets of up to so many rows are broadcast against the texts; larger ones are joined.
 BROADCAST_IDS = 1_000_000
 
 
@@ -20,27 +20,35 @@ def masked(docs: DataFrame, *apart: str) -> tuple[DataFrame, dict[str, str]]:
     return docs.withColumnsRenamed(names), names
 
 
-def drop_ids(docs: DataFrame, ids: DataFrame, tag: str) -> DataFrame:
-    """``docs`` without the documents named in ``ids`` (one column, ``doc_id``).
+def text_hash(text: str = "text") -> Column:
+    """Tells rows that carry one id apart."""
+    return F.xxhash64(text)
 
-    Documents with a null id stay: nothing can name them.
+
+def drop_texts(docs: DataFrame, gone: DataFrame, tag: str) -> DataFrame:
+    """``docs`` without the texts named in ``gone`` (``doc_id``, ``th``: their hash).
+
+    A null id is an id like others.
     """
-    gone = written(ids.where(F.col("doc_id").isNotNull()).distinct().select(
-        F.col("doc_id").alias("_gone")), tag)
+    gone = written(gone.select(F.col("doc_id").alias("_gone"), F.col("th").alias("_gone_th"))
+                   .distinct(), tag)
     if gone.count() <= BROADCAST_IDS:
         gone = F.broadcast(gone)
-    return docs.join(gone, F.col("doc_id") == F.col("_gone"), "left_anti")
+    return docs.join(gone, F.col("doc_id").eqNullSafe(F.col("_gone"))
+                     & (text_hash() == F.col("_gone_th")), "left_anti")
 
 
-def one_row_per_id(docs: DataFrame, tag: str) -> DataFrame:
-    """``docs`` with one row for every id that several rows carry.
+def one_row_per_text(docs: DataFrame, tag: str) -> DataFrame:
+    """``docs`` with one row for every id and text that several rows carry.
 
     Only those rows are shuffled. Rows with a null id all stay.
     """
-    twice = written(docs.where(F.col("doc_id").isNotNull()).groupBy("doc_id").count().where(
-        "count > 1").select(F.col("doc_id").alias("_twice")), tag)
+    twice = written(docs.where(F.col("doc_id").isNotNull()).groupBy(
+        "doc_id", text_hash().alias("th")).count().where("count > 1").select(
+        F.col("doc_id").alias("_twice"), F.col("th").alias("_twice_th")), tag)
     if twice.isEmpty():
         return docs
-    again = docs.join(twice, F.col("doc_id") == F.col("_twice"), "left_semi")
-    return docs.join(twice, F.col("doc_id") == F.col("_twice"), "left_anti").unionByName(
-        again.dropDuplicates(["doc_id"]))
+    same = (F.col("doc_id") == F.col("_twice")) & (text_hash() == F.col("_twice_th"))
+    again = docs.join(twice, same, "left_semi")
+    return docs.join(twice, same, "left_anti").unionByName(
+        again.dropDuplicates(["doc_id", "text"]))
