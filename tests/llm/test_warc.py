@@ -93,3 +93,16 @@ def test_unchunk(body, payload):
 def test_empty_table(spark, folder):
     W.write_archives(pages(spark, ROWS).limit(0), folder)
     assert W.read_pages(spark, folder).count() == 0
+
+
+@pytest.mark.parametrize("segment, chunk", [(W.SEGMENT_BYTES, W.CHUNK_BYTES), (300, 7), (64, 1000)])
+def test_version_completed_by_a_line_end(spark, folder, segment, chunk):
+    rows = [(1, "http://a", "WARC/1.1"), (2, "http://a", sentence(5, 200) + " WARC/1.1"),
+            (3, "http://a/WARC/1.1", "short"), (4, "WARC/1.1", LONG), (5, "http://b/WARC/1.1", LONG)]
+    W.write_archives(pages(spark, rows), folder, segment_bytes=segment, chunk_bytes=chunk)
+    got = {r.page_id: r for r in W.read_pages(spark, folder).collect()}
+    assert set(got) == {str(i) for i, _, _ in rows}
+    for i, u, h in rows:
+        r = got[str(i)]
+        assert r.complete and r.url.replace("%31", "1") == u
+        assert r.record_type == "revisit" if i == 5 else bytes(r.payload) == h.encode()

@@ -64,8 +64,14 @@ def cuts(data: bytes, size: int, apart: bytes | None = None) -> list[bytes]:
 
 
 def chunked(payload: bytes, size: int = CHUNK_BYTES) -> bytes:
-    """Chunked transfer coding of a payload; the version line stands in no chunk."""
-    parts = [b"%x\r\n%s\r\n" % (len(c), c) for c in cuts(payload, size, VERSION.encode())]
+    """Chunked transfer coding of a payload; no version line stands in it.
+
+    A last chunk that ends like one is cut in two, as the chunk's line end would complete it.
+    """
+    pieces = cuts(payload, size, VERSION.encode())
+    if pieces and pieces[-1].endswith(VERSION.rstrip().encode()):
+        pieces[-1:] = [pieces[-1][:-1], pieces[-1][-1:]]
+    parts = [b"%x\r\n%s\r\n" % (len(c), c) for c in pieces]
     return b"".join(parts) + b"0\r\n\r\n"
 
 
@@ -98,8 +104,11 @@ def record_id(page_id, digest: str) -> str:
 
 
 def clean_uri(url: str | None) -> str | None:
-    return None if url is None else "".join(
-        f"%{ord(c):02X}" if c <= " " else c for c in url)
+    """``url`` as a field: no space or control character, and no version at its end."""
+    if url is None:
+        return None
+    clean = "".join(f"%{ord(c):02X}" if c <= " " else c for c in url)
+    return f"{clean[:-1]}%{ord(clean[-1]):02X}" if clean.endswith(VERSION.rstrip()) else clean
 
 
 def page_records(page_id, url, payload: bytes, digest: str, first, is_revisit: bool,
