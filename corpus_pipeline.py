@@ -63,7 +63,7 @@ def decontaminate_documents(spark: SparkSession, docs: DataFrame, sf_dir: str) -
 def encode(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Ids of every text, with digests of the ids and of the text they decode to."""
     return sentence_pieces.encode_texts(docs, PIECES, keep=("doc_id", "lang", "source"),
-                                        with_text=False)
+                                        with_text=False, check_with_library=True)
 
 
 STAGES = [

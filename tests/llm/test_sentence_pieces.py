@@ -56,3 +56,13 @@ def test_other_models_are_refused(tmp_path):
     (tmp_path / "m").write_bytes(model.SerializeToString())
     with pytest.raises(ValueError):
         S.MergeVocabulary(str(tmp_path / "m"))
+
+
+def test_query_and_stage_check_with_the_library(spark, monkeypatch):
+    import corpus_pipeline as C
+    from tidewater.llm import queries as Q
+    seen = []
+    monkeypatch.setattr(S, "encode_texts", lambda *a, **k: seen.append(k["check_with_library"]))
+    Q.op9_sentence_pieces(spark, SMALL)
+    C.encode(spark, None, SMALL)
+    assert seen == [True, True]

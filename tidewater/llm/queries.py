@@ -107,7 +107,7 @@ def op8_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def op9_sentence_pieces(spark: SparkSession, sf_dir: str) -> DataFrame:
     return sentence_pieces.encode_texts(table(spark, sf_dir, "documents"), PIECES, with_ids=False,
-                                        with_text=False)
+                                        with_text=False, check_with_library=True)
 
 
 def op10_line_chunks(spark: SparkSession, sf_dir: str) -> DataFrame:
