@@ -6,7 +6,7 @@ import tempfile
 
 from pyspark.sql import functions as F
 
-from conftest import SF_SMALL
+from core_helpers import SF_SMALL
 from tidewater import views
 from tidewater.operators import frames as fr
 from tidewater.operators import models as md

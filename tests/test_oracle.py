@@ -9,7 +9,7 @@ import duckdb
 import pytest
 
 import __spark_entry__ as E
-from conftest import SF_SMALL
+from core_helpers import SF_SMALL
 from tidewater.views import TABLES
 
 SQLS = E.oracle_sql()

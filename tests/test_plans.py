@@ -4,7 +4,7 @@ nested-loop joins, and the scan-level optimisations the design relies on."""
 import pytest
 
 import __spark_entry__ as E
-from conftest import SF_SMALL
+from core_helpers import SF_SMALL
 
 SKIP_BUILD = {"ST1_windowed_total_streamed", "ST3_lambda_stream"}  # run streams when built
 NAMES = sorted(n for n in E.queries() if not n.startswith("L") and n not in SKIP_BUILD)

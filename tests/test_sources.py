@@ -6,7 +6,7 @@ import tempfile
 
 from pyspark.sql import functions as F
 
-from conftest import SF_SMALL
+from core_helpers import SF_SMALL
 from tidewater import views
 from tidewater.sources import readers as rd
 from tidewater.sources import sinks as sk

@@ -3,7 +3,7 @@
 import pytest
 from pyspark.sql import functions as F
 
-from conftest import SF_SMALL
+from core_helpers import SF_SMALL
 from tidewater import views
 from tidewater.functions import text as tx
 from tidewater.functions.stemmer import stem
