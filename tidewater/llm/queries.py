@@ -17,6 +17,8 @@ from pyspark.sql import functions as F
 
 from ..session import ensure_checkpoint_dir
 from . import (
+    centroids,
+    collocations,
     decontaminate,
     language_id,
     licences,
@@ -25,6 +27,7 @@ from . import (
     quality_rules,
     quality_trees,
     sentence_pieces,
+    sharding,
     toxicity,
     warc,
 )
@@ -116,6 +119,23 @@ def op10_line_chunks(spark: SparkSession, sf_dir: str) -> DataFrame:
         F.sha2(F.col("text").cast("binary"), 256).alias("text_sha256"))
 
 
+def op11_collocations(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return collocations.mine(table(spark, sf_dir, "documents"))
+
+
+def op12_centroids(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return centroids.clustered(table(spark, sf_dir, "embeddings"))
+
+
+def op13_interleaved(spark: SparkSession, sf_dir: str) -> DataFrame:
+    placed = sharding.interleaved(table(spark, sf_dir, "documents"), shards=40)
+    return placed.select(
+        "doc_id", (F.coalesce(F.octet_length("text"), F.lit(0)) + 16).cast("long").alias("size"),
+        F.coalesce(F.crc32(F.col("text").cast("binary")), F.lit(0)).cast("long").alias(
+            "text_crc32"),
+        F.lit("rows").alias("law"), "shard", "slot", F.lit(None).cast("int").alias("grown_shard"))
+
+
 def load_all() -> dict[str, tuple[Callable, str | None]]:
     return {
         "op1_licences": (op1_licences, None),
@@ -128,4 +148,7 @@ def load_all() -> dict[str, tuple[Callable, str | None]]:
         "op8_toxicity": (op8_toxicity, None),
         "op9_sentence_pieces": (op9_sentence_pieces, None),
         "op10_line_chunks": (op10_line_chunks, line_chunks.ORACLE_SQL),
+        "op11_collocations": (op11_collocations, collocations.ORACLE_SQL),
+        "op12_centroids": (op12_centroids, centroids.ORACLE_SQL),
+        "op13_interleaved": (op13_interleaved, sharding.ORACLE_SQL),
     }
