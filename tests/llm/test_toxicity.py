@@ -1,3 +1,6 @@
+import math
+from collections import Counter
+
 import numpy as np
 from corpus_helpers import SMALL, sentence
 from pyspark.sql import functions as F
@@ -33,6 +36,75 @@ def test_search_is_exact():
             assert rows.tolist() == want and np.allclose(value, cosine[want])
 
 
+def test_many_queries_at_once_give_the_same():
+    rnd = np.random.default_rng(8)
+    index = X.BlockMaxIndex(random_vectors(300, rnd))
+    queries = random_vectors(50, rnd)
+    for (at, cosine), q in zip(index.search_all(queries, 9), queries):
+        one = index.search(*q, 9)
+        assert at.tolist() == one[0].tolist() and np.allclose(cosine, one[1])
+
+
+def brute(examples, texts, k):
+    """Score and evidence of every text from all cosines; ``examples``: (id, text, label)."""
+    bags = [(i, Counter(X.terms_of(t)), y) for i, t, y in
+            sorted(examples, key=lambda e: (e[0], sorted(set(X.terms_of(e[1])))))]
+    n_1 = sum(y for _, _, y in bags)
+    n, n_0 = len(bags), len(bags) - n_1
+    has = {1: Counter(), 0: Counter()}
+    for _, c, y in bags:
+        has[y].update(c.keys())
+
+    def weight(t):
+        a, b = has[1][t], has[0][t]
+        if not a + b:
+            return X.FLOOR * math.log1p(n)
+        contrast = abs(math.log((a + X.SMOOTHING * n_1 / n) / n_1)
+                       - math.log((b + X.SMOOTHING * n_0 / n) / n_0))
+        return math.log1p(n / (a + b)) * (X.FLOOR + contrast)
+
+    def unit(c):
+        v = {t: (1 + math.log(m)) * weight(t) for t, m in c.items()}
+        norm = math.sqrt(sum(w * w for w in v.values()))
+        return {t: w / norm for t, w in v.items()}
+
+    units = [unit(c) for _, c, _ in bags]
+
+    def near(v, out=None):
+        cosines = [(-round(sum(w * u.get(t, 0.0) for t, w in v.items()), 9), r)
+                   for r, u in enumerate(units) if r != out]
+        return [(r, -c) for c, r in sorted(cosines) if c < 0][:k]
+
+    def vote(found):
+        return sum(c * bags[r][2] for r, c in found) / sum(c for _, c in found)
+
+    curve = [(vote(f), bags[r][2]) for r, v in enumerate(units) if (f := near(v, r))]
+    knots, value = X.isotonic(np.array([x for x, _ in curve]), np.array([y for _, y in curve], float))
+    out = []
+    for t in texts:
+        found = near(unit(Counter(X.terms_of(t))))
+        p = float(np.interp(vote(found), knots, value)) if found else (n_1 + .5) / (n + 1)
+        out.append((p, [(bags[r][0], c, bags[r][2]) for r, c in found]))
+    return out
+
+
+def test_fit_and_score_match_brute_force(spark):
+    docs = spark.read.parquet(f"{SMALL}/documents.parquet").select("doc_id", "text")
+    labels = spark.read.parquet(f"{SMALL}/labels.parquet")
+    rows = {r.doc_id: r.text for r in docs.collect()}
+    known = [(r.doc_id, rows[r.doc_id], r.toxic) for r in labels.collect()]
+    model = X.fit(docs, labels, F.lit(True))
+    assert sorted(model.ids.tolist()) == sorted(i for i, _, _ in known)
+    got = {r.doc_id: r for r in X.score(docs, model).collect()}
+    ids = sorted(rows)
+    for i, (p, evidence) in zip(ids, brute(known, [rows[i] for i in ids], X.NEIGHBOURS)):
+        assert abs(got[i].score - p) < 1e-6
+        assert np.allclose([e.cosine for e in got[i].evidence], [c for _, c, _ in evidence])
+        assert [(e.doc_id, e.label) for e in got[i].evidence] == [(j, y) for j, _, y in evidence]
+        words = set(X.terms_of(rows[i]))
+        assert bool(evidence) == any(words & set(X.terms_of(t)) for _, t, _ in known)
+
+
 def test_isotonic_curve_rises_and_pools():
     x = np.array([0.1, 0.2, 0.2, 0.3, 0.4])
     knots, value = X.isotonic(x, np.array([0, 1, 0, 0, 1.0]))

@@ -1,14 +1,21 @@
 """Toxicity scores from the nearest labelled examples.
 
-An example is a vector of TF-IDF weights over the terms that tell the two
-labels apart (chi-square over document counts); a term is a word or a word
-beginning. The examples are searched for the largest cosines through an
-inverted index that keeps, for each term and block of examples, the largest
-weight: the sum of these bounds every cosine in the block, blocks are
-visited by falling bound, and the search ends when no bound reaches the
-k-th best. The search is exact. Neighbours vote with the square of their
-cosine, and an isotonic curve fitted to leave-one-out votes turns votes
-into probabilities.
+Every text is the unit vector of the TF-IDF weights of all its words, and the
+examples with the largest cosines to it are its neighbours. A word's weight is
+(1 + log tf) idf contrast; idf comes from document counts among the examples, and the
+contrast grows with the difference between the word's rates in the two labels
+(the absolute logarithm of their smoothed ratio). A floor keeps words that both labels
+use alike in the vector.
+
+The search is exact and runs on an inverted index with block maxima. Examples are
+stored in blocks. A rare word has a list of postings; a common one has a column of
+weights and, per block, the largest of them. The rare words' products are added up from
+their postings, the common words' are bounded per block by the block maxima; blocks are
+opened by falling bound, and those whose bound stays below the k-th best cosine are not
+opened at all.
+
+Neighbours vote with their cosine as weight, and an isotonic curve fitted to
+leave-one-out votes turns votes into probabilities.
 """
 
 from __future__ import annotations
@@ -27,112 +34,116 @@ from pyspark.sql import types as T
 from .common import bounded_batches, labelled_sample
 
 WORD = re.compile(r"[^\W\d_]+")
-#: Letters of a word beginning, marked by an asterisk.
-STEM = 5
-#: Bounds of the model: labelled examples and selected terms.
-MAX_EXAMPLES, MAX_TERMS = 12_000, 4_000
-#: A term is selected above this chi-square, if at least so many examples have it.
-MIN_CHI2, MIN_EXAMPLES = 25.0, 3
+#: Labelled examples of the model, chosen by id hash (in expectation).
+MAX_EXAMPLES = 3_000
+#: Least contrast of a word, and examples that its rates are smoothed by.
+FLOOR, SMOOTHING = 0.02, 10.0
 NEIGHBOURS = 15
 BLOCK = 64
-#: Vectors whose neighbours a worker remembers.
-REMEMBERED = 50_000
+#: A word is common if more than one in so many examples has it.
+COMMON = 16
 
 
 def terms_of(text: str | None) -> list[str]:
-    """Words in lower case and, after the words, the beginnings of longer ones."""
-    words = WORD.findall((text or "").lower())
-    return words + [w[:STEM] + "*" for w in words if len(w) > STEM]
-
-
-def chi_square(has_1, has_0, n_1, n_0):
-    """Of the table term x label, from example counts."""
-    miss_1, miss_0 = n_1 - has_1, n_0 - has_0
-    n, has, miss = n_1 + n_0, has_1 + has_0, n_1 + n_0 - has_1 - has_0
-    below = np.maximum(has * miss * float(n_1) * float(n_0), 1e-12)
-    return n * (has_1 * miss_0 - has_0 * miss_1) ** 2 / below
-
-
-def expand(starts: np.ndarray, ends: np.ndarray) -> np.ndarray:
-    """All positions of the ranges, one range after the other."""
-    sizes = ends - starts
-    before = np.cumsum(sizes) - sizes
-    return np.repeat(starts - before, sizes) + np.arange(sizes.sum())
+    """Words in lower case."""
+    return WORD.findall((text or "").lower())
 
 
 class BlockMaxIndex:
-    """Sparse unit vectors in blocks, with postings and block maxima per term.
-
-    ``vectors``: (rising term ids, weights) per example. Examples are stored
-    in order of their heaviest term, so that a block holds similar vectors
-    and its bounds are tight; results name examples by their given position.
-    A segment is a term's postings in one block. A term has a range of
-    segments, a segment a block, its largest weight and a range of postings,
-    a posting a row and a weight.
+    """Sparse unit vectors in blocks: postings of rare terms, block maxima of common ones.
+
+    ``vectors``: (rising term ids, weights) per example, weights not negative.
+    Examples are stored in order of their heaviest term, so that a block holds
+    similar vectors and its bounds are tight; results name examples by their given
+    position.
     """
 
     def __init__(self, vectors):
         heaviest = [int(t[np.argmax(w)]) if len(t) else -1 for t, w in vectors]
         self.order = np.array(sorted(range(len(vectors)), key=lambda k: (heaviest[k], k)), np.int64)
-        self.n_blocks = -(-len(vectors) // BLOCK)
+        self.n, self.place = len(vectors), {int(x): row for row, x in enumerate(self.order)}
+        self.n_blocks = -(-self.n // BLOCK)
         sorted_vectors = [vectors[k] for k in self.order]
-        rows = np.repeat(np.arange(len(vectors)), [len(t) for t, _ in sorted_vectors])
+        rows = np.repeat(np.arange(self.n), [len(t) for t, _ in sorted_vectors])
         terms = np.concatenate([t for t, _ in sorted_vectors] or [np.empty(0, np.int64)])
         weights = np.concatenate([w for _, w in sorted_vectors] or [np.empty(0)])
-        by_term = np.argsort(terms, kind="stable")  # rows rise within a term
-        terms, self.rows, self.weights = terms[by_term], rows[by_term], weights[by_term]
-        block = self.rows // BLOCK
-        first = np.flatnonzero(np.r_[True, (terms[1:] != terms[:-1]) | (block[1:] != block[:-1])]) \
-            if len(terms) else np.empty(0, np.int64)
-        self.cut = np.append(first, len(terms))
-        self.block = block[first]
-        self.largest = np.maximum.reduceat(self.weights, first) if len(first) else self.weights
         n_terms = int(terms.max()) + 1 if len(terms) else 0
-        self.term_cut = np.searchsorted(terms[first], np.arange(n_terms + 1))
+        often = np.flatnonzero(np.bincount(terms, minlength=n_terms) * COMMON > self.n)
+        #: column of a common term, -1 for a rare one
+        self.column = np.full(n_terms, -1)
+        self.column[often] = np.arange(len(often))
+        common = self.column[terms] >= 0 if n_terms else np.empty(0, bool)
+        self.dense = np.zeros((self.n_blocks * BLOCK, len(often)))
+        self.dense[rows[common], self.column[terms[common]]] = weights[common]
+        self.largest = self.dense.reshape(self.n_blocks, BLOCK, len(often)).max(
+            1, initial=0.0)
+        terms, rows, weights = terms[~common], rows[~common], weights[~common]
+        by_term = np.argsort(terms, kind="stable")
+        self.rows, self.weights = rows[by_term], weights[by_term]
+        self.cut = np.searchsorted(terms[by_term], np.arange(n_terms + 1))
 
     def search(self, terms: np.ndarray, weights: np.ndarray, k: int, leave_out: int = -1):
         """Positions and cosines of the k nearest with a positive cosine.
 
-        Falling cosine, then rising position among equals. The blocks of the
-        largest bounds give a k-th best cosine; then only blocks whose bound
-        reaches it are scored.
+        Falling cosine, then rising position among equals.
         """
-        none = np.empty(0, np.int64), np.empty(0)
-        there = terms < len(self.term_cut) - 1
-        terms, weights = terms[there], weights[there]
-        starts, ends = self.term_cut[terms], self.term_cut[terms + 1]
-        segments = expand(starts, ends)
-        if k < 1 or not len(segments):
-            return none
-        by_segment = np.repeat(weights, ends - starts)
-        bound = np.bincount(self.block[segments], by_segment * self.largest[segments],
-                            self.n_blocks)
+        return self.search_all([(terms, weights)], k, [leave_out])[0]
+
+    def search_all(self, queries, k: int, leave_out=None) -> list:
+        """``search`` of several vectors; a block is opened for all that need it at once."""
+        width = self.n_blocks * BLOCK
+        if k < 1 or not width:
+            return [(np.empty(0, np.int64), np.empty(0)) for _ in queries]
+        q = np.zeros((len(queries), self.dense.shape[1]))
+        score = np.zeros((len(queries), width))
+        for i, (terms, weights) in enumerate(queries):
+            there = terms < len(self.column)
+            terms, weights = terms[there], weights[there]
+            columns = self.column[terms]
+            rare = columns < 0
+            q[i, columns[~rare]] = weights[~rare]
+            starts, ends = self.cut[terms[rare]], self.cut[terms[rare] + 1]
+            postings = expand(starts, ends)
+            score[i] = np.bincount(self.rows[postings], np.repeat(weights[rare], ends - starts)
+                                   * self.weights[postings], width)
+        bound = score.reshape(len(queries), self.n_blocks, BLOCK).max(2) + q @ self.largest.T
+        whole = np.zeros((len(queries), width))
+
+        def open_blocks(wanted):
+            for b in np.flatnonzero(wanted.any(0)):
+                rows, at = slice(b * BLOCK, (b + 1) * BLOCK), np.flatnonzero(wanted[:, b])
+                whole[at, rows] = np.round(score[at, rows] + q[at] @ self.dense[rows].T, 9)
+            return wanted
+
         opened = min(self.n_blocks, 1 + k // BLOCK)
-        top = np.argpartition(-bound, opened - 1)[:opened]
-
-        def scored(blocks):
-            of = np.zeros(self.n_blocks, bool)
-            of[blocks] = True
-            chosen = of[self.block[segments]]
-            a, b = self.cut[segments[chosen]], self.cut[segments[chosen] + 1]
-            postings = expand(a, b)
-            score = np.bincount(self.rows[postings], np.repeat(by_segment[chosen], b - a)
-                                * self.weights[postings], self.n_blocks * BLOCK)
-            hit = np.flatnonzero(score > 0)
-            at = self.order[hit]
-            keep = at != leave_out
-            return at[keep], np.round(score[hit][keep], 9)  # equal vectors tie
-
-        at, cosine = scored(top)
-        least = np.sort(cosine)[-k] if len(cosine) >= k else 0.0
-        more = bound >= least - 1e-8
-        more[top] = False
-        more &= bound > 0
-        if more.any():
-            others, values = scored(np.flatnonzero(more))
-            at, cosine = np.concatenate([at, others]), np.concatenate([cosine, values])
-        best = np.lexsort((at, -cosine))[:k]
-        return at[best], cosine[best]
+        first = np.zeros(bound.shape, bool)
+        np.put_along_axis(first, np.argpartition(-bound, opened - 1, 1)[:, :opened], True, 1)
+        open_blocks(first)
+        # the example left out does not count towards the k-th best
+        out = [self.place.get(x, -1) for x in leave_out or []]
+        for i, row in enumerate(out):
+            if row >= 0:
+                whole[i, row] = 0.0
+        least = np.partition(whole, width - k, 1)[:, width - k] if k <= width else np.zeros(
+            len(queries))
+        open_blocks((bound >= least[:, None] - 1e-8) & (bound > 0) & ~first)
+        found = []
+        for i, values in enumerate(whole):
+            if i < len(out) and out[i] >= 0:
+                values[out[i]] = 0.0
+            edge = np.partition(values, width - k)[width - k] if k <= width else 0.0
+            rows = np.flatnonzero((values >= edge) & (values > 0))  # ties included
+            at = self.order[rows]
+            best = np.lexsort((at, -values[rows]))[:k]
+            found.append((at[best], values[rows][best]))
+        return found
+
+
+def expand(starts: np.ndarray, ends: np.ndarray) -> np.ndarray:
+    """All positions of the ranges, one range after the other."""
+    sizes = ends - starts
+    before = np.cumsum(sizes) - sizes
+    return np.repeat(starts - before, sizes) + np.arange(sizes.sum())
 
 
 def isotonic(x, y):
@@ -154,137 +165,108 @@ def isotonic(x, y):
 
 @dataclass
 class ToxicityModel:
-    """Terms with idf, labelled examples, their index, and the curve of votes."""
+    """Words with their weights, labelled examples, their index, and the curve of votes.
+
+    A word that no example has weighs ``unseen``: it lengthens a text's vector.
+    """
     terms: dict
-    idf: np.ndarray
+    weight: np.ndarray
+    unseen: float
     ids: np.ndarray
     labels: np.ndarray
-    vectors: list
     base_rate: float
     neighbours: int = NEIGHBOURS
     curve: tuple | None = None
     index: BlockMaxIndex | None = None
-    remembered: dict | None = None
 
-    def counts(self, text: str | None) -> tuple:
-        """Selected terms of a text with their counts, by term id."""
+    def vector(self, text: str | None) -> tuple[np.ndarray, np.ndarray]:
+        """Rising ids and weights of the words that examples have; the whole text has length 1."""
+        return self.unit(Counter(terms_of(text)))
+
+    def unit(self, counts: dict) -> tuple[np.ndarray, np.ndarray]:
         look = self.terms.get
-        words = WORD.findall((text or "").lower())
-        found = [t for w in words if (t := look(w)) is not None]
-        found += [t for w in words if len(w) > STEM and (t := look(w[:STEM] + "*")) is not None]
-        return tuple(sorted(Counter(found).items()))
-
-    def vector(self, counts) -> tuple[np.ndarray, np.ndarray]:
-        """Unit TF-IDF vector of term counts."""
-        t = np.array([t for t, _ in counts], np.int64)
-        w = (1 + np.log(np.array([n for _, n in counts], float))) * self.idf[t]
+        t = np.array([look(w, -1) for w in counts], np.int64)
+        n = 1 + np.log(np.fromiter(counts.values(), float, len(counts)))
+        w = n * np.where(t >= 0, self.weight[t], self.unseen) if len(self.weight) else n
         norm = np.sqrt((w * w).sum())
-        return t, w / norm if norm > 0 else w
+        known = t >= 0
+        t, w = t[known], w[known] / (norm if norm > 0 else 1.0)
+        order = np.argsort(t)
+        return t[order], w[order]
 
     def vote(self, rows, cosines) -> float:
-        weight = cosines ** 2
-        return float((weight * self.labels[rows]).sum() / weight.sum())
+        return float((cosines * self.labels[rows]).sum() / cosines.sum())
 
-    def neighbours_of(self, counts, leave_out: int = -1):
-        return self.index.search(*self.vector(counts), self.neighbours, leave_out)
-
-    def calibrate(self) -> None:
+    def calibrate(self, vectors) -> None:
         """Fit the curve to the votes that each example gets from the others."""
         votes, labels = [], []
-        for k, counts in enumerate(self.vectors):
-            rows, cosines = self.neighbours_of(counts, leave_out=k)
-            if len(rows):
-                votes.append(self.vote(rows, cosines))
-                labels.append(self.labels[k])
+        for at in range(0, len(vectors), BLOCK):
+            part = range(at, min(at + BLOCK, len(vectors)))
+            for k, near in zip(part, self.index.search_all([vectors[k] for k in part],
+                                                           self.neighbours, list(part))):
+                if len(near[0]):
+                    votes.append(self.vote(*near))
+                    labels.append(self.labels[k])
         if votes:
             self.curve = isotonic(np.array(votes), np.array(labels, float))
 
-    def score(self, text: str | None):
-        """Probability of the label and evidence [(id, cosine, label)] of one text.
+    def score(self, texts: list) -> list:
+        """Probability of the label, and positions and cosines of the neighbours, of every text."""
+        found = []
+        for at in range(0, len(texts), BLOCK):
+            part = texts[at:at + BLOCK]
+            near = [(np.empty(0, np.int64), np.empty(0))] * len(part) if self.curve is None else \
+                self.index.search_all([self.vector(t) for t in part], self.neighbours)
+            found += [(float(np.interp(self.vote(*n), *self.curve)) if len(n[0])
+                       else self.base_rate, *n) for n in near]
+        return found
 
-        Without a neighbour it is the rate among the examples without a
-        selected term, and there is no evidence.
-        """
-        counts = self.counts(text)
-        if not counts or self.curve is None:
-            return self.base_rate, []
-        known = self.remembered.get(counts)
-        if known is None:
-            rows, cosines = self.neighbours_of(counts)
-            if len(rows):
-                p = float(np.interp(self.vote(rows, cosines), *self.curve))
-                known = (p, [(self.ids[r], float(c), int(self.labels[r]))
-                             for r, c in zip(rows, cosines)])
-            else:
-                known = (self.base_rate, [])
-            if len(self.remembered) < REMEMBERED:
-                self.remembered[counts] = known
-        return known
+
+def word_weights(has_1, has_0, n_1: int, n_0: int):
+    """idf times contrast of words from the numbers of examples of either label with them."""
+    n = n_1 + n_0
+    rate_1 = (has_1 + SMOOTHING * n_1 / n) / max(n_1, 1)
+    rate_0 = (has_0 + SMOOTHING * n_0 / n) / max(n_0, 1)
+    contrast = np.abs(np.log(np.maximum(rate_1, 1e-12) / np.maximum(rate_0, 1e-12)))
+    return np.log1p(n / np.maximum(1.0, has_1 + has_0)) * (FLOOR + contrast)
 
 
 def fit(docs: DataFrame, labels: DataFrame, eligible: Column, *, label: str = "toxic",
-        max_examples: int = MAX_EXAMPLES, max_terms: int = MAX_TERMS,
-        min_chi2: float = MIN_CHI2, neighbours: int = NEIGHBOURS) -> ToxicityModel:
+        max_examples: int = MAX_EXAMPLES, neighbours: int = NEIGHBOURS) -> ToxicityModel:
     """Model from about ``max_examples`` labelled documents (see ``labelled_sample``).
 
-    Document counts of terms are added up by Spark; the driver receives the
-    at most ``max_terms`` selected terms and the examples' sparse vectors.
+    Every one of them is in the index with all its words. The driver receives the word
+    counts of these documents; their number is the bound of the model.
     """
-    spark = docs.sparkSession
-    bounded_batches(spark)
+    bounded_batches(docs.sparkSession)
     sample = labelled_sample(docs, labels, label, eligible, max_examples, "toxicity-sample")
-    sizes = {r["label"]: r["count"] for r in sample.groupBy("label").count().collect()}
-    n_1, n_0 = sizes.get(1, 0), sizes.get(0, 0)
 
-    def count_terms(batches):
+    def count_words(batches):
         for b in batches:
-            seen = {0: Counter(), 1: Counter()}
-            for text, y in zip(b["text"], b["label"]):
-                seen[int(y)].update(set(terms_of(text)))
-            terms = list(seen[0].keys() | seen[1].keys())
-            yield pd.DataFrame({"term": terms, "has_1": [seen[1][t] for t in terms],
-                                "has_0": [seen[0][t] for t in terms]})
-
-    counts = sample.select("text", "label").mapInPandas(
-        count_terms, "term string, has_1 long, has_0 long").groupBy("term").agg(
-        F.sum("has_1").alias("has_1"), F.sum("has_0").alias("has_0")).where(
-        F.col("has_1") + F.col("has_0") >= MIN_EXAMPLES)
-    a, b = F.col("has_1").cast("double"), F.col("has_0").cast("double")
-    n = float(n_1 + n_0)
-    chi2 = (F.lit(n) * (a * (n_0 - b) - b * (n_1 - a)) ** 2
-            / F.greatest((a + b) * (n - a - b) * float(n_1) * float(n_0), F.lit(1e-12)))
-    chosen = counts.withColumn("chi2", chi2).where(F.col("chi2") >= min_chi2).orderBy(
-        F.desc("chi2"), "term").limit(max_terms).toPandas().sort_values("term")
+            found = [Counter(terms_of(t)) for t in b["text"]]
+            yield pd.DataFrame({"doc_id": b["doc_id"], "label": b["label"],
+                                "words": [list(c) for c in found],
+                                "n": [list(c.values()) for c in found]})
+
+    examples = sample.mapInPandas(count_words, T.StructType(
+        [docs.schema["doc_id"]] + T.StructType.fromDDL(
+            "label int, words array<string>, n array<long>").fields)).toArrow().to_pylist()
+    # repeated ids are ordered by their words, so that a repeated run gives the same model
+    examples.sort(key=lambda e: (e["doc_id"], sorted(e["words"])))
+    y = np.array([e["label"] > 0 for e in examples], float)
+    n_1, n_0 = int(y.sum()), int(len(y) - y.sum())
+    has = {0: Counter(), 1: Counter()}
+    for e in examples:
+        has[int(e["label"] > 0)].update(e["words"])
+    terms = {t: k for k, t in enumerate(sorted(has[0].keys() | has[1].keys()))}
+    counted = [np.array([has[v][t] for t in terms], float) for v in (1, 0)]
     model = ToxicityModel(
-        {t: k for k, t in enumerate(chosen["term"])},
-        np.log1p(n / np.maximum(1.0, (chosen["has_1"] + chosen["has_0"]).to_numpy(float))),
-        np.empty(0, np.int64), np.empty(0), [], (n_1 + 0.5) / (n + 1), neighbours)
-    shared = spark.sparkContext.broadcast(model)
-
-    def vectors(batches):
-        for part in batches:
-            found = [shared.value.counts(t) for t in part["text"]]
-            yield pd.DataFrame({"doc_id": part["doc_id"], "label": part["label"],
-                                "terms": [[t for t, _ in c] for c in found],
-                                "n": [[k for _, k in c] for c in found]})
-
-    examples = sample.mapInPandas(
-        vectors, T.StructType([docs.schema["doc_id"]] + T.StructType.fromDDL(
-            "label int, terms array<long>, n array<long>").fields)).orderBy(
-        "doc_id", "label").toPandas()
-    shared.unpersist()
-    filled = examples["terms"].map(len) > 0
-    bare = examples.loc[~filled, "label"]
-    if len(bare):
-        model.base_rate = float((bare.sum() + 0.5) / (len(bare) + 1))
-    examples = examples[filled]
-    model.ids = examples["doc_id"].to_numpy()
-    model.labels = examples["label"].to_numpy(float)
-    model.vectors = [tuple(zip(map(int, t), map(int, n)))
-                     for t, n in zip(examples["terms"], examples["n"])]
-    model.remembered = {}
-    model.index = BlockMaxIndex([model.vector(c) for c in model.vectors])
-    model.calibrate()
+        terms, word_weights(*counted, n_1, n_0) if terms else np.empty(0),
+        float(np.log1p(len(y)) * FLOOR), np.array([e["doc_id"] for e in examples]), y,
+        (n_1 + 0.5) / (len(y) + 1), neighbours)
+    vectors = [model.unit(dict(zip(e["words"], e["n"]))) for e in examples]
+    model.index = BlockMaxIndex(vectors)
+    model.calibrate(vectors)
     return model
 
 
@@ -292,10 +274,10 @@ def score(docs: DataFrame, model: ToxicityModel, *, threshold: float = 0.7, text
           keep: tuple[str, ...] = ("doc_id",)) -> DataFrame:
     """``keep``, ``score``, ``predicted`` and ``evidence`` for every row's whole text.
 
-    ``evidence``: the nearest examples (id, cosine, label), nearest first.
-    Null and empty texts, and texts without a selected term, get the rate of
-    such examples and no evidence; without labelled rows every score is 0.5.
-    Rows come back one for one; other columns are not read.
+    ``evidence``: the nearest examples (id, cosine, label), nearest first. Null and
+    empty texts, and texts that share no word with an example, get the rate among the
+    examples and no evidence; without labelled rows every score is 0.5. Rows come back
+    one for one; other columns are not read.
     """
     spark = docs.sparkSession
     bounded_batches(spark)
@@ -310,18 +292,25 @@ def score(docs: DataFrame, model: ToxicityModel, *, threshold: float = 0.7, text
     n_keep = len(keep)
 
     def batches(it):
-        arrow = pa.list_(pa.struct([("doc_id", pa.string() if isinstance(id_type, T.StringType)
-                                     else pa.int64()), ("cosine", pa.float64()),
-                                    ("label", pa.int32())]))
+        model = shared.value
         for b in it:
-            found = [shared.value.score(t) for t in b.column(n_keep).to_pylist()]
+            texts = b.column(n_keep).to_pylist()
+            known = list(dict.fromkeys(texts))
+            known = dict(zip(known, model.score(known)))
+            found = [known[t] for t in texts]
             p = np.array([f[0] for f in found])
-            seen = [[{"doc_id": i if isinstance(i, str) else int(i), "cosine": c, "label": y}
-                     for i, c, y in f[1]] for f in found]
+            rows = np.concatenate([f[1] for f in found]).astype(np.int64)
+            near = pa.StructArray.from_arrays(
+                [pa.array(model.ids[rows] if len(model.ids) else [], pa.string() if isinstance(
+                    id_type, T.StringType) else pa.int64()),
+                 pa.array(np.concatenate([f[2] for f in found]), pa.float64()),
+                 pa.array(model.labels[rows] if len(model.ids) else []).cast(pa.int32())],
+                names=["doc_id", "cosine", "label"])
+            cuts = pa.array(np.cumsum([0] + [len(f[1]) for f in found]), pa.int32())
             yield pa.RecordBatch.from_arrays(
                 [b.column(k) for k in range(n_keep)]
                 + [pa.array(p, pa.float64()), pa.array((p >= threshold).astype(np.int32)),
-                   pa.array(seen, arrow)],
+                   pa.ListArray.from_arrays(cuts, near)],
                 names=[*keep, "score", "predicted", "evidence"])
 
     return docs.select(*keep, F.col(text).alias("_text")).mapInArrow(batches, schema)
