@@ -4,6 +4,7 @@ import inspect
 import os
 import tempfile
 
+import numpy as np
 from pyspark.sql import functions as F
 
 from core_helpers import SF_SMALL
@@ -72,17 +73,66 @@ def test_low_rank_sse_equals_dropped_sigma2(spark):
 
 def test_depth_query_runs_the_whole_grid(spark, monkeypatch):
     from tidewater.plans import q_models as q
-    bound = inspect.signature(md.tune_depth)
+    bound = inspect.signature(md.depth_curve)
     seen = {}
 
     def record(*args, **kwargs):
         call = bound.bind(*args, **kwargs)
         call.apply_defaults()
         seen.update(call.arguments)
-        return None, None
 
-    monkeypatch.setattr(q.md, "tune_depth", record)
+    monkeypatch.setattr(q.md, "depth_curve", record)
     monkeypatch.setattr(q, "listing_split", lambda spark, d: (None, None))
     q.q_l2(spark, SF_SMALL)
     assert list(seen["depths"]) == list(range(1, 15))
     assert (seen["folds"], seen["num_trees"]) == (10, 200)
+
+
+def noisy(spark, n=400):
+    return spark.createDataFrame(
+        [(float(i), float(i % 7), float(i % 2), float(3 * (i % 7) + i / 50 + (i * 7919 % 13)))
+         for i in range(n)], "a double, b double, c double, price double")
+
+
+def test_cut_at_full_depth_is_the_fitted_forest(spark):
+    df = noisy(spark)
+    model = md.fit_price_forest(df, ["a", "b", "c"], "price", num_trees=7, max_depth=6)
+    want = [r.prediction for r in model.transform(df).orderBy("a").collect()]
+    x = np.array([[r.a, r.b, r.c] for r in df.orderBy("a").collect()])
+    forest = md.cut_forest(model.stages[-1])
+    got = forest.predict(x, [0, 3, 6, 9])
+    assert np.allclose(got[:, 2], want) and np.allclose(got[:, 3], want)
+    # depth 0: the root's mean, the same for every row
+    assert np.ptp(got[:, 0]) < 1e-9 and np.ptp(got[:, 1]) > 1
+
+
+def test_cut_forest_splits_by_category(spark):
+    from pyspark.ml.feature import VectorAssembler, VectorIndexer
+    from pyspark.ml.regression import RandomForestRegressor
+    df = noisy(spark)
+    v = VectorAssembler(inputCols=["b", "c"], outputCol="raw").transform(df)
+    v = VectorIndexer(inputCol="raw", outputCol="f", maxCategories=7).fit(v).transform(v)
+    model = RandomForestRegressor(featuresCol="f", labelCol="price", numTrees=5, maxDepth=4,
+                                  seed=3).fit(v)
+    forest = md.cut_forest(model)
+    assert forest.categories
+    rows = model.transform(v).orderBy("a").collect()
+    assert np.allclose(forest.predict(np.array([r.f.toArray() for r in rows]), [4])[:, 0],
+                       [r.prediction for r in rows])
+
+
+def test_depth_errors_match_the_evaluator_and_curve_has_all_depths(spark):
+    from pyspark.ml.evaluation import RegressionEvaluator
+    df = noisy(spark)
+    train, test = df.where("a % 3 != 0"), df.where("a % 3 = 0")
+    model = md.fit_price_forest(train, ["a", "b", "c"], "price", num_trees=5, max_depth=4)
+    r2 = RegressionEvaluator(labelCol="price", metricName="r2").evaluate(model.transform(test))
+    found = md.depth_errors(md.cut_forest(model.stages[-1]), test, ["a", "b", "c"], "price",
+                            [1, 4])
+    by = {r.depth: r.r2 for r in found.collect()}
+    assert abs(by[4] - r2) < 1e-9 and by[1] < by[4]
+    best, curve = md.tune_depth(df, ["a", "b", "c"], "price", depths=(1, 2, 5), folds=3,
+                                num_trees=5)
+    means = {r.depth: r.mean_r2 for r in curve.collect()}
+    assert set(means) == {1, 2, 5} and means[1] < means[5]
+    assert best.stages[-1].getOrDefault("maxDepth") == max(means, key=means.get)
