@@ -57,10 +57,12 @@ def test_gradient_descent_doc_example():
     y = np.array([208500, 181500, 223500, 140000, 250000], dtype=float)
     rng = np.random.RandomState(123)
     w0 = rng.rand(2)
-    ws, losses = st.gradient_descent_gram(x.T @ x, x.T @ y, float(y @ y), w0, 2000, 0.01, 5,
-                                          normalize=True)
+    c, z = x[:, 1:] - x[:, 1:].mean(0), y - y.mean()
+    ws, losses = st.gradient_steps(c.T @ c, c.T @ z, float(z @ z), 5, x[:, 1:].mean(0), y.mean(),
+                                   w0, 2000, 0.01, normalize=True)
     assert ws[-1] == pytest.approx([183695.36963666, 40682.97678324], rel=1e-9)
     assert len(ws) == 2001 and len(losses) == 2000
+    assert losses[7] == pytest.approx(((y - x @ ws[7]) ** 2).sum(), rel=1e-9)
 
 
 def test_gradient_descent_spark_matches_numpy(spark):

@@ -38,12 +38,50 @@ def test_value_ranks_dense_and_complete(spark):
     assert below == 1000
 
 
-def test_dense_index_within_groups(spark):
-    df = spark.createDataFrame([(i, i % 3) for i in range(300)], "id long, g int").repartition(4)
-    out = fr.dense_index_within(df, "g", ["id"]).collect()
-    for g in range(3):
-        pos = sorted(r["__pos"] for r in out if r.g == g)
-        assert pos == list(range(100))
+@pytest.mark.parametrize("cells", [2, 50])
+def test_quantiles_of_odd_values(spark, cells):
+    big = [1e300, -1e300, 3.5, 3.5, 0.0, -0.0, 1e-300, 7.0]
+    rows = [("a", v) for v in big] + [("b", 2.0)] * 5 + [("c", None), ("c", float("nan"))] \
+        + [(None, 1.0), (None, 4.0), ("d", float("inf")), ("d", 1.0)]
+    df = spark.createDataFrame(rows, "g string, x double").repartition(3)
+    probs = [0.0, 0.3, 0.5, 1.0]
+    got = {(r.g, r.p): r.q for r in ranks.quantiles(df, "x", probs, by=["g"], cells=cells).collect()}
+    for p in probs:
+        assert got["a", p] == pytest.approx(float(np.quantile(big, p)))
+        assert got["b", p] == 2.0
+        assert got[None, p] == pytest.approx(1 + 3 * p)
+    assert got["d", 0.0] == 1.0 and got["d", 1.0] > 1e308 and ("c", 0.5) not in got
+    assert ranks.quantiles(df.limit(0), "x", probs).count() == 0
+
+
+def test_quantiles_and_ranks_move_no_rows_to_python(spark):
+    df = spark.range(100).withColumn("x", F.col("id") * 1.5)
+    for out in (ranks.quantiles(df, "x", [0.5]), ranks.value_ranks(df, "x")):
+        assert "InPandas" not in out._jdf.queryExecution().toString()
+
+
+def test_draws_with_replacement(spark, monkeypatch):
+    monkeypatch.setattr(fr, "DRAW_BUCKET", 7)
+    rows = [(i, "abc"[i % 3] if i % 11 else None) for i in range(300)] + [(999, "z")]
+    df = spark.createDataFrame(rows, "id long, g string")
+    once = sorted(map(tuple, fr.balance_classes(df.repartition(2), "g", 50, 5, "id", True)
+                      .select("g", "id", "draw").collect()))
+    again = sorted(map(tuple, fr.balance_classes(df.repartition(9), "g", 50, 5, "id", True)
+                       .select("g", "id", "draw").collect()))
+    assert once == again
+    for g in "abcz":
+        mine = [r for r in once if r[0] == g]
+        assert sorted(r[2] for r in mine) == list(range(50))
+        assert {r[1] for r in mine} <= {i for i, x in rows if x == g}
+    assert 30 < len({r[1] for r in once if r[0] == "a"}) < 50  # some twice, most of them once
+    assert fr.balance_classes(df.limit(0), "g", 5, 1, "id", True).count() == 0
+
+
+def test_draws_are_even(spark):
+    df = spark.range(20).withColumn("g", F.lit("x"))
+    counts = [r["count"] for r in fr.balance_classes(df, "g", 4000, 3, "id", True)
+              .groupBy("id").count().collect()]
+    assert len(counts) == 20 and 140 < min(counts) and max(counts) < 260
 
 
 def _brute(docs, t):

@@ -15,7 +15,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from ..session import measured
+from ..session import measured, written
 
 NUMERIC_TYPES = (T.ByteType, T.ShortType, T.IntegerType, T.LongType, T.FloatType,
                  T.DoubleType, T.DecimalType)
@@ -68,14 +68,14 @@ def scale_by_max(df: DataFrame, col: str, fitted_on: DataFrame | None = None,
     """Divide by the maximum of the *training* frame, or by a constant.
 
     The maximum is a scalar subquery (one aggregate job, one value), so no
-    row reaches the driver and no join is needed.
+    row reaches the driver and no join is needed. A maximum of 0 gives nulls.
     """
     out = out or col
     if constant is not None:
         return df.withColumn(out, F.col(col) / F.lit(float(constant)))
     src = df if fitted_on is None else fitted_on
     mx = src.agg(F.max(col)).scalar()
-    return df.withColumn(out, F.col(col) / mx)
+    return df.withColumn(out, F.try_divide(F.col(col).cast("double"), mx))
 
 
 def align_columns(test: DataFrame, train_cols: Sequence[str]) -> DataFrame:
@@ -174,13 +174,14 @@ def null_fractions(df: DataFrame, cols: Sequence[str] | None = None) -> DataFram
                  *[F.count_if(F.col(f"`{c}`").isNull()).alias(f"n{i}") for i, c in enumerate(cols)])
     return agg.select(F.inline(F.array(*[
         F.struct(F.lit(c).alias("column"), F.col(f"n{i}").alias("nulls"),
-                 (F.col(f"n{i}") / F.col("__n")).alias("fraction"))
+                 F.try_divide(f"n{i}", "__n").alias("fraction"))
         for i, c in enumerate(cols)])))
 
 
 def null_report_drop(df: DataFrame, pct: float = 25.0) -> DataFrame:
     """drop columns whose null percent, rounded to 2 decimals first,
-    is at least ``pct``. Only one scalar per column reaches the driver."""
+    is at least ``pct``. Only one scalar per column reaches the driver. An
+    empty table has no null percent and keeps its columns."""
     rep = null_fractions(df).select("column", F.round(F.col("fraction") * 100, 2).alias("p"))
     drop = [r["column"] for r in rep.filter(F.col("p") >= pct).collect()]
     return df.drop(*drop)
@@ -213,12 +214,21 @@ def drop_constant(df: DataFrame, min_ratio: float = 0.995) -> DataFrame:
     return df.drop(*drop)
 
 
+def pearson(a: str, b: str) -> Column:
+    """Pearson correlation over the rows with both values; null where a column has no
+    spread in them."""
+    both = F.col(a).isNotNull() & F.col(b).isNotNull()
+    x, y = (F.when(both, F.col(c).cast("double")) for c in (a, b))
+    return F.try_divide(F.covar_pop(x, y), F.stddev_pop(x) * F.stddev_pop(y))
+
+
 def drop_correlated(df: DataFrame, groups: Sequence[Sequence[str]], target: str) -> DataFrame:
     """in each group of correlated columns keep the one with the highest
     absolute Pearson correlation with ``target``. One aggregate computes all
-    the correlations; only those scalars reach the driver."""
+    the correlations; only those scalars reach the driver. A column without
+    spread has no correlation and loses to any other."""
     cols = sorted({c for g in groups for c in g})
-    row = df.agg(*[F.corr(c, target).alias(c) for c in cols]).first().asDict()
+    row = df.agg(*[pearson(c, target).alias(c) for c in cols]).first().asDict()
     drop = []
     for g in groups:
         best = max(g, key=lambda c: abs(row[c]) if row[c] is not None else -1.0)
@@ -233,7 +243,8 @@ def keep_available(df: DataFrame, mask: DataFrame, key: str) -> DataFrame:
 
 # ------------------------------------------------------------------------ J2-J8
 def merge_on(left: DataFrame, right: DataFrame, key: str | Sequence[str]) -> DataFrame:
-    return left.join(right, on=key, how="inner")
+    """Inner join; ``right`` is the side of groups, which is written and counted."""
+    return left.join(measured(right), on=key, how="inner")
 
 
 def drop_all_null_groups(df: DataFrame, key: str, col: str) -> DataFrame:
@@ -246,7 +257,8 @@ def lookup(df: DataFrame, map_df: DataFrame, key: str, value: str,
            default: Column | object | None = None, out: str | None = None) -> DataFrame:
     """Dictionary map via left join; unseen keys get ``default``."""
     out = out or value
-    joined = df.join(map_df.select(key, F.col(value).alias("__v")), key, "left")
+    known = measured(map_df.select(key, F.col(value).alias("__v")))
+    joined = df.join(known, key, "left")
     fill = default if isinstance(default, Column) else F.lit(default)
     return joined.withColumn(out, F.coalesce(F.col("__v"), fill)).drop("__v")
 
@@ -349,62 +361,61 @@ def sample_n(df: DataFrame, n: int, seed: int, key: str) -> DataFrame:
 
 def balance_classes(df: DataFrame, label: str, n: int, seed: int, key: str,
                     replace: bool = False) -> DataFrame:
-    """K9: n rows per class.
+    """K9: n rows per class; rows without a class are left out, ``key`` names a row.
 
     Without replacement: the n smallest keyed hashes per class (a partial
     group limit before the shuffle keeps hot classes cheap). With
-    replacement: every row gets a dense position inside its class from
-    per-partition counts (no global window), then a draw table of
-    ``n`` positions per class is joined on (class, position).
+    replacement: ``draw_keys`` gives the keys, and only these are joined back.
     """
     if not replace:
         w = Window.partitionBy(label).orderBy("__h", key)
-        return (df.withColumn("__h", F.xxhash64(F.lit(seed), F.col(key)))
+        return (df.filter(F.col(label).isNotNull())
+                  .withColumn("__h", F.xxhash64(F.lit(seed), F.col(key)))
                   .withColumn("__rn", F.row_number().over(w))
                   .filter(F.col("__rn") <= n).drop("__h", "__rn"))
-    indexed = dense_index_within(df, label, [key])
-    sizes = indexed.groupBy(label).agg(F.count(F.lit(1)).alias("__size"))
-    draws = (sizes.withColumn("draw", F.explode(F.sequence(F.lit(0), F.lit(n - 1))))
-                  .withColumn("__pos", F.pmod(F.xxhash64(F.lit(seed), F.col(label), F.col("draw")),
-                                              F.col("__size")))
-                  .select(label, "draw", "__pos"))
-    return indexed.join(draws, [label, "__pos"]).drop("__pos")
-
-
-def dense_index_within(df: DataFrame, group: str, order: Sequence[str],
-                       out: str = "__pos") -> DataFrame:
-    """Give each row a position 0..size-1 inside its group without moving
-    rows: per-partition counts per group -> offsets (a table of partitions x
-    groups) -> position = offset + running index inside the partition.
-    Rows are sorted by ``order`` inside each partition first, so a re-run
-    of a lost task numbers them the same way."""
-    import pandas as pd
-
-    with_pid = df.withColumn("__pid", F.spark_partition_id())
-    schema = T.StructType(with_pid.schema.fields + [T.StructField("__local", T.LongType())])
-
-    def local_index(it):
-        seen: dict = {}
-        for pdf in it:
-            if pdf.empty:
-                continue
-            g = pdf[group]
-            local = g.groupby(g, dropna=False).cumcount()
-            base = g.map(seen).fillna(0).astype("int64")  # dict lookup, no Python per row
-            pdf["__local"] = (local + base).astype("int64")
-            for v, cnt in g.value_counts(dropna=False).items():
-                seen[v] = seen.get(v, 0) + int(cnt)
-            yield pdf
-
-    local = with_pid.sortWithinPartitions(group, *order).mapInPandas(local_index, schema)
-    # counts from ``local`` itself: both join sides share one upstream
-    # exchange, so they see the same rows in the same partitions
-    counts = local.groupBy(group, "__pid").agg(F.count(F.lit(1)).alias("__cnt"))
-    w = Window.partitionBy(group).orderBy("__pid").rowsBetween(Window.unboundedPreceding, -1)
-    offsets = counts.withColumn("__off", F.coalesce(F.sum("__cnt").over(w), F.lit(0)))
-    return (local.join(offsets.select(group, "__pid", "__off"), [group, "__pid"])
-                 .withColumn(out, F.col("__off") + F.col("__local"))
-                 .drop("__pid", "__off", "__local"))
+    drawn = draw_keys(df.select(label, key), label, n, seed, key)
+    return df.join(measured(drawn), [label, key])
+
+
+#: Keys in a hash bucket of ``draw_keys``, about.
+DRAW_BUCKET = 10_000
+
+
+def draw_keys(keys: DataFrame, label: str, n: int, seed: int, key: str) -> DataFrame:
+    """Exactly n uniform draws with replacement per class: ``label``, ``key``, ``draw``.
+
+    Keys lie in hash buckets. A draw is a whole number below the class size: the
+    buckets' running counts turn it into a bucket (which splits the n draws over the
+    buckets as a multinomial does) and a rank in it, by hash. Only keys move, a class
+    is never in one task, and the result does not depend on the partitions.
+    """
+    keys = keys.where(F.col(label).isNotNull())
+    buckets = max(1, keys.count() // DRAW_BUCKET)
+    h = F.xxhash64(F.lit(seed), F.col(key))
+    dealt = keys.select(label, key, h.alias("__h"), F.pmod(h, F.lit(buckets)).alias("__b"))
+    counts = written(dealt.groupBy(label, "__b").agg(F.count(F.lit(1)).alias("__c")), "draw-buckets")
+    # as many rows as buckets, in a class
+    before = Window.partitionBy(label).orderBy("__b").rowsBetween(Window.unboundedPreceding, -1)
+    starts = counts.select(label, "__b", F.coalesce(F.sum("__c").over(before), F.lit(0)).alias(
+        "__at"))
+    sizes = counts.groupBy(label).agg(F.sum("__c").alias("__size"))
+    draws = sizes.select(label, "__size", F.explode(F.sequence(F.lit(0), F.lit(n - 1))).alias(
+        "draw")).select(label, "draw", F.pmod(F.xxhash64(
+            F.lit(seed), F.col(label), F.col("draw")), F.col("__size")).alias("__at"))
+    # the last bucket that starts at or before a draw's number holds it
+    mixed = starts.withColumn("draw", F.lit(None).cast("int")).unionByName(
+        draws, allowMissingColumns=True)
+    upto = Window.partitionBy(label).orderBy("__at", F.col("draw").asc_nulls_first()).rowsBetween(
+        Window.unboundedPreceding, 0)
+    placed = mixed.withColumns({
+        "__bucket": F.last("__b", ignorenulls=True).over(upto),
+        "__from": F.last(F.when(F.col("draw").isNull(), F.col("__at")), ignorenulls=True).over(
+            upto)}).where(F.col("draw").isNotNull()).select(
+        label, "draw", F.col("__bucket").alias("__b"), (F.col("__at") - F.col("__from") + 1).alias(
+            "__rank"))
+    ranked = dealt.withColumn("__rank", F.row_number().over(
+        Window.partitionBy(label, "__b").orderBy("__h", key)))
+    return ranked.join(placed, [label, "__b", "__rank"]).select(label, key, "draw")
 
 
 # ------------------------------------------------------------------------ U1-U3

@@ -16,6 +16,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from ..session import measured
+from .frames import pearson
 from .ranks import quantiles
 
 
@@ -146,7 +147,7 @@ def column_stat(df: DataFrame, col: str, fn: str) -> Column | DataFrame:
 
 # A14
 def corr_with(df: DataFrame, cols: Sequence[str], target: str) -> DataFrame:
-    row = df.agg(*[F.corr(c, target).alias(f"c{i}") for i, c in enumerate(cols)])
+    row = df.agg(*[pearson(c, target).alias(f"c{i}") for i, c in enumerate(cols)])
     return row.select(F.inline(F.array(*[
         F.struct(F.lit(c).alias("column"), F.col(f"c{i}").alias("corr"))
         for i, c in enumerate(cols)])))
@@ -156,7 +157,7 @@ def corr_with(df: DataFrame, cols: Sequence[str], target: str) -> DataFrame:
 def corr_matrix(df: DataFrame, cols: Sequence[str], absolute: bool = True) -> DataFrame:
     """Pearson over pairwise-complete rows, long form for i < j."""
     pairs = [(a, b) for i, a in enumerate(cols) for b in cols[i + 1:]]
-    row = df.agg(*[F.corr(a, b).alias(f"c{k}") for k, (a, b) in enumerate(pairs)])
+    row = df.agg(*[pearson(a, b).alias(f"c{k}") for k, (a, b) in enumerate(pairs)])
     val = (lambda c: F.abs(c)) if absolute else (lambda c: c)
     return row.select(F.inline(F.array(*[
         F.struct(F.lit(a).alias("col_a"), F.lit(b).alias("col_b"), val(F.col(f"c{k}")).alias("corr"))
@@ -167,11 +168,17 @@ def corr_matrix(df: DataFrame, cols: Sequence[str], absolute: bool = True) -> Da
 def histogram(df: DataFrame, col: str, bins: int, lo: float | None = None,
               hi: float | None = None, density: bool = False) -> DataFrame:
     """Equal-width bins over [lo, hi] (default: the column's range), last
-    bin closed; empty bins count 0. -> bin, left, right, count[, density]."""
+    bin closed; empty bins count 0. -> bin, left, right, count[, density].
+
+    A range of one value is widened by a half on both sides, as numpy does; a
+    column without values has bins that count 0, with null ends.
+    """
     src = df.filter(F.col(col).isNotNull())
     lo_c = F.lit(float(lo)) if lo is not None else src.agg(F.min(col).cast("double")).scalar()
     hi_c = F.lit(float(hi)) if hi is not None else src.agg(F.max(col).cast("double")).scalar()
     src = src.filter((F.col(col) >= lo_c) & (F.col(col) <= hi_c))
+    flat = F.when(lo_c == hi_c, 0.5).otherwise(0.0)
+    lo_c, hi_c = lo_c - flat, hi_c + flat
     width = (hi_c - lo_c) / bins
     b = F.least(F.floor((F.col(col) - lo_c) / width), F.lit(bins - 1)).cast("int")
     # one empty row per bin, so that bins without values are there too
@@ -182,7 +189,7 @@ def histogram(df: DataFrame, col: str, bins: int, lo: float | None = None,
               .withColumn("left", lo_c + F.col("bin") * width)
               .withColumn("right", lo_c + (F.col("bin") + 1) * width))
     if density:
-        out = out.withColumn("density", F.col("count") / (_total(src) * width))
+        out = out.withColumn("density", F.try_divide(F.col("count"), _total(src) * width))
     return out
 
 
@@ -258,23 +265,26 @@ def neighbourhood_profile(df: DataFrame, key: str = "neighbourhood", price: str
 # A20
 def extent_scale(df: DataFrame, col: str, out: str = "position") -> DataFrame:
     """Linear position in [0, 1] between the column's min and max; null
-    stays null."""
+    stays null, and one value alone stands in the middle."""
     lo = df.agg(F.min(col).cast("double")).scalar()
     hi = df.agg(F.max(col).cast("double")).scalar()
-    return df.withColumn(out, (F.col(col) - lo) / (hi - lo))
+    return df.withColumn(out, F.when(F.col(col).isNotNull(), F.coalesce(
+        F.try_divide(F.col(col) - lo, hi - lo), F.lit(0.5))))
 
 
 # A22
 def regression_metrics(df: DataFrame, y: str, yhat: str) -> DataFrame:
-    """n, RMSE, MAE, R squared (1 - SSres/SStot) in one aggregate."""
+    """n, RMSE, MAE, R squared (1 - SSres/SStot) in one aggregate.
+
+    Where y has no spread, R squared is 1 for a perfect prediction and 0 else.
+    """
     r = F.col(y) - F.col(yhat)
+    miss = F.sum(r * r)
+    flat = F.when(F.count(F.lit(1)) > 0, F.when(miss == 0, 1.0).otherwise(0.0))
     return df.agg(F.count(F.lit(1)).alias("n"),
                   F.sqrt(F.avg(r * r)).alias("rmse"), F.avg(F.abs(r)).alias("mae"),
-                  (1 - F.sum(r * r) / (F.count(F.lit(1)) * F.var_pop(y))).alias("r2"))
-
-
-def residuals(df: DataFrame, y: str, yhat: str, out: str = "residual") -> DataFrame:
-    return df.withColumn(out, F.col(y) - F.col(yhat))
+                  F.coalesce(1 - F.try_divide(miss, F.count(F.lit(1)) * F.var_pop(y)),
+                             flat).alias("r2"))
 
 
 # A23

@@ -1,6 +1,6 @@
 """Statistics from sufficient statistics.
 
-Spark computes grouped counts, sums, sums of squares and Gram matrices in
+Spark computes grouped counts, sums and products about the means in
 one aggregate each; only d x d matrices or per-group scalars reach the
 driver, where the small linear algebra and the distribution tails
 (``functions.dist``) finish the job. Results come back as DataFrames.
@@ -13,10 +13,11 @@ from collections.abc import Sequence
 
 import numpy as np
 import pandas as pd
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from ..functions import dist
+from ..session import measured, written
 from .ranks import average_ranks, quantiles, value_ranks
 
 
@@ -36,7 +37,8 @@ def normality_by_group(df: DataFrame, key: str, col: str) -> DataFrame:
 def kruskal_statistic(df: DataFrame, key: str, col: str) -> DataFrame:
     """H with tie correction, computed in Spark: average ranks over the
     whole column (distributed ranks), rank sums per group through a join
-    on the value, one final aggregate. -> one row (h, k, n)."""
+    on the value, one final aggregate. -> one row (h, k, n); h is null where
+    all values are tied or there is none (R gives NaN)."""
     src = df.filter(F.col(col).isNotNull() & F.col(key).isNotNull())
     ranks = average_ranks(value_ranks(src, col)).select(
         F.col("value").alias(col), "avg_rank", "cnt")
@@ -47,15 +49,17 @@ def kruskal_statistic(df: DataFrame, key: str, col: str) -> DataFrame:
     total = sums.agg(F.sum(F.pow("r", 2) / F.col("ng")).alias("s"), F.count(F.lit(1)).alias("k"),
                      F.sum("ng").alias("n"))
     n = F.col("n")
-    h_raw = F.col("s") * 12.0 / (n * (n + 1)) - 3 * (n + 1)
-    return total.select((h_raw / (1 - ties / (F.pow(n, 3) - n))).alias("h"), "k", "n")
+    h_raw = F.try_divide(F.col("s") * 12.0, n * (n + 1)) - 3 * (n + 1)
+    tied = F.try_divide(ties, F.pow(n, 3) - n)
+    return total.select(F.try_divide(h_raw, 1 - tied).alias("h"), "k", "n")
 
 
 def kruskal_wallis(df: DataFrame, key: str, col: str) -> DataFrame:
-    row = kruskal_statistic(df, key, col).first()
-    p = dist.chi2_sf(row["h"], row["k"] - 1)
+    """H, its degrees of freedom and p-value; nulls where H is not defined."""
+    h, k, _ = kruskal_statistic(df, key, col).first()
+    p = None if h is None or k < 2 else float(dist.chi2_sf(h, k - 1))
     return df.sparkSession.createDataFrame(
-        [(float(row["h"]), int(row["k"]) - 1, float(p))], "h double, df int, p_value double")
+        [(h, max(0, k - 1), p)], "h double, df int, p_value double")
 
 
 # --------------------------------------------------------------------- T3
@@ -66,56 +70,75 @@ def group_moments(df: DataFrame, key: str, col: str) -> DataFrame:
 
 
 def anova_statistic(df: DataFrame, key: str, col: str) -> DataFrame:
-    """One-way ANOVA F in Spark -> one row (f, df_between, df_within)."""
+    """One-way ANOVA F in Spark -> one row (f, df_between, df_within); f is null for
+    fewer than two groups, and where no group has spread."""
     g = group_moments(df, key, col)
     grand = df.filter(F.col(col).isNotNull() & F.col(key).isNotNull()).agg(F.avg(col)).scalar()
     ssb = F.sum(F.col("n") * F.pow(F.col("mean") - grand, 2))
     ssw = F.sum(F.coalesce(F.col("var"), F.lit(0.0)) * (F.col("n") - 1))
     k = F.count(F.lit(1))
     n = F.sum("n")
-    return g.agg(((ssb / (k - 1)) / (ssw / (n - k))).alias("f"), (k - 1).alias("df_between"),
-                 (n - k).alias("df_within"), ssw.alias("ssw"))
+    f = F.try_divide(F.try_divide(ssb, k - 1), F.try_divide(ssw, n - k))
+    return g.agg(f.alias("f"), F.greatest(k - 1, F.lit(0)).alias("df_between"),
+                 F.coalesce(n - k, F.lit(0)).alias("df_within"), ssw.alias("ssw"))
 
 
 def anova_oneway(df: DataFrame, key: str, col: str) -> DataFrame:
-    r = anova_statistic(df, key, col).first()
-    p = dist.f_sf(r["f"], r["df_between"], r["df_within"])
+    f, between, within, _ = anova_statistic(df, key, col).first()
+    p = None if f is None else float(dist.f_sf(f, between, within))
     return df.sparkSession.createDataFrame(
-        [(float(r["f"]), int(r["df_between"]), int(r["df_within"]), float(p))],
-        "f double, df_between long, df_within long, p_value double")
+        [(f, between, within, p)], "f double, df_between long, df_within long, p_value double")
 
 
 # --------------------------------------------------------------------- T4
+#: Groups in a block of ``tukey_pairs``, about.
+TUKEY_BLOCK = 256
+
+
 def tukey_pairs(df: DataFrame, key: str, col: str) -> DataFrame:
     """Tukey-Kramer: for each pair of groups the mean difference, the q
     statistic and the adjusted p-value (to about 1e-12).
 
-    The result has a row per pair of groups by definition. Each group meets
-    the later ones of the list of all groups' moments, a scalar, and the
-    p-values are computed in Arrow batches of pairs.
+    The result has a row per pair of groups by definition. Groups are dealt to
+    blocks of about TUKEY_BLOCK, every pair of blocks is one key, and the pairs
+    of groups come from an equi-join on it; p-values are computed in Arrow
+    batches of pairs. q and p are null where no group has spread.
     """
-    g = group_moments(df, key, col).select(
+    g = written(group_moments(df, key, col).select(
         F.col(key).cast("string").alias("g"), "n", "mean",
-        F.coalesce("var", F.lit(0.0)).alias("var"))
+        F.coalesce("var", F.lit(0.0)).alias("var")), "tukey-groups")
     total = g.agg(F.struct(
         F.count(F.lit(1)).alias("k"), (F.sum("n") - F.count(F.lit(1))).alias("dfw"),
-        F.sum(F.col("var") * (F.col("n") - 1)).alias("ssw"),
-        F.sort_array(F.collect_list(F.struct("g", "n", "mean"))).alias("all"))).scalar()
-    pairs = g.select("g", "n", "mean", total.alias("t")).select(
-        "*", F.explode("t.all").alias("o")).where(F.col("o.g") > F.col("g"))
-    mse = F.col("t.ssw") / F.col("t.dfw")
-    q = F.abs(F.col("o.mean") - F.col("mean")) / F.sqrt(
-        mse / 2 * (1 / F.col("n") + 1 / F.col("o.n")))
+        F.sum(F.col("var") * (F.col("n") - 1)).alias("ssw"))).scalar()
+    blocks = max(1, -(-g.count() // TUKEY_BLOCK))
+    dealt = g.withColumn("b", F.pmod(F.xxhash64("g"), F.lit(blocks))).select("g", "n", "mean", F.explode(
+        F.transform(F.sequence(F.lit(0).cast("long"), F.lit(blocks - 1).cast("long")), lambda o: F.struct(
+            F.least(F.col("b"), o).alias("lo"), F.greatest(F.col("b"), o).alias("hi"),
+            (F.col("b") <= o).alias("left"), (F.col("b") >= o).alias("right")))).alias("s")).select(
+        "g", "n", "mean", "s.*")
+    # a pair of blocks meets from both sides; inside one block every group is on both
+    one, other = dealt.where("left").alias("l"), dealt.where("right").alias("r")
+    met = one.join(other, (F.col("l.lo") == F.col("r.lo")) & (F.col("l.hi") == F.col("r.hi"))
+                   & ((F.col("l.lo") != F.col("l.hi")) | (F.col("l.g") < F.col("r.g"))))
+    first = F.col("l.g") < F.col("r.g")
+
+    def side(c, smaller):
+        return F.when(first == smaller, F.col(f"l.{c}")).otherwise(F.col(f"r.{c}"))
+
+    mse = F.try_divide(total["ssw"], total["dfw"])
+    diff = side("mean", False) - side("mean", True)
+    q = F.try_divide(F.abs(diff), F.sqrt(mse / 2 * (1 / F.col("l.n") + 1 / F.col("r.n"))))
+    pairs = met.select(side("g", True).alias("group_a"), side("g", False).alias("group_b"),
+                       diff.alias("diff"), q.alias("q"), total["k"].alias("k"),
+                       total["dfw"].alias("dfw"))
 
     @F.pandas_udf("double")
     def p_adjusted(q: pd.Series, k: pd.Series, dfw: pd.Series) -> pd.Series:
-        return pd.Series([max(0.0, 1.0 - dist.ptukey(*x)) for x in zip(q, k, dfw)], dtype=float)
+        return pd.Series([None if math.isnan(x[0]) else max(0.0, 1.0 - dist.ptukey(*x))
+                          for x in zip(q.astype(float), k, dfw)], dtype=float)
 
-    return pairs.select(
-        F.col("g").alias("group_a"), F.col("o.g").alias("group_b"),
-        (F.col("o.mean") - F.col("mean")).alias("diff"), q.alias("q"), "t.k",
-        "t.dfw").select(
-        "group_a", "group_b", "diff", "q", p_adjusted("q", "k", "dfw").alias("p_adj"))
+    return pairs.select("group_a", "group_b", "diff", "q", F.when(
+        F.col("q").isNotNull(), p_adjusted("q", "k", "dfw")).alias("p_adj"))
 
 
 # --------------------------------------------------------------------- T5
@@ -135,32 +158,11 @@ def cluster_groups(df: DataFrame, key: str, features: Sequence[str], k: int = 3,
     model = KMeans(k=k, seed=seed, featuresCol="features", predictionCol="cluster").fit(scaled)
     labelled = model.transform(scaled)
     sil = ClusteringEvaluator(featuresCol="features", predictionCol="cluster").evaluate(labelled)
-    labels = labelled.select(key, "cluster")
+    labels = measured(labelled.select(key, "cluster"))
     return labels, df.join(labels, key, "left"), float(sil)
 
 
-# ------------------------------------------------------------ Gram matrix
-def gram(df: DataFrame, xs: Sequence[str], y: str, intercept: bool = True):
-    """X'X, X'y, y'y, n over complete rows, in one aggregate.
-    -> (G, b, yy, n, names) as numpy arrays on the driver (d x d)."""
-    xs = list(xs)
-    src = df.select(*xs, y).na.drop()
-    cols: list[Column] = ([F.lit(1.0)] if intercept else []) + [F.col(c).cast("double") for c in xs]
-    names = (["(Intercept)"] if intercept else []) + xs
-    d = len(cols)
-    exprs = [F.sum(cols[i] * cols[j]).alias(f"g{i}_{j}") for i in range(d) for j in range(i, d)]
-    exprs += [F.sum(cols[i] * F.col(y)).alias(f"b{i}") for i in range(d)]
-    exprs += [F.sum(F.col(y) * F.col(y)).alias("yy"), F.count(F.lit(1)).alias("n"),
-              F.sum(F.col(y)).alias("sy")]
-    r = src.agg(*exprs).first().asDict()
-    G = np.zeros((d, d))
-    for i in range(d):
-        for j in range(i, d):
-            G[i, j] = G[j, i] = r[f"g{i}_{j}"] or 0.0
-    b = np.array([r[f"b{i}"] or 0.0 for i in range(d)])
-    return G, b, float(r["yy"] or 0.0), int(r["n"]), names, float(r["sy"] or 0.0)
-
-
+# ------------------------------------------------------- products about the means
 def centred(df: DataFrame, xs: Sequence[str], y: str, intercept: bool = True):
     """Sums of products about the means, over complete rows.
 
@@ -218,18 +220,21 @@ def ols(df: DataFrame, y: str, xs: Sequence[str], level: float = 0.95,
     (estimate, std error, t, p, interval) and model table (n, p, RSS,
     sigma, R squared, adjusted R squared, AIC). Rows with nulls are
     dropped, and terms collinear with earlier ones get nulls, as in R;
-    without an intercept R squared is about zero."""
+    without an intercept R squared is about zero. Without a complete row
+    every estimate is null."""
     S, b, yy, n, x_mean, y_mean = centred(df, xs, y, intercept)
     kept = independent(S)
     beta, rss = solved(S, b, yy, kept)
-    k = len(kept) + (1 if intercept else 0)
+    k = len(kept) + (1 if intercept and n else 0)
     dof = n - k
     sigma2 = rss / dof if dof > 0 else math.nan
     inverse = np.linalg.inv(S[np.ix_(kept, kept)]) if kept else np.zeros((0, 0))
     found = {j: (float(e), math.sqrt(sigma2 * v) if sigma2 >= 0 else math.nan)
              for j, e, v in zip(kept, beta, np.diag(inverse))}
     estimates = [(x, *found.get(j, (None, None))) for j, x in enumerate(xs)]
-    if intercept:
+    if intercept and not n:
+        estimates.insert(0, ("(Intercept)", None, None))
+    elif intercept:
         at = x_mean[kept]
         spread = sigma2 * (1 / n + at @ inverse @ at) if n else math.nan
         estimates.insert(0, ("(Intercept)", float(y_mean - beta @ at),
@@ -257,7 +262,7 @@ def ols(df: DataFrame, y: str, xs: Sequence[str], level: float = 0.95,
 
 def _aic(rss: float, n: int, k: int) -> float:
     """n ln(RSS / n) + 2 k; minus infinity for a perfect fit."""
-    return n * math.log(rss / n) + 2 * k if rss > 0 else -math.inf
+    return math.nan if not n else n * math.log(rss / n) + 2 * k if rss > 0 else -math.inf
 
 
 def conf_int(coef: DataFrame) -> DataFrame:
@@ -282,26 +287,34 @@ def predict_expr(coef_rows: Sequence[tuple[str, float]],
 # --------------------------------------------------------------------- T7
 def least_squares_weights(df: DataFrame, xs: Sequence[str], y: str) -> DataFrame:
     """Least-squares weights with a column of ones, from sums about the
-    means; a collinear column weighs null."""
+    means; a collinear column weighs null, as all do without a row."""
     S, b, yy, n, x_mean, y_mean = centred(df, xs, y)
     kept = independent(S)
     beta, _ = solved(S, b, yy, kept)
     slope = dict(zip(kept, map(float, beta)))
-    rows = [("(Intercept)", float(y_mean - beta @ x_mean[kept]))]
+    rows = [("(Intercept)", float(y_mean - beta @ x_mean[kept]) if n else None)]
     rows += [(x, slope.get(j)) for j, x in enumerate(xs)]
     return df.sparkSession.createDataFrame(rows, "term string, weight double")
 
 
 # --------------------------------------------------------------------- T8
-def gradient_descent_gram(G, b, yy, w0, n_iter, eta, n, normalize=True):
-    """Batch gradient descent on the squared loss using only the Gram
-    matrix: grad = G w - b, loss = w'Gw - 2 w'b + y'y (before the step)."""
+def gradient_steps(S, b, yy, n, x_mean, y_mean, w0, n_iter, eta, normalize=True):
+    """Batch gradient descent on the squared loss, from sums about the means.
+
+    With slopes v and intercept a, the residuals are (y - ybar) - (x - xbar) v + c with
+    c = ybar - a - xbar v. The centred parts sum to zero, so the loss (before each
+    step) is v'Sv - 2 v'b + yy + n c^2: sums of squares, with no large terms that
+    cancel.
+    """
     w = np.asarray(w0, dtype=float)
     ws, losses = [w.copy()], []
-    scale = 1.0 / n if normalize else 1.0
+    scale = eta / max(n, 1) if normalize else eta
     for _ in range(n_iter):
-        losses.append(float(w @ G @ w - 2 * w @ b + yy))
-        w = w - eta * scale * (G @ w - b)
+        v = w[1:]
+        c = y_mean - w[0] - x_mean @ v
+        losses.append(float(max(0.0, v @ S @ v - 2 * v @ b + yy) + n * c * c))
+        slope = S @ v - b - n * c * x_mean
+        w = w - scale * np.concatenate([[-n * c], slope])
         ws.append(w.copy())
     return ws, losses
 
@@ -309,16 +322,16 @@ def gradient_descent_gram(G, b, yy, w0, n_iter, eta, n, normalize=True):
 def gradient_descent(df: DataFrame, xs: Sequence[str], y: str, w0: Sequence[float],
                      n_iter: int, eta: float, normalize: bool = True,
                      standardize: bool = True) -> DataFrame:
-    """One Spark aggregate (the Gram matrix), then the iterations on
+    """One Spark aggregate (sums about the means), then the iterations on
     the d x d system; ``standardize`` z-scores x with the sample sd first
-    (as the reference does). -> (step, loss, weights)."""
-    src = df.select(*xs, y).na.drop()
-    if standardize:
-        st = src.agg(F.struct(*[F.avg(c).alias(f"m{i}") for i, c in enumerate(xs)],
-                              *[F.stddev_samp(c).alias(f"s{i}") for i, c in enumerate(xs)])).scalar()
-        src = src.withColumns({c: (F.col(c) - st[f"m{i}"]) / st[f"s{i}"] for i, c in enumerate(xs)})
-    G, b, yy, n, names, _ = gram(src, xs, y, True)
-    ws, losses = gradient_descent_gram(G, b, yy, w0, n_iter, eta, n, normalize)
+    (as the reference does; a column without spread is only centred).
+    -> (step, loss, weights); without a complete row only the start weights."""
+    S, b, yy, n, x_mean, y_mean = centred(df, xs, y)
+    if standardize and n > 1:
+        sd = np.sqrt(np.diag(S) / (n - 1))
+        sd = np.where(sd > 0, sd, 1.0)
+        S, b, x_mean = S / np.outer(sd, sd), b / sd, np.zeros(len(sd))
+    ws, losses = gradient_steps(S, b, yy, n, x_mean, y_mean, w0, n_iter if n else 0, eta, normalize)
     rows = [(i, losses[i] if i < len(losses) else None, [float(v) for v in ws[i]])
             for i in range(len(ws))]
     return df.sparkSession.createDataFrame(rows, "step int, loss double, weights array<double>")
@@ -351,20 +364,18 @@ def step_aic(df: DataFrame, y: str, xs: Sequence[str]) -> DataFrame:
 # --------------------------------------------------------------------- T11
 def qq_points(df: DataFrame, col: str, grid: int = 99) -> DataFrame:
     """Sample quantiles at p = (i - 0.5)/grid against normal quantiles, and
-    the line through the quartiles (R ``qqline``)."""
+    the line through the quartiles (R ``qqline``). Without a value there are
+    no points."""
     probs = [(i - 0.5) / grid for i in range(1, grid + 1)]
     q = quantiles(df, col, probs + [0.25, 0.75])
     z = {p: dist.norm_ppf(p) for p in probs + [0.25, 0.75]}
-    spark: SparkSession = df.sparkSession
-    zt = spark.createDataFrame([(float(p), float(v)) for p, v in z.items()], "p double, theoretical double")
-    pts = q.join(zt, "p")
-    q1 = pts.filter(F.col("p") == 0.25).select("q").first()[0]
-    q3 = pts.filter(F.col("p") == 0.75).select("q").first()[0]
+    zt = df.sparkSession.createDataFrame(
+        [(float(p), float(v)) for p, v in z.items()], "p double, theoretical double")
+    pts = written(q.join(F.broadcast(zt), "p"), "qq-points")
+    q1, q3 = (pts.agg(F.max(F.when(F.col("p") == p, F.col("q")))).scalar() for p in (0.25, 0.75))
     slope = (q3 - q1) / (z[0.75] - z[0.25])
-    icpt = q1 - slope * z[0.25]
-    return (pts.filter(~F.col("p").isin(0.25, 0.75)) if 0.25 not in probs else pts) \
-        .select("p", "theoretical", F.col("q").alias("sample")) \
-        .withColumn("line", F.lit(icpt) + F.lit(slope) * F.col("theoretical"))
+    return pts.where(F.col("p").isin(probs)).select("p", "theoretical", F.col("q").alias("sample")) \
+        .withColumn("line", q1 + slope * (F.col("theoretical") - z[0.25]))
 
 
 # --------------------------------------------------------------------- T12, T13
