@@ -9,11 +9,12 @@ frequencies; phrases are then counted inside the distinct chunks, weighted by th
 frequencies. A chunk that another one follows leaves the phrases that begin in the
 shared pair to its follower, so each occurrence counts once.
 
-A phrase can reach ``min_count`` only if the phrases inside it do. So pairs are
-counted where both words are frequent, and triples where both pairs are. Workers
-test this with a Bloom filter of at most BLOOM_BITS bits: a wrong yes costs a row
-that the final count drops, and there is no wrong no, so the counts are exact at any
-size of the vocabulary.
+Only phrases with ``min_count`` occurrences matter, and they are found in two steps.
+Counts of 64-bit hashes of the phrases (triples only where both pairs are frequent)
+give a superset, as equal hashes can only add to a count. Its members, told by a
+Bloom filter of at most BLOOM_BITS bits, are then counted by their words. A wrong
+yes of either step costs a row that the final count drops and there is no wrong no,
+so the counts are exact at any size of the vocabulary.
 
 Defined results:
 
@@ -26,12 +27,11 @@ Defined results:
 
 from __future__ import annotations
 
-import re
-from collections import Counter, defaultdict
 from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 import xxhash
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
@@ -42,9 +42,9 @@ from .common import bounded_batches, lower_ascii, written
 OVERLAP = 2
 MAX_WORDS = OVERLAP + 1
 #: A pair of words in so many, on average, ends a chunk.
-TRIGGER = 11
-#: Entries that a worker gathers before it passes them on.
-FLUSH = 200_000
+TRIGGER = 31
+#: Bytes of chunks that a worker counts together.
+TOGETHER = 4 << 20
 #: Bits of a Bloom filter: BITS_EACH for every member up to BLOOM_BITS (16 MB).
 BLOOM_BITS = 1 << 27
 BITS_EACH = 12
@@ -52,65 +52,77 @@ BITS_EACH = 12
 SHIFTS = (0, 13, 25, 37)
 #: Copies of a count that the cuts of phrases are dealt to: a common word is in many.
 SALTS = 16
+#: Parts of a language whose best phrases are found apart.
+PARTS = 4
 
-_STOPS = re.compile("[.,;:!?\n-\r]")
-_WORDS = re.compile("[^ \t]+")
+STOPS = r"[.,;:!?\x0A-\x0D]"
 
 
 # --- parse ------------------------------------------------------------------
 
-def cut_piece(words: list[str], marks: dict[str, int]) -> Iterator[tuple[str, bool]]:
-    """The chunks of one piece and whether they end it; ``marks`` remembers word hashes."""
-    first = 0
-    if len(words) > MAX_WORDS:
-        hashes = []
-        for w in words:
-            h = marks.get(w)
-            if h is None:
-                h = marks[w] = xxhash.xxh32_intdigest(w.encode("utf-8", "surrogatepass"))
-            hashes.append(h)
-        for i in range(1, len(words) - OVERLAP):
-            if (hashes[i] + 31 * hashes[i + 1]) % TRIGGER == 0:
-                yield " ".join(words[first:i + OVERLAP]), False
-                first = i
-    yield " ".join(words[first:] if first else words), True
-
-
-def _parse(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    marks: dict[str, int] = {}
-    found: Counter = Counter()
-    for batch in batches:
-        for lang, text in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist()):
-            for piece in _STOPS.split(text):
-                words = _WORDS.findall(piece)
-                if words:
-                    for chunk, ends in cut_piece(words, marks):
-                        found[lang, chunk, ends] += 1
-                    if len(found) >= FLUSH:
-                        yield _rows(found, ["lang", "chunk", "ends"], "freq")
-                        found.clear()
-            if len(marks) > FLUSH:
-                marks.clear()
-    yield _rows(found, ["lang", "chunk", "ends"], "freq")
-
-
-def _rows(found: Counter, names: list[str], count: str) -> pa.RecordBatch:
-    kinds = {"ends": pa.bool_()}
-    columns = list(zip(*found)) if found else [()] * len(names)
-    arrays = [pa.array(c, kinds.get(n, pa.string())) for n, c in zip(names, columns)]
-    return pa.RecordBatch.from_arrays([*arrays, pa.array(found.values(), pa.int64())],
-                                      names=[*names, count])
-
-
-def parse(docs: DataFrame, text: str = "text", lang: str = "lang") -> DataFrame:
+def hashed(words: pa.Array) -> np.ndarray:
+    """64-bit hashes of words."""
+    return np.fromiter((xxhash.xxh64_intdigest(w) for w in words.cast(pa.binary()).to_pylist()),
+                       np.uint64, len(words))
+
+
+def mix(x: np.ndarray) -> np.ndarray:
+    """Scramble 64-bit values (one to one)."""
+    x = (x ^ (x >> np.uint64(32))) * np.uint64(0xD6E8FEB86659FD93)
+    x = (x ^ (x >> np.uint64(29))) * np.uint64(0x9E3779B97F4A7C15)
+    return x ^ (x >> np.uint64(32))
+
+
+def ranges(starts: np.ndarray, ends: np.ndarray) -> np.ndarray:
+    """All positions of the ranges, one range after the other."""
+    sizes = ends - starts
+    return np.repeat(starts - (np.cumsum(sizes) - sizes), sizes) + np.arange(sizes.sum())
+
+
+def cut(lang: pa.Array, text: pa.Array, trigger: int = TRIGGER) -> pa.Table:
+    """Distinct chunks of the texts (``lang``, ``chunk``, ``ends``, ``freq``)."""
+    pieces = pc.split_pattern_regex(text, STOPS)
+    doc = np.repeat(np.arange(len(text)), pc.list_value_length(pieces).to_numpy())
+    split = pc.split_pattern(pc.replace_substring(pieces.flatten(), "\t", " "), " ")
+    piece = np.repeat(np.arange(len(split)), pc.list_value_length(split).to_numpy())
+    words = split.flatten()
+    filled = pc.greater(pc.binary_length(words), 0)
+    words, piece = words.filter(filled), piece[filled.to_numpy(zero_copy_only=False)]
+    coded = words.dictionary_encode()
+    h = hashed(coded.dictionary)[coded.indices.to_numpy()]
+    size = np.bincount(piece, minlength=len(split))
+    at = np.arange(len(piece)) - (np.cumsum(size) - size)[piece]
+    pair = h + np.uint64(31) * np.append(h[1:], np.uint64(0))
+    opens = (at == 0) | (at > 0) & (at + OVERLAP < size[piece]) & (
+        mix(pair) % np.uint64(trigger) == 0)
+    starts = np.flatnonzero(opens)
+    after = np.append(starts[1:], len(piece))
+    ends = np.append(at[after[:-1]] == 0, True) if len(starts) else np.empty(0, bool)
+    stops = np.where(ends, after, after + OVERLAP)
+    lists = pa.ListArray.from_arrays(
+        pa.array(np.append(0, np.cumsum(stops - starts)), pa.int32()),
+        words.take(pa.array(ranges(starts, stops))))
+    made = pa.table({"lang": lang.take(pa.array(doc[piece[starts]])),
+                     "chunk": pc.binary_join(lists, " "), "ends": pa.array(ends)})
+    found = made.group_by(["lang", "chunk", "ends"], use_threads=False).aggregate([([], "count_all")])
+    return found.rename_columns(["lang", "chunk", "ends", "freq"])
+
+
+def parse(docs: DataFrame, text: str = "text", lang: str = "lang",
+          trigger: int = TRIGGER) -> DataFrame:
     """The dictionary of distinct chunks (``lang``, ``chunk``, ``ends``, ``freq``).
 
     A chunk is its words joined by spaces; ``ends`` tells that it ends its piece.
     """
     bounded_batches(docs.sparkSession)
+
+    def cut_all(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            yield from cut(batch.column(0), batch.column(1), trigger).to_batches()
+
     plain = docs.select(F.coalesce(F.col(lang).cast("string"), F.lit("und")).alias("lang"),
                         lower_ascii(F.col(text)).alias("text")).where(F.col("text").isNotNull())
-    return plain.mapInArrow(_parse, "lang string, chunk string, ends boolean, freq long") \
+    return plain.mapInArrow(cut_all, "lang string, chunk string, ends boolean, freq long") \
         .groupBy("lang", "chunk", "ends").agg(F.sum("freq").alias("freq"))
 
 
@@ -120,103 +132,139 @@ def owned(chunk: Column, ends: Column) -> Column:
     return n - F.when(ends, 0).otherwise(OVERLAP)
 
 
-# --- Bloom filter -------------------------------------------------------------
+# --- counts -------------------------------------------------------------------
 
 class Members:
-    """A Bloom filter of (lang, phrase); ``xxhash64(lang, phrase)`` gives the probes."""
+    """A Bloom filter of 64-bit hashes."""
 
-    def __init__(self, data: bytes):
-        self.data, self.mask = data, len(data) * 8 - 1
+    def __init__(self, bits: np.ndarray):
+        self.bits = bits  # bytes
 
     @staticmethod
-    def of(phrases: DataFrame) -> Members:
-        """From a written table; words of 64 bits are put together in Spark."""
-        n, bits = phrases.count(), 1 << 10
-        while bits < min(BLOOM_BITS, BITS_EACH * n):
-            bits *= 2
-        probes = F.array(*[F.shiftrightunsigned(F.xxhash64("lang", "phrase"), k).bitwiseAND(
-            F.lit(bits - 1).cast("long")) for k in SHIFTS])
-        found = phrases.select(F.explode(probes).alias("at")).groupBy(
+    def of(hashes: DataFrame) -> Members:
+        """Of the column ``hash`` of a written table; 64 bits at a time are set in Spark."""
+        n, size = hashes.count(), 1 << 10
+        while size < min(BLOOM_BITS, BITS_EACH * n):
+            size *= 2
+        probes = F.array(*[F.shiftrightunsigned("hash", k).bitwiseAND(
+            F.lit(size - 1).cast("long")) for k in SHIFTS])
+        found = hashes.select(F.explode(probes).alias("at")).groupBy(
             F.shiftright("at", 6).alias("word")).agg(
             F.bit_or(F.expr("shiftleft(1L, cast(at & 63 as int))")).alias("bits")).toArrow()
-        words = np.zeros(bits // 64, "<i8")
+        words = np.zeros(size // 64, "<i8")
         words[found.column("word").to_numpy()] = found.column("bits").to_numpy()
-        return Members(words.tobytes())
+        return Members(words.view(np.uint8))
 
-    def has(self, seed: int, phrase: str) -> bool:
-        h = xxhash.xxh64_intdigest(phrase.encode("utf-8", "surrogatepass"), seed=seed)
+    def has(self, hashes: np.ndarray) -> np.ndarray:
+        mask = np.uint64(len(self.bits) * 8 - 1)
+        yes = np.ones(len(hashes), bool)
         for k in SHIFTS:
-            at = h >> k & self.mask
-            if not self.data[at >> 3] >> (at & 7) & 1:
-                return False
-        return True
-
-
-def lang_seed(lang: str) -> int:
-    return xxhash.xxh64_intdigest(lang.encode("utf-8", "surrogatepass"), seed=42)
-
-
-# --- counts ---------------------------------------------------------------------
-
-def _known(members: Members, lang: str, memory: dict, parts: list[str]) -> list[bool]:
-    seed, out = lang_seed(lang), []
-    for part in parts:
-        yes = memory.get(part)
-        if yes is None:
-            yes = memory[part] = members.has(seed, part)
-        out.append(yes)
-    return out
-
-
-def _count(batches: Iterator[pa.RecordBatch], n: int, shared) -> Iterator[pa.RecordBatch]:
-    found: Counter = Counter()
-    memories: dict[str, dict] = defaultdict(dict)
-    members = None if shared is None else shared.value
+            at = (hashes >> np.uint64(k)) & mask
+            yes &= (self.bits[at >> np.uint64(3)] >> (at & np.uint64(7)).astype(np.uint8) & 1) > 0
+        return yes
+
+
+class Phrases:
+    """The phrases of a table of chunks: where they start, their weights and hashes."""
+
+    def __init__(self, chunks: pa.Table):
+        chunks = chunks.combine_chunks()
+        lists = pc.split_pattern(chunks["chunk"].chunk(0), " ")
+        size = pc.list_value_length(lists).to_numpy().astype(np.int64)
+        coded = lists.flatten().dictionary_encode()
+        self.words, self.code = coded.dictionary, coded.indices.to_numpy()
+        langs = chunks["lang"].chunk(0).dictionary_encode()
+        self.langs = langs.dictionary
+        row = np.repeat(np.arange(len(size)), size)
+        self.lang = langs.indices.to_numpy()[row]
+        self.freq = chunks["freq"].to_numpy()[row]
+        at = np.arange(len(row)) - (np.cumsum(size) - size)[row]
+        ends = chunks["ends"].chunk(0).to_numpy(zero_copy_only=False)
+        self.own = at < (size - np.where(ends, 0, OVERLAP))[row]
+        self.left = size[row] - at  # words from here to the chunk's end
+        h = hashed(self.words)[self.code]
+        self.hash = {1: mix(hashed(self.langs)[self.lang] + h)}
+        for n in range(2, MAX_WORDS + 1):
+            ahead = np.append(h[n - 1:], np.zeros(min(n - 1, len(h)), np.uint64))
+            self.hash[n] = mix(self.hash[n - 1] * np.uint64(3) + ahead)
+
+    def starts(self, n: int) -> np.ndarray:
+        """True where a phrase of ``n`` words starts that this chunk counts."""
+        return self.own & (self.left >= n)
+
+    def hash_counts(self, n: int, where: np.ndarray) -> pa.RecordBatch:
+        at = np.flatnonzero(where)
+        found = pa.table({"hash": self.hash[n][at].view(np.int64), "n": self.freq[at]}).group_by(
+            "hash", use_threads=False).aggregate([("n", "sum")])
+        return _one(found.rename_columns(["hash", "n"]))
+
+    def word_counts(self, n: int, where: np.ndarray) -> pa.RecordBatch:
+        at = np.flatnonzero(where)
+        keys = {"lang": self.lang[at]} | {f"w{k}": self.code[at + k] for k in range(n)}
+        found = pa.table(keys | {"n": self.freq[at]}).group_by(
+            list(keys), use_threads=False).aggregate([("n", "sum")]).combine_chunks()
+        parts = [self.words.take(found[f"w{k}"]) for k in range(n)]
+        phrase = parts[0] if n == 1 else pc.binary_join_element_wise(*parts, " ")
+        return _one(pa.table({"lang": self.langs.take(found["lang"]), "phrase": phrase,
+                              "size": pa.array(np.full(len(found), n), pa.int32()),
+                              "n": found["n_sum"]}))
+
+
+def _one(found: pa.Table) -> pa.RecordBatch:
+    return pa.RecordBatch.from_arrays([c.combine_chunks() for c in found.columns],
+                                      names=found.column_names)
+
+
+def _together(batches: Iterator[pa.RecordBatch], enough: int) -> Iterator[Phrases]:
+    """The phrases of about so many bytes of chunks at a time."""
+    held, size = [], 0
     for batch in batches:
-        columns = [batch.column(k).to_pylist() for k in range(4)]
-        for lang, chunk, ends, freq in zip(*columns):
-            words = chunk.split(" ")
-            stop = min(len(words) if ends else len(words) - OVERLAP, len(words) - n + 1)
-            if n == 1:
-                for w in words[:stop]:
-                    found[lang, w] += freq
-            elif stop > 0:
-                memory = memories[lang]
-                if n == 2:
-                    known = _known(members, lang, memory, words)
-                    for i in range(stop):
-                        if known[i] and known[i + 1]:
-                            found[lang, f"{words[i]} {words[i + 1]}"] += freq
-                else:
-                    pairs = [f"{a} {b}" for a, b in zip(words, words[1:])]
-                    known = _known(members, lang, memory, pairs)
-                    for i in range(stop):
-                        if known[i] and known[i + 1]:
-                            found[lang, f"{pairs[i]} {words[i + 2]}"] += freq
-                if len(memory) > FLUSH:
-                    memory.clear()
-            if len(found) >= FLUSH:
-                yield _rows(found, ["lang", "phrase"], "n")
-                found.clear()
-    yield _rows(found, ["lang", "phrase"], "n")
-
-
-def frequent(chunks: DataFrame, n: int, min_count: int, parts: DataFrame | None) -> DataFrame:
-    """Phrases of ``n`` words with ``min_count`` occurrences (``lang``, ``phrase``, ``f``).
-
-    ``parts`` are the frequent phrases of one word less (none for single words).
-    """
-    spark = chunks.sparkSession
-    shared = None if parts is None else spark.sparkContext.broadcast(Members.of(parts))
-
-    def count(batches):
-        return _count(batches, n, shared)
-
-    counted = chunks.mapInArrow(count, "lang string, phrase string, n long").groupBy(
-        "lang", "phrase").agg(F.sum("n").alias("f")).where(F.col("f") >= min_count)
-    out = written(counted, f"phrases-{n}")
-    if shared is not None:
-        shared.destroy()
+        held.append(batch)
+        size += batch.nbytes
+        if size >= enough:
+            yield Phrases(pa.Table.from_batches(held))
+            held, size = [], 0
+    if sum(b.num_rows for b in held):
+        yield Phrases(pa.Table.from_batches(held))
+
+
+def _frequent_hashes(chunks: DataFrame, count, min_count: int, tag: str) -> DataFrame:
+    found = chunks.mapInArrow(count, "hash long, n long").groupBy("hash").agg(
+        F.sum("n").alias("n")).where(F.col("n") >= min_count)
+    return written(found.select("hash"), tag)
+
+
+def frequent(chunks: DataFrame, min_count: int, together: int = TOGETHER) -> DataFrame:
+    """Phrases with ``min_count`` occurrences (``lang``, ``phrase``, ``size``, ``f``), exactly."""
+    context = chunks.sparkSession.sparkContext
+
+    def short(batches):
+        for p in _together(batches, together):
+            for n in range(1, MAX_WORDS):
+                yield p.hash_counts(n, p.starts(n))
+
+    some = _frequent_hashes(chunks, short, min_count, "phrase-hashes")
+    inner = context.broadcast(Members.of(some))
+
+    def long(batches):
+        for p in _together(batches, together):
+            known = inner.value.has(p.hash[MAX_WORDS - 1])
+            both = known & np.append(known[1:], False)
+            yield p.hash_counts(MAX_WORDS, p.starts(MAX_WORDS) & both)
+
+    some = some.union(_frequent_hashes(chunks, long, min_count, "phrase-hashes-long"))
+    members = context.broadcast(Members.of(some))
+
+    def spelled(batches):
+        for p in _together(batches, together):
+            for n in range(1, MAX_WORDS + 1):
+                yield p.word_counts(n, p.starts(n) & members.value.has(p.hash[n]))
+
+    found = chunks.mapInArrow(spelled, "lang string, phrase string, size int, n long").groupBy(
+        "lang", "phrase", "size").agg(F.sum("n").alias("f")).where(F.col("f") >= min_count)
+    out = written(found, "phrases")
+    inner.destroy()
+    members.destroy()
     return out
 
 
@@ -278,7 +326,8 @@ def contained(counts: dict[int, DataFrame], share: int) -> DataFrame:
 
 
 def mine(docs: DataFrame, min_count: int = 10, share: int = 50, top: int = 2000,
-         text: str = "text", lang: str = "lang") -> DataFrame:
+         text: str = "text", lang: str = "lang", trigger: int = TRIGGER,
+         together: int = TOGETHER) -> DataFrame:
     """The ``top`` phrases of every language (``lang``, ``rank``, ``phrase``, ``a``, ``l``,
     ``r``, ``n``, ``score``).
 
@@ -286,17 +335,16 @@ def mine(docs: DataFrame, min_count: int = 10, share: int = 50, top: int = 2000,
     ``n`` all words of the language; the score is floor(1000000 a a / (l r)). A phrase
     goes if a longer candidate around it has ``share`` percent of its count.
     """
-    chunks = written(parse(docs, text, lang), "phrase-chunks")
-    counts: dict[int, DataFrame] = {}
-    for n in range(1, MAX_WORDS + 1):
-        counts[n] = frequent(chunks, n, min_count, counts.get(n - 1))
+    chunks = written(parse(docs, text, lang, trigger), "phrase-chunks")
+    phrases = frequent(chunks, min_count, together)
+    counts = {n: phrases.where(F.col("size") == n) for n in range(1, MAX_WORDS + 1)}
     words = chunks.groupBy("lang").agg(
         F.sum(F.col("freq") * owned(F.col("chunk"), F.col("ends"))).alias("n"))
     kept = scored(counts).join(contained(counts, share), ["lang", "phrase"], "left").where(
         F.coalesce(F.col("inside") < share * F.col("a"), F.lit(True)))
     order = [F.col("score").desc(), F.col("a").desc(), F.col("phrase")]
     # a language's best are among the best of its parts
-    part = Window.partitionBy("lang", F.pmod(F.hash("phrase"), F.lit(SALTS))).orderBy(*order)
+    part = Window.partitionBy("lang", F.pmod(F.hash("phrase"), F.lit(PARTS))).orderBy(*order)
     best = kept.withColumn("rank", F.row_number().over(part)).where(F.col("rank") <= top)
     whole = Window.partitionBy("lang").orderBy(*order)
     ranked = best.withColumn("rank", F.row_number().over(whole)).where(F.col("rank") <= top)
