@@ -33,7 +33,7 @@ from .common import written
 from .filters import masked
 
 #: Rows of a bucket of the digest or of the fraction, on average.
-BUCKET_ROWS = 20_000
+BUCKET_ROWS = 2_000
 #: Buckets at most; beyond BUCKET_ROWS * MAX_BUCKETS rows the buckets grow instead.
 MAX_BUCKETS = 65_536
 _HEX = 16 ** 8
