@@ -1,8 +1,9 @@
 from collections import defaultdict
-from hashlib import md5
 
+import pytest
 from corpus_helpers import sentence
 
+from tidewater.llm import common
 from tidewater.llm import line_chunks as L
 
 
@@ -10,30 +11,31 @@ def brute(rows):
     """(id, text, lines, removed lines, removed chunks) of unique ids."""
     places = defaultdict(list)
     for i, text in rows:
-        if text is None:
-            continue
-        lines = text.split("\n")
-        h = [int(md5(x.encode()).hexdigest()[:7], 16) for x in lines]
-        at = 0
-        for k in range(len(lines)):
-            before = h[k - 1] if k else 0
-            if (before % L.MODULUS * L.FACTOR + h[k]) % L.MODULUS % L.DIVISOR == 0 \
-                    or k == len(lines) - 1:
-                body = "\n".join(lines[at:k + 1])
-                if k + 1 - at >= L.MIN_LINES and len(body.split()) >= L.MIN_WORDS:
-                    places[body].append((i is None, i or 0, at, k + 1 - at, i))
-                at = k + 1
-    gone = defaultdict(list)
-    for found in places.values():
-        for _, _, at, n, i in sorted(found)[1:]:
-            gone[i].append((at, n))
+        lines = [] if text is None else text.split("\n")
+        for k, line in enumerate(lines):
+            if k + 1 < len(lines) and (line + lines[k + 1]).split():
+                places[line, lines[k + 1]].append((i is None, i or 0, k, i))
+            if len(line.split()) >= L.LONG_WORDS:
+                places[line,].append((i is None, i or 0, k, i))
+    marked = defaultdict(set)
+    for window, found in places.items():
+        for _, _, k, i in sorted(found)[1:]:
+            marked[i].update(range(k, k + len(window)))
     out = []
     for i, text in rows:
         lines = [] if text is None else text.split("\n")
-        drop = {k for at, n in gone[i] for k in range(at, at + n)}
+        drop, n_chunks, run = set(), 0, []
+        for k in range(len(lines) + 1):
+            if k in marked[i]:
+                run.append(k)
+            elif run:
+                if sum(len(lines[j].split()) for j in run) >= L.MIN_WORDS:
+                    drop.update(run)
+                    n_chunks += 1
+                run = []
         left = [x for k, x in enumerate(lines) if k not in drop]
         out.append((str(i), None if text is None else "\n".join(left), len(lines), len(drop),
-                    len(gone[i])))
+                    n_chunks))
     return sorted(out)
 
 
@@ -62,7 +64,7 @@ def test_against_brute_force(make_docs, edge_rows):
 
 
 def test_same_through_shuffled_joins(make_docs, monkeypatch):
-    monkeypatch.setattr(L, "BROADCAST_ROWS", -1)
+    monkeypatch.setattr(common, "BROADCAST_BYTES", -1)
     rows = [(k, block(300 + k, k) + "\n" + block(5, 20) if k else block(5, 20)) for k in range(6)]
     assert result(L.dedup_lines(make_docs(rows))) == brute(rows)
 
@@ -72,7 +74,44 @@ def test_shared_passage_is_cut_alike_wherever_it_stands(make_docs):
     rows = [(k, block(300 + k, k) + "\n" + passage if k else passage) for k in range(1, 12)]
     got = {r.doc_id: r for r in L.dedup_lines(make_docs(rows)).collect()}
     assert got[1].n_removed_lines == 0
-    assert all(got[k].n_removed_lines >= 25 for k in range(2, 12))
+    assert all(got[k].n_removed_lines == 40 for k in range(2, 12))
+
+
+@pytest.mark.parametrize("n", [2, 3, 4, 5, 6, 7, 8])
+def test_short_passages_inside_other_text_go_whole(make_docs, n):
+    rows = [(k, block(400 + k, 3) + "\n" + block(9, n) + "\n" + block(700 + k, 4))
+            for k in range(1, 10)]
+    got = {r.doc_id: r for r in L.dedup_lines(make_docs(rows)).collect()}
+    assert got[1].n_removed_lines == 0
+    for k in range(2, 10):
+        assert (got[k].n_removed_lines, got[k].n_removed_chunks) == (n, 1)
+        assert got[k].text == block(400 + k, 3) + "\n" + block(700 + k, 4)
+
+
+def test_one_line_needs_many_words(make_docs):
+    short, long = sentence(5, L.LONG_WORDS - 1), sentence(6, L.LONG_WORDS)
+    rows = [(k, f"{block(500 + k, 2)}\n{short}\n{block(520 + k, 2)}\n{long}\n{block(540 + k, 2)}")
+            for k in range(1, 5)]
+    got = {r.doc_id: r.n_removed_lines for r in L.dedup_lines(make_docs(rows)).collect()}
+    assert got == {1: 0, 2: 1, 3: 1, 4: 1}
+
+
+def test_few_words_stay_and_overlapping_passages_keep_every_line_once(make_docs):
+    a, b, c, d = (sentence(60 + k, 9) for k in range(4))
+    rows = [(1, f"{a}\n{b}\n{c}"), (2, f"{b}\n{c}\n{d}"), (3, f"{a}\n{b}\n{c}\n{d}"),
+            (4, "x\n\n\n\ny"), (5, "x\n\n\n\ny")]
+    got = L.dedup_lines(make_docs(rows))
+    assert result(got) == brute(rows)
+    texts = {r.doc_id: r.text for r in got.collect()}
+    assert (texts[2], texts[3], texts[5]) == (d, "", "x\n\n\n\ny")
+
+
+def test_clashing_names(make_docs):
+    rows = [(k, block(300 + k, 2) + "\n" + block(5, 4)) for k in range(3)]
+    docs = make_docs(rows)
+    more = docs.selectExpr("*", "1 AS _gone", "2 AS _gone_id", "3 AS _gone_th")
+    assert result(L.dedup_lines(more)) == result(L.dedup_lines(docs))
+    assert L.dedup_lines(more).first()["_gone_id"] == 2
 
 
 def test_repeated_rows_lose_the_same_and_empty_table(make_docs):

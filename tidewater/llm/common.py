@@ -54,6 +54,29 @@ def lower_ascii(text: Column) -> Column:
     return F.translate(text, "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz")
 
 
+def fresh(df: DataFrame, *names: str) -> list[str]:
+    """The names, with underscores in front where ``df`` has such a column."""
+    taken, out = {c.lower() for c in df.columns}, []
+    for name in names:
+        while name.lower() in taken:
+            name = "_" + name
+        out.append(name)
+    return out
+
+
+#: Tables of up to so many bytes are broadcast.
+BROADCAST_BYTES = 64 << 20
+
+
+def small(table: DataFrame, row_bytes: int, rows: int | None = None) -> DataFrame:
+    """``table`` with a broadcast hint if its rows, counted, are small enough together.
+
+    Beyond that the planner joins it by shuffles, with the same result.
+    """
+    rows = table.count() if rows is None else rows
+    return F.broadcast(table) if rows * row_bytes <= BROADCAST_BYTES else table
+
+
 def let(value: Column, use) -> Column:
     """``use(value)`` with the value computed once.
 

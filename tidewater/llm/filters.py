@@ -5,10 +5,10 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from .common import written
+from .common import fresh, small, written
 
-#: Sets of up to so many rows are broadcast against the texts; larger ones are joined.
-BROADCAST_IDS = 1_000_000
+#: Bytes of an id and a hash, about.
+ID_BYTES = 40
 
 
 def masked(docs: DataFrame, *apart: str) -> tuple[DataFrame, dict[str, str]]:
@@ -30,12 +30,11 @@ def drop_texts(docs: DataFrame, gone: DataFrame, tag: str) -> DataFrame:
 
     A null id is an id like others.
     """
-    gone = written(gone.select(F.col("doc_id").alias("_gone"), F.col("th").alias("_gone_th"))
+    an_id, th = fresh(docs, "_gone", "_gone_th")
+    gone = written(gone.select(F.col("doc_id").alias(an_id), F.col("th").alias(th))
                    .distinct(), tag)
-    if gone.count() <= BROADCAST_IDS:
-        gone = F.broadcast(gone)
-    return docs.join(gone, F.col("doc_id").eqNullSafe(F.col("_gone"))
-                     & (text_hash() == F.col("_gone_th")), "left_anti")
+    return docs.join(small(gone, ID_BYTES), F.col("doc_id").eqNullSafe(F.col(an_id))
+                     & (text_hash() == F.col(th)), "left_anti")
 
 
 def one_row_per_text(docs: DataFrame, tag: str) -> DataFrame:
@@ -43,12 +42,13 @@ def one_row_per_text(docs: DataFrame, tag: str) -> DataFrame:
 
     Only those rows are shuffled. Rows with a null id all stay.
     """
-    twice = written(docs.where(F.col("doc_id").isNotNull()).groupBy(
-        "doc_id", text_hash().alias("th")).count().where("count > 1").select(
-        F.col("doc_id").alias("_twice"), F.col("th").alias("_twice_th")), tag)
+    an_id, th = fresh(docs, "_twice", "_twice_th")
+    twice = written(docs.where(F.col("doc_id").isNotNull()).select(
+        F.col("doc_id").alias(an_id), text_hash().alias(th)).groupBy(an_id, th).count().where(
+        "count > 1").select(an_id, th), tag)
     if twice.isEmpty():
         return docs
-    same = (F.col("doc_id") == F.col("_twice")) & (text_hash() == F.col("_twice_th"))
+    same = (F.col("doc_id") == F.col(an_id)) & (text_hash() == F.col(th))
     again = docs.join(twice, same, "left_semi")
     return docs.join(twice, same, "left_anti").unionByName(
         again.dropDuplicates(["doc_id", "text"]))

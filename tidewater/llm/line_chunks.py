@@ -1,84 +1,80 @@
 """Line deduplication by content-defined chunks of lines.
 
-Lines are hashed, a rolling hash runs over the hashes of the last SPAN
-lines, and a chunk ends where it falls into one of DIVISOR residues. The
-boundaries depend on the lines around them only, so a passage that many
-documents share is cut alike wherever it stands. Chunks of two or more
-lines that occur more than once in the corpus are removed everywhere but at
-their first place, after their bytes have been compared.
+A rolling hash runs over the hashes of SPAN neighbouring lines, at every line. Where
+the lines under it have stood together before, anywhere in the corpus, it is a
+repeat, after their bytes have been compared with those of the first place. A chunk
+begins where repeats begin and ends where they end: its boundaries are set by the
+content alone, so a passage is found wherever it stands and whatever surrounds it,
+from SPAN lines on. Chunks are removed everywhere but at their first place. A single
+line of LONG_WORDS words or more is a repeat by itself.
+
+Boundaries at chosen values of the rolling hash alone, with whole chunks compared,
+would miss most short passages inside other text: the chunk that a passage begins or
+ends in reaches into its surroundings.
 """
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from .common import let, written
+from .common import fresh, let, small, written
 
-#: Lines under the rolling hash, its factor and modulus (a Mersenne prime).
-SPAN, FACTOR, MODULUS = 2, 31, 2147483647
-#: A boundary follows where the rolling hash is 0 modulo this: about this many lines a chunk.
-DIVISOR = 3
-#: Chunks of fewer lines, or fewer words, stay.
-MIN_LINES, MIN_WORDS = 2, 8
-#: Repeated chunks and removed spans up to so many (some 100 bytes each) are broadcast, so that
-#: no text is shuffled; more of them are joined by shuffles.
-BROADCAST_ROWS = 500_000
+#: Lines under the rolling hash.
+SPAN = 2
+#: Chunks of fewer words stay; a line of so many counts without a neighbour.
+MIN_WORDS, LONG_WORDS = 8, 50
+#: Bytes of a row of repeats and of a removed chunk, about: tables of them are broadcast
+#: while they are small, so that no text is shuffled.
+REPEAT_BYTES, CHUNK_BYTES = 80, 64
 
 
 def line_hash(line: Column) -> Column:
-    """First 28 bits of the line's MD5, as SQL engines agree on it."""
-    return F.conv(F.substring(F.md5(line.cast("binary")), 1, 7), 16, 10).cast("long")
+    """First 60 bits of the line's MD5."""
+    return F.conv(F.substring(F.md5(line.cast("binary")), 1, 15), 16, 10).cast("long")
 
 
-def ends(lines: Column, span: int = SPAN, divisor: int = DIVISOR) -> Column:
-    """Rising positions (from 1) of the last line of every chunk."""
-    def rolling(h, i):
-        value = F.lit(0).cast("long")
-        for k in range(span):  # lines before the first count as 0
-            value = (value * FACTOR + F.coalesce(F.get(h, i - (span - 1 - k)), F.lit(0))) % MODULUS
-        return value
+def n_words(text: Column | str) -> Column:
+    return F.regexp_count(text, F.lit(r"\S+"))
 
-    return let(F.transform(lines, line_hash), lambda h: F.array_compact(F.transform(
-        h, lambda x, i: F.when(
-            (rolling(h, i) % divisor == 0) | (i == F.size(h) - 1), i + 1))))
 
+def windows(docs: DataFrame, text: str = "text") -> DataFrame:
+    """``doc_id``, ``th`` (text hash) and one row per place of the rolling hash.
 
-def chunks(docs: DataFrame, text: str = "text") -> DataFrame:
-    """``doc_id``, ``th`` (text hash) and one row per chunk: ``at``, ``n`` and ``body``.
-
-    ``at`` is the first line (from 0), ``n`` the number of lines.
+    ``at`` is the first line (from 0), ``n`` the number of lines, ``h`` the hash,
+    ``body`` the lines. Lines without a word make no window by themselves.
     """
     cut = docs.where(F.col(text).isNotNull()).select(
         "doc_id", F.xxhash64(text).alias("th"), F.split(text, "\n", -1).alias("lines"))
-    cut = cut.withColumn("ends", let(F.col("lines"), lambda x: ends(x)))
-    spans = let(F.col("ends"), lambda e: F.transform(e, lambda x, i: F.struct(
-        F.coalesce(F.get(e, i - 1), F.lit(0)).alias("at"), x.alias("to"))))
-    parts = F.transform(
-        F.filter(spans, lambda s: s["to"] - s["at"] >= MIN_LINES),
-        lambda s: F.struct(s["at"].alias("at"), (s["to"] - s["at"]).alias("n"), F.array_join(
-            F.slice("lines", s["at"] + 1, s["to"] - s["at"]), "\n").alias("body")))
-    out = cut.select("doc_id", "th", F.inline(parts))
-    return out.where(F.regexp_count("body", F.lit(r"\S+")) >= MIN_WORDS)
+    hashed = cut.withColumn("hs", F.transform("lines", line_hash))
+    # one pass over the lines; the window of a line reaches to the next one
+    rows = hashed.select("doc_id", "th", F.posexplode(F.arrays_zip(
+        F.col("lines").alias("one"), F.col("hs").alias("h1"),
+        F.concat(F.slice("lines", 2, F.greatest(F.size("lines") - 1, F.lit(0))),
+                 F.array(F.lit(None).cast("string"))).alias("two"),
+        F.concat(F.slice("hs", 2, F.greatest(F.size("hs") - 1, F.lit(0))),
+                 F.array(F.lit(None).cast("long"))).alias("h2"))).alias("at", "w"))
+    pair = F.when(F.col("w.two").isNotNull(), F.concat_ws("\n", "w.one", "w.two"))
+    pairs = rows.select("doc_id", "th", "at", F.lit(SPAN).alias("n"),
+                        F.xxhash64("w.h1", "w.h2").alias("h"), pair.alias("body")).where(
+        F.col("body").rlike(r"\S"))
+    alone = rows.select("doc_id", "th", "at", F.lit(1).alias("n"), F.xxhash64("w.h1").alias("h"),
+                        F.col("w.one").alias("body")).where(n_words("body") >= LONG_WORDS)
+    return pairs.unionByName(alone)
 
 
 def repeated(docs: DataFrame, text: str = "text") -> DataFrame:
-    """The chunks to remove: ``doc_id, th, at, n``, all but each text's first place.
+    """The windows that repeat: ``doc_id, th, at, n``, all but each one's first place.
 
-    Chunks are grouped by SHA-256; the first place (smallest id, then text
-    hash, then line) of each group keeps its lines, and the others are
-    removed if their bytes equal the first one's.
+    Windows are grouped by hash; the first place (smallest id, then text hash, then
+    line) of each group stays, and the others repeat it if their bytes equal its.
     """
-    places = chunks(docs, text).select(
-        "doc_id", "th", "at", "n", F.unhex(F.sha2(F.col("body").cast("binary"), 256)).alias("h"))
     # a null id sorts after all others
     order = F.struct(F.col("doc_id").isNull().alias("no_id"), "doc_id", "th", "at")
-    copies = written(places.groupBy("h").agg(F.min(order).alias("first"),
-                                             F.count(F.lit(1)).alias("copies")).where("copies > 1"),
-                     "line-copies")
-    few = F.broadcast(copies) if copies.count() <= BROADCAST_ROWS else copies
-    again = chunks(docs, text).withColumn(
-        "h", F.unhex(F.sha2(F.col("body").cast("binary"), 256))).join(few, "h")
+    copies = written(windows(docs, text).groupBy("h").agg(
+        F.min(order).alias("first"), F.count(F.lit(1)).alias("copies")).where("copies > 1"),
+        "line-copies")
+    again = windows(docs, text).join(small(copies.select("h", "first"), REPEAT_BYTES), "h")
     again = written(again.select("h", "doc_id", "th", "at", "n", "body",
                                  order.eqNullSafe(F.col("first")).alias("is_first")),
                     "line-repeats")
@@ -87,6 +83,18 @@ def repeated(docs: DataFrame, text: str = "text") -> DataFrame:
     return same.select("doc_id", "th", "at", "n").distinct()
 
 
+def chunks(found: DataFrame) -> DataFrame:
+    """Runs of neighbouring lines under the windows: ``doc_id, th, at, n``."""
+    w = Window.partitionBy("doc_id", "th").orderBy("at", "n")
+    reach = F.max(F.col("at") + F.col("n")).over(w.rowsBetween(Window.unboundedPreceding, -1))
+    opened = found.withColumn("opens", F.coalesce(F.col("at") > reach, F.lit(True)).cast("int"))
+    runs = opened.withColumn("run", F.sum("opens").over(
+        w.rowsBetween(Window.unboundedPreceding, 0)))
+    return runs.groupBy("doc_id", "th", "run").agg(
+        F.min("at").alias("at"), F.max(F.col("at") + F.col("n")).alias("to")).select(
+        "doc_id", "th", "at", (F.col("to") - F.col("at")).alias("n"))
+
+
 def dedup_lines(docs: DataFrame, *, text: str = "text") -> DataFrame:
     """``docs`` with globally repeated chunks of lines taken out of ``text``.
 
@@ -97,18 +105,21 @@ def dedup_lines(docs: DataFrame, *, text: str = "text") -> DataFrame:
     repeat both lose the same chunks. Columns of ``docs`` named like the new
     ones are replaced.
     """
-    gone = repeated(docs, text).groupBy("doc_id", "th").agg(
-        F.sort_array(F.collect_list(F.struct("at", "n"))).alias("_gone")).select(
-        F.col("doc_id").alias("_gone_id"), F.col("th").alias("_gone_th"), "_gone")
-    gone = written(gone, "line-removals")
-    n_gone = gone.agg(F.coalesce(F.sum(F.size("_gone")), F.lit(0))).first()[0]
-    if n_gone <= BROADCAST_ROWS:
-        gone = F.broadcast(gone)
-    joined = docs.join(gone, F.col("doc_id").eqNullSafe(F.col("_gone_id"))
-                       & F.xxhash64(text).eqNullSafe(F.col("_gone_th")), "left")
-    # lines between the removed spans, in order
+    gone, gone_id, gone_th = fresh(docs, "_gone", "_gone_id", "_gone_th")
+    spans = chunks(repeated(docs, text)).groupBy("doc_id", "th").agg(
+        F.sort_array(F.collect_list(F.struct("at", "n"))).alias(gone)).select(
+        F.col("doc_id").alias(gone_id), F.col("th").alias(gone_th), gone)
+    spans = written(spans, "line-removals")
+    n_chunks = spans.agg(F.coalesce(F.sum(F.size(gone)), F.lit(0))).first()[0]
+    joined = docs.join(small(spans, CHUNK_BYTES, n_chunks), F.col("doc_id").eqNullSafe(
+        F.col(gone_id)) & F.xxhash64(text).eqNullSafe(F.col(gone_th)), "left")
     lines = F.split(text, "\n", -1)
+    # a chunk needs enough words
+    joined = joined.withColumn(gone, F.when(F.col(gone).isNotNull(), let(lines, lambda ls: F.filter(
+        F.col(gone), lambda s: n_words(F.array_join(F.slice(ls, s["at"] + 1, s["n"]), "\n"))
+        >= MIN_WORDS))))
 
+    # lines between the removed chunks, in order
     def rest(all_lines, spans):
         last = F.size(spans)
         begins = F.concat(F.array(F.lit(0)), F.transform(spans, lambda s: s["at"] + s["n"]))
@@ -116,49 +127,50 @@ def dedup_lines(docs: DataFrame, *, text: str = "text") -> DataFrame:
             all_lines, b + 1, F.when(i < last, F.get(spans, i)["at"]).otherwise(
                 F.size(all_lines)) - b)))
 
-    kept = let(lines, lambda ls: let(F.col("_gone"), lambda g: rest(ls, g)))
-    shorter = F.when(F.col("_gone").isNull(), F.col(text)).otherwise(F.array_join(kept, "\n"))
+    kept = let(lines, lambda ls: let(F.col(gone), lambda g: rest(ls, g)))
+    whole = F.col(gone).isNull() | (F.size(gone) == 0)
+    shorter = F.when(whole, F.col(text)).otherwise(F.array_join(kept, "\n"))
     n_lines = F.coalesce(F.size(F.split(text, "\n", -1)), F.lit(0))
     sizes = {
         "n_lines": F.when(F.col(text).isNull(), F.lit(0)).otherwise(n_lines).cast("long"),
         "n_removed_lines": F.coalesce(F.aggregate(
-            "_gone", F.lit(0), lambda a, s: a + s["n"]), F.lit(0)).cast("long"),
-        "n_removed_chunks": F.coalesce(F.when(F.col("_gone").isNotNull(), F.size("_gone")),
+            gone, F.lit(0), lambda a, s: a + s["n"]), F.lit(0)).cast("long"),
+        "n_removed_chunks": F.coalesce(F.when(F.col(gone).isNotNull(), F.size(gone)),
                                        F.lit(0)).cast("long")}
     others = [c for c in docs.columns if c not in sizes]
     return joined.select(*[shorter.alias(text) if c == text else F.col(c) for c in others],
                          *[v.alias(k) for k, v in sizes.items()])
 
 
-#: DuckDB views that give every line chunk (``doc_id, bgn, n, body``) and the removed ones,
+#: DuckDB views that give every repeated window (``doc_id, bgn, n``) and the removed chunks,
 #: for unique ids; ``{docs}`` names a relation with ``doc_id`` and ``text``.
 SQL_VIEWS = rf"""
 lc_lines AS (
   SELECT doc_id, string_split(text, chr(10)) AS ls FROM {{docs}} WHERE text IS NOT NULL),
-lc_hash AS (
-  SELECT doc_id, ls, list_transform(ls, lambda x: ('0x' || substr(md5(x), 1, 7))::BIGINT) AS h
-  FROM lc_lines),
-lc_ends AS (
-  SELECT doc_id, ls, list_filter(range(1, len(ls) + 1), lambda i: i = len(ls) OR
-    ((coalesce(CASE WHEN i > 1 THEN h[i - 1] END, 0) % {MODULUS}) * {FACTOR} + h[i])
-      % {MODULUS} % {DIVISOR} = 0) AS e FROM lc_hash),
-lc_spans AS (
-  SELECT doc_id, ls, unnest(list_transform(range(1, len(e) + 1), lambda k: {{{{
-    'bgn': CASE WHEN k > 1 THEN e[k - 1] ELSE 0 END, 'stop': e[k]}}}})) AS s FROM lc_ends),
-lc_chunks AS (
-  SELECT doc_id, s.bgn AS bgn, s.stop - s.bgn AS n,
-         array_to_string(list_slice(ls, s.bgn + 1, s.stop), chr(10)) AS body
-  FROM lc_spans WHERE s.stop - s.bgn >= {MIN_LINES}),
-lc_ranked AS (
-  SELECT *, row_number() OVER (PARTITION BY body ORDER BY doc_id, bgn) AS place
-  FROM lc_chunks
-  WHERE len(regexp_extract_all(body, '[^\x09-\x0D\x20]+')) >= {MIN_WORDS}),
-lc_gone AS (SELECT doc_id, bgn, n FROM lc_ranked WHERE place > 1),
+lc_flat AS (
+  SELECT doc_id, unnest(ls) AS line, unnest(range(len(ls))) AS i,
+         unnest(ls[2:] || [NULL]) AS following FROM lc_lines),
+lc_words AS (
+  SELECT *, len(regexp_extract_all(line, '[^	- ]+')) AS words FROM lc_flat),
+lc_windows AS (
+  SELECT doc_id, i AS bgn, 2 AS n, line || chr(10) || following AS body FROM lc_words
+  WHERE following IS NOT NULL AND regexp_matches(line || following, '[^	- ]')
+  UNION ALL
+  SELECT doc_id, i, 1, line FROM lc_words WHERE words >= {LONG_WORDS}),
+lc_again AS (
+  SELECT doc_id, bgn, n FROM lc_windows
+  QUALIFY row_number() OVER (PARTITION BY n, body ORDER BY doc_id, bgn) > 1),
+lc_marked AS (SELECT DISTINCT doc_id, unnest(range(bgn, bgn + n)) AS i FROM lc_again),
+lc_runs AS (
+  SELECT doc_id, i, words, i - row_number() OVER (PARTITION BY doc_id ORDER BY i) AS run
+  FROM lc_marked JOIN lc_words USING (doc_id, i)),
+lc_gone AS (
+  SELECT doc_id, run, min(i) AS bgn, count(*) AS n FROM lc_runs
+  GROUP BY doc_id, run HAVING sum(words) >= {MIN_WORDS}),
 lc_gone_lines AS (SELECT doc_id, unnest(range(bgn, bgn + n)) AS i FROM lc_gone),
 lc_kept AS (
-  SELECT doc_id, string_agg(line, chr(10) ORDER BY i) AS text, count(*) AS n FROM (
-    SELECT doc_id, unnest(ls) AS line, unnest(range(len(ls))) AS i FROM lc_lines)
-  ANTI JOIN lc_gone_lines USING (doc_id, i) GROUP BY doc_id),
+  SELECT doc_id, string_agg(line, chr(10) ORDER BY i) AS text, count(*) AS n
+  FROM lc_flat ANTI JOIN lc_gone_lines USING (doc_id, i) GROUP BY doc_id),
 lc_result AS (
   SELECT d.doc_id, CASE WHEN d.text IS NOT NULL THEN coalesce(k.text, '') END AS text,
          coalesce(len(l.ls), 0)::BIGINT AS n_lines,
