@@ -6,7 +6,7 @@ from pyspark.sql import functions as F
 from core_helpers import SF_SMALL
 from tidewater import views
 from tidewater.functions import text as tx
-from tidewater.functions.stemmer import stem
+from tidewater.functions.stemmer import stems
 from tidewater.operators import frames as fr
 from tidewater.operators import textops as to
 from tidewater.plans import q_text
@@ -29,17 +29,57 @@ def test_remove_stopwords_keeps_duplicates(spark):
     assert df.select(to.remove_stopwords("t")).first()[0] == ["cat", "cat", "dont"]
 
 
-@pytest.mark.parametrize("word,expected", [
+ENGLISH = [
     ("running", "run"), ("caresses", "caress"), ("ponies", "poni"), ("generously", "generous"),
     ("communication", "communic"), ("hopefulness", "hope"), ("skies", "sky"), ("news", "news"),
-    ("relational", "relat"), ("knackeries", "knackeri")])
-def test_stemmer(word, expected):
-    assert stem(word) == expected
-
-
-def test_stem_tokens_udf(spark):
-    df = spark.createDataFrame([(["running", "cats"],), (None,)], "t array<string>")
-    assert [r[0] for r in df.select(to.stem_tokens("t")).collect()] == [["run", "cat"], None]
+    ("relational", "relat"), ("knackeries", "knackeri"), ("tied", "tie"), ("ties", "tie"),
+    ("cries", "cri"), ("gas", "gas"), ("gaps", "gap"), ("luxuriated", "luxuri"), ("hopping", "hop"),
+    ("hoped", "hope"), ("by", "by"), ("say", "say"), ("cry", "cri"), ("consistency", "consist"),
+    ("consolatory", "consolatori"), ("knightly", "knight"), ("kneeled", "kneel")]
+GERMAN = [
+    ("aufeinanderbiss", "aufeinanderbiss"), ("aufeinanderfolge", "aufeinanderfolg"),
+    ("aufeinanderfolgenden", "aufeinanderfolg"), ("aufeinanderfolgt", "aufeinanderfolgt"),
+    ("aufeinanderschlügen", "aufeinanderschlug"), ("kategorien", "kategori"),
+    ("kategorisch", "kategor"), ("kategorischer", "kategor"), ("kater", "kat"),
+    ("katers", "kat"), ("katze", "katz"), ("kätzchen", "katzch")]
+
+
+@pytest.mark.parametrize("language,pairs", [("english", ENGLISH), ("german", GERMAN)])
+def test_stems_of_published_words(spark, language, pairs):
+    df = spark.createDataFrame(pairs, "word string, want string")
+    got = stems(df, language).collect()
+    assert {r.word: r.stem for r in got} == dict(pairs)
+
+
+def test_english_rules_equal_the_word_by_word_stemmer(spark):
+    from porter_words import stem
+    docs = spark.read.parquet("/root/testdata/sf0.01/documents.parquet")
+    words = docs.select(F.explode(tx.tokenize(tx.clean_text("text"))).alias("word")).distinct()
+    got = stems(words, "english").collect()
+    wrong = [(r.word, r.stem, stem(r.word)) for r in got if r.stem != stem(r.word)]
+    assert len(got) > 10_000 and wrong == []
+
+
+def test_stem_tokens_by_language_and_in_place(spark):
+    df = spark.createDataFrame(
+        [(1, ["running", "cats", "running"], "english"), (2, None, "english"), (3, [], "german"),
+         (4, ["katers", "running"], "german"), (5, ["running"], "klingon"), (6, ["cats"], None)],
+        "id long, t array<string>, lang string")
+    got = to.stem_tokens(df, "t", F.col("lang"))
+    assert got.columns == ["id", "t", "lang"]
+    assert {r.id: r.t for r in got.collect()} == {
+        1: ["run", "cat", "run"], 2: None, 3: [], 4: ["kat", "running"], 5: ["running"],
+        6: ["cats"]}
+    assert "Python" not in got._jdf.queryExecution().toString()
+    with pytest.raises(ValueError):
+        to.stem_tokens(df, "t", "klingon")
+
+
+def test_standardize_text_by_language(spark):
+    df = spark.createDataFrame([(1, "the running cats", "english"), (2, "die katzen und the", "german")],
+                               "id long, c string, lang string")
+    got = to.standardize_text(df, "c", F.col("lang"), out="s")
+    assert {r.id: r.s for r in got.collect()} == {1: "run cat", 2: "katz the"}
 
 
 def test_ngrams_linear(spark):

@@ -1,164 +1,176 @@
-"""English Snowball ("Porter2") stemmer, written from the published
-algorithm description (snowballstem.org, "The English stemming
-algorithm"). A per-word helper: Spark applies it to token arrays in Arrow
-batches (``stem_tokens``) with a per-worker memo, so each distinct word is
-stemmed once per worker.
+"""Stemming rules of several languages as data, and the columns that apply them.
+
+The rules are those of the published Snowball descriptions. A rule is a suffix, what
+must hold of the part before it, and the replacement. In a step the first rule whose
+suffix fits decides: it replaces where its condition holds, and else nothing happens.
+Every step is one JVM expression over the word column; ``stems`` applies them to a
+table of distinct words, which callers join back to their tokens.
 """
 
 from __future__ import annotations
 
-from functools import lru_cache
-
-VOWELS = set("aeiouy")
-DOUBLES = ("bb", "dd", "ff", "gg", "mm", "nn", "pp", "rr", "tt")
-LI_ENDINGS = set("cdeghkmnrt")
-
-# Fixed values of the algorithm: exceptional forms and invariant words.
-EXCEPTIONS = {
-    "skis": "ski", "skies": "sky", "dying": "die", "lying": "lie", "tying": "tie",
-    "idly": "idl", "gently": "gentl", "ugly": "ugli", "early": "earli", "only": "onli",
-    "singly": "singl", "sky": "sky", "news": "news", "howe": "howe", "atlas": "atlas",
-    "cosmos": "cosmos", "bias": "bias", "andes": "andes",
-}
-AFTER_1A = {"inning", "outing", "canning", "herring", "earring", "proceed", "exceed",
-            "succeed"}
-R1_PREFIXES = ("gener", "commun", "arsen")
-
-STEP2 = [
-    ("ization", "ize"), ("ational", "ate"), ("fulness", "ful"), ("ousness", "ous"),
-    ("iveness", "ive"), ("tional", "tion"), ("biliti", "ble"), ("lessli", "less"),
-    ("entli", "ent"), ("ation", "ate"), ("alism", "al"), ("aliti", "al"), ("ousli", "ous"),
-    ("iviti", "ive"), ("fulli", "ful"), ("enci", "ence"), ("anci", "ance"), ("abli", "able"),
-    ("izer", "ize"), ("ator", "ate"), ("alli", "al"), ("bli", "ble"), ("ogi", "og"), ("li", ""),
-]
-STEP3 = [
-    ("ational", "ate"), ("tional", "tion"), ("alize", "al"), ("icate", "ic"), ("iciti", "ic"),
-    ("ative", ""), ("ical", "ic"), ("ness", ""), ("ful", ""),
-]
-STEP4 = ["ement", "ance", "ence", "able", "ible", "ment", "ant", "ent", "ism", "ate", "iti",
-         "ous", "ive", "ize", "ion", "al", "er", "ic"]
-
-
-def _is_vowel(ch: str) -> bool:
-    return ch in VOWELS
-
-
-def _region_after(word: str, start: int) -> int:
-    for i in range(start + 1, len(word)):
-        if not _is_vowel(word[i]) and _is_vowel(word[i - 1]):
-            return i + 1
-    return len(word)
-
-
-def _short_syllable_at_end(w: str) -> bool:
-    n = len(w)
-    if n >= 3:
-        return (not _is_vowel(w[-3]) and _is_vowel(w[-2]) and not _is_vowel(w[-1])
-                and w[-1] not in "wxY")
-    if n == 2:
-        return _is_vowel(w[0]) and not _is_vowel(w[1])
-    return False
-
-
-def _has_vowel(s: str) -> bool:
-    return any(_is_vowel(c) for c in s)
-
-
-@lru_cache(maxsize=200_000)
-def stem(word: str) -> str:
-    if len(word) <= 2:
-        return word
-    if word in EXCEPTIONS:
-        return EXCEPTIONS[word]
-    w = word[1:] if word.startswith("'") else word
-    # mark consonant y
-    chars = list(w)
-    for i, ch in enumerate(chars):
-        if ch == "y" and (i == 0 or _is_vowel(chars[i - 1])):
-            chars[i] = "Y"
-    w = "".join(chars)
-    r1 = next((len(p) for p in R1_PREFIXES if w.startswith(p)), None)
-    if r1 is None:
-        r1 = _region_after(w, 0)
-    r2 = _region_after(w, r1) if r1 < len(w) else len(w)
-    # the vowel test in step 1a/1b uses lowercase y as a vowel only
-    # step 0
-    for suf in ("'s'", "'s", "'"):
-        if w.endswith(suf):
-            w = w[: -len(suf)]
-            break
-    # step 1a
-    if w.endswith("sses"):
-        w = w[:-2]
-    elif w.endswith("ied") or w.endswith("ies"):
-        w = w[:-2] if len(w) > 4 else w[:-1]
-    elif w.endswith("us") or w.endswith("ss"):
-        pass
-    elif w.endswith("s"):
-        if _has_vowel(w[:-2]):
-            w = w[:-1]
-    if w in AFTER_1A:
-        return w
-    # step 1b
-    for suf in ("eedly", "eed"):
-        if w.endswith(suf):
-            if len(w) - len(suf) >= r1:
-                w = w[: -len(suf)] + "ee"
-            break
-    else:
-        for suf in ("ingly", "edly", "ing", "ed"):
-            if w.endswith(suf):
-                stem_part = w[: -len(suf)]
-                if _has_vowel(stem_part):
-                    w = stem_part
-                    if w.endswith(("at", "bl", "iz")):
-                        w += "e"
-                    elif w.endswith(DOUBLES):
-                        w = w[:-1]
-                    elif r1 >= len(w) and _short_syllable_at_end(w):
-                        w += "e"
-                break
-    # step 1c
-    if len(w) > 2 and w[-1] in "yY" and not _is_vowel(w[-2]):
-        w = w[:-1] + "i"
-    # step 2
-    for suf, rep in STEP2:
-        if w.endswith(suf):
-            if len(w) - len(suf) >= r1:
-                if suf == "ogi":
-                    if w[-4:-3] == "l":
-                        w = w[:-3] + rep
-                elif suf == "li":
-                    if w[-3:-2] in LI_ENDINGS and w[-3:-2] != "":
-                        w = w[:-2]
-                else:
-                    w = w[: -len(suf)] + rep
-            break
-    # step 3
-    for suf, rep in STEP3:
-        if w.endswith(suf):
-            if len(w) - len(suf) >= r1:
-                if suf == "ative":
-                    if len(w) - len(suf) >= r2:
-                        w = w[: -len(suf)]
-                else:
-                    w = w[: -len(suf)] + rep
-            break
-    # step 4
-    for suf in STEP4:
-        if w.endswith(suf):
-            if len(w) - len(suf) >= r2:
-                if suf == "ion":
-                    if w[-4:-3] in ("s", "t") and w[-4:-3] != "":
-                        w = w[:-3]
-                else:
-                    w = w[: -len(suf)]
-            break
-    # step 5
-    if w.endswith("e"):
-        if len(w) - 1 >= r2 or (len(w) - 1 >= r1 and not _short_syllable_at_end(w[:-1])):
-            w = w[:-1]
-    elif w.endswith("l"):
-        if len(w) - 1 >= r2 and w[-2:-1] == "l":
-            w = w[:-1]
-    return w.replace("Y", "y")
+from dataclasses import dataclass, field
+
+from pyspark.sql import Column, DataFrame
+from pyspark.sql import functions as F
+
+
+@dataclass
+class Rule:
+    """``suffix`` -> ``put``, if ``before`` (patterns) all hold of the part before it and
+    ``never`` does not. ``only`` is a pattern of that part without which the suffix does
+    not fit at all; ``after`` names rules of the step before, by mark, one of which must
+    have replaced.
+    """
+    suffix: str
+    put: str = ""
+    before: tuple = ()
+    never: tuple = ()
+    mark: str = ""
+    after: str = ""
+    only: str = ""
+
+
+@dataclass
+class Language:
+    """First replacements (pattern, text), steps of rules, last replacements; words that
+    stay or have a stem of their own, and words that stop after the first step."""
+    prepare: list
+    steps: list
+    finish: list
+    own: dict = field(default_factory=dict)
+    stop_after_first: tuple = ()
+    shortest: int = 1
+
+
+def each(suffixes: str, **how) -> list[Rule]:
+    return [Rule(s, **how) for s in suffixes.split()]
+
+
+# Patterns and rules of the published English algorithm.
+_SPECIAL = "gener|commun|arsen"
+E_R1 = rf"^(?:{_SPECIAL})|^(?!{_SPECIAL}).*?[aeiouy][^aeiouy]"
+E_R2 = rf"^(?:{_SPECIAL}).*?[aeiouy][^aeiouy]|^(?!{_SPECIAL}).*?[aeiouy][^aeiouy].*?[aeiouy][^aeiouy]"
+E_NOTHING_IN_R1 = rf"^(?:{_SPECIAL}).|^(?!{_SPECIAL}).*?[aeiouy][^aeiouy]."
+E_VOWEL = "[aeiouy]"
+E_SHORT = "[^aeiouy][aeiouy][^aeiouywxY]$|^[aeiouy][^aeiouy]$"
+
+ENGLISH = Language(
+    prepare=[("^'", ""), ("^y", "Y"), ("([aeiouy])y", "$1Y"), ("('s'|'s|')$", "")],
+    steps=[
+        [Rule("sses", "ss"), Rule("ied", "i", only=".."), Rule("ied", "ie"),
+         Rule("ies", "i", only=".."), Rule("ies", "ie"), Rule("us", "us"), Rule("ss", "ss"), Rule("s", before=("[aeiouy].",))],
+        [Rule("eedly", "ee", before=(E_R1,)), Rule("eed", "ee", before=(E_R1,)),
+         *each("ingly edly ing ed", before=(E_VOWEL,), mark="cut")],
+        [*[Rule(s, s + "e", after="cut") for s in ("at", "bl", "iz")],
+         *[Rule(c + c, c, after="cut") for c in "bdfgmnprt"],
+         Rule("", "e", before=(E_SHORT,), never=(E_NOTHING_IN_R1,), after="cut")],
+        [Rule("y", "i", before=("[^aeiouy]$", "..")), Rule("Y", "i", before=("[^aeiouy]$", ".."))],
+        [Rule(s, r, before=(E_R1,)) for s, r in (
+            ("ization", "ize"), ("ational", "ate"), ("fulness", "ful"), ("ousness", "ous"),
+            ("iveness", "ive"), ("tional", "tion"), ("biliti", "ble"), ("lessli", "less"),
+            ("entli", "ent"), ("ation", "ate"), ("alism", "al"), ("aliti", "al"),
+            ("ousli", "ous"), ("iviti", "ive"), ("fulli", "ful"), ("enci", "ence"),
+            ("anci", "ance"), ("abli", "able"), ("izer", "ize"), ("ator", "ate"),
+            ("alli", "al"), ("bli", "ble"))]
+        + [Rule("ogi", "og", before=(E_R1, "l$")), Rule("li", before=(E_R1, "[cdeghkmnrt]$"))],
+        [Rule(s, r, before=(E_R1,)) for s, r in (
+            ("ational", "ate"), ("tional", "tion"), ("alize", "al"), ("icate", "ic"),
+            ("iciti", "ic"))]
+        + [Rule("ative", before=(E_R1, E_R2)), Rule("ical", "ic", before=(E_R1,)),
+           *each("ness ful", before=(E_R1,))],
+        [*each("ement ance ence able ible ment ant ent ism ate iti ous ive ize", before=(E_R2,)),
+         Rule("ion", before=(E_R2, "[st]$")), *each("al er ic", before=(E_R2,))],
+        [Rule("e", before=(rf"{E_R2}|(?=.*(?:{E_R1}))(?!.*(?:{E_SHORT}))^.",)),
+         Rule("l", before=(E_R2, "l$"))],
+    ],
+    finish=[("Y", "y")], shortest=3,
+    own={
+        "skis": "ski", "skies": "sky", "dying": "die", "lying": "lie", "tying": "tie",
+        "idly": "idl", "gently": "gentl", "ugly": "ugli", "early": "earli", "only": "onli",
+        "singly": "singl", "sky": "sky", "news": "news", "howe": "howe", "atlas": "atlas",
+        "cosmos": "cosmos", "bias": "bias", "andes": "andes"},
+    stop_after_first=("inning", "outing", "canning", "herring", "earring", "proceed", "exceed",
+                      "succeed"))
+
+# Patterns and rules of the published German algorithm.
+G_R1 = "^(?=...).*?[aeiouyäöü][^aeiouyäöü]"
+G_R2 = "^.*?[aeiouyäöü][^aeiouyäöü].*?[aeiouyäöü][^aeiouyäöü]"
+
+GERMAN = Language(
+    prepare=[("ß", "ss"), ("(?<=[aeiouyäöü])u(?=[aeiouyäöü])", "U"),
+             ("(?<=[aeiouyäöü])y(?=[aeiouyäöü])", "Y")],
+    steps=[
+        [*each("ern em er", before=(G_R1,)), *each("en es e", before=(G_R1,), mark="e"),
+         Rule("s", before=(G_R1, "[bdfghklmnrt]$"))],
+        [Rule("niss", "nis", after="e")],
+        [*each("est en er", before=(G_R1,)), Rule("st", before=(G_R1, "...[bdfghklmnt]$"))],
+        [Rule("isch", before=(G_R2, "[^e]$")), *each("lich heit", before=(G_R2,), mark="lich"),
+         Rule("keit", before=(G_R2,), mark="keit"), *each("end ung", before=(G_R2,), mark="end"),
+         *each("ig ik", before=(G_R2, "[^e]$"))],
+        [*each("er en", before=(G_R1,), after="lich"), *each("lich ig", before=(G_R2,), after="keit"),
+         Rule("ig", before=(G_R2, "[^e]$"), after="end")],
+    ],
+    finish=[("U", "u"), ("Y", "y"), ("ä", "a"), ("ö", "o"), ("ü", "u")])
+
+LANGUAGES = {"english": ENGLISH, "german": GERMAN}
+
+
+def _applied(rule: Rule, word: Column) -> tuple[Column, Column]:
+    """Whether the rule replaces, and the word with the replacement."""
+    part = F.substring(word, F.lit(1), F.length(word) - len(rule.suffix))
+    holds = F.lit(True)
+    for pattern in rule.before:
+        holds = holds & part.rlike(pattern)
+    for pattern in rule.never:
+        holds = holds & ~part.rlike(pattern)
+    return holds, F.concat(part, F.lit(rule.put))
+
+
+def _step(words: DataFrame, rules: list[Rule]) -> DataFrame:
+    """One step over ``__w`` (word) and ``__m`` (marks of the rules that replaced)."""
+    word, mark = F.col("__w"), F.col("__m")
+    new, marks = None, None
+    for rule in rules:
+        fits = word.endswith(rule.suffix)
+        if rule.after:
+            fits = fits & (mark == rule.after)
+        holds, replaced = _applied(rule, word)
+        if rule.only:
+            fits = fits & F.substring(word, F.lit(1), F.length(word) - len(rule.suffix)).rlike(
+                rule.only)
+        value = F.when(holds, replaced).otherwise(word)
+        made = F.when(holds, F.lit(rule.mark)).otherwise(F.lit(""))
+        new = F.when(fits, value) if new is None else new.when(fits, value)
+        marks = F.when(fits, made) if marks is None else marks.when(fits, made)
+    return words.withColumns({"__w": new.otherwise(word), "__m": marks.otherwise(F.lit(""))})
+
+
+def stems(words: DataFrame, language: str = "english", word: str = "word",
+          out: str = "stem") -> DataFrame:
+    """``words`` with the stem of the column ``word``; null stays null.
+
+    A language without rules (or null) raises ValueError: its words have no stems here.
+    """
+    if language not in LANGUAGES:
+        raise ValueError(f"stemming rules exist for {', '.join(sorted(LANGUAGES))}")
+    rules = LANGUAGES[language]
+    start = F.col(word)
+    for pattern, put in rules.prepare:
+        start = F.regexp_replace(start, pattern, put)
+    found = words.withColumns({"__w": start, "__m": F.lit("")})
+    stay = F.col(word).isin(list(rules.own)) | (F.length(word) < rules.shortest)
+    for k, step in enumerate(rules.steps):
+        found = _step(found, step)
+        if k == 0 and rules.stop_after_first:
+            found = found.withColumn("__first", F.col("__w"))
+    stem = F.col("__w")
+    if rules.stop_after_first:
+        stem = F.when(F.col("__first").isin(*rules.stop_after_first),
+                      F.col("__first")).otherwise(stem)
+    for pattern, put in rules.finish:
+        stem = F.regexp_replace(stem, pattern, put)
+    own = F.col(word)
+    for a, b in rules.own.items():
+        own = F.when(F.col(word) == a, F.lit(b)).otherwise(own)
+    return found.withColumn(out, F.when(stay, own).otherwise(stem)).drop("__w", "__m", "__first")

@@ -9,17 +9,20 @@ partial aggregation, so a very common word costs one row per map task.
 from __future__ import annotations
 
 from collections.abc import Sequence
+from functools import reduce
 
-import pandas as pd
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
-from pyspark.sql import types as T
 
 from ..functions import text as tx
-from ..functions.stemmer import stem as _stem_word
+from ..functions.stemmer import LANGUAGES, stems
 from ..functions.stopwords import stopwords
+from ..session import measured, written
 from .ranks import value_ranks
 
+#: Languages whose stop words are dropped where a column names the language.
+STOPWORD_LANGUAGES = ("english", "german", "french", "spanish")
+
 
 # S18
 def remove_stopwords(tokens: Column | str, language: str = "english",
@@ -32,38 +35,59 @@ def remove_stopwords(tokens: Column | str, language: str = "english",
 
 
 # S19
-@F.pandas_udf(T.ArrayType(T.StringType()))
-def stem_tokens(tokens: pd.Series) -> pd.Series:
-    """English Snowball stem of every token (Arrow batches; the stemmer is
-    memoised per worker, so each distinct word is computed once)."""
-    return tokens.map(lambda arr: None if arr is None else [_stem_word(t) for t in arr])
-
+def vocabulary_stems(df: DataFrame, tokens: str, language: str = "english") -> DataFrame:
+    """Distinct vocabulary -> stem (``word``, ``stem``), by the rules of the language."""
+    vocab = df.select(F.explode(tokens).alias("word")).distinct()
+    return stems(vocab, language)
 
-@F.pandas_udf(T.StringType())
-def stem_word(words: pd.Series) -> pd.Series:
-    return words.map(lambda w: None if w is None else _stem_word(w))
 
+def stem_tokens(df: DataFrame, tokens: str, language: str | Column = "english") -> DataFrame:
+    """``df`` with the tokens of a column replaced by their stems, in place.
 
-def vocabulary_stems(df: DataFrame, tokens: str) -> DataFrame:
-    """Distinct vocabulary -> stem (one stemmer call per distinct word)."""
-    vocab = df.select(F.explode(tokens).alias("word")).distinct()
-    return vocab.withColumn("stem", stem_word("word"))
+    ``language`` is a name, or a column of names; tokens of rows whose language has no
+    rules (or is null) stay as they are. Only distinct words are stemmed, and joined
+    back to their places; null arrays stay null.
+    """
+    lang = F.lit(language) if isinstance(language, str) else language
+    if isinstance(language, str) and language not in LANGUAGES:
+        raise ValueError(f"stemming rules exist for {', '.join(sorted(LANGUAGES))}")
+    # written: the row numbers hold for both readers
+    rows = written(df.withColumns({"__row": F.monotonically_increasing_id(), "__lang": lang}),
+                   "stem-rows")
+    places = rows.select("__row", "__lang", F.posexplode(tokens).alias("__at", "__word"))
+    vocab = places.where(F.col("__lang").isin(sorted(LANGUAGES))).select(
+        "__lang", "__word").distinct()
+    parts = [stems(vocab.where(F.col("__lang") == name), name, "__word", "__stem")
+             for name in sorted(LANGUAGES)]
+    known = measured(reduce(DataFrame.unionByName, parts))
+    again = places.join(known, ["__lang", "__word"], "left").groupBy("__row").agg(
+        F.sort_array(F.collect_list(F.struct("__at", F.coalesce("__stem", "__word").alias("s"))))
+        .alias("__found"))
+    found = F.when(F.col(tokens).isNull(), F.col(tokens)).otherwise(
+        F.coalesce("__found.s", F.array().cast("array<string>")))
+    return rows.join(again, "__row", "left").withColumn(tokens, found).drop(
+        "__row", "__lang", "__found")
 
 
 # S20
-def standardize_text(df: DataFrame, col: str, language: str = "english",
+def standardize_text(df: DataFrame, col: str, language: str | Column = "english",
                      stop: bool = True, out: str = "standardized") -> DataFrame:
     """Stop words (optional: the author's ablation) then stems; the
-    result is joined back to text with single spaces."""
+    result is joined back to text with single spaces. With a column of
+    languages every row follows its own; one without a list or rules keeps its tokens."""
     tokens = tx.tokenize(col)
-    if stop:
+    if stop and isinstance(language, str):
         tokens = remove_stopwords(tokens, language)
-    if language != "english":
-        raise NotImplementedError("stemming is implemented for English only")
-    return df.withColumn(out, F.array_join(stem_tokens(tokens), " "))
+    elif stop:
+        plain = tokens
+        for name in STOPWORD_LANGUAGES:
+            tokens = F.when(language == name, remove_stopwords(plain, name)).otherwise(tokens)
+    held = df.withColumn("__tokens", tokens)
+    return stem_tokens(held, "__tokens", language).withColumn(
+        out, F.array_join("__tokens", " ")).drop("__tokens")
 
 
-def text_transformations(df: DataFrame, col: str, language: str = "english",
+def text_transformations(df: DataFrame, col: str, language: str | Column = "english",
                          stop: bool = True) -> DataFrame:
     """The reference's text chain: clean, drop blank results, standardise."""
     cleaned = df.withColumn("text_clean", tx.clean_text(col)).filter(F.col("text_clean") != "")
