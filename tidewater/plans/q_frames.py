@@ -235,9 +235,17 @@ def q_j5(spark, d):
 
 
 @register("J5_missing_items", sql="""
-    SELECT p_partkey AS item FROM part WHERE p_partkey NOT IN (SELECT l_partkey FROM lineitem)""")
+    SELECT p_partkey AS item FROM part
+    WHERE p_partkey NOT IN (SELECT l_partkey FROM lineitem WHERE l_quantity >= 49)
+       OR p_size < 3""")
 def q_j5b(spark, d):
-    _, missing = fr.weighted_total(*_j5_tables(spark, d))
+    """Parts without a large order, or without a price for small ones."""
+    part = views.table(spark, d, "part")
+    large = views.table(spark, d, "lineitem").where("l_quantity >= 49")
+    qty = large.groupBy(F.col("l_partkey").alias("item")).agg(F.sum("l_quantity").alias("qty"))
+    cost = part.where("p_size >= 3").select(F.col("p_partkey").alias("item"),
+                                            F.col("p_retailprice").alias("cost"))
+    _, missing = fr.weighted_total(part.select(F.col("p_partkey").alias("item")), cost, qty)
     return missing
 
 
@@ -356,16 +364,19 @@ def q_u2(spark, d):
 @register("U3_token_union_intersection", sql=f"""
     WITH t AS (SELECT doc_id,
         list_distinct(string_split({sq.clean_text("split_part(text, chr(10), 1)")}, ' ')) AS a,
-        list_distinct(string_split({sq.clean_text("substr(text, strpos(text, chr(10)) + 1)")}, ' ')) AS b
-      FROM documents WHERE strpos(text, chr(10)) > 0)
+        CASE WHEN strpos(text, chr(10)) > 0 THEN list_distinct(string_split(
+          {sq.clean_text("substr(text, strpos(text, chr(10)) + 1)")}, ' ')) ELSE [] END AS b
+      FROM documents)
     SELECT doc_id, list_sort(list_distinct(list_concat(a, b))) AS token_union,
            list_sort(list_intersect(a, b)) AS token_intersection FROM t""")
 def q_u3(spark, d):
-    docs = views.table(spark, d, "documents").filter(F.instr("text", "\n") > 0)
+    docs = views.table(spark, d, "documents")
     first = F.substring_index("text", "\n", 1)
     rest = F.expr("substr(text, instr(text, chr(10)) + 1)")
-    t = docs.select("doc_id", tx.token_set(tx.clean_text(first)).alias("a"),
-                    tx.token_set(tx.clean_text(rest)).alias("b"))
+    # a text of one line has an empty second set
+    second = F.when(F.instr("text", "\n") > 0, tx.token_set(tx.clean_text(rest))).otherwise(
+        F.array().cast("array<string>"))
+    t = docs.select("doc_id", tx.token_set(tx.clean_text(first)).alias("a"), second.alias("b"))
     return t.select("doc_id", F.array_sort(fr.token_union("a", "b")).alias("token_union"),
                     F.array_sort(fr.token_intersection("a", "b")).alias("token_intersection"))
 

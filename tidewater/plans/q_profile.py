@@ -126,8 +126,10 @@ def q_a13(spark, d):
     FROM listings""")
 def q_a13b(spark, d):
     df = L(spark, d)
-    return df.agg(F.round(F.avg("reviews_per_month"), 6).alias("mean"), F.max("price").alias("max"),
-                  F.min("accommodates").alias("min"))
+    mean = pf.column_stat(df, "reviews_per_month", "mean")
+    return mean.select(
+        F.round("mean", 6).alias("mean"), pf.column_stat(df, "price", "max").scalar().alias("max"),
+        pf.column_stat(df, "accommodates", "min").scalar().alias("min"))
 
 
 CORR_COLS = ["accommodates", "bedrooms", "bathrooms", "square_feet", "reviews_per_month"]
@@ -242,6 +244,16 @@ def q_a23(spark, d):
     return pf.sse_arrays(v, "embedding", "approx").select(*r6("sse"))
 
 
+@register("A23_sse_long_form", sql="""
+    SELECT round(sum(list_sum(list_transform(embedding, lambda x: (x - round(x, 1)) * (x - round(x, 1))))), 6)
+           AS sse FROM vectors""")
+def q_a23b(spark, d):
+    """The same from two matrices of (row, column, value), joined on their coordinates."""
+    long = views.vectors(spark, d).select("vec_id", F.posexplode("embedding").alias("j", "x"))
+    near = long.select("vec_id", "j", F.round("x", 1).alias("near"))
+    return pf.sse(long, near, ["vec_id", "j"], "x", "near").select(*r6("sse"))
+
+
 @register("A24_classification_metrics", sql="""
     WITH p AS (SELECT CASE WHEN overall < 3 THEN 0 ELSE 1 END AS label,
                       CASE WHEN length(review_text) > 2000 THEN 1 ELSE 0 END AS prediction
@@ -251,14 +263,21 @@ def q_a23(spark, d):
     SELECT cls, CAST(coalesce((SELECT sum(c) FROM cm WHERE label = cls), 0) AS BIGINT) AS support,
            CAST(coalesce((SELECT sum(c) FROM cm WHERE prediction = cls), 0) AS BIGINT) AS predicted,
            CAST(coalesce((SELECT sum(c) FROM cm WHERE label = cls AND prediction = cls), 0) AS BIGINT) AS tp,
-           round((SELECT avg(CASE WHEN label = prediction THEN 1.0 ELSE 0.0 END) FROM p), 6) AS accuracy
+           round((SELECT avg(CASE WHEN label = prediction THEN 1.0 ELSE 0.0 END) FROM p), 6) AS accuracy,
+           round(coalesce((SELECT sum(c) FROM cm WHERE label = cls AND prediction = cls)
+             / (SELECT sum(c) FROM cm WHERE prediction = cls), 0.0), 6) AS precision,
+           round(coalesce((SELECT sum(c) FROM cm WHERE label = cls AND prediction = cls)
+             / (SELECT sum(c) FROM cm WHERE label = cls), 0.0), 6) AS recall,
+           round(coalesce(2.0 * (SELECT sum(c) FROM cm WHERE label = cls AND prediction = cls)
+             / ((SELECT sum(c) FROM cm WHERE label = cls)
+                + coalesce((SELECT sum(c) FROM cm WHERE prediction = cls), 0)), 0.0), 6) AS f1
     FROM cls""")
 def q_a24(spark, d):
     r = views.reviews(spark, d).select(
         F.when(F.col("overall") < 3, 0).otherwise(1).alias("label"),
         F.when(F.length("review_text") > 2000, 1).otherwise(0).alias("prediction"))
     m = pf.classification_metrics(r)
-    return m.select("cls", "support", "predicted", "tp", *r6("accuracy"))
+    return m.select("cls", "support", "predicted", "tp", *r6("accuracy", "precision", "recall", "f1"))
 
 
 @register("A24_confusion", sql="""

@@ -67,22 +67,36 @@ def q_s18(spark, d):
     return c.select("doc_id", F.array_join(to.remove_stopwords(tx.tokenize("c")), " ").alias("out"))
 
 
+NAMES = {"en": "english", "de": "german", "fr": "french", "es": "spanish"}
+
+
+def in_languages(spark, d):
+    """Documents with the name of their language."""
+    name = F.lit(None).cast("string")
+    for code, long in NAMES.items():
+        name = F.when(F.col("lang") == code, long).otherwise(name)
+    return views.documents(spark, d).select("doc_id", "text", name.alias("language"))
+
+
 @register("S19_vocabulary_stems")
 def q_s19(spark, d):
-    c = docs(spark, d).select(tx.tokenize(tx.clean_text("text")).alias("tokens"))
-    return to.vocabulary_stems(c, "tokens")
+    """The distinct words of the languages that have rules, with their stems."""
+    c = in_languages(spark, d).select("language", tx.tokenize(tx.clean_text("text")).alias("tokens"))
+    parts = [to.vocabulary_stems(c.where(F.col("language") == name), "tokens", name).withColumn(
+        "language", F.lit(name)) for name in sorted(to.LANGUAGES)]
+    return parts[0].unionByName(parts[1])
 
 
 @register("S20_text_transformations")
 def q_s20(spark, d):
-    return to.text_transformations(docs(spark, d), "text").select(
+    return to.text_transformations(in_languages(spark, d), "text", F.col("language")).select(
         "doc_id", "text_clean", "standardized_text")
 
 
 @register("S20_text_transformations_keep_stopwords")
 def q_s20b(spark, d):
-    return to.text_transformations(docs(spark, d), "text", stop=False).select(
-        "doc_id", "standardized_text")
+    return to.text_transformations(in_languages(spark, d), "text", F.col("language"),
+                                   stop=False).select("doc_id", "standardized_text")
 
 
 @register("S21_sentiment_label", sql="""
@@ -157,7 +171,7 @@ def q_fe8(spark, d):
 @register("FE8_tfidf_vectors")
 def q_fe8b(spark, d):
     from ..operators.frames import train_test_split
-    r = to.text_transformations(docs(spark, d), "text")
+    r = to.text_transformations(in_languages(spark, d), "text", F.col("language"))
     train, test = train_test_split(r, 0.2, 42, "doc_id")
     _, tr, te = to.tfidf_ngrams(train, test, "standardized_text")
     return te.select("doc_id", "features")
