@@ -136,3 +136,31 @@ def test_depth_errors_match_the_evaluator_and_curve_has_all_depths(spark):
     means = {r.depth: r.mean_r2 for r in curve.collect()}
     assert set(means) == {1, 2, 5} and means[1] < means[5]
     assert best.stages[-1].getOrDefault("maxDepth") == max(means, key=means.get)
+
+
+def test_window_counts_match_brute_force(spark):
+    rnd = np.random.default_rng(5)
+    rows = [(i, [str(w) for w in rnd.integers(0, 9, n)]) for i, n in enumerate((0, 1, 3, 7, 40, 90))]
+    docs = spark.createDataFrame(rows, "d long, t array<string>")
+    terms = spark.createDataFrame([(0, 0, w) for w in ("0", "3", "5", "x")],
+                                  "topic int, rank int, term string")
+    counts, total = md.window_counts(docs, terms, "d", "t", window=5)
+    want, n = {}, 0
+    for _, t in rows:
+        for s in range(max(1, len(t) - 4) if t else 0):
+            n += 1
+            seen = sorted(set(t[s:s + 5]) & {"0", "3", "5"})
+            for k, a in enumerate(seen):
+                for b in seen[k:]:
+                    want[a, b] = want.get((a, b), 0) + 1
+    assert {(r.a, r.b): r.n for r in counts.collect()} == want
+    assert spark.range(1).select(total).first()[0] == n
+
+
+def test_one_topic_is_the_corpus(spark):
+    docs = spark.createDataFrame([(1, ["a", "b", "a"]), (2, ["c", "a"])], "d long, t array<string>")
+    terms, perplexity = md.one_topic(docs, "t", 2)
+    assert [(r.topic, r["rank"], r.term) for r in terms.orderBy("rank").collect()] == [
+        (0, 0, "a"), (0, 1, "b")]
+    p = np.array([.6, .2, .2])
+    assert abs(perplexity.first()[0] + (p * np.log(p)).sum()) < 1e-12
