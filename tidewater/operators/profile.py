@@ -12,7 +12,7 @@ from __future__ import annotations
 import math
 from collections.abc import Sequence
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from ..session import measured
@@ -129,6 +129,21 @@ def describe(df: DataFrame, cols: Sequence[str]) -> DataFrame:
     return long.join(qw, "column", "left")
 
 
+def describe_levels(df: DataFrame, cols: Sequence[str], top: int = 6) -> DataFrame:
+    """The text columns' part of a summary: the ``top`` levels of each column with their
+    counts (``column``, ``rank`` from 1, ``level``, ``count``); ties by level, nulls left out.
+
+    All columns are counted in one aggregate; each column's ranking keeps ``top`` rows
+    per task before its shuffle.
+    """
+    long = df.select(F.inline(F.array(*[
+        F.struct(F.lit(c).alias("column"), F.col(c).cast("string").alias("level")) for c in cols])))
+    counts = long.where(F.col("level").isNotNull()).groupBy("column", "level").agg(
+        F.count(F.lit(1)).alias("count"))
+    w = Window.partitionBy("column").orderBy(F.desc("count"), "level")
+    return counts.withColumn("rank", F.row_number().over(w)).where(F.col("rank") <= top)
+
+
 # A13
 def column_mode(df: DataFrame, col: str) -> DataFrame:
     """Most frequent value, the smallest among ties (pandas ``mode()[0]``).

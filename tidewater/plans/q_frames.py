@@ -385,3 +385,73 @@ def q_u3(spark, d):
 def q_p9(spark, d):
     df = L(spark, d).select("listing_id", "price", "accommodates", "bathrooms", "bedrooms")
     return fr.split_xy(df, "price", ["accommodates", "bathrooms", "bedrooms"])
+
+
+# --- invariants of operators whose rows SQL cannot repeat
+@register("P5_column_kinds", sql=" UNION ALL ".join(
+    f"""SELECT '{c}' AS "column", CASE WHEN any_value(typeof({c})) = 'VARCHAR' THEN 'categorical'
+        ELSE 'numeric' END AS kind FROM listings""" for c in LISTING_TYPES))
+def q_p5(spark, d):
+    df = L(spark, d).select(*LISTING_TYPES)
+    rows = [(c, "numeric") for c in fr.numeric_columns(df)] + [
+        (c, "categorical") for c in fr.categorical_columns(df)]
+    return spark.createDataFrame(rows, "column string, kind string")
+
+
+@register("F9_columns_kept", sql=" UNION ALL ".join(
+    f"""SELECT '{c}' AS "column" FROM listings
+        HAVING round(100.0 * count_if({c} IS NULL) / count(*), 2) < 25""" for c in LISTING_TYPES))
+def q_f9b(spark, d):
+    kept = fr.null_report_drop(L(spark, d).select(*LISTING_TYPES), 25.0).columns
+    return spark.createDataFrame([(c,) for c in kept], "column string")
+
+
+@register("F11_columns_kept", sql="""
+    WITH c AS (SELECT abs(corr(bedrooms, price)) AS a, abs(corr(bedrooms * bathrooms, price)) AS b
+               FROM listings)
+    SELECT CASE WHEN a >= b THEN 'bedrooms' ELSE 'bed_bath' END AS "column" FROM c""")
+def q_f11b(spark, d):
+    df = fr.derive(L(spark, d)).select("price", "bedrooms", "bed_bath")
+    kept = fr.drop_correlated(df, [["bedrooms", "bed_bath"]], "price").columns
+    return spark.createDataFrame([(c,) for c in kept if c != "price"], "column string")
+
+
+@register("K7_split_is_disjoint_and_whole", sql="""
+    SELECT count(*) AS n, 0::BIGINT AS overlap, CAST(sum(listing_id) AS BIGINT) AS ids
+    FROM listings""")
+def q_k7b(spark, d):
+    train, test = fr.train_test_split(L(spark, d), 0.2, 42, "listing_id")
+    both = train.select("listing_id").unionByName(test.select("listing_id"))
+    overlap = train.join(test.select("listing_id"), "listing_id", "left_semi")
+    return both.agg(F.count(F.lit(1)).alias("n"), F.sum("listing_id").cast("long").alias("ids")) \
+        .withColumn("overlap", overlap.agg(F.count(F.lit(1))).scalar())
+
+
+@register("K8_sample_size", sql="""
+    SELECT least(count(*), 100) AS n, least(count(*), 100) AS ids, least(count(*), 100) AS known
+    FROM reviews""")
+def q_k8b(spark, d):
+    r = views.reviews(spark, d)
+    s = fr.sample_n(r, 100, 7, "doc_id").select("doc_id")
+    known = s.join(r.select("doc_id"), "doc_id", "left_semi").agg(F.count(F.lit(1))).scalar()
+    return s.agg(F.count(F.lit(1)).alias("n"), F.count_distinct("doc_id").alias("ids")) \
+        .withColumn("known", known)
+
+
+@register("K9_draws_per_class", sql="""
+    SELECT CASE WHEN overall < 3 THEN 0 ELSE 1 END AS sentiment, 120::BIGINT AS n, 120::BIGINT AS draws
+    FROM reviews GROUP BY 1""")
+def q_k9c(spark, d):
+    r = views.reviews(spark, d).withColumn("sentiment", F.when(F.col("overall") < 3, 0).otherwise(1))
+    drawn = fr.balance_classes(r, "sentiment", 120, 11, "doc_id", replace=True)
+    return drawn.groupBy("sentiment").agg(F.count(F.lit(1)).alias("n"),
+                                          F.count_distinct("draw").alias("draws"))
+
+
+@register("P9_split_xy_values", sql="""
+    SELECT price AS label, [CAST(accommodates AS DOUBLE), CAST(bedrooms AS DOUBLE)] AS x FROM listings
+    WHERE bedrooms IS NOT NULL""")
+def q_p9b(spark, d):
+    from pyspark.ml.functions import vector_to_array
+    df = L(spark, d).select("price", "accommodates", "bedrooms").where("bedrooms IS NOT NULL")
+    return fr.split_xy(df, "price").select("label", vector_to_array("features").alias("x"))

@@ -114,6 +114,18 @@ def q_a12(spark, d):
                     *r6("q25", "q50", "q75"))
 
 
+LEVEL_COLS = ["room_type", "property_type", "response_time", "city"]
+
+
+@register("A12_describe_levels", sql="WITH l AS (" + " UNION ALL ".join(
+    f"SELECT '{c}' AS \"column\", {c} AS level, count(*) AS count FROM listings "
+    f"WHERE {c} IS NOT NULL GROUP BY {c}" for c in LEVEL_COLS) + """)
+    SELECT "column", CAST(row_number() OVER (PARTITION BY "column" ORDER BY count DESC, level)
+             AS INTEGER) AS rank, level, count FROM l QUALIFY rank <= 4""")
+def q_a12b(spark, d):
+    return pf.describe_levels(L(spark, d), LEVEL_COLS, 4).select("column", "rank", "level", "count")
+
+
 @register("A13_column_mode", sql="""
     SELECT response_time AS mode FROM listings WHERE response_time IS NOT NULL
     GROUP BY 1 ORDER BY count(*) DESC, response_time LIMIT 1""")

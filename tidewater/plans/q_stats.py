@@ -209,3 +209,39 @@ def q_t11b(spark, d):
     probs = [(i - 0.5) / 20 for i in range(1, 21)]
     q = quantiles(L(spark, d), "price", probs)
     return q.select("p", F.round("q", 6).alias("sample"))
+
+
+# --- closed forms of one feature
+@register("T8_gradient_descent_limit", sql="""
+    SELECT round(avg(y), 4) AS w0, round(covar_samp(x1, y) / stddev_samp(x1), 4) AS w1 FROM houses""")
+def q_t8b(spark, d):
+    """After many steps on a standardised feature: the least-squares weights."""
+    steps = st.gradient_descent(views.houses(spark, d), ["x1"], "y", START_WEIGHTS, 6000, 0.01)
+    last = steps.where("loss IS NULL").select("weights")
+    return last.select(F.round(F.get("weights", F.lit(0)), 4).alias("w0"),
+                       F.round(F.get("weights", F.lit(1)), 4).alias("w1"))
+
+
+@register("T9_step_aic_one_feature", sql="""
+    WITH m AS (SELECT count(*) AS n, var_pop(price) * count(*) AS syy, regr_r2(price, accommodates) AS r2
+               FROM listings WHERE price IS NOT NULL AND accommodates IS NOT NULL),
+    a AS (SELECT n * ln(syy * (1 - r2) / n) + 4 AS one, n * ln(syy / n) + 2 AS none FROM m)
+    SELECT 0 AS step, '<none>' AS dropped, round(one, 4) AS aic FROM a
+    UNION ALL SELECT 1, 'accommodates', round(none, 4) FROM a WHERE none < one""")
+def q_t9b(spark, d):
+    steps = st.step_aic(L(spark, d), "price", ["accommodates"])
+    return steps.select("step", "dropped", F.round("aic", 4).alias("aic"))
+
+
+@register("T13_what_if_one_feature", sql="""
+    WITH m AS (SELECT regr_slope(price, accommodates) AS b, regr_intercept(price, accommodates) AS a
+               FROM listings)
+    SELECT listing_id, round(a + b * accommodates, 4) AS prediction, round(b * 2, 4) AS difference
+    FROM listings, m""")
+def q_t13b(spark, d):
+    df = L(spark, d)
+    coef, _ = st.ols(df, "price", ["accommodates"])
+    rows = [(r["term"], r["estimate"]) for r in coef.collect()]
+    out = st.what_if(df.select("listing_id", "accommodates"), rows, "accommodates", 2.0)
+    return out.select("listing_id", F.round("prediction", 4).alias("prediction"),
+                      F.round("difference", 4).alias("difference"))
