@@ -84,3 +84,14 @@ def test_one_hot_vectors_are_the_callers_choice(spark):
     assert all(v.size == 31 for v in vecs)  # 30 levels + 1 slot for unseen
     narrow_tr, narrow_te = fe.one_hot(train, test, ["c"])
     assert len(narrow_te.columns) == 30
+
+
+def test_one_hot_counts_levels_before_reading_them(spark):
+    import pytest
+
+    from tidewater.operators import features as fe
+    df = spark.range(30).selectExpr("id", "cast(id AS string) AS many", "cast(id % 3 AS string) AS few")
+    with pytest.raises(ValueError, match="many"):
+        fe.one_hot(df, None, ["many", "few"], max_levels=10)
+    train, _ = fe.one_hot(df, None, ["many", "few"], vectors=["many"], max_levels=10)
+    assert {"few_0", "few_1", "few_2", "many_vec"} <= set(train.columns)

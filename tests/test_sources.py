@@ -57,3 +57,33 @@ def test_feature_collection_document(spark):
                 '{"name": "Sol", "avgprice": 80.5, "avgbedrooms": [{"bedrooms": 0, "total": 3}]}}]}')
     r = rd.read_features(spark, p, collection=True).first()
     assert r.name == "Sol" and r.avgprice == 80.5 and r.avgbedrooms[0].total == 3
+
+
+def test_lake_files_follow_hours_and_bytes(spark):
+    rows = spark.range(60_000).selectExpr(
+        "timestamp_seconds(1600000000 + 3600 * (id % 4)) AS timestamp", "uuid() AS id",
+        "id AS bytes").repartition(16)
+
+    def files(root):
+        found = spark.read.parquet(root).selectExpr("hour", "input_file_name() AS f").distinct()
+        return {r["hour"]: r["count"] for r in found.groupBy("hour").count().collect()}
+
+    one = os.path.join(tempfile.mkdtemp(prefix="tw-lake-"), "lake")
+    sk.write_lake(rows, one)
+    assert sorted(files(one).values()) == [1, 1, 1, 1]
+    keys = ("spark.sql.adaptive.advisoryPartitionSizeInBytes",
+            "spark.sql.adaptive.skewJoin.skewedPartitionThresholdInBytes")
+    before = {k: spark.conf.get(k) for k in keys}
+    hot = rows.where("id IS NOT NULL").withColumn(
+        "timestamp", F.expr("CASE WHEN bytes % 10 > 0 THEN timestamp_seconds(1600000000) "
+                            "ELSE timestamp END"))
+    two = os.path.join(tempfile.mkdtemp(prefix="tw-lake-"), "lake")
+    try:
+        for k in keys:
+            spark.conf.set(k, "128k")
+        sk.write_lake(hot, two)
+    finally:
+        for k, v in before.items():
+            spark.conf.set(k, v)
+    assert 3 < max(files(two).values()) < 40
+    assert spark.read.parquet(two).count() == 60_000
