@@ -89,3 +89,16 @@ def test_stages_judge_texts_not_ids(spark, make_docs, tmp_path):
     assert sorted((str(r.doc_id), str(r.text)) for r in got) == sorted(
         [("1", near), ("2", other), ("3", leak), ("3", sentence(34, 60)), ("None", near),
          ("None", near), ("4", "None"), ("4", "")])
+
+
+def test_run_on_an_empty_table(spark, make_docs, tmp_path):
+    make_docs([]).write.parquet(str(tmp_path / "documents.parquet"))
+    spark.createDataFrame([(1, sentence(905, 60))], "item_id long, text string").write.parquet(
+        str(tmp_path / "benchmark.parquet"))
+    assert C.run(spark, str(tmp_path)).count() == 0
+
+
+def test_line_stage_without_a_length_column(spark, make_docs):
+    docs = make_docs([(k, sentence(1, 60) + "\n" + sentence(2, 60)) for k in range(3)])
+    got = C.dedup_lines(spark, docs.drop("n_chars"), SMALL)
+    assert [r.doc_id for r in got.collect()] == [0] and "n_chars" not in got.columns
