@@ -2,7 +2,7 @@ import numpy as np
 import pytest
 from corpus_helpers import sentence
 
-from tidewater.llm import near_dups
+from tidewater.llm import common, near_dups
 
 
 def sets(rows):
@@ -67,7 +67,7 @@ def test_chain_is_one_group(make_docs):
 
 
 def test_same_through_joins_of_ids(make_docs, edge_rows, monkeypatch):
-    monkeypatch.setattr(near_dups, "BROADCAST_IDS", -1)
+    monkeypatch.setattr(common, "BROADCAST_BYTES", -1)
     assert result(near_dups.groups(make_docs(edge_rows))) == brute(edge_rows)
 
 

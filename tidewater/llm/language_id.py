@@ -36,11 +36,11 @@ SAMPLE_PER_LANGUAGE = 1500
 PASSES = 4
 #: Count added to every piece of a language.
 SMOOTHING = 0.05
-LONGEST_PIECE = 16
-#: Words whose scores a worker remembers.
-REMEMBERED = 300_000
+#: Words whose scores a worker remembers, and their longest: those it meets first, as
+#: frequent words do. Other words are scored once per Arrow batch.
+REMEMBERED, LONGEST_WORD = 300_000, 64
 #: Cells (words x positions) of one forward pass.
-CELLS = 1_000_000
+CELLS = 250_000
 RESCALE_EVERY, SMALL, LIFT = 8, 1e-120, 1e120
 
 
@@ -51,6 +51,7 @@ class Lattice:
         self.unknown = len(pieces)  # a letter that is no piece
         self.size = len(pieces) + 1
         self.lexicon = {}
+        self.longest = max(map(len, pieces), default=1)
         for i, p in enumerate(pieces):
             for k in range(1, len(p)):
                 self.lexicon.setdefault(p[:k], -1)
@@ -61,7 +62,7 @@ class Lattice:
         look, unknown, n = self.lexicon.get, self.unknown, len(word)
         starts, ends, ids = [], [], []
         for i in range(n):
-            for j in range(i + 1, min(n, i + LONGEST_PIECE) + 1):
+            for j in range(i + 1, min(n, i + self.longest) + 1):
                 p = look(word[i:j])
                 if p is None or p < 0:
                     if j == i + 1:  # every single symbol is an edge
@@ -121,6 +122,7 @@ def pass_over(edges, near, far, n_words, last, prob):
     out = np.zeros((n_words, last + 1, cols))
     value[:, 0] = 1.0
     cuts = np.searchsorted(far, np.arange(last + 2))
+    reach = int((far - near).max(initial=1))
     for e in range(1, last + 1):
         a, b = cuts[e], cuts[e + 1]
         if a < b:
@@ -129,7 +131,7 @@ def pass_over(edges, near, far, n_words, last, prob):
             first = np.flatnonzero(np.r_[True, words[1:] != words[:-1]])
             value[words[first], e] = np.add.reduceat(add, first, axis=0)
         if e % RESCALE_EVERY == 0:
-            since = max(0, e - LONGEST_PIECE)
+            since = max(0, e - reach)
             low = (value[:, e] < SMALL) & (value[:, e] > 0)
             if low.any():
                 value[:, since:e + 1] *= np.where(low, LIFT, 1.0)[:, None, :]
@@ -175,8 +177,7 @@ def expected_counts(lattice: Lattice, prob: np.ndarray, words, counts) -> np.nda
 def public_pieces(model_file: str) -> list[str]:
     """Lower-case letter pieces of the vocabulary, with and without the space mark."""
     found = {p.lower() for p in vocabulary(model_file).scores}
-    return sorted(p for p in found if len(p) <= LONGEST_PIECE and (
-        p == SPACE or WORD.fullmatch(p.removeprefix(SPACE))))
+    return sorted(p for p in found if p == SPACE or WORD.fullmatch(p.removeprefix(SPACE)))
 
 
 def words_of(text: str | None) -> list[str]:
@@ -208,20 +209,26 @@ class LanguageModel:
         """log P(text | language) per text and language, and words per text."""
         if self._lattice is None:
             self._lattice = Lattice(self.pieces)
-        if self._scores is None or len(self._rows) > REMEMBERED:
-            self._rows, self._scores = {}, np.empty((0, len(self.languages)))
+        if self._scores is None:
+            self._scores = np.empty((REMEMBERED, len(self.languages)))
         found = [words_of(t) for t in texts]
-        rows = self._rows
-        new = list({w for words in found for w in words if w not in rows})
+        rows, scores = self._rows, self._scores
+        new = list(dict.fromkeys(w for words in found for w in words if w not in rows))
         if new:
+            values = word_scores(self._lattice, self.prob, new)
+            kept = [k for k, w in enumerate(new) if len(w) <= LONGEST_WORD][
+                :REMEMBERED - len(rows)]
             at = len(rows)
-            rows.update(zip(new, range(at, at + len(new))))
-            self._scores = np.concatenate([self._scores,
-                                           word_scores(self._lattice, self.prob, new)])
+            scores[at:at + len(kept)] = values[kept]
+            rows.update((new[k], at + j) for j, k in enumerate(kept))
+            if len(kept) < len(new):  # the others are known to this batch only
+                scores = np.concatenate([scores, values])
+                rows = {w: REMEMBERED + k for k, w in enumerate(new)} | {
+                    w: rows[w] for words in found for w in words if w in rows}
         result = np.zeros((len(texts), len(self.languages)))
         for k, words in enumerate(found):
             if words:
-                result[k] = self._scores[list(map(rows.__getitem__, words))].sum(0)
+                result[k] = scores[list(map(rows.__getitem__, words))].sum(0)
         return result, np.array([len(w) for w in found])
 
     def predict(self, texts) -> tuple[list[str], np.ndarray]:
@@ -295,7 +302,7 @@ def fit(labelled: DataFrame, model_file: str, *, text: str = "text", lang: str =
         prob = np.full((size, len(languages)), SMOOTHING)
         prob[counts["piece"], counts["lang"].map(column)] += counts["c"]
         prob /= prob.sum(0)
-        model.unpersist()
+        model.destroy()
     return LanguageModel(languages, pieces, prob)
 
 

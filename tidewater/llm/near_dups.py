@@ -27,7 +27,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from .common import bounded_batches, written
+from .common import bounded_batches, small, written
 
 #: Places of the universe, and the seed of the two permutations.
 PLACES, SEED = 1 << 20, 20
@@ -39,18 +39,18 @@ WORDS = 5
 PERCENT = 80
 #: Shingles handled at once by the numpy passes of a task.
 CHUNK = 200_000
-#: Word hashes a worker remembers.
-REMEMBERED = 300_000
+#: Word hashes a worker remembers, and the bytes of their longest words.
+REMEMBERED, LONGEST_WORD = 200_000, 64
 #: A shingle is rare among the texts left over if so many of them have it at most.
 RARE = 20
-#: Id sets up to so many rows are broadcast to filter the texts; larger ones are joined.
-BROADCAST_IDS = 1_000_000
+#: Bytes of an id, about.
+ID_BYTES = 24
 
 
 class WordHashes(dict):
     def __missing__(self, word):
         value = xxhash.xxh64_intdigest(word)
-        if len(self) < REMEMBERED:
+        if len(self) < REMEMBERED and len(word) <= LONGEST_WORD:
             self[word] = value
         return value
 
@@ -166,8 +166,7 @@ def signatures(docs: DataFrame, *, text: str = "text", bands: int = BANDS, rows:
 def texts_of(docs: DataFrame, ids: DataFrame, text: str) -> DataFrame:
     """``doc_id, t`` of the documents named in ``ids``, as a table."""
     ids = written(ids, "near-ids")
-    few = F.broadcast(ids) if ids.count() <= BROADCAST_IDS else ids
-    return written(docs.select("doc_id", F.col(text).alias("t")).join(few, "doc_id"),
+    return written(docs.select("doc_id", F.col(text).alias("t")).join(small(ids, ID_BYTES), "doc_id"),
                    "near-texts")
 
 
