@@ -10,7 +10,10 @@ A merge can only join two characters that stand side by side inside some
 piece. Texts are therefore cut first where no piece has such a neighbour
 pair, the agenda runs once per distinct fragment and worker, and a text is
 the concatenation of its fragments. This is exact, and checked against the
-library over whole tables in the tests and by ``check_with_library``.
+library over whole tables in the tests and by ``check_with_library``: of every
+Arrow batch, the fragments and the cuts (the two characters beside one) that the
+worker has not compared yet go to the library, which must give the same ids and
+decode them to the same text. A text is made of nothing else.
 """
 
 from __future__ import annotations
@@ -21,7 +24,7 @@ import re
 from functools import lru_cache
 from heapq import heapify, heappop, heappush
 from itertools import chain
-from operator import add
+from operator import add, itemgetter
 
 import pyarrow as pa
 from pyspark.sql import DataFrame
@@ -34,13 +37,18 @@ SPACE = "▁"
 #: Piece types in a model file (fixed values of the format).
 NORMAL, UNKNOWN, CONTROL, USER_DEFINED, UNUSED, BYTE = 1, 2, 3, 4, 5, 6
 BPE = 2
-#: Distinct fragments a worker remembers; more are merged again when met.
-REMEMBERED = 400_000
+#: Distinct fragments a worker remembers, and their longest; others are merged (and
+#: compared) again when met.
+REMEMBERED, LONGEST = 400_000, 64
 #: What an unknown id decodes to where the model names nothing else.
 UNKNOWN_TEXT = " ⁇ "
 #: Stands for a control id while byte runs are read; no character of any text.
 HALT = "\U0010FFFF"
 
+FIRST, LAST = itemgetter(0), itemgetter(-1)
+#: ASCII characters but letters and digits; a run of them may be one fragment.
+MARK = re.compile(SPACE + r"*[\x00-\x1F!-/:-@\[-`{-\x7F]")
+
 # one replacement character for each byte that is not valid UTF-8
 codecs.register_error("replace_each_byte", lambda e: ("�", e.start + 1))
 
@@ -51,10 +59,12 @@ class Fragments(dict):
     def __init__(self, merge):
         super().__init__()
         self.merge = merge
+        self.fresh: list[tuple] = []
 
     def __missing__(self, fragment):
         ids = self.merge(fragment)
-        if len(self) < REMEMBERED:
+        self.fresh.append((fragment, ids))
+        if len(self) < REMEMBERED and len(fragment) <= LONGEST:
             self[fragment] = ids
         return ids
 
@@ -100,6 +110,7 @@ class MergeVocabulary:
         self.id_text = [str(i) for i in range(len(model.pieces))]
         self.cut = re.compile(self._cut_pattern())
         self.fragments = Fragments(self.merge)
+        self.cuts: set[str] = set()
 
     def _cut_pattern(self) -> str:
         """Fragments end where no piece has the two neighbouring characters.
@@ -168,17 +179,30 @@ class MergeVocabulary:
                 ids.append(self.unknown)
         return tuple(ids)
 
-    def encode(self, text: str | None) -> list[int]:
-        """Ids of the whole text and the end id; null counts as empty."""
+    def encode(self, text: str | None, proof: list[tuple] | None = None) -> list[int]:
+        """Ids of the whole text and the end id; null counts as empty.
+
+        ``proof`` gathers the fragments and cuts that are new here, with their ids.
+        """
         if not text:
             return [self.end]
         text = text.replace(" ", SPACE)
         if self.dummy_prefix:
             text = SPACE + text
-        ids = list(chain.from_iterable(map(self.fragments.__getitem__, self.cut.findall(text))))
+        parts = self.cut.findall(text)
+        ids = list(chain.from_iterable(map(self.fragments.__getitem__, parts)))
         if not self.byte_fallback:  # neighbouring unknown symbols are one unknown id
             ids = [i for k, i in enumerate(ids)
                    if i != self.unknown or k == 0 or ids[k - 1] != self.unknown]
+        if proof is not None:
+            beside = set(map(add, map(LAST, parts), map(FIRST, parts[1:])))
+            if not beside <= self.cuts:
+                for a, b in zip(parts, parts[1:]):
+                    if a[-1] + b[0] not in self.cuts:
+                        proof.append((a + b, self.fragments[a] + self.fragments[b]))
+                        self.cuts.add(a[-1] + b[0])
+            proof += self.fragments.fresh
+            self.fragments.fresh.clear()
         ids.append(self.end)
         return ids
 
@@ -209,6 +233,34 @@ def library(model_file: str):
     return sentencepiece.SentencePieceProcessor(model_file=model_file)
 
 
+def compare(v: MergeVocabulary, model_file: str, proof: list[tuple]) -> None:
+    """Raise where the library gives other ids for a text, or decodes them otherwise.
+
+    ``proof``: texts with spaces as marks, and our ids. Those without an ASCII mark at
+    their ends are compared in one text, cut apart by line ends.
+    """
+    words, alone = [], []
+    for t, ids in proof:
+        (alone if MARK.match(t) or MARK.match(t[-1]) else words).append((t, ids))
+    texts = ["\n" + "\n".join(t for t, _ in words).replace(SPACE, " ")]
+    line_end = v.merge("\n")
+    ours = [[*v.encode("\n")[:-1], *chain.from_iterable(
+        ids if k == 0 else line_end + ids for k, (_, ids) in enumerate(words)), v.end]]
+    for t, _ in alone:
+        texts.append(t.replace(SPACE, " ").removeprefix(" " if v.dummy_prefix else ""))
+        ours.append(v.encode(texts[-1]))
+    lib = library(model_file)
+    theirs = lib.encode(texts, add_eos=True, num_threads=1)
+    if not v.byte_fallback:  # neighbouring unknown symbols need the whole text
+        ours = [v.encode(t) for t in texts]
+    for text, ids, want, back in zip(texts, ours, theirs, lib.decode(theirs, num_threads=1)):
+        if ids != want:
+            raise AssertionError(f"ids differ from the library's for {text[:200]!r}")
+        if v.decode(ids) != back:
+            raise AssertionError(f"the decoded text differs from the library's for {text[:200]!r}")
+    v.fragments.fresh.clear()
+
+
 def encode_texts(docs: DataFrame, model_file: str, *, text: str = "text",
                  keep: tuple[str, ...] = ("doc_id",), with_ids: bool = True,
                  with_text: bool = True, check_with_library: bool = False) -> DataFrame:
@@ -219,8 +271,9 @@ def encode_texts(docs: DataFrame, model_file: str, *, text: str = "text",
     then ``ids`` (array of int, end id last; left out with
     ``with_ids=False``), ``n_tokens``, ``ids_sha256`` (of the decimal ids
     joined by one space), ``decoded`` (left out with ``with_text=False``) and
-    ``decoded_sha256``. With ``check_with_library`` every Arrow batch is also
-    encoded by the sentencepiece library and a difference raises.
+    ``decoded_sha256``. With ``check_with_library`` all that is new in an Arrow
+    batch is also encoded and decoded by the sentencepiece library; a difference
+    raises and ends the job, which is meant: no wrong id goes out unnoticed.
 
     Null and empty texts encode to the end id alone and decode to the empty
     text. Each input row gives one row, so repeated rows and null ids come
@@ -242,13 +295,11 @@ def encode_texts(docs: DataFrame, model_file: str, *, text: str = "text",
         v = vocabulary(model_file)
         for b in it:
             texts = b.column(n_keep).to_pylist()
-            ids = [v.encode(t) for t in texts]
-            if check_with_library:
-                theirs = library(model_file).encode([t or "" for t in texts], add_eos=True,
-                                                    num_threads=1)
-                if theirs != ids:
-                    k = next(k for k in range(len(ids)) if ids[k] != theirs[k])
-                    raise AssertionError(f"ids differ from the library's for {texts[k][:200]!r}")
+            proof = [] if check_with_library else None
+            ids = [v.encode(t, proof) for t in texts]
+            if proof:
+                compare(v, model_file, proof)
+            v.fragments.fresh.clear()
             decoded = [v.decode(i) for i in ids]
             cols = [b.column(k) for k in range(n_keep)]
             names = list(keep)
