@@ -55,12 +55,13 @@ def windows(docs: DataFrame, text: str = "text") -> DataFrame:
         F.concat(F.slice("hs", 2, F.greatest(F.size("hs") - 1, F.lit(0))),
                  F.array(F.lit(None).cast("long"))).alias("h2"))).alias("at", "w"))
     pair = F.when(F.col("w.two").isNotNull(), F.concat_ws("\n", "w.one", "w.two"))
-    pairs = rows.select("doc_id", "th", "at", F.lit(SPAN).alias("n"),
-                        F.xxhash64("w.h1", "w.h2").alias("h"), pair.alias("body")).where(
-        F.col("body").rlike(r"\S"))
-    alone = rows.select("doc_id", "th", "at", F.lit(1).alias("n"), F.xxhash64("w.h1").alias("h"),
-                        F.col("w.one").alias("body")).where(n_words("body") >= LONG_WORDS)
-    return pairs.unionByName(alone)
+    found = F.array(
+        F.struct(F.lit(SPAN).alias("n"), F.xxhash64("w.h1", "w.h2").alias("h"),
+                 F.when(pair.rlike(r"\S"), pair).alias("body")),
+        F.struct(F.lit(1).alias("n"), F.xxhash64("w.h1").alias("h"),
+                 F.when(n_words("w.one") >= LONG_WORDS, F.col("w.one")).alias("body")))
+    return rows.select("doc_id", "th", "at", F.inline(F.filter(
+        found, lambda w: w["body"].isNotNull())))
 
 
 def repeated(docs: DataFrame, text: str = "text") -> DataFrame:
@@ -151,10 +152,12 @@ lc_flat AS (
   SELECT doc_id, unnest(ls) AS line, unnest(range(len(ls))) AS i,
          unnest(ls[2:] || [NULL]) AS following FROM lc_lines),
 lc_words AS (
-  SELECT *, len(regexp_extract_all(line, '[^	- ]+')) AS words FROM lc_flat),
+  SELECT *, len(regexp_extract_all(line, '[^	-
+ ]+')) AS words FROM lc_flat),
 lc_windows AS (
   SELECT doc_id, i AS bgn, 2 AS n, line || chr(10) || following AS body FROM lc_words
-  WHERE following IS NOT NULL AND regexp_matches(line || following, '[^	- ]')
+  WHERE following IS NOT NULL AND regexp_matches(line || following, '[^	-
+ ]')
   UNION ALL
   SELECT doc_id, i, 1, line FROM lc_words WHERE words >= {LONG_WORDS}),
 lc_again AS (
