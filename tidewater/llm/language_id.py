@@ -40,7 +40,7 @@ SMOOTHING = 0.05
 #: frequent words do. Other words are scored once per Arrow batch.
 REMEMBERED, LONGEST_WORD = 300_000, 64
 #: Cells (words x positions) of one forward pass.
-CELLS = 250_000
+CELLS = 100_000
 RESCALE_EVERY, SMALL, LIFT = 8, 1e-120, 1e120
 
 
@@ -211,7 +211,8 @@ class LanguageModel:
             self._lattice = Lattice(self.pieces)
         if self._scores is None:
             self._scores = np.empty((REMEMBERED, len(self.languages)))
-        found = [words_of(t) for t in texts]
+        once = {}  # one object per distinct word of the batch, however often it occurs
+        found = [[once.setdefault(w, w) for w in words_of(t)] for t in texts]
         rows, scores = self._rows, self._scores
         new = list(dict.fromkeys(w for words in found for w in words if w not in rows))
         if new:
