@@ -50,3 +50,12 @@ def test_tfidf_weights_and_ties(spark):
     assert np.allclose(row, want / np.sqrt((want ** 2).sum()))
     with pytest.raises(ValueError):
         to.fit_tfidf(df, "ts", min_df=3)
+
+
+def test_kept_columns_only(spark):
+    df = spark.createDataFrame([(1, "The cats", "english"), (2, "Häuser", "german"),
+                                (3, "...", None)], "id int, text string, lang string")
+    whole = to.text_transformations(df, "text", F.col("lang"))
+    kept = to.text_transformations(df, "text", F.col("lang"), keep=("id",))
+    assert kept.columns == ["id", "standardized_text"]
+    assert sorted(kept.collect()) == sorted(whole.select(*kept.columns).collect())

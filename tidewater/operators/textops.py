@@ -11,6 +11,8 @@ from __future__ import annotations
 from collections.abc import Sequence
 from functools import reduce
 
+import numpy as np
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
@@ -45,8 +47,9 @@ def stem_tokens(df: DataFrame, tokens: str, language: str | Column = "english")
     """``df`` with the tokens of a column replaced by their stems, in place.
 
     ``language`` is a name, or a column of names; tokens of rows whose language has no
-    rules (or is null) stay as they are. Only distinct words are stemmed, and joined
-    back to their places; null arrays stay null.
+    rules (or is null) stay as they are. Only distinct words are stemmed. A row meets the
+    distinct words of its own that change, once each; its tokens are looked up among them
+    in place. Null arrays stay null.
     """
     lang = F.lit(language) if isinstance(language, str) else language
     if isinstance(language, str) and language not in LANGUAGES:
@@ -54,27 +57,29 @@ def stem_tokens(df: DataFrame, tokens: str, language: str | Column = "english")
     # written: the row numbers hold for both readers
     rows = written(df.withColumns({"__row": F.monotonically_increasing_id(), "__lang": lang}),
                    "stem-rows")
-    places = rows.select("__row", "__lang", F.posexplode(tokens).alias("__at", "__word"))
-    vocab = places.where(F.col("__lang").isin(sorted(LANGUAGES))).select(
-        "__lang", "__word").distinct()
+    held = rows.where(F.col("__lang").isin(sorted(LANGUAGES))).select(
+        "__row", "__lang", F.explode(F.array_distinct(tokens)).alias("__word"))
+    vocab = held.select("__lang", "__word").distinct()
     parts = [stems(vocab.where(F.col("__lang") == name), name, "__word", "__stem")
              for name in sorted(LANGUAGES)]
-    known = measured(reduce(DataFrame.unionByName, parts))
-    again = places.join(known, ["__lang", "__word"], "left").groupBy("__row").agg(
-        F.sort_array(F.collect_list(F.struct("__at", F.coalesce("__stem", "__word").alias("s"))))
-        .alias("__found"))
-    found = F.when(F.col(tokens).isNull(), F.col(tokens)).otherwise(
-        F.coalesce("__found.s", F.array().cast("array<string>")))
-    return rows.join(again, "__row", "left").withColumn(tokens, found).drop(
+    # filtered once written: a filter pushed into the rules would repeat them at every step
+    known = measured(reduce(DataFrame.unionByName, parts)).where("__stem <> __word")
+    changes = held.join(known, ["__lang", "__word"]).groupBy("__row").agg(
+        F.map_from_entries(F.collect_list(F.struct("__word", "__stem"))).alias("__found"))
+    found = F.transform(F.col(tokens), lambda t: F.coalesce(F.col("__found")[t], t))
+    return rows.join(changes, "__row", "left").withColumn(tokens, F.when(
+        F.col("__found").isNull(), F.col(tokens)).otherwise(found)).drop(
         "__row", "__lang", "__found")
 
 
 # S20
 def standardize_text(df: DataFrame, col: str, language: str | Column = "english",
-                     stop: bool = True, out: str = "standardized") -> DataFrame:
+                     stop: bool = True, out: str = "standardized",
+                     keep: Sequence[str] | None = None) -> DataFrame:
     """Stop words (optional: the author's ablation) then stems; the
     result is joined back to text with single spaces. With a column of
-    languages every row follows its own; one without a list or rules keeps its tokens."""
+    languages every row follows its own; one without a list or rules keeps its tokens.
+    With ``keep`` only these columns are carried along (and written) beside the result."""
     tokens = tx.tokenize(col)
     if stop and isinstance(language, str):
         tokens = remove_stopwords(tokens, language)
@@ -83,15 +88,19 @@ def standardize_text(df: DataFrame, col: str, language: str | Column = "english"
         for name in STOPWORD_LANGUAGES:
             tokens = F.when(language == name, remove_stopwords(plain, name)).otherwise(tokens)
     held = df.withColumn("__tokens", tokens)
+    if keep is not None:
+        named = F.lit(language) if isinstance(language, str) else language
+        held = held.select(*keep, "__tokens", named.alias("__language"))
+        language = language if isinstance(language, str) else F.col("__language")
     return stem_tokens(held, "__tokens", language).withColumn(
-        out, F.array_join("__tokens", " ")).drop("__tokens")
+        out, F.array_join("__tokens", " ")).drop("__tokens", "__language")
 
 
 def text_transformations(df: DataFrame, col: str, language: str | Column = "english",
-                         stop: bool = True) -> DataFrame:
+                         stop: bool = True, keep: Sequence[str] | None = None) -> DataFrame:
     """The reference's text chain: clean, drop blank results, standardise."""
     cleaned = df.withColumn("text_clean", tx.clean_text(col)).filter(F.col("text_clean") != "")
-    return standardize_text(cleaned, "text_clean", language, stop, out="standardized_text")
+    return standardize_text(cleaned, "text_clean", language, stop, "standardized_text", keep)
 
 
 # A21
@@ -119,13 +128,68 @@ def ngrams(tokens: Column | str, n: int) -> Column:
     return F.transform(zipped, lambda z: F.concat_ws(" ", *[z[str(k)] for k in range(n)]))
 
 
+#: Buckets of term hashes whose occurrences are counted before terms are.
+BUCKETS = 2 ** 20
+
+
+def term_partials(df: DataFrame, terms: str) -> DataFrame:
+    """``term``, ``df``, ``total`` of every Arrow batch of rows: rows that hold the term and
+    its occurrences (null terms: none). Sums over the batches are the term's counts."""
+    def counted(batches):
+        for b in batches:
+            lists = b.column(0)
+            sizes = np.where(np.asarray(lists.is_null()), 0, lists.value_lengths().fill_null(
+                0).to_numpy(zero_copy_only=False))
+            coded = lists.flatten().dictionary_encode()
+            codes = coded.indices.fill_null(-1).to_numpy(zero_copy_only=False)
+            n = len(coded.dictionary)
+            held = np.unique((np.repeat(np.arange(len(sizes)), sizes) * n + codes)[codes >= 0])
+            yield pa.RecordBatch.from_arrays([
+                coded.dictionary,
+                pa.array(np.bincount(held % n if n else held, minlength=n), pa.int64()),
+                pa.array(np.bincount(codes[codes >= 0], minlength=n), pa.int64())],
+                names=["term", "df", "total"])
+
+    return df.select(terms).mapInArrow(counted, "term string, df long, total long")
+
+
+def frequent_terms(df: DataFrame, terms: str, k: int, keep: Column | None = None) -> DataFrame:
+    """``term``, ``df``, ``total`` of the ``k`` terms of most occurrences (ties by term)
+    among those that ``keep``, a condition on ``df`` and ``total``, admits.
+
+    Occurrences are first counted by bucket of the term's hash; a bucket's count bounds
+    that of its terms. Only terms of the fullest buckets are counted by themselves. Where
+    k admitted terms reach the count of the least of these buckets, no other can precede
+    them; else more buckets follow, all of them at last.
+    """
+    keep = F.lit(True) if keep is None else keep
+    partials = term_partials(df, terms).withColumn("b", F.pmod(F.xxhash64("term"), F.lit(BUCKETS)))
+    buckets = written(partials.groupBy("b").agg(F.sum("total").alias("c")), "term-buckets")
+    for m in (4 * k, 64 * k, None):
+        least, some = 0, partials
+        if m is not None:
+            if buckets.count() <= m:
+                continue
+            least = buckets.orderBy(F.desc("c")).limit(m).agg(F.min("c")).first()[0]
+            # BUCKETS numbers at most
+            some = partials.join(F.broadcast(buckets.where(F.col("c") >= least)), "b", "left_semi")
+        counts = written(some.groupBy("term").agg(
+            F.sum("df").alias("df"), F.sum("total").alias("total")).where(keep), "term-counts")
+        if m is None or counts.where(F.col("total") >= least).limit(k).count() == k:
+            return counts.orderBy(F.desc("total"), "term").limit(k)
+
+
 def ngram_counts(df: DataFrame, tokens: str, n: int, k: int | None = None) -> DataFrame:
-    """Most frequent n-grams (``NGram`` transformer, then one aggregate)."""
+    """Most frequent n-grams (``NGram`` transformer, then ``frequent_terms``); all of them,
+    in no order, without ``k``."""
     from pyspark.ml.feature import NGram
-    g = NGram(n=n, inputCol=tokens, outputCol="__g").transform(df.select(tokens))
-    grams = g.select(F.explode("__g").alias("ngram"))
-    counts = grams.groupBy("ngram").agg(F.count(F.lit(1)).alias("count"))
-    return counts.orderBy(F.col("count").desc(), "ngram").limit(k) if k else counts
+    grams = NGram(n=n, inputCol=tokens, outputCol="ngram")
+    if k:
+        top = frequent_terms(grams.transform(written(df.select(tokens), "gram-tokens")), "ngram", k)
+        return top.select(F.col("term").alias("ngram"), F.col("total").alias("count")).orderBy(
+            F.col("count").desc(), "ngram")
+    return term_partials(grams.transform(df.select(tokens)), "ngram").groupBy(
+        F.col("term").alias("ngram")).agg(F.sum("total").alias("count"))
 
 
 def vocabulary_size(df: DataFrame, tokens: str, name: str = "vocabulary") -> DataFrame:
@@ -156,36 +220,35 @@ def document_frequency(df: DataFrame, terms: str, min_df: int = 3, max_df: float
     ``min_df`` documents and ``max_df`` share. idf = ln((n+1)/(df+1)),
     +1 with ``smooth_sklearn`` (sklearn's smoothed idf).
 
-    A row is a document. It contributes its distinct terms to ``df`` and
-    all its terms to ``total`` in one aggregate by term, combined before
-    the only exchange; no text and no documents are shuffled. ``n`` is the
-    row count of ``df`` (a scalar subquery that reads no text).
+    A row is a document. Terms are counted within Arrow batches of rows, in the task that
+    holds them, and the counts added up by term; no text and no documents are shuffled.
+    ``n`` is the row count of ``df`` (a scalar subquery that reads no text).
     """
     n = df.agg(F.count(F.lit(1))).scalar()
-    # exploded in two steps that keep nulls: an inner explode would make
-    # Spark evaluate the whole text chain once more in a filter above the scan
-    sides = F.array(F.struct(F.lit(1).alias("d"), F.array_distinct(terms).alias("ts")),
-                    F.struct(F.lit(0).alias("d"), F.col(terms).alias("ts")))
-    each = (df.select(F.inline_outer(sides)).select("d", F.explode_outer("ts").alias("term"))
-              .where(F.col("term").isNotNull()))
-    out = (each.groupBy("term").agg(F.sum("d").alias("df"), F.sum(1 - F.col("d")).alias("total"))
-               .filter((F.col("df") >= min_df) & (F.col("df") <= F.lit(max_df) * n))
-                  .withColumn("idf", F.log((n + 1) / (F.col("df") + 1))
-                              + (1.0 if smooth_sklearn else 0.0)))
-    return out
+    return (term_partials(df, terms).groupBy("term").agg(
+        F.sum("df").alias("df"), F.sum("total").alias("total"))
+        .filter((F.col("df") >= min_df) & (F.col("df") <= F.lit(max_df) * n))
+        .withColumn("idf", F.log((n + 1) / (F.col("df") + 1))
+                    + (1.0 if smooth_sklearn else 0.0)))
 
 
 def fit_tfidf(train: DataFrame, terms: str, vocab_size: int = 3000, min_df: int = 3,
               max_df: float = 0.95):
-    """CountVectorizer (top ``vocab_size`` terms by corpus count after the
-    df limits), weights 1 + ln((n + 1) / (df + 1)), L2 normaliser, fitted on
-    train only."""
+    """Term counts over the ``vocab_size`` terms of most occurrences (ties by term) within
+    the df limits, weights 1 + ln((n + 1) / (df + 1)), L2 normaliser, fitted on train only.
+    Limits from 1 on are documents, lower ones shares of them, as for CountVectorizer."""
     from pyspark.ml import PipelineModel
-    from pyspark.ml.feature import IDF, CountVectorizer, ElementwiseProduct, Normalizer
+    from pyspark.ml.feature import CountVectorizerModel, ElementwiseProduct, Normalizer
     from pyspark.ml.linalg import Vectors
-    cv = CountVectorizer(inputCol=terms, outputCol="__tf", vocabSize=vocab_size,
-                         minDF=float(min_df), maxDF=float(max_df)).fit(train)
-    idf = IDF(inputCol="__tf", outputCol="__idf").fit(cv.transform(train)).idf.toArray()
+    n = train.count()
+    low, high = (x if x >= 1 else x * n for x in (min_df, max_df))
+    vocab = frequent_terms(train, terms, vocab_size, F.col("df").between(low, high)).collect()
+    if not vocab:
+        raise ValueError("no term is within the df limits")
+    # tied terms in a fixed order, so a repeated fit numbers them alike
+    vocab.sort(key=lambda r: (-r["total"], r["term"]))
+    cv = CountVectorizerModel.from_vocabulary([r["term"] for r in vocab], terms, "__tf")
+    idf = np.log((n + 1) / (np.array([r["df"] for r in vocab]) + 1))
     weight = ElementwiseProduct(inputCol="__tf", outputCol="__tfidf",
                                 scalingVec=Vectors.dense(idf + 1.0))
     norm = Normalizer(inputCol="__tfidf", outputCol="features", p=2.0)

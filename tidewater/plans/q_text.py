@@ -9,6 +9,7 @@ from ..functions import text as tx
 from ..functions.scalar import sentiment_label
 from ..functions.stopwords import ENGLISH
 from ..operators import textops as to
+from ..session import written
 from . import sqltext as sq
 from .registry import register
 
@@ -89,14 +90,15 @@ def q_s19(spark, d):
 
 @register("S20_text_transformations")
 def q_s20(spark, d):
-    return to.text_transformations(in_languages(spark, d), "text", F.col("language")).select(
+    return to.text_transformations(in_languages(spark, d), "text", F.col("language"),
+                                   keep=("doc_id", "text_clean")).select(
         "doc_id", "text_clean", "standardized_text")
 
 
 @register("S20_text_transformations_keep_stopwords")
 def q_s20b(spark, d):
     return to.text_transformations(in_languages(spark, d), "text", F.col("language"),
-                                   stop=False).select("doc_id", "standardized_text")
+                                   stop=False, keep=("doc_id",))
 
 
 @register("S21_sentiment_label", sql="""
@@ -171,7 +173,10 @@ def q_fe8(spark, d):
 @register("FE8_tfidf_vectors")
 def q_fe8b(spark, d):
     from ..operators.frames import train_test_split
-    r = to.text_transformations(in_languages(spark, d), "text", F.col("language"))
+    r = to.text_transformations(in_languages(spark, d), "text", F.col("language"),
+                                keep=("doc_id",))
+    # the vocabulary and the vectors read the stemmed texts, not the chain
+    r = written(r, "tfidf-texts")
     train, test = train_test_split(r, 0.2, 42, "doc_id")
     _, tr, te = to.tfidf_ngrams(train, test, "standardized_text")
     return te.select("doc_id", "features")
