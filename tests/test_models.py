@@ -94,6 +94,13 @@ def noisy(spark, n=400):
          for i in range(n)], "a double, b double, c double, price double")
 
 
+def test_forests_cache_node_ids_and_fold_fits_share_the_driver():
+    assert md.price_forest(["a"]).getStages()[-1].getCacheNodeIds()
+    assert md.fits_at_once(8_600, 200, 14, 10) == 10
+    assert md.fits_at_once(10 ** 7, 200, 14, 10) == 4
+    assert md.fits_at_once(0, 200, 14, 10) == 10 and md.fits_at_once(10 ** 9, 200, 29, 10) == 1
+
+
 def test_cut_at_full_depth_is_the_fitted_forest(spark):
     df = noisy(spark)
     model = md.fit_price_forest(df, ["a", "b", "c"], "price", num_trees=7, max_depth=6)
