@@ -66,3 +66,26 @@ def test_query_and_stage_check_with_the_library(spark, monkeypatch):
     Q.op9_sentence_pieces(spark, SMALL)
     C.encode(spark, None, SMALL)
     assert seen == [True, True]
+
+
+def test_other_operators_empty_the_memory_of_a_worker(spark):
+    import weakref
+
+    from tidewater.llm import language_id as L
+    from tidewater.llm import near_dups as N
+    gone = weakref.ref(S.vocabulary(PIECES))
+    S.forget()
+    assert gone() is None and S.vocabulary.cache_info().currsize == 0
+
+    def held(batches):
+        import pyarrow as pa
+        for b in batches:
+            yield pa.RecordBatch.from_arrays(
+                [pa.array([S.vocabulary.cache_info().currsize] * len(b))], names=["n"])
+
+    docs = spark.createDataFrame([(1, "Some words of a text.")], "doc_id long, text string").coalesce(1)
+    model = L.LanguageModel(["en"], ["a"], L.np.full((2, 1), 0.5))
+    for other in (lambda: L.identify(docs, model), lambda: N.signatures(docs)):
+        S.encode_texts(docs, PIECES).collect()
+        other().collect()
+        assert docs.mapInArrow(held, "n long").first()["n"] == 0

@@ -26,7 +26,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from .common import bounded_batches, hash_share, written
-from .sentence_pieces import SPACE, vocabulary
+from .sentence_pieces import SPACE, forget, vocabulary
 
 WORD = re.compile(r"[^\W\d_]+")
 UNDETERMINED = "und"
@@ -268,6 +268,7 @@ def fit(labelled: DataFrame, model_file: str, *, text: str = "text", lang: str =
     sample = rows.where(hash_share(F.col("key"), share[F.col("lang")]))
 
     def count_words(batches):
+        forget()
         for b in batches:
             found = {}
             for name, t in zip(b["lang"], b["text"]):
@@ -286,6 +287,7 @@ def fit(labelled: DataFrame, model_file: str, *, text: str = "text", lang: str =
         model = spark_context.broadcast((pieces, prob))
 
         def expect(batches, model=model):
+            forget()
             known, prob = model.value
             lattice = Lattice(known)
             total = {}
@@ -325,6 +327,7 @@ def identify(docs: DataFrame, model: LanguageModel, *, text: str = "text",
     n_keep = len(keep)
 
     def batches(it):
+        forget()
         for b in it:
             lang, score = shared.value.predict(b.column(n_keep).to_pylist())
             yield pa.RecordBatch.from_arrays(

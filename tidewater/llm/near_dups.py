@@ -28,6 +28,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from .common import bounded_batches, small, written
+from .sentence_pieces import forget
 
 #: Places of the universe, and the seed of the two permutations.
 PLACES, SEED = 1 << 20, 20
@@ -127,6 +128,7 @@ def signatures(docs: DataFrame, *, text: str = "text", bands: int = BANDS, rows:
         "fp binary, n_shingles long, keys array<long>").fields)
 
     def batches(it):
+        forget()
         signer = Signer(bands, rows, size)
         for b in it:
             fps, counts, keys, waiting, at, total = [], [], [], [], [], 0

@@ -19,6 +19,7 @@ decode them to the same text. A text is made of nothing else.
 from __future__ import annotations
 
 import codecs
+import gc
 import hashlib
 import re
 from functools import lru_cache
@@ -233,6 +234,18 @@ def library(model_file: str):
     return sentencepiece.SentencePieceProcessor(model_file=model_file)
 
 
+def forget() -> None:
+    """Give back what tasks of this module left in the Python worker.
+
+    Spark hands workers on to later stages: tasks of other operators call this before
+    they fill a memory of their own, so that a worker holds one at a time.
+    """
+    if vocabulary.cache_info().currsize:
+        vocabulary.cache_clear()
+        library.cache_clear()
+        gc.collect()  # a vocabulary and its fragments refer to each other
+
+
 def compare(v: MergeVocabulary, model_file: str, proof: list[tuple]) -> None:
     """Raise where the library gives other ids for a text, or decodes them otherwise.
 
