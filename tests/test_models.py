@@ -164,6 +164,24 @@ def test_window_counts_match_brute_force(spark):
     assert spark.range(1).select(total).first()[0] == n
 
 
+def test_runs_come_from_rows_and_repeated_ids_are_one_document(spark):
+    rows = [(1, ["a", "b", "x", "x", "x", "a"]), (1, ["a", "b", "x", "x", "x", "a"]),
+            (None, ["a", "b"]), (2, None), (3, []), (4, ["b", None])]
+    docs = spark.createDataFrame(rows, "d long, t array<string>")
+    terms = spark.createDataFrame([("a",), ("b",), ("a",), (None,)], "term string")
+    runs = md.term_runs(docs, terms, "d", "t", window=2)
+    assert "Generate" not in runs._jdf.queryExecution().executedPlan().toString()
+    got = [tuple(r) for r in runs.collect()]
+    assert sum(r[3] for r in got if r[1] is None) == 5 + 5 + 1 + 1
+    assert sorted((r for r in got if r[0] == 1)) == [
+        (1, "a", 0, 0), (1, "a", 0, 0), (1, "a", 4, 4), (1, "a", 4, 4), (1, "b", 0, 1),
+        (1, "b", 0, 1)]
+    counts, total = md.window_counts(docs, terms, "d", "t", window=2)
+    assert {(r.a, r.b): r.n for r in counts.collect()} == {
+        ("a", "a"): 2, ("a", "b"): 1, ("b", "b"): 3}
+    assert spark.range(1).select(total).first()[0] == 12
+
+
 def test_one_topic_is_the_corpus(spark):
     docs = spark.createDataFrame([(1, ["a", "b", "a"]), (2, ["c", "a"])], "d long, t array<string>")
     terms, perplexity = md.one_topic(docs, "t", 2)
