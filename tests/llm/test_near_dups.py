@@ -119,3 +119,28 @@ def test_far_copies_without_their_original(make_docs):
     from unittest import mock
     with mock.patch.object(near_dups, "RARE", 2):
         assert result(near_dups.groups(make_docs(rows))) == brute(rows)
+
+
+@pytest.fixture
+def tags(monkeypatch):
+    """Tags of the tables that are written."""
+    found, write = [], near_dups.written
+    monkeypatch.setattr(near_dups, "written", lambda df, tag: found.append(tag) or write(df, tag))
+    return found
+
+
+def test_stars_need_no_round(spark, tags):
+    df = spark.createDataFrame([(1, 2), (3, 1), (5, 9), (2, 1)], "a long, b long")
+    got = {r.id: r.comp for r in near_dups.components(df).collect()}
+    assert got == {1: 1, 2: 1, 3: 1, 5: 5, 9: 5}
+    assert tags == ["near-links"]
+
+
+def test_components_are_kept_where_no_link_is_new(make_docs, tags, monkeypatch):
+    released = []
+    monkeypatch.setattr(near_dups, "release", released.append)
+    # pivots find all links; pairs compared afterwards are no links
+    rows = variants(sentence(5, 200), 12, 100, 3) + variants(sentence(5, 200), 10, 200, 14)
+    assert result(near_dups.groups(make_docs(rows))) == brute(rows)
+    assert tags.count("near-verified") > tags.count("near-components")
+    assert len(released) == tags.count("near-components")

@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import gc
 import uuid
 
 from pyspark.sql import Column, DataFrame, SparkSession
@@ -44,6 +45,17 @@ def written(df: DataFrame, tag: str) -> DataFrame:
     return spark.read.schema(df.schema).parquet(path)
 
 
+def release(spark: SparkSession) -> None:
+    """Collect the driver's garbage, and with it what finished steps left.
+
+    Spark drops the broadcasts and shuffles of a plan once the driver's JVM has
+    collected the plan. Between the many small plans of an iteration that may
+    be much later, with the heap grown to its limit in the meantime.
+    """
+    gc.collect()
+    spark.sparkContext._jvm.System.gc()
+
+
 def crc_mod(doc_id: Column, n: int) -> Column:
     """crc32 of the id written as text, modulo n; null for a null id."""
     return F.crc32(doc_id.cast("string").cast("binary")) % n

@@ -27,7 +27,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from .common import bounded_batches, small, written
+from .common import bounded_batches, release, small, written
 from .sentence_pieces import forget
 
 #: Places of the universe, and the seed of the two permutations.
@@ -195,8 +195,7 @@ def verified(pairs: DataFrame, docs: DataFrame, *, text: str = "text", size: int
 
     Sets are built from the whole texts. Only texts of ids in ``pairs`` are moved.
     """
-    ids = pairs.select(F.col("a").alias("doc_id")).distinct().union(
-        pairs.select(F.col("b").alias("doc_id")).distinct()).distinct()
+    ids = pairs.select(F.explode(F.array("a", "b")).alias("doc_id")).distinct()
     texts = texts_of(docs, ids, text)
     both = pairs.join(texts.withColumnsRenamed({"doc_id": "a", "t": "ta"}), "a").join(
         texts.withColumnsRenamed({"doc_id": "b", "t": "tb"}), "b")
@@ -228,20 +227,15 @@ def verified(pairs: DataFrame, docs: DataFrame, *, text: str = "text", size: int
 def components(edges: DataFrame) -> DataFrame:
     """``id, comp``: the smallest id that the links (``a, b``) reach, for every linked id.
 
-    Alternates two steps until nothing changes: every id hooks its larger
+    Alternates two steps until links are stars: every id hooks its larger
     neighbours, then its smaller ones, to the smallest of them. Each round is
     a written table; the number of rounds grows with the logarithm of the
     longest chain.
     """
     links = edges.select(F.greatest("a", "b").alias("u"), F.least("a", "b").alias("v")).where(
         F.col("u") != F.col("v")).distinct()
-    links, before = written(links, "near-links"), None
-    while True:
-        state = links.agg(F.count(F.lit(1)), F.sum(F.xxhash64("u", "v").cast("decimal(38,0)"))
-                          ).first()
-        if state == before:
-            break
-        before = state
+    links = written(links, "near-links")
+    while not _stars(links):
         around = links.union(links.select(F.col("v"), F.col("u")))
         least = around.groupBy("u").agg(F.least(F.min("v"), F.first("u")).alias("m"))
         # larger neighbours of u hang on the smallest id around u
@@ -258,6 +252,14 @@ def components(edges: DataFrame) -> DataFrame:
         links.select(F.col("v").alias("id"), F.col("v").alias("comp")).distinct())
 
 
+def _stars(links: DataFrame) -> bool:
+    """Whether every ``u`` has one ``v``, which is no ``u``: it is the smallest id around."""
+    ends = links.select(F.col("u").alias("id"), F.lit(1).alias("up"), F.lit(0).alias("down")).union(
+        links.select("v", F.lit(0), F.lit(1)))
+    return ends.groupBy("id").agg(F.sum("up").alias("up"), F.max("down").alias("down")).where(
+        "up > 1 or up = 1 and down = 1").isEmpty()
+
+
 def groups(docs: DataFrame, *, text: str = "text", bands: int = BANDS, rows: int = ROWS,
            size: int = WORDS, percent: int = PERCENT) -> DataFrame:
     """``doc_id, n_shingles, component_id, kept`` for every row of ``docs``.
@@ -298,12 +300,10 @@ def _linked(docs: DataFrame, classes: DataFrame, text: str, size: int, percent:
     shared = written(shared.join(weights, "rep"), "near-buckets")
     comps = done = None
 
-    def placed() -> DataFrame:
-        return shared.join(comps.withColumnRenamed("id", "rep"), "rep", "left").withColumn(
-            "comp", F.coalesce("comp", "rep"))
-
     def mixed(rows: DataFrame) -> DataFrame:
-        """Rows of the buckets that hold more than one component."""
+        """Rows of the buckets that hold more than one component, with their ``comp``."""
+        rows = rows.join(comps.withColumnRenamed("id", "rep"), "rep", "left").withColumn(
+            "comp", F.coalesce("comp", "rep"))
         several = rows.groupBy("key").agg(F.min("comp").alias("lo"), F.max("comp").alias("hi"))
         return rows.join(several.where("lo != hi").select("key"), "key", "left_semi")
 
@@ -322,9 +322,9 @@ def _linked(docs: DataFrame, classes: DataFrame, text: str, size: int, percent:
         """Verify pairs that were not compared yet and lie in different components."""
         nonlocal comps, done
         if done is not None:
-            for x, y in (("a", "b"), ("b", "a")):
-                pairs = pairs.join(done.select(F.col(x).alias("a"), F.col(y).alias("b")),
-                                   ["a", "b"], "left_anti")
+            ends = F.least("a", "b").alias("lo"), F.greatest("a", "b").alias("hi")
+            pairs = pairs.select("a", "b", *ends).join(done.select(*ends), ["lo", "hi"],
+                                                       "left_anti")
             for c in ("a", "b"):
                 pairs = pairs.join(comps.select(F.col("id").alias(c), F.col("comp").alias("c" + c)),
                                    c, "left")
@@ -335,10 +335,13 @@ def _linked(docs: DataFrame, classes: DataFrame, text: str, size: int, percent:
         new = written(verified(pairs, docs, text=text, size=size, percent=percent),
                       "near-verified")
         edges = new.where("linked").select("a", "b")
-        if done is not None:
+        first_time, done = done is None, new if done is None else done.unionByName(new)
+        if not first_time:
+            if edges.isEmpty():
+                return
             edges = edges.union(comps.select("id", "comp"))
-        done = new if done is None else done.unionByName(new)
         comps = written(components(edges), "near-components")
+        release(docs.sparkSession)
 
     first = written(pivots(shared), "near-pivots")
     to_first = written(with_pivot(shared, first), "near-pivot-pairs")
@@ -347,7 +350,7 @@ def _linked(docs: DataFrame, classes: DataFrame, text: str, size: int, percent:
     compare(to_first.select("a", "b"))
     # buckets that are still mixed: members with the heaviest one outside the pivot's component
     at = comps.select(F.col("id").alias("pivot"), F.col("comp").alias("pc"))
-    rows = mixed(placed())
+    rows = written(mixed(shared), "near-mixed")
     outside = rows.join(first.select("key", "pivot"), "key").join(at, "pivot", "left").where(
         F.col("comp") != F.coalesce("pc", "pivot"))
     second = written(pivots(outside), "near-second-pivots")
@@ -356,7 +359,7 @@ def _linked(docs: DataFrame, classes: DataFrame, text: str, size: int, percent:
     # what is left: members of one bucket in different components, neither of them a pivot
     known = done.select(F.col("a").alias("rep"), F.col("b").alias("pivot"),
                         (1 - F.col("inter") / F.col("uni")).alias("d"))
-    rest = mixed(placed()).join(
+    rest = mixed(rows.drop("comp")).join(
         first.select("key", "pivot").unionByName(second.select("key", "pivot"))
         .withColumnRenamed("pivot", "rep"), ["key", "rep"], "left_anti")
     rest = written(rest.join(first.select("key", "pivot"), "key").join(
