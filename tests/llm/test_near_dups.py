@@ -5,13 +5,13 @@ from corpus_helpers import sentence
 from tidewater.llm import common, near_dups
 
 
-def sets(rows):
-    return [near_dups.shingle_set(near_dups.words_of(t)) for _, t in rows]
+def sets(rows, size=near_dups.WORDS):
+    return [near_dups.shingle_set(near_dups.words_of(t), size) for _, t in rows]
 
 
-def brute(rows):
+def brute(rows, size=near_dups.WORDS):
     """Component by (id, text); rows with a null id or without a word stand alone."""
-    s, parent = sets(rows), list(range(len(rows)))
+    s, parent = sets(rows, size), list(range(len(rows)))
 
     def find(x):
         while parent[x] != x:
@@ -144,3 +144,47 @@ def test_components_are_kept_where_no_link_is_new(make_docs, tags, monkeypatch):
     assert result(near_dups.groups(make_docs(rows))) == brute(rows)
     assert tags.count("near-verified") > tags.count("near-components")
     assert len(released) == tags.count("near-components")
+
+
+@pytest.fixture
+def compared(monkeypatch):
+    """Pairs compared by their texts."""
+    found, verify = [], near_dups.verified
+
+    def count(pairs, *args, **kw):
+        found.extend((r.a, r.b) for r in pairs.collect())
+        return verify(pairs, *args, **kw)
+    monkeypatch.setattr(near_dups, "verified", count)
+    return found
+
+
+def edited(base, n, start, edits, seed, drop=False):
+    """Copies of a text with words replaced by others of 6, or dropped, at random places."""
+    rng, out = np.random.default_rng(seed), []
+    for k in range(n):
+        w = base.split()
+        for p in rng.choice(len(w), edits + k % 3, replace=False):
+            w[p] = "" if drop else f"other{rng.integers(6)}"
+        out.append((start + k, " ".join(w)))
+    return out
+
+
+def test_far_copies_are_not_compared_in_all_pairs(make_docs, compared, monkeypatch):
+    monkeypatch.setattr(near_dups, "RARE", 1)
+    base = " ".join(f"w{k % 97}x{k}" for k in range(150))
+    far = edited(base, 150, 1000, 10, 1)
+    rows = [(1, base)] + edited(base, 30, 100, 4, 2) + far
+    assert result(near_dups.groups(make_docs(rows), size=2)) == brute(rows, 2)
+    # all pairs of the far copies are 11,175; most of these were compared by their texts once
+    assert len(compared) < 25 * len(rows)
+
+
+@pytest.mark.parametrize("size,edits", [(2, 9), (5, 4)])
+def test_links_between_far_copies(make_docs, monkeypatch, size, edits):
+    monkeypatch.setattr(near_dups, "RARE", 1)
+    base = " ".join(f"w{k}" for k in range(150))
+    far = edited(base, 25, 1000, edits, 3) + edited(base, 25, 2000, 2 * edits, 4, drop=True)
+    # copies of far copies: linked with these, and few with the base
+    rows = [(5000, base)] + far + [(3000 + k, t) for i in range(0, 50, 4) for k, t in edited(
+        far[i][1], 2, 10 * i, edits // 2, 5 + i)]
+    assert result(near_dups.groups(make_docs(rows), size=size)) == brute(rows, size)

@@ -13,7 +13,10 @@ them, the pivot: the one that shares most buckets with others, as the
 original of many near copies does. The links found give components; buckets
 that still hold several get a second pivot, and in the end members of one
 bucket that are in different components are compared with one another,
-unless bounds on what they can share rule a link out.
+unless bounds on what they can share rule a link out. Members of such a
+bucket differ from its pivot by few shingles. Of two that are linked, one at
+least is not linked with the pivot, so both differ from it by many of the
+same shingles, and they are met through the rarer ones of these.
 """
 
 from __future__ import annotations
@@ -23,7 +26,7 @@ import hashlib
 import numpy as np
 import pyarrow as pa
 import xxhash
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -172,9 +175,9 @@ def texts_of(docs: DataFrame, ids: DataFrame, text: str) -> DataFrame:
                    "near-texts")
 
 
-def shingle_rows(texts: DataFrame, size: int = WORDS) -> DataFrame:
-    """``doc_id, h``: one row per distinct shingle (64-bit hash) of each text."""
-    schema = T.StructType([texts.schema["doc_id"], T.StructField("h", T.LongType())])
+def shingle_sets(texts: DataFrame, size: int = WORDS) -> DataFrame:
+    """``doc_id, hs``: the distinct shingles (64-bit hashes) of each text with a word."""
+    schema = T.StructType([texts.schema["doc_id"]] + T.StructType.fromDDL("hs array<long>").fields)
 
     def batches(it):
         signer = Signer(1, 1, size)
@@ -183,8 +186,8 @@ def shingle_rows(texts: DataFrame, size: int = WORDS) -> DataFrame:
                 if words := words_of(t):
                     h = signer.shingles(words).view(np.int64)
                     yield pa.RecordBatch.from_arrays(
-                        [b.column(0).take(pa.array(np.full(len(h), k))), pa.array(h)],
-                        names=["doc_id", "h"])
+                        [b.column(0).slice(k, 1), pa.ListArray.from_arrays([0, len(h)], pa.array(h))],
+                        names=["doc_id", "hs"])
 
     return texts.select("doc_id", "t").mapInArrow(batches, schema)
 
@@ -357,63 +360,113 @@ def _linked(docs: DataFrame, classes: DataFrame, text: str, size: int, percent:
     compare(with_pivot(rows, second).select("a", "b"))
 
     # what is left: members of one bucket in different components, neither of them a pivot
-    known = done.select(F.col("a").alias("rep"), F.col("b").alias("pivot"),
-                        (1 - F.col("inter") / F.col("uni")).alias("d"))
     rest = mixed(rows.drop("comp")).join(
         first.select("key", "pivot").unionByName(second.select("key", "pivot"))
         .withColumnRenamed("pivot", "rep"), ["key", "rep"], "left_anti")
-    rest = written(rest.join(first.select("key", "pivot"), "key").join(
-        known, ["rep", "pivot"], "left").select("key", "rep", "n", "comp", "d"), "near-open")
+    at = comps.select(F.col("id").alias("pivot"), F.col("comp").alias("pc"))
+    rest = written(rest.join(first, "key").join(at, "pivot", "left").select(
+        "rep", "n", "comp", "pivot", "pn",
+        (F.col("comp") != F.coalesce("pc", "pivot")).alias("apart")).distinct(), "near-open")
     if rest.isEmpty():
         return comps
-    for pairs in _left_over(rest, classes, docs, text, size, percent):
+    for pairs in _left_over(rest, docs, text, size, percent):
         compare(pairs)
     return comps
 
 
-def _left_over(rest: DataFrame, classes: DataFrame, docs: DataFrame, text: str, size: int,
+def _left_over(rest: DataFrame, docs: DataFrame, text: str, size: int,
                percent: int) -> list[DataFrame]:
     """Pairs (``a, b``) of ``rest`` that may be linked, by bounds that no link breaks.
 
-    Shingles that few of these texts have are joined on themselves: they
-    give the pairs that share any, and how many. All other pairs can only
-    share common shingles, so the smaller number of these bounds what they
-    share. A pair of one bucket is met in its first common bucket only.
+    ``rest`` has the texts of each pivot's buckets, ``apart`` those outside its
+    component. Shingles that few of these texts have are joined on themselves:
+    they give the pairs that share any, and how many. All other pairs can only
+    share common shingles, so texts without enough of these are left out of
+    the second set of pairs (see ``_differing_alike``).
     """
-    texts = texts_of(docs, rest.select(F.col("rep").alias("doc_id")).distinct(), text)
-    rows = written(shingle_rows(texts, size).distinct(), "near-shingles")
+    reps = rest.select(F.col("rep").alias("doc_id")).distinct()
+    texts = texts_of(docs, reps.union(rest.select("pivot")).distinct(), text)
+    sets = written(shingle_sets(texts, size).distinct(), "near-sets")
+    rows = written(sets.join(reps, "doc_id", "left_semi").select(
+        "doc_id", F.explode("hs").alias("h")).distinct(), "near-shingles")
     often = rows.groupBy("h").agg(F.count(F.lit(1)).alias("f")).where("f > 1")
     met = written(rows.join(often, "h"), "near-met-shingles")
     common = met.where(F.col("f") > RARE).groupBy("doc_id").agg(F.count(F.lit(1)).alias("c"))
-    facts = rest.groupBy("rep").agg(F.first("n").alias("n"), F.first("comp").alias("comp")).join(
-        common.withColumnRenamed("doc_id", "rep"), "rep", "left").join(
-        classes.select("rep", "keys"), "rep").select(
-        "rep", "n", "comp", F.coalesce("c", F.lit(0)).alias("c"), "keys")
+    facts = rest.groupBy("rep").agg(F.min("n").alias("n"), F.first("comp").alias("comp")).join(
+        common.withColumnRenamed("doc_id", "rep"), "rep", "left").select(
+        "rep", "n", "comp", F.coalesce("c", F.lit(0)).alias("c"))
     facts = written(facts, "near-facts")
 
     def named(df, x, *names):
         return df.withColumnsRenamed({c: c + x for c in ("rep", *names)})
 
-    def possible(inter):
-        return 100 * inter >= percent * (F.col("n_a") + F.col("n_b") - inter)
-
     rare = met.where(F.col("f") <= RARE).select("h", F.col("doc_id").alias("rep"))
     sharing = named(rare, "_a").join(named(rare, "_b"), "h").where(
         F.col("rep_a") > F.col("rep_b")).groupBy("rep_a", "rep_b").agg(
         F.count(F.lit(1)).alias("t"))
-    by_rare = sharing.join(named(facts.drop("keys"), "_a", "n", "comp", "c"), "rep_a").join(
-        named(facts.drop("keys"), "_b", "n", "comp", "c"), "rep_b").where(
+    inter = F.col("t") + F.least("c_a", "c_b")
+    by_rare = sharing.join(named(facts, "_a", "n", "comp", "c"), "rep_a").join(
+        named(facts, "_b", "n", "comp", "c"), "rep_b").where(
         (F.col("comp_a") != F.col("comp_b"))
-        & possible(F.col("t") + F.least("c_a", "c_b")))
+        & (100 * inter >= percent * (F.col("n_a") + F.col("n_b") - inter)))
 
     # texts whose common shingles alone could reach the share
-    able = rest.select("key", "rep", "d").join(facts, "rep").where(
-        100 * F.col("c") >= percent * F.col("n"))
-    names = ("n", "comp", "c", "keys", "d")
-    far = F.abs(F.col("d_a") - F.col("d_b")) > 1 - percent / 100 + 1e-9  # distances are a metric
-    by_bucket = named(able, "_a", *names).join(named(able, "_b", *names), "key").where(
-        (F.col("rep_a") > F.col("rep_b")) & (F.col("comp_a") != F.col("comp_b"))
-        & possible(F.least("c_a", "c_b")) & ~F.coalesce(far, F.lit(False))
-        & (F.array_min(F.array_intersect("keys_a", "keys_b")) == F.col("key")))
-    return [x.select(F.col("rep_a").alias("a"), F.col("rep_b").alias("b"))
-            for x in (by_rare, by_bucket)]
+    able = rest.join(facts.where(100 * F.col("c") >= percent * F.col("n")).select("rep"), "rep",
+                     "left_semi")
+    return [by_rare.select(F.col("rep_a").alias("a"), F.col("rep_b").alias("b")),
+            _differing_alike(able, sets, percent)]
+
+
+def _differing_alike(able: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
+    """Pairs (``a, b``) of one pivot and different components that may be linked.
+
+    Let x' be the shingles that only one of a text x and the pivot P has. If a
+    and b are linked, and b is not linked with P, then with k = (100 - percent)
+    / (100 + percent):
+
+    - a and b differ by at most k (n_a + n_b) shingles, so a' and b' share at
+      least o = (|a'| + |b'| - k (n_a + n_b)) / 2;
+    - b and P differ by more than k (n_b + n_P), so o > (|a'| + k (n_P - n_a)) / 2;
+    - |a'| >= |n_a - n_P|, so o >= (|b'| - k (n_b + n_P)) / 2.
+
+    Differences are ordered from the rarest shingle of the pivot's texts to the
+    most frequent one. At the first that two of them share, the rest of either
+    is long enough for o; so only the beginnings of differences are joined.
+    """
+    several = able.groupBy("pivot").agg(F.min("comp").alias("lo"), F.max("comp").alias("hi")).where(
+        "lo != hi").select("pivot")
+    able = able.join(several, "pivot", "left_semi")
+    # ids may repeat with other texts; those of the pivot's and the member's length were compared
+    at_pivot = able.select("pivot", "pn").distinct().join(
+        sets.select(F.col("doc_id").alias("pivot"), F.col("hs").alias("ps")), "pivot").where(
+        F.size("ps") == F.col("pn")).groupBy("pivot", "pn").agg(F.min("ps").alias("ps"))
+    near, far = 100 + percent, 100 - percent
+    texts = able.join(sets.select(F.col("doc_id").alias("rep"), "hs"), "rep").where(
+        F.size("hs") == F.col("n")).join(at_pivot, ["pivot", "pn"]).select(
+        "pivot", "pn", "rep", "comp", "apart", "n", F.xxhash64("hs").alias("x"),
+        F.concat(F.array_except("hs", "ps"), F.array_except("ps", "hs")).alias("diff"))
+    texts = texts.withColumn("m", F.size("diff").cast("long")).withColumn(
+        "strong", F.expr(f"m - ({near} * m + {far} * (pn - n)) div {2 * near}")).withColumn(
+        "weak", F.expr(f"m - greatest(1, ({near} * m - {far} * (n + pn) + {2 * near - 1}) "
+                       f"div {2 * near}) + 1"))
+    texts = texts.withColumn("upto", F.when(F.col("apart"), F.greatest("strong", "weak"))
+                             .otherwise(F.col("strong")))
+    met = texts.select("pivot", "pn", "rep", "comp", "apart", "n", "x", "m", "strong", "upto",
+                       F.explode("diff").alias("h")).withColumn(
+        "f", F.count(F.lit(1)).over(Window.partitionBy("pivot", "pn", "h")))
+    met = written(met.withColumn("q", F.row_number().over(
+        Window.partitionBy("pivot", "pn", "rep", "x").orderBy("f", "h"))).where(
+        "f > 1 and q <= upto").drop("f"), "near-differences")
+
+    def named(df, x):
+        return df.select("pivot", "pn", "h", *(F.col(c).alias(c + x) for c in (
+            "rep", "comp", "apart", "n", "m", "q")))
+
+    return named(met.where("q <= strong"), "_a").join(
+        named(met.where("apart"), "_b"), ["pivot", "pn", "h"]).where(
+        (F.col("comp_a") != F.col("comp_b"))
+        & (~F.col("apart_a") | (F.col("rep_a") > F.col("rep_b")))
+        & (100 * F.least("n_a", "n_b") >= percent * F.greatest("n_a", "n_b"))
+        & (2 * near * (1 + F.least(F.col("m_a") - F.col("q_a"), F.col("m_b") - F.col("q_b")))
+           >= near * (F.col("m_a") + F.col("m_b")) - far * (F.col("n_a") + F.col("n_b")))).select(
+        F.greatest("rep_a", "rep_b").alias("a"), F.least("rep_a", "rep_b").alias("b")).distinct()
