@@ -4,11 +4,13 @@ The rules are those of the published Snowball descriptions. A rule is a suffix,
 must hold of the part before it, and the replacement. In a step the first rule whose
 suffix fits decides: it replaces where its condition holds, and else nothing happens.
 Every step is one JVM expression over the word column; ``stems`` applies them to a
-table of distinct words, which callers join back to their tokens.
+table of distinct words; ``stemmer`` is the same for one word, for whole texts in place.
 """
 
 from __future__ import annotations
 
+import re
+from collections.abc import Callable
 from dataclasses import dataclass, field
 
 from pyspark.sql import Column, DataFrame
@@ -174,3 +176,43 @@ def stems(words: DataFrame, language: str = "english", word: str = "word",
     for a, b in rules.own.items():
         own = F.when(F.col(word) == a, F.lit(b)).otherwise(own)
     return found.withColumn(out, F.when(stay, own).otherwise(stem)).drop("__w", "__m", "__first")
+
+
+def stemmer(language: str) -> Callable[[str], str]:
+    """The rules of a language as a function of one word, equal to ``stems``."""
+    rules = LANGUAGES[language]
+    prepare = [(re.compile(p), put.replace("$1", r"\1")) for p, put in rules.prepare]
+    finish = [(re.compile(p), put.replace("$1", r"\1")) for p, put in rules.finish]
+
+    def compiled(rule: Rule) -> tuple:
+        return (rule.suffix, rule.put, [re.compile(p).search for p in rule.before],
+                [re.compile(p).search for p in rule.never], rule.mark, rule.after,
+                re.compile(rule.only).search)
+
+    # the rules that can fit, by a word's last character, in their order
+    steps = [({c: [compiled(r) for r in step if r.suffix[-1:] in ("", c)]
+               for c in {r.suffix[-1:] for r in step}}, [compiled(r) for r in step if not r.suffix])
+             for step in rules.steps]
+
+    def stem(word: str) -> str:
+        if len(word) < rules.shortest or word in rules.own:
+            return rules.own.get(word, word)
+        w, mark = word, ""
+        for search, put in prepare:
+            w = search.sub(put, w)
+        for k, (by_last, always) in enumerate(steps):
+            made = ""
+            for suffix, put, before, never, name, after, only in by_last.get(w[-1:], always):
+                part = w[:len(w) - len(suffix)]
+                if w.endswith(suffix) and (not after or mark == after) and only(part):
+                    if all(f(part) for f in before) and not any(f(part) for f in never):
+                        w, made = part + put, name
+                    break
+            mark = made
+            if k == 0 and w in rules.stop_after_first:
+                break
+        for search, put in finish:
+            w = search.sub(put, w)
+        return w
+
+    return stem

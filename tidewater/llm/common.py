@@ -8,31 +8,12 @@ import uuid
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from ..session import ensure_checkpoint_dir
-
-#: Rows and bytes of one Arrow batch at most: whole texts are up to megabytes long,
-#: so a batch of the default 10,000 rows could outgrow a Python worker. A single text
-#: beyond the bytes is a batch of its own.
-ARROW_ROWS = 512
-ARROW_BYTES = 4 << 20
-
+from ..session import ARROW_BYTES, ARROW_ROWS, bounded_batches, ensure_checkpoint_dir  # noqa: F401
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
-def bounded_batches(spark: SparkSession) -> None:
-    """Keep the session's Arrow batches small (see ARROW_ROWS); smaller limits stay.
-
-    The limits hold for the session: frames are evaluated after the call returns.
-    """
-    for name, limit in (("maxRecordsPerBatch", ARROW_ROWS), ("maxBytesPerBatch", ARROW_BYTES)):
-        key = f"spark.sql.execution.arrow.{name}"
-        now = spark.conf.get(key).rstrip("b")
-        if not now.isdigit() or not 0 < int(now) <= limit:
-            spark.conf.set(key, str(limit))
-
-
 def written(df: DataFrame, tag: str) -> DataFrame:
     """``df`` as a Parquet table in the shared folder of ``spark.checkpoint.dir``.
 

@@ -9,17 +9,18 @@ partial aggregation, so a very common word costs one row per map task.
 from __future__ import annotations
 
 from collections.abc import Sequence
-from functools import reduce
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from ..functions import text as tx
-from ..functions.stemmer import LANGUAGES, stems
+from ..functions.stemmer import LANGUAGES, stemmer, stems
 from ..functions.stopwords import stopwords
-from ..session import measured, written
+from ..session import bounded_batches, written
 from .ranks import value_ranks
 
 #: Languages whose stop words are dropped where a column names the language.
@@ -43,33 +44,61 @@ def vocabulary_stems(df: DataFrame, tokens: str, language: str = "english") -> D
     return stems(vocab, language)
 
 
+#: Words whose stems a task remembers.
+KNOWN_WORDS = 200_000
+
+
 def stem_tokens(df: DataFrame, tokens: str, language: str | Column = "english") -> DataFrame:
     """``df`` with the tokens of a column replaced by their stems, in place.
 
     ``language`` is a name, or a column of names; tokens of rows whose language has no
-    rules (or is null) stay as they are. Only distinct words are stemmed. A row meets the
-    distinct words of its own that change, once each; its tokens are looked up among them
-    in place. Null arrays stay null.
+    rules (or is null) stay as they are. The distinct words of an Arrow batch of rows are
+    stemmed once, in the task that holds the rows: nothing is shuffled, and words that
+    come again are remembered. Null arrays and null tokens stay null.
     """
     lang = F.lit(language) if isinstance(language, str) else language
     if isinstance(language, str) and language not in LANGUAGES:
         raise ValueError(f"stemming rules exist for {', '.join(sorted(LANGUAGES))}")
-    # written: the row numbers hold for both readers
-    rows = written(df.withColumns({"__row": F.monotonically_increasing_id(), "__lang": lang}),
-                   "stem-rows")
-    held = rows.where(F.col("__lang").isin(sorted(LANGUAGES))).select(
-        "__row", "__lang", F.explode(F.array_distinct(tokens)).alias("__word"))
-    vocab = held.select("__lang", "__word").distinct()
-    parts = [stems(vocab.where(F.col("__lang") == name), name, "__word", "__stem")
-             for name in sorted(LANGUAGES)]
-    # filtered once written: a filter pushed into the rules would repeat them at every step
-    known = measured(reduce(DataFrame.unionByName, parts)).where("__stem <> __word")
-    changes = held.join(known, ["__lang", "__word"]).groupBy("__row").agg(
-        F.map_from_entries(F.collect_list(F.struct("__word", "__stem"))).alias("__found"))
-    found = F.transform(F.col(tokens), lambda t: F.coalesce(F.col("__found")[t], t))
-    return rows.join(changes, "__row", "left").withColumn(tokens, F.when(
-        F.col("__found").isNull(), F.col(tokens)).otherwise(found)).drop(
-        "__row", "__lang", "__found")
+    bounded_batches(df.sparkSession)
+    at = [c.lower() for c in df.columns].index(tokens.lower())
+    schema = T.StructType([T.StructField(f.name, T.ArrayType(T.StringType()) if k == at
+                                         else f.dataType) for k, f in enumerate(df.schema)])
+
+    def stemmed(batches):
+        rules = {name: (stemmer(name), {}) for name in LANGUAGES}
+
+        def stem(name: str, words: list[str]) -> list[str]:
+            of, known = rules[name]
+            if len(known) > KNOWN_WORDS:
+                known.clear()
+            for w in words:
+                if w not in known:
+                    known[w] = of(w)
+            return [known[w] for w in words]
+
+        for b in batches:
+            *columns, langs = b.columns
+            lists = columns[at]
+            sizes = lists.value_lengths().fill_null(0).to_numpy(zero_copy_only=False)
+            coded = lists.flatten().dictionary_encode()
+            words, n = coded.dictionary, len(coded.dictionary)
+            codes = coded.indices.fill_null(-1).to_numpy(zero_copy_only=False).astype(np.int64)
+            for name in rules:
+                mine = np.repeat(pc.equal(langs, name).fill_null(False).to_numpy(
+                    zero_copy_only=False), sizes) & (codes >= 0) & (codes < n)
+                used = np.unique(codes[mine])
+                if len(used):
+                    new = np.zeros(n, np.int64)
+                    new[used] = len(words) + np.arange(len(used))
+                    found = stem(name, coded.dictionary.take(pa.array(used)).to_pylist())
+                    words = pa.concat_arrays([words, pa.array(found, words.type)])
+                    codes[mine] = new[codes[mine]]
+            columns[at] = pa.ListArray.from_arrays(
+                pa.array(np.append(0, np.cumsum(sizes)), pa.int32()),
+                words.take(pa.array(codes, mask=codes < 0)), mask=lists.is_null())
+            yield pa.RecordBatch.from_arrays(columns, names=schema.names)
+
+    return df.withColumn("__lang", lang).mapInArrow(stemmed, schema)
 
 
 # S20
@@ -132,25 +161,50 @@ def ngrams(tokens: Column | str, n: int) -> Column:
 BUCKETS = 2 ** 20
 
 
+#: Bytes of counts that a task adds up before it passes them on.
+HELD_BYTES = 32 << 20
+
+
 def term_partials(df: DataFrame, terms: str) -> DataFrame:
-    """``term``, ``df``, ``total`` of every Arrow batch of rows: rows that hold the term and
-    its occurrences (null terms: none). Sums over the batches are the term's counts."""
-    def counted(batches):
+    """``term``, ``df``, ``total`` of every run of rows: rows that hold the term and its
+    occurrences (null terms: none). Sums over the runs are the term's counts.
+
+    Rows come in small Arrow batches (see ``bounded_batches``); the counts of a task's
+    batches are added up until they reach HELD_BYTES.
+    """
+    bounded_batches(df.sparkSession)
+
+    def counted(b):
+        lists = b.column(0)
+        sizes = np.where(np.asarray(lists.is_null()), 0, lists.value_lengths().fill_null(
+            0).to_numpy(zero_copy_only=False))
+        coded = lists.flatten().dictionary_encode()
+        codes = coded.indices.fill_null(-1).to_numpy(zero_copy_only=False)
+        n = len(coded.dictionary)
+        held = np.unique((np.repeat(np.arange(len(sizes)), sizes) * n + codes)[codes >= 0])
+        return pa.RecordBatch.from_arrays([
+            coded.dictionary,
+            pa.array(np.bincount(held % n if n else held, minlength=n), pa.int64()),
+            pa.array(np.bincount(codes[codes >= 0], minlength=n), pa.int64())],
+            names=["term", "df", "total"])
+
+    def added(held):
+        sums = pa.Table.from_batches(held).group_by("term").aggregate(
+            [("df", "sum"), ("total", "sum")]).rename_columns(["term", "df", "total"])
+        yield from sums.combine_chunks().to_batches(max_chunksize=1 << 16)
+
+    def partials(batches):
+        held, size = [], 0
         for b in batches:
-            lists = b.column(0)
-            sizes = np.where(np.asarray(lists.is_null()), 0, lists.value_lengths().fill_null(
-                0).to_numpy(zero_copy_only=False))
-            coded = lists.flatten().dictionary_encode()
-            codes = coded.indices.fill_null(-1).to_numpy(zero_copy_only=False)
-            n = len(coded.dictionary)
-            held = np.unique((np.repeat(np.arange(len(sizes)), sizes) * n + codes)[codes >= 0])
-            yield pa.RecordBatch.from_arrays([
-                coded.dictionary,
-                pa.array(np.bincount(held % n if n else held, minlength=n), pa.int64()),
-                pa.array(np.bincount(codes[codes >= 0], minlength=n), pa.int64())],
-                names=["term", "df", "total"])
+            held.append(counted(b))
+            size += held[-1].nbytes
+            if size >= HELD_BYTES:
+                yield from added(held)
+                held, size = [], 0
+        if held:
+            yield from added(held)
 
-    return df.select(terms).mapInArrow(counted, "term string, df long, total long")
+    return df.select(terms).mapInArrow(partials, "term string, df long, total long")
 
 
 def frequent_terms(df: DataFrame, terms: str, k: int, keep: Column | None = None) -> DataFrame:
@@ -163,18 +217,25 @@ def frequent_terms(df: DataFrame, terms: str, k: int, keep: Column | None = None
     them; else more buckets follow, all of them at last.
     """
     keep = F.lit(True) if keep is None else keep
-    partials = term_partials(df, terms).withColumn("b", F.pmod(F.xxhash64("term"), F.lit(BUCKETS)))
-    buckets = written(partials.groupBy("b").agg(F.sum("total").alias("c")), "term-buckets")
+    # outer: dropping null terms here would evaluate the term arrays a second time
+    each = df.select(F.monotonically_increasing_id().alias("row"), terms).select(
+        "row", F.explode_outer(terms).alias("term")).withColumn(
+        "b", F.pmod(F.xxhash64("term"), F.lit(BUCKETS)))
+    buckets = written(each.groupBy("b").agg(F.count("term").alias("c")), "term-buckets")
     for m in (4 * k, 64 * k, None):
-        least, some = 0, partials
+        least = 0
         if m is not None:
             if buckets.count() <= m:
                 continue
             least = buckets.orderBy(F.desc("c")).limit(m).agg(F.min("c")).first()[0]
             # BUCKETS numbers at most
-            some = partials.join(F.broadcast(buckets.where(F.col("c") >= least)), "b", "left_semi")
-        counts = written(some.groupBy("term").agg(
-            F.sum("df").alias("df"), F.sum("total").alias("total")).where(keep), "term-counts")
+            some = each.join(F.broadcast(buckets.where(F.col("c") >= least)), "b", "left_semi")
+            sums = some.groupBy("row", "term").agg(F.count("term").alias("n")).groupBy("term").agg(
+                F.count("term").alias("df"), F.sum("n").alias("total")).where("term IS NOT NULL")
+        else:
+            sums = term_partials(df, terms).groupBy("term").agg(
+                F.sum("df").alias("df"), F.sum("total").alias("total"))
+        counts = written(sums.where(keep), "term-counts")
         if m is None or counts.where(F.col("total") >= least).limit(k).count() == k:
             return counts.orderBy(F.desc("total"), "term").limit(k)
 
